@@ -1,0 +1,19 @@
+"""Folders for data a query writes and reads back."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new path under the shared folder the cluster names in
+    ``spark.checkpoint.dir``. Only a local session may go without that setting."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="sieveline-")
+    return f"{root.rstrip('/')}/sieveline/{purpose}-{uuid.uuid4().hex}"
