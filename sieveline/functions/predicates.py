@@ -85,6 +85,11 @@ def to_number(c: Column) -> Column:
     return c.try_cast("double")
 
 
+def to_date(c: Column) -> Column:
+    """Date of text that has passed ``iso_date``."""
+    return c.try_cast("date")
+
+
 def to_iso_date(c: Column) -> Column:
     """Date of ``yyyy-MM-dd`` text, NULL for any other shape."""
-    return F.when(c.rlike(ISO_DATE), c.try_cast("date"))
+    return F.when(c.rlike(ISO_DATE), to_date(c))

@@ -118,7 +118,8 @@ def _shuffled_lookup(df: DataFrame, column: str, keys: DataFrame, flag: str, hot
         F.when(decided, F.spark_partition_id()).otherwise(F.hash(value)).alias(bucket),
     )
     parents = keys.select(F.col("key").alias(key), F.hash("key").alias(key_hash)).distinct()
-    parents = parents.withColumn(found, yes)
+    # Measured as too large to broadcast, whatever the statistics say.
+    parents = parents.withColumn(found, yes).hint("merge")
     matches = (quoted(rest) == quoted(key)) & (quoted(bucket) == quoted(key_hash))
     return spread.join(parents, matches, "left").select(
         *columns, F.coalesce(quoted(is_hot_found), quoted(found), F.lit(False)).alias(flag)

@@ -135,7 +135,8 @@ def convert(c: Column, rules: tuple[Rule, ...]) -> Column:
     if "double" in targets:
         return p.to_number(c)
     if "date" in targets:
-        return p.to_iso_date(c)
+        checked = any(rule.type == "date" and not rule.skip for rule in rules)
+        return p.to_date(c) if checked else p.to_iso_date(c)
     return c
 
 

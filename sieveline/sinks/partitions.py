@@ -30,16 +30,19 @@ def replace_periods(
     if not periods:
         raise ValueError("no periods to replace")
     period = quoted(period_name)
-    message = F.concat(F.lit("row of a period that is not to be replaced: "), F.coalesce(period.cast("string"), F.lit("NULL")))
-    guard = F.when(period.isin(periods), period).otherwise(F.raise_error(message).cast("int")).cast("int")
-    guarded = df.withColumn(period_name, guard)
+    message = F.concat(
+        F.lit("row of a period that is not to be replaced: "), F.coalesce(period.cast("string"), F.lit("NULL"))
+    )
+    guarded = df.where(F.when(period.isin(periods), True).otherwise(F.raise_error(message).cast("boolean")))
     if rebalance:
         guarded = guarded.hint("rebalance", period_name)
 
     written = Observation()
-    counts = [F.count_if(period == p).alias(str(p)) for p in periods]
+    counted = guarded.observe(written, *[F.count_if(period == p).alias(str(p)) for p in periods])
+    # Tasks sort their rows by partition before writing, but not by a literal.
+    constant = F.lit(periods[0]) if len(periods) == 1 else period
     (
-        guarded.observe(written, *counts)
+        counted.withColumn(period_name, constant.cast("int"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(period_name)

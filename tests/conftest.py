@@ -3,6 +3,7 @@ import sys
 
 import pytest
 from pyspark.sql import SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -32,7 +33,6 @@ def texts(spark):
     """A frame of text columns from rows, all columns strings."""
 
     def build(columns, rows):
-        schema = ", ".join(f"`{c}` string" for c in columns)
-        return spark.createDataFrame(rows, schema)
+        return spark.createDataFrame(rows, StructType([StructField(c, StringType()) for c in columns]))
 
     return build

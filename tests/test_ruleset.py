@@ -1,0 +1,99 @@
+"""The rule-set validator."""
+
+import logging
+
+import pytest
+from pyspark.sql import functions as F
+
+from sieveline import feed_rules, parse_rules
+from sieveline.plans.ruleset import Rule
+
+
+def test_order_and_options_are_kept():
+    rules = parse_rules(
+        {
+            "B": {"type": "string_length", "length": 16},
+            "A": {"type": "date", "format": "yyyy-MM-dd"},
+            "C": [{"type": "number"}, {"type": "non_negative"}],
+            "D": {"type": "string", "skip_validation": True},
+            "E": {"type": "foreign_key", "parent": "units", "parent_column": "COD"},
+        }
+    )
+    assert list(rules) == ["B", "A", "C", "D", "E"]
+    assert rules["B"] == (Rule("string_length", length=16),)
+    assert [r.type for r in rules["C"]] == ["number", "non_negative"]
+    assert rules["D"][0].skip and not rules["D"][0].is_reference
+    assert rules["E"][0].is_reference
+
+
+def test_string_length_without_length_is_zero():
+    assert parse_rules({"A": {"type": "string_length"}})["A"][0].length == 0
+
+
+@pytest.mark.parametrize(
+    "spec,message",
+    [
+        ({"type": "string"}, "checks nothing"),
+        ({"type": "positive"}, "unknown rule type"),
+        ({}, "'type' must be a string"),
+        ({"type": None}, "'type' must be a string"),
+        ({"type": {"type": "string", "skip_validation": True}}, "'type' must be a string"),
+        ({"type": "date", "lenght": 3}, "unknown option"),
+        ({"type": "email", "length": 3}, "unknown option"),
+        ({"type": "string_length", "length": "16"}, "'length'"),
+        ({"type": "string_length", "length": -1}, "'length'"),
+        ({"type": "string_length", "length": True}, "'length'"),
+        ({"type": "email", "skip_validation": "yes"}, "'skip_validation'"),
+        ({"type": "foreign_key"}, "'parent'"),
+        ({"type": "foreign_key", "parent": "units"}, "'parent_column'"),
+        ("positive_number", "must be an object"),
+        ([], "empty list"),
+        ([{"type": "number"}, "number"], "must be an object"),
+        ([{"type": "number"}, {"type": "date"}], "different types"),
+    ],
+)
+def test_wrong_rules_are_refused(spec, message):
+    with pytest.raises(ValueError, match=message):
+        parse_rules({"COL": spec})
+
+
+def test_misnested_entry_is_refused():
+    """One brace too many swallows the columns that follow."""
+    config = {
+        "staff": {
+            "columns": {
+                "ID": {"type": "positive_number"},
+                "KIND": {
+                    "type": {"type": "string", "skip_validation": True},
+                    "LEVEL": {"type": "string", "skip_validation": True},
+                    "REASON": "string",
+                    "skip_validation": True,
+                },
+            }
+        }
+    }
+    with pytest.raises(ValueError, match="'KIND'.*'type' must be a string"):
+        feed_rules(config, "staff")
+
+
+def test_unknown_feed_and_wrong_entry():
+    with pytest.raises(ValueError, match="'hours' is not in the configuration; known: \\['staff'\\]"):
+        feed_rules({"staff": {"columns": {}}}, "hours")
+    with pytest.raises(ValueError, match="'columns'"):
+        feed_rules({"staff": {"column": {}}}, "staff")
+    with pytest.raises(ValueError, match="'columns'"):
+        feed_rules({"staff": {"columns": {}, "skip_validation": True}}, "staff")
+    with pytest.raises(ValueError, match="must be an object"):
+        feed_rules({"staff": {"columns": []}}, "staff")
+
+
+def test_other_date_format_is_ignored_with_a_warning(caplog):
+    with caplog.at_level(logging.WARNING):
+        rules = parse_rules({"D": {"type": "date", "format": "dd/MM/yyyy"}})
+    assert rules["D"] == (Rule("date"),)
+    assert "ignored" in caplog.text
+
+
+def test_reference_rule_has_no_value_predicate(spark):
+    with pytest.raises(ValueError, match="no predicate"):
+        Rule("foreign_key", parent="p", parent_column="c").predicate(F.lit("x"))
