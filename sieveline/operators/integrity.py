@@ -13,7 +13,7 @@ follows measured sizes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions.predicates import quoted
@@ -29,7 +29,7 @@ HOT_KEY_BYTES = 256
 
 def parent_keys(parent: DataFrame, column: str) -> DataFrame:
     """Non-NULL keys of a parent table as text, one column ``key``."""
-    return parent.select(quoted(column).cast("string").alias("key")).where(F.col("key").isNotNull())
+    return parent.select(as_text(column).alias("key")).where(F.col("key").isNotNull())
 
 
 def keys_bytes(keys: DataFrame) -> int:
@@ -39,6 +39,11 @@ def keys_bytes(keys: DataFrame) -> int:
     return keys.agg(size).first()["size"] or 0
 
 
+def as_text(column: str) -> Column:
+    """Both sides are compared as text; feed columns already are."""
+    return quoted(column).cast("string")
+
+
 def free_name(taken: list[str], wanted: str) -> str:
     """``wanted``, with underscores in front until no column is called so."""
     lowered = {c.lower() for c in taken}
@@ -72,7 +77,7 @@ def with_foreign_key(
 def _broadcast_lookup(df: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFrame:
     key, found = (free_name(df.columns, n) for n in ("__key", "__found"))
     small = F.broadcast(keys.select(F.col("key").alias(key), F.lit(True).alias(found)))
-    return df.join(small, quoted(column) == quoted(key), "left").select(
+    return df.join(small, as_text(column) == quoted(key), "left").select(
         *map(quoted, df.columns), F.coalesce(quoted(found), F.lit(False)).alias(flag)
     )
 
@@ -81,7 +86,7 @@ def hot_values(df: DataFrame, column: str, hot_rows: int) -> DataFrame:
     """The values with more than ``hot_rows`` rows, the largest ``HOT_KEYS`` at
     most. Counting combines on the map side, so a hot value costs one row per
     task."""
-    value = quoted(column)
+    value = as_text(column)
     return (
         df.where(value.isNotNull() & (F.octet_length(value) <= HOT_KEY_BYTES))
         .groupBy(value.alias("key"))
@@ -100,7 +105,7 @@ def _shuffled_lookup(df: DataFrame, column: str, keys: DataFrame, flag: str, hot
     hot_key, is_hot, hot_found_key, is_hot_found, rest, bucket, key, key_hash, found = (
         free_name(df.columns, n) for n in names
     )
-    columns, value, yes = list(map(quoted, df.columns)), quoted(column), F.lit(True)
+    columns, value, yes = list(map(quoted, df.columns)), as_text(column), F.lit(True)
 
     # Hot values: flagged by two bounded broadcasts.
     hot = F.broadcast(hot.select(F.col("key").alias(hot_key), yes.alias(is_hot)))

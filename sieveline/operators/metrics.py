@@ -43,12 +43,13 @@ def metrics(
     """``(metric, rows_ok)``, or ``(ID_PER, metric, rows_ok)`` with a period.
 
     Metrics are ``raw``, ``good``, ``rejects`` and ``passed:<column>``. One scan,
-    one aggregation; only counters leave a task.
+    one aggregation; only counters leave a task. A frame that already has its
+    period can be given it as a column.
     """
     keys: list[str] = []
     if period is not None:
         period = period if isinstance(period, Column) else F.lit(period)
-        df = df.select(period.cast("int").alias(period_name), *map(quoted, df.columns))
+        df = df.select(period.cast("int").alias(period_name), *[quoted(c) for c in df.columns if c != period_name])
         keys = [period_name]
     flagged, flags = with_flags(df, rules, parents)
     names = named_flags(flagged, flags)

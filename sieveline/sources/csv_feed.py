@@ -49,10 +49,8 @@ def period_of(path: str, check_month: bool = False) -> int:
 
 
 def file_period(check_month: bool = False) -> Column:
-    """Period of the file each row comes from; a wrong name fails the scan.
-
-    Use it in the first projection on a file scan.
-    """
+    """Period of the file each row comes from; a wrong name fails the jobs that
+    use it. It belongs in the first projection on a file scan."""
     name = F.col("_metadata.file_name")
     message = F.concat(F.lit("file name without a leading period YYYYMM and an underscore: "), name)
     return F.when(name.rlike(_pattern(check_month)), F.substring(name, 1, 6).try_cast("int")).otherwise(

@@ -88,6 +88,12 @@ def test_metrics_by_period(texts):
     }
 
 
+def test_metrics_of_a_tagged_frame(spark):
+    df = spark.createDataFrame([(202501, "1"), (202501, "x"), (202502, "2")], "ID_PER int, V string")
+    out = metrics(df, parse_rules({"V": {"type": "positive_number"}}), F.col("ID_PER")).where("metric = 'good'")
+    assert sorted(tuple(r) for r in out.collect()) == [(202501, "good", 1), (202502, "good", 1)]
+
+
 def test_metrics_while_writing(staff, tmp_path):
     seen = Observation()
     good = clean(staff, STAFF_RULES, 202501, NOON, observation=seen).good

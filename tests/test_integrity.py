@@ -31,6 +31,14 @@ def test_flags(texts, parent, options):
     assert len(got) == len(values) and set(got) == want
 
 
+@pytest.mark.parametrize("options", ROUTES)
+def test_feed_values_of_another_type(spark, parent, options):
+    df = spark.range(40).select((F.col("id") % 4).cast("short").alias("k"))
+    out = with_foreign_key(df, "k", parent, "id.x", "ok", **options)
+    assert out.dtypes == [("k", "smallint"), ("ok", "boolean")]
+    assert {tuple(r) for r in out.distinct().collect()} == {(0, False), (1, True), (2, True), (3, False)}
+
+
 @pytest.mark.parametrize("options", ROUTES)
 def test_empty_sides(texts, parent, options):
     keys = parent.where("false")

@@ -92,24 +92,26 @@ def test_parquet_columns_are_pruned(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderpriority:string>" in text
 
 
-def test_scratch_folder_is_the_shared_one(spark):
-    root = spark.conf.get("spark.checkpoint.dir")
-    first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
-    assert first.startswith(f"{root}/") and first != second
+class FakeSession:
+    """A session with a master and, if given, a shared folder."""
 
+    def __init__(self, master, shared=None):
+        self.conf = self
+        self.sparkContext = self
+        self.master, self.shared = master, shared
+
+    def get(self, key, default):
+        assert key == "spark.checkpoint.dir"
+        return self.shared or default
 
-def test_scratch_folder_is_never_local_on_a_cluster():
-    class Conf:
-        def get(self, key, default):
-            return default
 
-    class Session:
-        conf = Conf()
+def test_scratch_folder_is_the_shared_one():
+    for session in (FakeSession("yarn", "hdfs://n/shared/"), FakeSession("local[4]", "hdfs://n/shared")):
+        first, second = scratch_dir(session, "x"), scratch_dir(session, "x")
+        assert first.startswith("hdfs://n/shared/sieveline/x-") and first != second
 
-        class sparkContext:
-            master = "yarn"
 
+def test_scratch_folder_is_never_local_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_dir(Session(), "x")
-    Session.sparkContext.master = "local[4]"
-    assert "x-" in scratch_dir(Session(), "x")
+        scratch_dir(FakeSession("yarn"), "x")
+    assert "/sieveline/x-" in scratch_dir(FakeSession("local[4]"), "x")
