@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ORDER_COLUMNS = ["order_id", "amount", "order_dt", "cust_code", "email", "priority"]
@@ -25,39 +25,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _every(n: int) -> Column:
-    return F.col("o_orderkey") % n == 0
-
-
-def _dirty(orders: DataFrame) -> dict[str, Column]:
-    customer = F.col("o_custkey").cast("string")
-    amount = F.col("o_totalprice").cast("decimal(18,2)").cast("string")
-    day = F.col("o_orderdate").cast("date")
-    return {
-        "order_id": F.col("o_orderkey").cast("string"),
-        "amount": F.when(_every(11), "abc")
-        .when(_every(13), F.concat(F.lit("-"), amount))
-        .when(_every(17), F.lit(None))
-        .otherwise(amount),
-        "order_dt": F.when(_every(7), F.date_format(day, "dd-MM-yyyy"))
-        .when(_every(19), F.concat(F.date_format(day, "yyyy"), F.lit("-02-30")))
-        .otherwise(F.date_format(day, "yyyy-MM-dd")),
-        "cust_code": F.when(_every(23), customer).otherwise(F.lpad(customer, 16, "0")),
-        "email": F.when(_every(29), "c@example").otherwise(F.concat(F.lit("c"), customer, F.lit("@example.com"))),
-        "priority": F.when(_every(5), F.col("o_orderpriority")).otherwise(F.substring("o_orderpriority", 3, 100)),
-    }
+AMOUNT = "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS STRING)"
+CUSTOMER = "CAST(o_custkey AS STRING)"
+DAY = "CAST(o_orderdate AS DATE)"
+DIRTY = [
+    "CAST(o_orderkey AS STRING) AS order_id",
+    f"""CASE WHEN o_orderkey % 11 = 0 THEN 'abc'
+             WHEN o_orderkey % 13 = 0 THEN concat('-', {AMOUNT})
+             WHEN o_orderkey % 17 = 0 THEN NULL
+             ELSE {AMOUNT} END AS amount""",
+    f"""CASE WHEN o_orderkey % 7 = 0 THEN date_format({DAY}, 'dd-MM-yyyy')
+             WHEN o_orderkey % 19 = 0 THEN concat(date_format({DAY}, 'yyyy'), '-02-30')
+             ELSE date_format({DAY}, 'yyyy-MM-dd') END AS order_dt""",
+    f"CASE WHEN o_orderkey % 23 = 0 THEN {CUSTOMER} ELSE lpad({CUSTOMER}, 16, '0') END AS cust_code",
+    f"CASE WHEN o_orderkey % 29 = 0 THEN 'c@example' ELSE concat('c', {CUSTOMER}, '@example.com') END AS email",
+    "CASE WHEN o_orderkey % 5 = 0 THEN o_orderpriority ELSE substring(o_orderpriority, 3) END AS priority",
+]
+DELIVERY = f"CASE WHEN o_orderkey % 2 = 0 THEN {PERIODS[0]} ELSE {PERIODS[1]} END AS delivery"
 
 
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    return orders.select(*[c.alias(name) for name, c in _dirty(orders).items()])
+    return table(spark, sf_dir, "orders").selectExpr(*DIRTY)
 
 
 def dirty_orders_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed plus the delivery each order belongs to, in ``delivery``."""
-    orders = table(spark, sf_dir, "orders")
-    delivery = F.when(_every(2), PERIODS[0]).otherwise(PERIODS[1]).alias("delivery")
-    return orders.select(*[c.alias(name) for name, c in _dirty(orders).items()], delivery)
+    return table(spark, sf_dir, "orders").selectExpr(*DIRTY, DELIVERY)
 
 
 def write_deliveries(spark: SparkSession, sf_dir: str, folder: str) -> str:
@@ -76,9 +69,9 @@ def write_deliveries(spark: SparkSession, sf_dir: str, folder: str) -> str:
 
 def dirty_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as text, with the e-mail column the orders feed has too."""
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias("customer_id"),
-        F.col("c_name").alias("name"),
-        F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("balance"),
-        F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("email"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS STRING) AS customer_id",
+        "c_name AS name",
+        "CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) AS balance",
+        "concat('c', CAST(c_custkey AS STRING), '@example.com') AS email",
     )

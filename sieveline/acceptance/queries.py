@@ -129,10 +129,11 @@ def filter_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 TARGET = parse_rules({"order_id": {"type": "string", "skip_validation": True}, **ORDERS_CONFIG["orders"]["columns"]})
 
 
-def _first_publication(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+def _publish_both(spark: SparkSession, sf_dir: str, path: str, rejects_path: str | None = None) -> DataFrame:
+    """First publication of both periods; returns the feed."""
     feed = dirty_orders_by_period(spark, sf_dir)
-    first = clean(feed, RULES, F.col("delivery"), INGESTED_AT)
-    publish(first.good, TARGET, f"{path}/good", PERIODS, rejects=first.rejects, rejects_path=f"{path}/rejects")
+    good, rejects = clean(feed, RULES, F.col("delivery"), INGESTED_AT)
+    publish(good, TARGET, path, PERIODS, rejects=rejects if rejects_path else None, rejects_path=rejects_path)
     return feed
 
 
@@ -140,26 +141,26 @@ def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both periods are published, then the second again with corrected
     priorities; the whole table."""
     path = scratch_dir(spark, "replace")
-    feed = _first_publication(spark, sf_dir, path)
+    feed = _publish_both(spark, sf_dir, path)
     second = feed.where(F.col("delivery") == PERIODS[1])
     corrected = second.withColumn("priority", F.regexp_replace("priority", "^[0-9]-", ""))
-    publish(clean(corrected, RULES, PERIODS[1], INGESTED_AT).good, TARGET, f"{path}/good", [PERIODS[1]])
-    return read_table(spark, f"{path}/good")
+    publish(clean(corrected, RULES, PERIODS[1], INGESTED_AT).good, TARGET, path, [PERIODS[1]])
+    return read_table(spark, path)
 
 
 def partition_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second period is published again from a delivery without any good
     row, which empties it; the whole table."""
     path = scratch_dir(spark, "empty")
-    feed = _first_publication(spark, sf_dir, path)
+    feed = _publish_both(spark, sf_dir, path)
     broken = feed.where(F.col("delivery") == PERIODS[1]).withColumn("email", F.lit("none"))
-    publish(clean(broken, RULES, PERIODS[1], INGESTED_AT).good, TARGET, f"{path}/good", [PERIODS[1]])
-    return read_table(spark, f"{path}/good")
+    publish(clean(broken, RULES, PERIODS[1], INGESTED_AT).good, TARGET, path, [PERIODS[1]])
+    return read_table(spark, path)
 
 
 def rejects_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "rejects")
-    _first_publication(spark, sf_dir, path)
+    _publish_both(spark, sf_dir, f"{path}/good", f"{path}/rejects")
     return read_table(spark, f"{path}/rejects").drop("delivery", "DINS")
 
 

@@ -1,0 +1,28 @@
+"""Results stay whole when tasks die half-way and run again."""
+
+import json
+import os
+import subprocess
+import sys
+
+from tests.conftest import ROOT
+
+
+def test_results_are_whole(tmp_path):
+    done = subprocess.run(
+        [sys.executable, os.path.join(ROOT, "tests", "lost_tasks.py"), str(tmp_path)],
+        env={**os.environ, "PYTHONPATH": ROOT},
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert done.returncode == 0, done.stderr[-2000:]
+    counts = {"raw": 40_000, "good": 30_000, "rejects": 10_000, "passed:V": 30_000}
+    assert json.loads(done.stdout.splitlines()[-1]) == {
+        "rebalance=False": [30_000, 30_000, 30_000],
+        "observed, rebalance=False": counts,
+        "rebalance=True": [30_000, 30_000, 30_000],
+        "observed, rebalance=True": counts,
+        "metrics": counts,
+        "foreign key": [40_000, 8_250, 30_001],
+    }
