@@ -97,6 +97,8 @@ corrected AS (
   SELECT * REPLACE (CASE WHEN regexp_matches(priority, '^[0-9]-') THEN substr(priority, 3) ELSE priority END AS priority)
   FROM feed
 )"""
+_KNOWN_CUSTOMER = """cust_code IN (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 16, '0') FROM customer WHERE c_mktsegment = 'BUILDING')"""
 
 ORACLES: dict[str, str] = {
     "csv_scan_strings": f"WITH {FEED} SELECT {TEXT} FROM feed",
@@ -142,10 +144,9 @@ ORACLES: dict[str, str] = {
         SELECT order_id, {signed_number("amount")} AND coalesce(try_cast(amount AS DOUBLE) >= 0, false)
                AND {PASSED["cust_code"]} AND {non_negative_number("cust_code")} AS valid
         FROM feed""",
-    "foreign_key_split": f"""WITH {FEED}
-        SELECT order_id, cust_code IN (
-                 SELECT lpad(CAST(c_custkey AS VARCHAR), 16, '0') FROM customer WHERE c_mktsegment = 'BUILDING') AS valid
-        FROM feed""",
+    "foreign_key_split": f"WITH {FEED} SELECT order_id, {_KNOWN_CUSTOMER} AS valid FROM feed",
+    "foreign_key_clean": f"""WITH {FEED}
+        SELECT 7 AS ID_PER, {TYPED}, {DINS} FROM feed WHERE {VALID} AND {_KNOWN_CUSTOMER}""",
     "foreign_key_shuffled": """
         SELECT l_orderkey, l_linenumber,
                CASE WHEN l_linenumber <> 7 THEN CAST(l_suppkey AS VARCHAR) END AS supplier,

@@ -186,15 +186,29 @@ def rule_signed_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+CUSTOMER_KEY = {"type": "foreign_key", "parent": "customers", "parent_column": "code"}
+
+
+def _building_customers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    customers = filter_equals(table(spark, sf_dir, "customer"), "c_mktsegment", "BUILDING")
+    return {"customers": customers.selectExpr("lpad(CAST(c_custkey AS STRING), 16, '0') AS code")}
+
+
 def foreign_key_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order customers against the customers of one segment, as a rule."""
-    rules = parse_rules({"cust_code": {"type": "foreign_key", "parent": "customers", "parent_column": "code"}})
-    customers = filter_equals(table(spark, sf_dir, "customer"), "c_mktsegment", "BUILDING")
-    code = F.lpad(F.col("c_custkey").cast("string"), 16, "0").alias("code")
-    feed, flags = with_flags(dirty_orders(spark, sf_dir), rules, {"customers": customers.select(code)})
+    rules = parse_rules({"cust_code": CUSTOMER_KEY})
+    feed, flags = with_flags(dirty_orders(spark, sf_dir), rules, _building_customers(spark, sf_dir))
     return feed.select("order_id", row_validity(flags).alias("valid"))
 
 
+def foreign_key_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows when the customer also has to exist."""
+    columns = ORDERS_CONFIG["orders"]["columns"]
+    rules = parse_rules({**columns, "cust_code": [columns["cust_code"], CUSTOMER_KEY]})
+    parents = _building_customers(spark, sf_dir)
+    return clean(dirty_orders(spark, sf_dir), rules, RUN, INGESTED_AT, parents=parents).good
+
+
 def foreign_key_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line item suppliers against some suppliers, without broadcasting the
     parent; suppliers with many lines go the way of hot values."""
@@ -233,5 +247,6 @@ QUERIES: dict[str, Query] = {
     "union_feeds": union_of_feeds,
     "multi_rule_column": multi_rule_column,
     "foreign_key_split": foreign_key_split,
+    "foreign_key_clean": foreign_key_clean,
     "foreign_key_shuffled": foreign_key_shuffled,
 }

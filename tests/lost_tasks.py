@@ -24,7 +24,7 @@ def dying(batches):
 
 def feed(spark: SparkSession) -> DataFrame:
     value = F.when(F.col("id") % 4 == 0, "x").otherwise(F.col("id").cast("string")).alias("V")
-    df = spark.range(0, 40_000, numPartitions=8).select(value)
+    df = spark.range(0, 40_000, numPartitions=4).select(value)
     return df.mapInPandas(dying, df.schema)
 
 
@@ -32,7 +32,7 @@ def main(folder: str) -> None:
     spark = (
         SparkSession.builder.master("local[4,4]")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
         .getOrCreate()
     )

@@ -112,20 +112,20 @@ def test_wrong_name_fails_the_scan(spark, write):
 
 
 def test_feed_run(spark, write):
-    write("f/202501_units.csv", "ID,ACR,MORE\n04,RSA,a\n5,RS,b\n")
-    pattern = write("f/202502_units.csv", "ID,ACR,MORE\n6,CDI,c\n").replace("202502", "*")
+    write("f/202501_units.csv", "ID,ACR,MORE\n04,ABC,a\n5,AB,b\n")
+    pattern = write("f/202502_units.csv", "ID,ACR,MORE\n6,XYZ,c\n").replace("202502", "*")
     run = process_feed(spark, CONFIG, "units", pattern, ingested_at=NOON)
     assert run.raw.columns == ["ID", "ACR", "MORE", "DINS"] and run.raw.count() == 3
-    assert sorted(rows(run.good.drop("DINS"))) == [(202501, 4.0, "RSA", "a"), (202502, 6.0, "CDI", "c")]
-    assert rows(run.rejects.drop("DINS")) == [(202501, "5", "RS", "b")]
+    assert sorted(rows(run.good.drop("DINS"))) == [(202501, 4.0, "ABC", "a"), (202502, 6.0, "XYZ", "c")]
+    assert rows(run.rejects.drop("DINS")) == [(202501, "5", "AB", "b")]
     assert run.raw.select("DINS").union(run.good.select("DINS")).union(run.rejects.select("DINS")).distinct().count() == 1
     counts = metrics(run.raw.drop("DINS"), run.rules, file_period())
     assert {(r.ID_PER, r.metric): r.rows_ok for r in counts.collect()}[202501, "good"] == 1
 
 
 def test_feed_run_with_given_period(spark, write):
-    path = write("units.csv", "ID,ACR\n1,RSA\n")
-    assert rows(process_feed(spark, CONFIG, "units", path, period=202503).good.drop("DINS")) == [(202503, 1.0, "RSA")]
+    path = write("units.csv", "ID,ACR\n1,ABC\n")
+    assert rows(process_feed(spark, CONFIG, "units", path, period=202503).good.drop("DINS")) == [(202503, 1.0, "ABC")]
     with pytest.raises(ValueError, match="units.csv"):
         process_feed(spark, CONFIG, "units", path)
 
