@@ -39,12 +39,15 @@ def replace_periods(
 
     written = Observation()
     counted = guarded.observe(written, *[F.count_if(period == p).alias(str(p)) for p in periods])
-    # Tasks sort their rows by partition before writing, but not by a literal.
+    # Tasks sort their rows by partition before writing, but not by a literal. They
+    # move their own files into the staging folder (committer version 2), so the
+    # driver's commit renames one folder per period instead of every file.
     constant = F.lit(periods[0]) if len(periods) == 1 else period
     (
         counted.withColumn(period_name, constant.cast("int"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
         .partitionBy(period_name)
         .parquet(path)
     )

@@ -79,6 +79,7 @@ def test_failed_job_keeps_the_old_rows(spark, frame, tmp_path):
     with pytest.raises(PySparkException, match="lost"):
         replace_periods(broken, path, [202501])
     assert content(spark, path) == [(202501, "a", 1.0)]
+    assert [f.name for f in (tmp_path / "t").iterdir() if f.is_dir()] == ["ID_PER=202501"]
 
 
 def test_large_period_is_split_when_rebalanced(spark, tmp_path):
