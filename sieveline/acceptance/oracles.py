@@ -147,6 +147,10 @@ ORACLES: dict[str, str] = {
     "foreign_key_split": f"WITH {FEED} SELECT order_id, {_KNOWN_CUSTOMER} AS valid FROM feed",
     "foreign_key_clean": f"""WITH {FEED}
         SELECT 7 AS ID_PER, {TYPED}, {DINS} FROM feed WHERE {VALID} AND {_KNOWN_CUSTOMER}""",
+    "foreign_key_few_missing": """
+        SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer,
+               o_custkey IN (SELECT c_custkey FROM customer WHERE c_nationkey <> 7) AS valid
+        FROM orders""",
     "foreign_key_shuffled": """
         SELECT l_orderkey, l_linenumber,
                CASE WHEN l_linenumber <> 7 THEN CAST(l_suppkey AS VARCHAR) END AS supplier,

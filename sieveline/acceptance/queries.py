@@ -209,9 +209,17 @@ def foreign_key_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean(dirty_orders(spark, sf_dir), rules, RUN, INGESTED_AT, parents=parents).good
 
 
+def foreign_key_few_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order customers against all but one nation's, with a parent above the
+    broadcast bound and a short list of missing values."""
+    customers = table(spark, sf_dir, "customer").where(F.col("c_nationkey") != 7)
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "CAST(o_custkey AS STRING) AS customer")
+    return with_foreign_key(orders, "customer", customers, "c_custkey", "valid", broadcast_bytes=50_000)
+
+
 def foreign_key_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line item suppliers against some suppliers, without broadcasting the
-    parent; suppliers with many lines go the way of hot values."""
+    """Line item suppliers against some suppliers, without broadcasting any list;
+    suppliers with many lines go the way of hot values."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
@@ -248,5 +256,6 @@ QUERIES: dict[str, Query] = {
     "multi_rule_column": multi_rule_column,
     "foreign_key_split": foreign_key_split,
     "foreign_key_clean": foreign_key_clean,
+    "foreign_key_few_missing": foreign_key_few_missing,
     "foreign_key_shuffled": foreign_key_shuffled,
 }

@@ -1,14 +1,18 @@
 """Foreign keys: does a feed value exist among a parent's keys?
 
 The rows are never multiplied: parent keys are made distinct first. The strategy
-follows measured sizes:
-
-* Parent keys within ``broadcast_bytes`` are broadcast. The feed is not shuffled.
-* Otherwise feed and keys are shuffled on the key. Values that hold more than
-  ``hot_rows`` feed rows (one may hold a third of the feed) and NULLs must not
-  meet in one task: hot values are few by construction, so a broadcast decides
-  about them, and their rows, like the rows with NULL, travel spread over all
-  shuffle partitions with a key that matches nothing.
+follows measured sizes, each against ``broadcast_bytes``:
+
+* Small parent: its keys are broadcast. The feed is not shuffled.
+* Otherwise the distinct values of the feed are judged against the keys, which
+  moves one column, pre-aggregated, and no rows. If the values the parent lacks are
+  few (clean feeds), or else those it has, that list is broadcast instead. The feed
+  is still not shuffled.
+* Only if both lists are large are feed and keys shuffled on the key. Values that
+  hold more than ``hot_rows`` feed rows (one may hold a third of the feed) and NULLs
+  must not meet in one task: the largest ones, bounded in number and size, are
+  decided by a broadcast, and their rows, like the rows with NULL, travel spread over
+  all shuffle partitions with a key that matches nothing.
 """
 
 from __future__ import annotations
@@ -27,16 +31,12 @@ HOT_KEYS = 50_000
 HOT_KEY_BYTES = 256
 
 
-def parent_keys(parent: DataFrame, column: str) -> DataFrame:
-    """Non-NULL keys of a parent table as text, one column ``key``."""
-    return parent.select(as_text(column).alias("key")).where(F.col("key").isNotNull())
-
-
-def keys_bytes(keys: DataFrame) -> int:
-    """Upper bound of the memory the keys need when broadcast (one job, no
-    shuffle of keys)."""
-    size = F.sum(F.octet_length("key") + F.lit(ROW_OVERHEAD)).alias("size")
-    return keys.agg(size).first()["size"] or 0
+def free_name(taken: list[str], wanted: str) -> str:
+    """``wanted``, with underscores in front until no column is called so."""
+    lowered = {c.lower() for c in taken}
+    while wanted.lower() in lowered:
+        wanted = "_" + wanted
+    return wanted
 
 
 def as_text(column: str) -> Column:
@@ -44,12 +44,17 @@ def as_text(column: str) -> Column:
     return quoted(column).cast("string")
 
 
-def free_name(taken: list[str], wanted: str) -> str:
-    """``wanted``, with underscores in front until no column is called so."""
-    lowered = {c.lower() for c in taken}
-    while wanted.lower() in lowered:
-        wanted = "_" + wanted
-    return wanted
+def parent_keys(parent: DataFrame, column: str) -> DataFrame:
+    """Non-NULL keys of a parent table as text, one column ``key``."""
+    return parent.select(as_text(column).alias("key")).where(F.col("key").isNotNull())
+
+
+def broadcast_size(keys: DataFrame, *conditions: Column) -> list[int]:
+    """Upper bounds of the memory that the keys meeting each condition need when
+    broadcast: one job, which moves one row of sums per task."""
+    cost = F.octet_length("key") + F.lit(ROW_OVERHEAD)
+    row = keys.agg(*[F.sum(F.when(c, cost)) for c in conditions]).first()
+    return [size or 0 for size in row]
 
 
 def with_foreign_key(
@@ -64,68 +69,84 @@ def with_foreign_key(
 ) -> DataFrame:
     """``df`` plus the boolean column ``flag``; NULL values are False.
 
-    Measuring the parent is the only job this starts.
+    Starts the jobs that measure: one over the parent's keys, and if they are not
+    few, one over the values of the feed's column.
     """
     if flag in df.columns:
         raise ValueError(f"column {flag!r} already exists")
     keys = parent_keys(parent, parent_column)
-    if keys_bytes(keys) <= broadcast_bytes:
-        return _broadcast_lookup(df, column, keys.distinct(), flag)
-    return _shuffled_lookup(df, column, keys, flag, hot_rows)
+    (parent_bytes,) = broadcast_size(keys, F.lit(True))
+    if parent_bytes <= broadcast_bytes:
+        return _broadcast_lookup(df, column, keys.distinct(), flag, listed_means=True)
+
+    values = judged_values(df, column, keys)
+    found = F.col("found")
+    missing_bytes, found_bytes = broadcast_size(values, ~found, found)
+    if missing_bytes <= broadcast_bytes:
+        return _broadcast_lookup(df, column, values.where(~found), flag, listed_means=False)
+    if found_bytes <= broadcast_bytes:
+        return _broadcast_lookup(df, column, values.where(found), flag, listed_means=True)
+    return _shuffled_lookup(df, column, values, flag, hot_rows)
+
+
+def judged_values(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Each distinct value of the feed's column: ``key``, its number of ``rows``,
+    and whether it was ``found`` among the keys.
+
+    Counting combines on the map side, so a hot value is one row per task. The
+    result is used more than once; where the session names a shared folder it is
+    kept there, elsewhere it is computed again.
+    """
+    value = as_text(column)
+    values = df.where(value.isNotNull()).groupBy(value.alias("key")).agg(F.count("*").alias("rows"))
+    known = keys.distinct().withColumn("known", F.lit(True))
+    judged = values.join(known, "key", "left").select("key", "rows", F.col("known").isNotNull().alias("found"))
+    return judged.checkpoint() if has_shared_folder(df) else judged
 
 
-def _broadcast_lookup(df: DataFrame, column: str, keys: DataFrame, flag: str) -> DataFrame:
-    key, found = (free_name(df.columns, n) for n in ("__key", "__found"))
-    small = F.broadcast(keys.select(F.col("key").alias(key), F.lit(True).alias(found)))
-    return df.join(small, as_text(column) == quoted(key), "left").select(
-        *map(quoted, df.columns), F.coalesce(quoted(found), F.lit(False)).alias(flag)
-    )
+def has_shared_folder(df: DataFrame) -> bool:
+    return bool(df.sparkSession.conf.get("spark.checkpoint.dir", None))
 
 
-def hot_values(df: DataFrame, column: str, hot_rows: int) -> DataFrame:
-    """The values with more than ``hot_rows`` rows, the largest ``HOT_KEYS`` at
-    most. Counting combines on the map side, so a hot value costs one row per
-    task."""
-    value = as_text(column)
-    return (
-        df.where(value.isNotNull() & (F.octet_length(value) <= HOT_KEY_BYTES))
-        .groupBy(value.alias("key"))
-        .agg(F.count("*").alias("rows"))
-        .where(F.col("rows") > hot_rows)
-        .orderBy(F.desc("rows"), "key")
-        .limit(HOT_KEYS)
-        .select("key")
+def _broadcast_lookup(df: DataFrame, column: str, listed: DataFrame, flag: str, listed_means: bool) -> DataFrame:
+    """Flag by a list of distinct values that are all found, or all missing."""
+    key, mark = (free_name(df.columns, n) for n in ("__key", "__listed"))
+    small = F.broadcast(listed.select(F.col("key").alias(key), F.lit(True).alias(mark)))
+    value, is_listed = as_text(column), quoted(mark).isNotNull()
+    return df.join(small, value == quoted(key), "left").select(
+        *map(quoted, df.columns), (is_listed if listed_means else value.isNotNull() & ~is_listed).alias(flag)
     )
 
 
-def _shuffled_lookup(df: DataFrame, column: str, keys: DataFrame, flag: str, hot_rows: int) -> DataFrame:
-    hot = hot_values(df, column, hot_rows)
-    hot_found = keys.join(F.broadcast(hot), "key", "left_semi").distinct()
-    names = ("__hot_key", "__hot", "__hot_found_key", "__hot_found", "__value", "__bucket", "__key", "__hash", "__found")
-    hot_key, is_hot, hot_found_key, is_hot_found, rest, bucket, key, key_hash, found = (
-        free_name(df.columns, n) for n in names
-    )
-    columns, value, yes = list(map(quoted, df.columns)), as_text(column), F.lit(True)
+def hot_values(values: DataFrame, hot_rows: int) -> DataFrame:
+    """The judged values with more than ``hot_rows`` rows, the ``HOT_KEYS`` largest
+    at most, none longer than ``HOT_KEY_BYTES``."""
+    hot = (F.col("rows") > hot_rows) & (F.octet_length("key") <= HOT_KEY_BYTES)
+    return values.where(hot).orderBy(F.desc("rows"), "key").limit(HOT_KEYS).select("key", "found")
+
+
+def _shuffled_lookup(df: DataFrame, column: str, values: DataFrame, flag: str, hot_rows: int) -> DataFrame:
+    names = ("__hot_key", "__hot_found", "__value", "__bucket", "__key", "__hash", "__found")
+    hot_key, hot_found, rest, bucket, key, key_hash, found = (free_name(df.columns, n) for n in names)
+    columns, value = list(map(quoted, df.columns)), as_text(column)
 
-    # Hot values: flagged by two bounded broadcasts.
-    hot = F.broadcast(hot.select(F.col("key").alias(hot_key), yes.alias(is_hot)))
-    hot_found = F.broadcast(hot_found.select(F.col("key").alias(hot_found_key), yes.alias(is_hot_found)))
-    marked = df.join(hot, value == quoted(hot_key), "left").join(hot_found, value == quoted(hot_found_key), "left")
+    # Hot values: decided by a bounded broadcast.
+    hot = hot_values(values, hot_rows).select(F.col("key").alias(hot_key), F.col("found").alias(hot_found))
+    marked = df.join(F.broadcast(hot), value == quoted(hot_key), "left")
 
     # The others: equi-join on the value and its hash. Decided rows get a NULL key
     # and their input partition as hash, which spreads them and, unlike a random
     # number, is the same when a lost task runs again.
-    decided = quoted(is_hot).isNotNull() | value.isNull()
+    decided = quoted(hot_found).isNotNull() | value.isNull()
     spread = marked.select(
         *columns,
-        quoted(is_hot_found),
+        quoted(hot_found),
         F.when(~decided, value).alias(rest),
         F.when(decided, F.spark_partition_id()).otherwise(F.hash(value)).alias(bucket),
     )
-    parents = keys.select(F.col("key").alias(key), F.hash("key").alias(key_hash)).distinct()
     # Measured as too large to broadcast, whatever the statistics say.
-    parents = parents.withColumn(found, yes).hint("merge")
+    known = values.where("found").select(F.col("key").alias(key), F.hash("key").alias(key_hash), F.col("found").alias(found))
     matches = (quoted(rest) == quoted(key)) & (quoted(bucket) == quoted(key_hash))
-    return spread.join(parents, matches, "left").select(
-        *columns, F.coalesce(quoted(is_hot_found), quoted(found), F.lit(False)).alias(flag)
+    return spread.join(known.hint("merge"), matches, "left").select(
+        *columns, F.coalesce(quoted(hot_found), quoted(found), F.lit(False)).alias(flag)
     )

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from sieveline import clean, metrics, parse_rules, with_foreign_key
 from sieveline.operators import integrity
 
+# The parent fixture needs 327 bytes, the values a feed lacks or has may need less.
 ROUTES = [
     pytest.param(dict(), id="broadcast"),
+    pytest.param(dict(broadcast_bytes=300), id="listed"),
     pytest.param(dict(broadcast_bytes=0), id="shuffle"),
     pytest.param(dict(broadcast_bytes=0, hot_rows=3), id="hot"),
     pytest.param(dict(broadcast_bytes=0, hot_rows=0), id="all-hot"),
@@ -62,18 +64,31 @@ def test_existing_flag_name(texts, parent):
         with_foreign_key(texts(["k"], []), "k", parent, "id.x", "k")
 
 
-def test_parent_size_is_an_upper_bound(spark, parent):
+def test_sizes_are_upper_bounds(parent):
     keys = integrity.parent_keys(parent, "id.x")
-    assert integrity.keys_bytes(keys) == 7 + 5 * integrity.ROW_OVERHEAD
-    assert integrity.keys_bytes(keys.where("false")) == 0
+    assert integrity.broadcast_size(keys, F.lit(True)) == [7 + 5 * integrity.ROW_OVERHEAD]
+    assert integrity.broadcast_size(keys, F.col("key") == "30", F.col("key") == "4") == [2 * (2 + integrity.ROW_OVERHEAD), 0]
+    assert integrity.broadcast_size(keys.where("false"), F.lit(True)) == [0]
+
+
+@pytest.mark.parametrize("shared", [True, False])
+def test_judged_values(texts, parent, monkeypatch, shared):
+    if not (shared and parent.sparkSession.conf.get("spark.checkpoint.dir", None)):
+        monkeypatch.setattr(integrity, "has_shared_folder", lambda df: False)
+    df = texts(["k"], [("1",)] * 5 + [("9",)] * 2 + [(None,)] * 3 + [("30",)])
+    judged = integrity.judged_values(df, "k", integrity.parent_keys(parent, "id.x"))
+    assert {tuple(r) for r in judged.collect()} == {("1", 5, True), ("9", 2, False), ("30", 1, True)}
+    out = with_foreign_key(df, "k", parent, "id.x", "ok", broadcast_bytes=0, hot_rows=2)
+    assert out.where("ok").count() == 6 and out.count() == 11
 
 
 def test_hot_values_are_bounded(spark, monkeypatch):
-    df = spark.range(100).select(F.when(F.col("id") < 40, "a").when(F.col("id") < 70, "b").otherwise("c" * 300).alias("k"))
-    assert [r.key for r in integrity.hot_values(df, "k", 20).collect()] == ["a", "b"]  # the third is too long
-    assert [r.key for r in integrity.hot_values(df, "k", 30).collect()] == ["a"]
+    rows = [("a", 40, True), ("b", 30, False), ("c" * 300, 30, True), ("d", 1, True)]
+    values = spark.createDataFrame(rows, "key string, rows long, found boolean")
+    assert [tuple(r) for r in integrity.hot_values(values, 20).collect()] == [("a", True), ("b", False)]  # the third is long
+    assert [r.key for r in integrity.hot_values(values, 30).collect()] == ["a"]
     monkeypatch.setattr(integrity, "HOT_KEYS", 1)
-    assert [r.key for r in integrity.hot_values(df, "k", 0).collect()] == ["a"]
+    assert [r.key for r in integrity.hot_values(values, 0).collect()] == ["a"]
 
 
 def test_values_beyond_the_hot_bound_take_the_shuffle(texts, parent, monkeypatch):
@@ -86,7 +101,8 @@ def test_values_beyond_the_hot_bound_take_the_shuffle(texts, parent, monkeypatch
 def test_hot_and_null_rows_are_spread(spark):
     """A third of the rows with one value, a third NULL: no join task gets them all."""
     rows = spark.range(0, 90_000, numPartitions=30)
-    df = rows.select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
+    text = F.col("id").cast("string")
+    df = rows.select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, text).alias("k"))
     parent = spark.createDataFrame([("hot",)], "k string")
     settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
     for key, value in settings.items():
