@@ -118,7 +118,9 @@ def metrics_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def target_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = clean(dirty_orders(spark, sf_dir), RULES, RUN, INGESTED_AT, period_name="IDRUN").good
-    layout = parse_rules({"COD_ORD": {"type": "string", "skip_validation": True}, "amount": {"type": "positive_number"}})
+    layout = parse_rules(
+        {"COD_ORD": {"type": "string", "skip_validation": True}, "amount": {"type": "positive_number"}}
+    )
     return to_target(good, layout, {"IDRUN": "ID_PER", "order_id": "COD_ORD"})
 
 
@@ -181,8 +183,9 @@ def multi_rule_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rule_signed_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The number test and the value test apart."""
+    amount = F.col("amount")
     return dirty_orders(spark, sf_dir).select(
-        "order_id", p.number(F.col("amount")).alias("is_number"), p.non_negative(F.col("amount")).alias("is_non_negative")
+        "order_id", p.number(amount).alias("is_number"), p.non_negative(amount).alias("is_non_negative")
     )
 
 

@@ -145,7 +145,9 @@ def _shuffled_lookup(df: DataFrame, column: str, values: DataFrame, flag: str, h
         F.when(decided, F.spark_partition_id()).otherwise(F.hash(value)).alias(bucket),
     )
     # Measured as too large to broadcast, whatever the statistics say.
-    known = values.where("found").select(F.col("key").alias(key), F.hash("key").alias(key_hash), F.col("found").alias(found))
+    known = values.where("found").select(
+        F.col("key").alias(key), F.hash("key").alias(key_hash), F.col("found").alias(found)
+    )
     matches = (quoted(rest) == quoted(key)) & (quoted(bucket) == quoted(key_hash))
     return spread.join(known.hint("merge"), matches, "left").select(
         *columns, F.coalesce(quoted(hot_found), quoted(found), F.lit(False)).alias(flag)

@@ -38,7 +38,13 @@ def append_jdbc(
 
 
 def count_period(
-    spark: SparkSession, url: str, table: str, period: int, *, period_name: str = PERIOD, options: Mapping[str, str] | None = None
+    spark: SparkSession,
+    url: str,
+    table: str,
+    period: int,
+    *,
+    period_name: str = PERIOD,
+    options: Mapping[str, str] | None = None,
 ) -> int:
     """Rows of one period in the database table; the database counts."""
     query = f"SELECT COUNT(*) AS N FROM {table} WHERE {period_name} = {int(period)}"
@@ -47,7 +53,14 @@ def count_period(
 
 
 def load_period(
-    df: DataFrame, url: str, table: str, period: int, *, period_name: str = PERIOD, options: Mapping[str, str] | None = None, **append
+    df: DataFrame,
+    url: str,
+    table: str,
+    period: int,
+    *,
+    period_name: str = PERIOD,
+    options: Mapping[str, str] | None = None,
+    **append: int,
 ) -> int:
     """Append the rows of one period and check that the table then holds exactly
     those. Returns their number.
@@ -65,5 +78,7 @@ def load_period(
     append_jdbc(df, url, table, options=options, **append)
     loaded = count_period(spark, url, table, period, **where)
     if loaded != expected:
-        raise RuntimeError(f"period {period} of {table} has {loaded} rows instead of {expected}; empty it and load again")
+        raise RuntimeError(
+            f"period {period} of {table} has {loaded} rows instead of {expected}; empty it and load again"
+        )
     return loaded

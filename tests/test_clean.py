@@ -180,7 +180,8 @@ def test_filter_equals(texts):
 
 
 def test_target_layout(texts):
-    good = clean(texts(["UNIT", "ACR", "MORE"], [("1", "XYZ", "m")]), parse_rules({"UNIT": {"type": "positive_number"}}), 7, NOON, period_name="IDRUN").good
+    feed = texts(["UNIT", "ACR", "MORE"], [("1", "XYZ", "m")])
+    good = clean(feed, parse_rules({"UNIT": {"type": "positive_number"}}), 7, NOON, period_name="IDRUN").good
     layout = parse_rules({"DESC": {"type": "string_length", "length": 3}, "UNIT": {"type": "positive_number"}})
     out = to_target(good, layout, {"IDRUN": "ID_PER", "ACR": "DESC"})
     assert out.columns == ["ID_PER", "DESC", "UNIT"]
@@ -221,7 +222,8 @@ def test_good_and_rejects_are_all_rows(texts, rows):
     df = texts(["ROW", *columns], [(str(i), *row) for i, row in enumerate(rows)])
     _, flags = with_flags(df, rules)
     by_column = {c: [] for c in columns}
-    for row in df.select(*[flag.alias(c) for c, flag in flags.items()], *[F.col(c).isNull().alias(f"{c}_null") for c in columns]).collect():
+    nulls = [F.col(c).isNull().alias(f"{c}_null") for c in columns]
+    for row in df.select(*[flag.alias(c) for c, flag in flags.items()], *nulls).collect():
         for c in columns:
             assert row[c] is not None and not (row[c] and row[f"{c}_null"])
             by_column[c].append(row[c])
