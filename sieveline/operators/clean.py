@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import datetime, timezone
 from typing import NamedTuple
 
@@ -27,12 +27,12 @@ def now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def check_reserved(columns: list[str], *reserved: str) -> None:
-    """Column names Spark could confuse with the ones a run adds."""
+def check_reserved(columns: Iterable[str], *reserved: str) -> None:
+    """Refuse column names that Spark could confuse with the ones a run adds."""
     taken = {name.lower() for name in reserved}
     clash = [c for c in columns if c.lower() in taken]
     if clash:
-        raise ValueError(f"the feed has reserved column name(s) {clash}")
+        raise ValueError(f"feed or rule set have reserved column name(s) {clash}")
 
 
 def clean(
@@ -54,12 +54,12 @@ def clean(
     ``file_period()``. ``ingested_at`` is fixed once per call, so that good rows
     and rejects agree whenever they are computed.
 
-    Lazy; only foreign keys start a job, to measure their parent. With
+    Lazy; only foreign keys start jobs, to measure their keys. With
     ``observation`` the counts of ``metrics`` are taken while the *good* rows are
     written, which saves a pass. They are exact if no shuffle comes after this
     call in the job.
     """
-    check_reserved(df.columns, period_name, ingested_name)
+    check_reserved([*df.columns, *rules], period_name, ingested_name)
     columns = df.columns
     period = period if isinstance(period, Column) else F.lit(period)
     tagged = df.select(period.cast("int").alias(period_name), *map(quoted, columns))

@@ -48,6 +48,8 @@ def metrics(
     """
     keys: list[str] = []
     if period is not None:
+        if period_name in rules:
+            raise ValueError(f"column {period_name!r} holds the period and cannot have a rule")
         period = period if isinstance(period, Column) else F.lit(period)
         df = df.select(period.cast("int").alias(period_name), *[quoted(c) for c in df.columns if c != period_name])
         keys = [period_name]

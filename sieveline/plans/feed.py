@@ -43,13 +43,13 @@ def process_feed(
     pattern fail the scan.
     """
     rules = feed_rules(config, feed)
+    check_reserved(rules, PERIOD, INGESTED)
     listed = [paths] if isinstance(paths, str) else list(paths)
     if period is None:
         for path in listed:
             if path.endswith(".csv") and not any(ch in path for ch in "*?[{"):
                 period_of(path, check_month)
     scan = read_feed(spark, listed, columns, check_header)
-    check_reserved(scan.columns, PERIOD, INGESTED)
     ingested_at = ingested_at or now()
     source = file_period(check_month) if period is None else period
     good, rejects = clean(scan, rules, source, ingested_at, parents=parents, observation=observation)

@@ -143,6 +143,15 @@ def test_several_rules_on_one_column(texts):
 def test_reserved_names(texts, name):
     with pytest.raises(ValueError, match="reserved"):
         clean(texts(["A", name], []), {}, 1, NOON)
+    with pytest.raises(ValueError, match="reserved"):
+        clean(texts(["A"], []), parse_rules({name: {"type": "email"}}), 1, NOON)
+
+
+def test_the_period_cannot_have_a_rule(texts):
+    rules = parse_rules({"ID_PER": {"type": "positive_number"}})
+    with pytest.raises(ValueError, match="cannot have a rule"):
+        metrics(texts(["ID_PER"], []), rules, 202501)
+    assert metrics(texts(["ID_PER"], [("1",)]), rules).count() == 4
 
 
 def test_names_a_helper_column_could_have(texts):
