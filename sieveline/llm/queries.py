@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import bpe
+from sieveline.llm import bpe, divergence, html_text, language_id, ngram_join, token_store, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,8 +22,38 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predict(table(spark, sf_dir, "documents"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(spark, table(spark, sf_dir, "pages"))
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(table(spark, sf_dir, "documents"))
+
+
+def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(table(spark, sf_dir, "documents"))
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.store(spark, table(spark, sf_dir, "documents"), VOCABULARY, end_id=2)
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op3_language_id": op3_language_id,
+    "op4_warc": op4_warc,
+    "op5_ngram_join": op5_ngram_join,
+    "op6_html": op6_html,
+    "op8_divergence": op8_divergence,
+    "op10_token_store": op10_token_store,
 }
 
 ORACLES: dict[str, str] = {}
