@@ -42,8 +42,8 @@ class Limits:
     language_share: float = 0.001
     min_words: int = 40
     min_chars: int = 200
-    word_distance: float = 0.5
-    class_distance: float = 0.22
+    word_distance: float = 0.4
+    class_distance: float = 0.25
 
 
 def _once(value: Column, use) -> Column:

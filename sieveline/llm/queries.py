@@ -7,10 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import bpe, divergence, html_text, language_id, ngram_join, token_store, warc
+from sieveline.llm import bpe, divergence, html_text, language_id, ngram_join, pseudonyms, token_store, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The key of a run is the caller's secret; this one is for the query alone.
+KEY = "acceptance"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -42,6 +44,10 @@ def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.replace(table(spark, sf_dir, "documents"), KEY)
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(spark, table(spark, sf_dir, "documents"), VOCABULARY, end_id=2)
 
@@ -53,6 +59,7 @@ QUERIES: dict[str, Query] = {
     "op5_ngram_join": op5_ngram_join,
     "op6_html": op6_html,
     "op8_divergence": op8_divergence,
+    "op9_pseudonyms": op9_pseudonyms,
     "op10_token_store": op10_token_store,
 }
 
