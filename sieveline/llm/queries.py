@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import bpe, divergence, html_text, language_id, ngram_join, pseudonyms, token_store, warc
+from sieveline.llm import bpe, decontaminate, divergence, html_text, language_id, line_dedup, ngram_join, pseudonyms, token_store, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicate(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,10 @@ def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(table(spark, sf_dir, "documents"))
 
@@ -54,10 +62,12 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_line_dedup": op2_line_dedup,
     "op3_language_id": op3_language_id,
     "op4_warc": op4_warc,
     "op5_ngram_join": op5_ngram_join,
     "op6_html": op6_html,
+    "op7_decontaminate": op7_decontaminate,
     "op8_divergence": op8_divergence,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_token_store": op10_token_store,
