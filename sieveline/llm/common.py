@@ -7,8 +7,8 @@ import os
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+import xxhash
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from sieveline.functions.predicates import quoted
@@ -29,26 +29,21 @@ def ship(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
-def only(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns, whatever else the frame has."""
-    return df.select(*[quoted(c) for c in columns])
-
-
 def keyed_texts(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Id and text as ``doc_id`` and ``text``; every other column is left behind, so
     that no name can clash."""
     return docs.select(quoted(id_column).alias("doc_id"), quoted(text_column).cast("string").alias("text"))
 
 
+def text_hash(raw: bytes) -> int:
+    """The value of Spark's ``xxhash64`` of a text."""
+    value = xxhash.xxh64_intdigest(raw, seed=42)
+    return value - (1 << 64) if value >> 63 else value
+
+
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: StructType | str
 ) -> DataFrame:
     """``mapInArrow`` with workers that can import the package."""
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
-
-
-def lower_ascii(text: str = "text") -> Column:
-    """A-Z in lower case, everything else as it is."""
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(quoted(text), upper, upper.lower())

@@ -241,9 +241,10 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
     taken = {"doc_id", "held_out", "lang_pred", "score", "spans", "__text"}
     if clash := [c for c in keep if c in taken]:
         raise ValueError(f"columns {clash} are results and cannot be kept")
-    rows = docs.select(
-        quoted(id_column).alias("doc_id"), held_out(id_column).alias("held_out"), quoted(text_column).cast("string").alias("__text"), *map(quoted, keep)
-    )
+    # The text travels once, under its own name if it is kept.
+    source = text_column if text_column in keep and dict(docs.dtypes)[text_column] == "string" else "__text"
+    texts = [] if source == text_column else [quoted(text_column).cast("string").alias(source)]
+    rows = docs.select(quoted(id_column).alias("doc_id"), held_out(id_column).alias("held_out"), *texts, *map(quoted, keep))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -251,11 +252,11 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
             while at < whole.num_rows:  # a few MB of text at a time
                 size = n = 0
                 while at + n < whole.num_rows and (n == 0 or size < 2_000_000):
-                    size += len(whole.column("__text")[at + n].as_py() or "")
+                    size += len(whole.column(source)[at + n].as_py() or "")
                     n += 1
                 batch = whole.slice(at, n)
                 at += n
-                found = label([t or "" for t in batch.column("__text").to_pylist()], model, switch)
+                found = label([t or "" for t in batch.column(source).to_pylist()], model, switch)
                 spans = pa.array([[{"lang": a, "start": b, "stop": c} for a, b, c in s] for _, _, s in found], SPANS)
                 columns = [batch.column("doc_id"), batch.column("held_out"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), spans]
                 yield pa.RecordBatch.from_arrays([*columns, *[batch.column(c) for c in keep]], ["doc_id", "held_out", "lang_pred", "score", "spans", *keep])

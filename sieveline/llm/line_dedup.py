@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.functions.predicates import quoted
-from sieveline.llm.common import keyed_texts, map_batches
+from sieveline.llm.common import keyed_texts, map_batches, text_hash
 from sieveline.llm.links import checked_broadcast, linked, lookup
 from sieveline.shared import written
 
@@ -89,11 +89,6 @@ def similar(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
     return bool((100 + percent) * np.count_nonzero(both[1:] == both[:-1]) >= least)
 
 
-def text_hash(raw: bytes) -> int:
-    """The value of Spark's ``xxhash64`` of the text."""
-    return xxhash.xxh64_intdigest(raw, seed=42) - (1 << 64 if xxhash.xxh64_intdigest(raw, seed=42) >> 63 else 0)
-
-
 def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``(doc_id, text_hash, place, identity, bands)`` of each line that is long enough;
     the bands are null where the task has given them for an equal line."""

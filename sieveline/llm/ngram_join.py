@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from sieveline.llm.common import keyed_texts, map_batches
+from sieveline.functions.predicates import quoted
+from sieveline.llm.common import keyed_texts, map_batches, text_hash
 from sieveline.llm.links import checked_broadcast, linked, lookup
 from sieveline.shared import written
 
@@ -72,8 +73,8 @@ def _texts(batch: pa.RecordBatch) -> Iterator[bytes | None]:
 
 
 def identify(texts: DataFrame, n: int = WORDS) -> DataFrame:
-    """``(doc_id, n_shingles, identity, grams, counts)``: a row for each text, and rows
-    without identity that list n-grams that are frequent within a task."""
+    """``(doc_id, text_hash, n_shingles, identity, grams, counts)``: a row for each text,
+    and rows without identity that list n-grams that are frequent within a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -90,11 +91,12 @@ def identify(texts: DataFrame, n: int = WORDS) -> DataFrame:
             pending = 0
 
         kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        names = ["doc_id", "n_shingles", "identity", "grams", "counts"]
+        names = ["doc_id", "text_hash", "n_shingles", "identity", "grams", "counts"]
         for batch in batches:
-            sizes, identities = [], []
+            wholes, sizes, identities = [], [], []
             for text in _texts(batch):
                 grams = shingles(text, hashes, n)
+                wholes.append(None if text is None else text_hash(text))
                 sizes.append(len(grams))
                 identities.append(set_id(grams) if len(grams) else b"")
                 seen.append(grams)
@@ -103,17 +105,17 @@ def identify(texts: DataFrame, n: int = WORDS) -> DataFrame:
                 if pending > 4_000_000:
                     condense()
             rest = [pa.nulls(len(sizes), k) for k in kinds[2:]]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, kinds[0]), pa.array(identities, kinds[1]), *rest], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(wholes, kinds[0]), pa.array(sizes, kinds[0]), pa.array(identities, kinds[1]), *rest], names)
         if seen:
             condense()
         for grams, counts in heavy:
             if len(grams):
                 lists = [pa.array([x.astype(np.int64).tolist()], kinds[2]) for x in (grams.view(np.int64), counts)]
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, doc_type[0]), pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), *lists], names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(1, doc_type), pa.nulls(1, kinds[0]), pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), *lists], names)
 
-    doc_type = [to_arrow_type(texts.schema["doc_id"].dataType)]
+    doc_type = to_arrow_type(texts.schema["doc_id"].dataType)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return map_batches(texts, run, f"doc_id {kind}, n_shingles bigint, identity binary, grams array<bigint>, counts array<bigint>")
+    return map_batches(texts, run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, identity binary, grams array<bigint>, counts array<bigint>")
 
 
 def frequent(found: DataFrame, texts: int, grams: int) -> tuple[np.ndarray, np.ndarray]:
@@ -223,8 +225,9 @@ def verified(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``(doc_id, n_shingles, component_id)``, one row for each row: the size of its set
-    and the smallest id among the texts it reaches by links.
+    """``(doc_id, n_shingles, component_id, text_hash)``, one row for each row: the size
+    of its set, the smallest id among the texts it reaches by links, and Spark's
+    ``xxhash64`` of the text.
 
     A text without words has an empty set, is linked with nothing and is its own
     component, by its id. Null ids are never the smallest; a component without any
@@ -233,7 +236,7 @@ def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """
     texts = keyed_texts(docs, id_column, text_column)
     found = written(identify(texts, n), "sets")
-    rows = found.where("identity IS NOT NULL").select("doc_id", "n_shingles", "identity")
+    rows = found.where("identity IS NOT NULL").select("doc_id", "text_hash", "n_shingles", "identity")
     total, grams = rows.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     common = frequent(found, total, grams)
 
@@ -271,4 +274,22 @@ def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     table = written(classes.select("identity", "n").join(named.select("identity", "component_id"), "identity"), "named")
     result = lookup(rows.withColumn("identity", F.when(F.col("n_shingles") > 0, F.col("identity"))), table, "identity", total)
     own = F.when(F.col("identity").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return result.select("doc_id", "n_shingles", own.alias("component_id"))
+    return result.select("doc_id", "n_shingles", own.alias("component_id"), "text_hash")
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest id; of
+    rows with one id and text, one. Documents without an id or without words stay."""
+    found = written(link(docs, id_column, text_column, n, percent), "linked")
+    dropped = found.where("doc_id != component_id").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    dropped = written(dropped, "dropped")
+    same = (quoted(id_column) == F.col("__id")) & (F.xxhash64(quoted(text_column).cast("string")) == F.col("__hash"))
+    kept = docs.join(checked_broadcast(dropped, dropped.count()), same, "left_anti")
+    repeated = found.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("doc_id", "text_hash").count().where("count > 1")
+    if repeated.isEmpty():
+        return kept
+    again = written(repeated.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")), "repeated")
+    count = again.count()
+    once = kept.join(checked_broadcast(again, count), same, "left_anti")
+    several = kept.join(checked_broadcast(again, count), same, "left_semi").dropDuplicates([id_column, text_column])
+    return once.unionByName(several)
