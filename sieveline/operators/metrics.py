@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sieveline.functions.predicates import all_of, quoted
 from sieveline.operators.integrity import free_name
-from sieveline.operators.validate import with_flags
+from sieveline.operators.validate import Flagged, with_flags
 from sieveline.plans.ruleset import RuleSet
 
 
@@ -39,13 +39,17 @@ def metrics(
     period: int | Column | None = None,
     parents: Mapping[str, DataFrame] | None = None,
     period_name: str = "ID_PER",
+    flagged: Flagged | None = None,
 ) -> DataFrame:
     """``(metric, rows_ok)``, or ``(ID_PER, metric, rows_ok)`` with a period.
 
     Metrics are ``raw``, ``good``, ``rejects`` and ``passed:<column>``. One scan,
     one aggregation; only counters leave a task. A frame that already has its
-    period can be given it as a column.
+    period can be given it as a column. With ``flagged``, the result of
+    ``tag_and_flag``, nothing is measured again and the counts are by its period.
     """
+    if flagged is not None:
+        return _counted(flagged, [period_name])
     keys: list[str] = []
     if period is not None:
         if period_name in rules:
@@ -53,10 +57,13 @@ def metrics(
         period = period if isinstance(period, Column) else F.lit(period)
         df = df.select(period.cast("int").alias(period_name), *[quoted(c) for c in df.columns if c != period_name])
         keys = [period_name]
-    flagged, flags = with_flags(df, rules, parents)
-    names = named_flags(flagged, flags)
-    passed = flagged.select(*map(quoted, keys), *[flag.alias(names[c]) for c, flag in flags.items()])
-    aggregates = counters(names)
-    wide = passed.groupBy(*map(quoted, keys)).agg(*aggregates)
+    return _counted(with_flags(df, rules, parents), keys)
+
+
+def _counted(flagged: Flagged, keys: list[str]) -> DataFrame:
+    frame, flags = flagged
+    names = named_flags(frame, flags)
+    passed = frame.select(*map(quoted, keys), *[flag.alias(names[c]) for c, flag in flags.items()])
+    wide = passed.groupBy(*map(quoted, keys)).agg(*counters(names))
     values = [quoted(c) for c in wide.columns if c not in keys]
     return wide.unpivot([quoted(k) for k in keys], values, "metric", "rows_ok")

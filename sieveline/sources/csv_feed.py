@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,19 @@ def period_of(path: str, check_month: bool = False) -> int:
     return int(name[:6])
 
 
+def check_file_names(scan: DataFrame, check_month: bool = False) -> None:
+    """Fail if any file of the scan has a name without a period. Reads no file: Spark
+    has listed them when the scan was made."""
+    wrong = []
+    for path in scan.inputFiles():
+        name = unquote(os.path.basename(path))
+        if not re.match(_pattern(check_month), name):
+            wrong.append(name)
+    if wrong:
+        shown = ", ".join(map(repr, sorted(wrong)[:20]))
+        raise ValueError(f"{len(wrong)} file name(s) do not start with a period YYYYMM and an underscore: {shown}")
+
+
 def file_period(check_month: bool = False) -> Column:
     """Period of the file each row comes from; a wrong name fails the jobs that
     use it. It belongs in the first projection on a file scan."""
