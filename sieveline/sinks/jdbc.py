@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +52,12 @@ def count_period(
     return int(reader.option("url", url).option("query", query).load().first()[0])
 
 
+def check_empty(spark: SparkSession, url: str, table: str, period: int, **where) -> None:
+    """Fail if the database table has rows of the period."""
+    if present := count_period(spark, url, table, period, **where):
+        raise ValueError(f"period {period} already has {present} rows in {table}; empty it first")
+
+
 def load_period(
     df: DataFrame,
     url: str,
@@ -60,20 +66,22 @@ def load_period(
     *,
     period_name: str = PERIOD,
     options: Mapping[str, str] | None = None,
+    empty_period: Callable[[int], None] | None = None,
     **append: int,
 ) -> int:
     """Append the rows of one period and check that the table then holds exactly
     those. Returns their number.
 
-    The period must be empty in the table: emptying it is a statement of the
-    database's own dialect and left to its owner. The check matters because a
-    task whose executor is lost between its commit and its report runs again and
-    inserts its rows twice; that is reported here, and the load can be repeated
-    once the period is emptied.
+    ``empty_period`` is called with the period first; emptying is a statement of the
+    database's own dialect and left to its owner. Then, or without it, the period must
+    be empty. The check matters because a task whose executor is lost between its
+    commit and its report runs again and inserts its rows twice; that is reported here,
+    and the load can be repeated once the period is emptied.
     """
     spark, where = df.sparkSession, dict(period_name=period_name, options=options)
-    if present := count_period(spark, url, table, period, **where):
-        raise ValueError(f"period {period} already has {present} rows in {table}; empty it first")
+    if empty_period is not None:
+        empty_period(period)
+    check_empty(spark, url, table, period, **where)
     expected = df.count()
     append_jdbc(df, url, table, options=options, **append)
     loaded = count_period(spark, url, table, period, **where)

@@ -2,25 +2,74 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from sieveline.functions.predicates import quoted
-from sieveline.operators.clean import PERIOD
+from sieveline.operators.clean import GOOD, PERIOD, REJECTS
+from sieveline.sinks.layout import check_layout, nullable, stored_layout
+
+KIND = "kind"
+
+
+def guarded(df: DataFrame, period: Column, periods: Sequence[int]) -> DataFrame:
+    """``df``; a row of any other period, or of none, fails the job that reads it."""
+    message = F.concat(
+        F.lit("row of a period that is not to be replaced: "), F.coalesce(period.cast("string"), F.lit("NULL"))
+    )
+    return df.where(F.when(period.isin(list(periods)), True).otherwise(F.raise_error(message).cast("boolean")))
+
+
+def write_partitions(df: DataFrame, path: str, *columns: str) -> str:
+    """Replace the partitions that ``df`` has rows of, in one job and commit. Returns
+    what the names of its files begin with.
+
+    Executors write in parallel to a staging folder and move their own files there
+    (committer version 2); the driver's commit renames one folder per partition.
+    """
+    begins = f"part-{uuid.uuid4().hex}"
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+        .option("mapreduce.output.basename", begins)
+        .partitionBy(*columns)
+        .parquet(path)
+    )
+    return begins
+
+
+def rows_by_partition(spark: SparkSession, path: str, begins: str, wanted: Column, **columns) -> dict[tuple, int]:
+    """Rows of the files a write has made, by partition, after its commit: one job over
+    the partitions concerned that reads file footers and no data."""
+    schema = StructType([StructField(name, kind) for name, kind in columns.items()])
+    mine = spark.read.schema(schema).parquet(path).where(wanted & F.col("_metadata.file_name").startswith(begins))
+    counted = mine.groupBy(*map(quoted, columns)).count().collect()
+    return {tuple(r)[:-1]: r["count"] for r in counted}
 
 
 def replace_periods(
-    df: DataFrame, path: str, periods: Sequence[int], period_name: str = PERIOD, rebalance: bool = False
+    df: DataFrame,
+    path: str,
+    periods: Sequence[int],
+    period_name: str = PERIOD,
+    rebalance: bool = False,
+    additive: bool = False,
 ) -> dict[int, int]:
     """Replace the given periods of the Parquet table at ``path``; other periods
     are untouched. Returns the rows written for each period.
 
-    Executors write in parallel to a staging folder, and the commit swaps only the
-    partitions that got rows: a failed job leaves the old rows, and running it
-    again gives the same table. A given period without rows is emptied. A row of
-    any other period, or of none, fails the job before anything is replaced.
+    The table has one layout, its first one: other columns or types are refused before
+    anything is written. With ``additive`` new columns are added to it (older periods
+    have NULL there) and missing ones are NULL; types still have to agree.
+
+    A failed job leaves the old rows, and running it again gives the same table. A given
+    period without rows is emptied. A row of any other period, or of none, fails the
+    job before anything is replaced.
 
     ``rebalance`` adds a shuffle that writes few, evenly sized files per period
     (large periods are split), for input whose periods lie scattered over all
@@ -29,38 +78,73 @@ def replace_periods(
     periods = sorted(set(periods))
     if not periods:
         raise ValueError("no periods to replace")
-    period = quoted(period_name)
-    message = F.concat(
-        F.lit("row of a period that is not to be replaced: "), F.coalesce(period.cast("string"), F.lit("NULL"))
-    )
-    guarded = df.where(F.when(period.isin(periods), True).otherwise(F.raise_error(message).cast("boolean")))
+    spark, period = df.sparkSession, quoted(period_name)
+    check_layout(spark, path, df.drop(period_name).schema, period_name, additive)
+    rows = guarded(df, period, periods)
     if rebalance:
-        guarded = guarded.hint("rebalance", period_name)
-
-    written = Observation()
-    counted = guarded.observe(written, *[F.count_if(period == p).alias(str(p)) for p in periods])
-    # Tasks sort their rows by partition before writing, but not by a literal. They
-    # move their own files into the staging folder (committer version 2), so the
-    # driver's commit renames one folder per period instead of every file.
+        rows = rows.hint("rebalance", period_name)
+    # Tasks sort their rows by partition before writing, but not by a literal.
     constant = F.lit(periods[0]) if len(periods) == 1 else period
-    (
-        counted.withColumn(period_name, constant.cast("int"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-        .partitionBy(period_name)
-        .parquet(path)
-    )
-    rows = {p: written.get[str(p)] for p in periods}
+    begins = write_partitions(rows.withColumn(period_name, constant.cast("int")), path, period_name)
+    found = rows_by_partition(spark, path, begins, period.isin(periods), **{period_name: IntegerType()})
+    counts = {p: found.get((p,), 0) for p in periods}
     nothing = df.drop(period_name).where(F.lit(False))
     for p in periods:
-        if rows[p] == 0:
+        if counts[p] == 0:
             nothing.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{period_name}={p}")
-    return rows
+    return counts
+
+
+def replace_both(
+    both: DataFrame,
+    path: str,
+    periods: Sequence[int],
+    period_name: str = PERIOD,
+    rebalance: bool = False,
+    additive: bool = False,
+) -> dict[int, dict[str, int]]:
+    """Replace good rows and rejects of the given periods of the table at ``path`` in one
+    pass over the feed and one commit; returns the rows of each period and kind.
+
+    ``both`` is that of ``clean``: the period and one of the structs ``good`` and
+    ``rejects``. A kind and period is a partition. Each gets a row with neither, which
+    readers leave out: so one without rows is replaced by the same commit, and a
+    failure leaves both kinds as they were. Layout, guard and ``rebalance`` are those of
+    ``replace_periods``.
+    """
+    periods = sorted(set(periods))
+    if not periods:
+        raise ValueError("no periods to replace")
+    spark, period = both.sparkSession, quoted(period_name)
+    check_layout(spark, path, both.select(GOOD, REJECTS).schema, period_name, additive)
+    kind = F.when(F.col(GOOD).isNotNull(), GOOD).otherwise(REJECTS)
+    rows = guarded(both, period, periods).select(period.cast("int").alias(period_name), kind.alias(KIND), GOOD, REJECTS)
+    listed = F.array(*[F.lit(p) for p in periods])
+    named = F.array(F.lit(GOOD), F.lit(REJECTS))
+    empty = spark.range(1).select(F.explode(listed).alias(period_name)).select(period_name, F.explode(named).alias(KIND))
+    kinds = dict(both.dtypes)
+    marks = empty.select(period_name, KIND, *[F.lit(None).cast(kinds[c]).alias(c) for c in (GOOD, REJECTS)])
+    rows = rows.unionAll(marks.coalesce(1))
+    if rebalance:
+        rows = rows.hint("rebalance", KIND, period_name)
+    begins = write_partitions(rows, path, KIND, period_name)
+    columns = {KIND: StringType(), period_name: IntegerType()}
+    found = rows_by_partition(spark, path, begins, period.isin(periods), **columns)
+    return {p: {k: found[k, p] - 1 for k in (GOOD, REJECTS)} for p in periods}
 
 
-def read_table(spark: SparkSession, path: str, period_name: str = PERIOD) -> DataFrame:
-    """The whole table, period first. Filters on the period prune partitions."""
-    df = spark.read.parquet(path)
-    others = [quoted(c) for c in df.columns if c != period_name]
-    return df.select(quoted(period_name).cast("int").alias(period_name), *others)
+def read_table(spark: SparkSession, path: str, period_name: str = PERIOD, kind: str = GOOD) -> DataFrame:
+    """The whole table in its layout, period first; columns a period lacks are NULL.
+    Filters on the period prune partitions. ``kind`` tells which rows of a table that
+    holds both are meant."""
+    layout = stored_layout(spark, path, period_name)
+    if layout is None:
+        raise ValueError(f"no table at {path}")
+    both = layout.names == [GOOD, REJECTS] and all(isinstance(f.dataType, StructType) for f in layout.fields)
+    parts = [StructField(KIND, StringType())] if both else []
+    schema = StructType([*nullable(layout).fields, *parts, StructField(period_name, IntegerType())])
+    df = spark.read.schema(schema).parquet(path)
+    if not both:
+        return df.select(quoted(period_name), *map(quoted, layout.names))
+    rows = df.where((F.col(KIND) == kind) & F.col(kind).isNotNull())
+    return rows.select(quoted(period_name), *[F.col(kind)[c].alias(c) for c in layout[kind].dataType.names])
