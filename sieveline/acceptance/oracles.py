@@ -27,6 +27,7 @@ feed AS (
 )"""
 
 
+# Fixed values in the rules below: the text each rule accepts.
 def non_negative_number(c: str) -> str:
     return f"coalesce(regexp_matches({c}, '^[0-9]+(\\.[0-9]+)?\\z') AND try_cast({c} AS DOUBLE) >= 0, false)"
 
@@ -156,4 +157,20 @@ ORACLES: dict[str, str] = {
                CASE WHEN l_linenumber <> 7 THEN CAST(l_suppkey AS VARCHAR) END AS supplier,
                l_linenumber <> 7 AND l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 12) AS valid
         FROM lineitem""",
+    "partition_many": """
+        SELECT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS ID_PER, o_orderkey, o_custkey FROM orders""",
+    "partition_layouts": f"""WITH {FEED}
+        SELECT delivery AS ID_PER, {TEXT.removesuffix(", priority")},
+               CASE WHEN delivery = 202502 THEN priority END AS priority
+        FROM feed""",
+    "foreign_key_long_hot": """
+        SELECT l_orderkey, l_linenumber,
+               l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 12) AS valid
+        FROM lineitem""",
+    "foreign_key_several": """
+        SELECT l_orderkey, l_linenumber,
+               l_partkey IN (SELECT p_partkey FROM part WHERE p_partkey % 3 <> 0) AS part_ok,
+               l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey < 12) AS supplier_ok,
+               l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F') AS order_ok
+        FROM lineitem""",
 }

@@ -18,17 +18,17 @@ from sieveline.acceptance.feeds import (
     table,
     write_deliveries,
 )
-from sieveline.acceptance.scratch import scratch_dir
 from sieveline.functions import predicates as p
 from sieveline.operators.clean import clean
 from sieveline.operators.combine import filter_equals, union_feeds
-from sieveline.operators.integrity import with_foreign_key
+from sieveline.operators.integrity import ForeignKey, with_foreign_key, with_foreign_keys
 from sieveline.operators.metrics import metrics
 from sieveline.operators.target import to_target
 from sieveline.operators.validate import row_validity, with_flags
 from sieveline.plans.feed import process_feed
 from sieveline.plans.ruleset import feed_rules, parse_rules
-from sieveline.sinks.partitions import read_table
+from sieveline.shared import new_folder
+from sieveline.sinks.partitions import read_table, replace_periods
 from sieveline.sinks.publish import publish
 from sieveline.sources.csv_feed import file_period, read_feed
 
@@ -40,13 +40,13 @@ RULES = feed_rules(ORDERS_CONFIG, "orders")
 
 
 def csv_scan_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_dir(spark, "csv_scan")
+    folder = new_folder(spark, "csv_scan")
     dirty_orders(spark, sf_dir).write.option("header", True).csv(folder)
     return read_feed(spark, folder, ORDER_COLUMNS)
 
 
 def period_from_filename(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = write_deliveries(spark, sf_dir, scratch_dir(spark, "deliveries"))
+    files = write_deliveries(spark, sf_dir, new_folder(spark, "deliveries"))
     feed = read_feed(spark, files, ORDER_COLUMNS)
     return feed.select(file_period(check_month=True).alias("ID_PER")).groupBy("ID_PER").agg(F.count("*").alias("rows"))
 
@@ -98,12 +98,12 @@ def skipped_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole feed run on CSV files of two periods."""
-    files = write_deliveries(spark, sf_dir, scratch_dir(spark, "deliveries"))
+    files = write_deliveries(spark, sf_dir, new_folder(spark, "deliveries"))
     return process_feed(spark, ORDERS_CONFIG, "orders", files, ingested_at=INGESTED_AT, columns=ORDER_COLUMNS).good
 
 
 def feed_rejects_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = write_deliveries(spark, sf_dir, scratch_dir(spark, "deliveries"))
+    files = write_deliveries(spark, sf_dir, new_folder(spark, "deliveries"))
     return process_feed(spark, ORDERS_CONFIG, "orders", files, ingested_at=INGESTED_AT, columns=ORDER_COLUMNS).rejects
 
 
@@ -131,18 +131,18 @@ def filter_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
 TARGET = parse_rules({"order_id": {"type": "string", "skip_validation": True}, **ORDERS_CONFIG["orders"]["columns"]})
 
 
-def _publish_both(spark: SparkSession, sf_dir: str, path: str, rejects_path: str | None = None) -> DataFrame:
+def _publish_both(spark: SparkSession, sf_dir: str, path: str, rejects: bool = False) -> DataFrame:
     """First publication of both periods; returns the feed."""
     feed = dirty_orders_by_period(spark, sf_dir)
-    good, rejects = clean(feed, RULES, F.col("delivery"), INGESTED_AT)
-    publish(good, TARGET, path, PERIODS, rejects=rejects if rejects_path else None, rejects_path=rejects_path)
+    cleaned = clean(feed, RULES, F.col("delivery"), INGESTED_AT)
+    publish(cleaned if rejects else cleaned.good, TARGET, path, PERIODS)
     return feed
 
 
 def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both periods are published, then the second again with corrected
     priorities; the whole table."""
-    path = scratch_dir(spark, "replace")
+    path = new_folder(spark, "replace")
     feed = _publish_both(spark, sf_dir, path)
     second = feed.where(F.col("delivery") == PERIODS[1])
     corrected = second.withColumn("priority", F.regexp_replace("priority", "^[0-9]-", ""))
@@ -153,7 +153,7 @@ def partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def partition_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second period is published again from a delivery without any good
     row, which empties it; the whole table."""
-    path = scratch_dir(spark, "empty")
+    path = new_folder(spark, "empty")
     feed = _publish_both(spark, sf_dir, path)
     broken = feed.where(F.col("delivery") == PERIODS[1]).withColumn("email", F.lit("none"))
     publish(clean(broken, RULES, PERIODS[1], INGESTED_AT).good, TARGET, path, [PERIODS[1]])
@@ -161,9 +161,30 @@ def partition_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejects_published(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "rejects")
-    _publish_both(spark, sf_dir, f"{path}/good", f"{path}/rejects")
-    return read_table(spark, f"{path}/rejects").drop("delivery", "DINS")
+    """Good rows and rejects are published in one pass; the rejects."""
+    path = new_folder(spark, "rejects")
+    _publish_both(spark, sf_dir, path, rejects=True)
+    return read_table(spark, path, kind="rejects").drop("delivery", "DINS")
+
+
+def partition_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders published by the month of their date, all months at once."""
+    path = new_folder(spark, "months")
+    month = F.date_format("o_orderdate", "yyyyMM").cast("int")
+    orders = table(spark, sf_dir, "orders").select(month.alias("ID_PER"), "o_orderkey", "o_custkey")
+    months = [r.ID_PER for r in orders.select("ID_PER").distinct().collect()]
+    replace_periods(orders, path, months)
+    return read_table(spark, path)
+
+
+def partition_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second period has one more column than the first; the whole table."""
+    path = new_folder(spark, "layouts")
+    feed = dirty_orders_by_period(spark, sf_dir).withColumnRenamed("delivery", "ID_PER")
+    first, second = (feed.where(F.col("ID_PER") == p) for p in PERIODS)
+    replace_periods(first.drop("priority"), path, [PERIODS[0]])
+    replace_periods(second, path, [PERIODS[1]], additive=True)
+    return read_table(spark, path)
 
 
 def union_of_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,6 +253,29 @@ def foreign_key_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_foreign_key(lines, "supplier", suppliers, "s_suppkey", "valid", broadcast_bytes=0, hot_rows=500)
 
 
+def foreign_key_long_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line item suppliers as texts of 300 bytes, against some suppliers, on the
+    shuffled way; many of them are hot."""
+    code = "lpad(CAST({} AS STRING), 300, '0')"
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"{code.format('l_suppkey')} AS supplier")
+    suppliers = table(spark, sf_dir, "supplier").where(F.col("s_nationkey") < 12)
+    parent = suppliers.selectExpr(f"{code.format('s_suppkey')} AS code")
+    flagged = with_foreign_key(lines, "supplier", parent, "code", "valid", broadcast_bytes=0, hot_rows=500)
+    return flagged.drop("supplier")
+
+
+def foreign_key_several(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part, supplier and order of the line items, measured together."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    keys = [
+        ForeignKey("l_partkey", table(spark, sf_dir, "part").where(F.col("p_partkey") % 3 != 0), "p_partkey", "part_ok"),
+        ForeignKey("l_suppkey", table(spark, sf_dir, "supplier").where(F.col("s_nationkey") < 12), "s_suppkey", "supplier_ok"),
+        ForeignKey("l_orderkey", table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "F"), "o_orderkey", "order_ok"),
+    ]
+    flagged = with_foreign_keys(lines, keys, broadcast_bytes=20_000, hot_rows=500)
+    return flagged.select("l_orderkey", "l_linenumber", "part_ok", "supplier_ok", "order_ok")
+
+
 QUERIES: dict[str, Query] = {
     "csv_scan_strings": csv_scan_strings,
     "period_from_filename": period_from_filename,
@@ -254,6 +298,8 @@ QUERIES: dict[str, Query] = {
     "filter_equals": filter_priority,
     "partition_replace": partition_replace,
     "partition_empty": partition_empty,
+    "partition_many": partition_many,
+    "partition_layouts": partition_layouts,
     "rejects_published": rejects_published,
     "union_feeds": union_of_feeds,
     "multi_rule_column": multi_rule_column,
@@ -261,4 +307,6 @@ QUERIES: dict[str, Query] = {
     "foreign_key_clean": foreign_key_clean,
     "foreign_key_few_missing": foreign_key_few_missing,
     "foreign_key_shuffled": foreign_key_shuffled,
+    "foreign_key_long_hot": foreign_key_long_hot,
+    "foreign_key_several": foreign_key_several,
 }

@@ -241,7 +241,7 @@ def test_good_and_rejects_are_all_rows(texts, rows):
     branches = []
     for c in columns:
         result = clean(df, {c: rules[c]}, 1, NOON)
-        for name, branch in result._asdict().items():
+        for name, branch in {"good": result.good, "rejects": result.rejects}.items():
             text = [F.col(x).cast("string").alias(x) for x in ["ROW", *columns]]
             branches.append(branch.select(F.lit(c).alias("rule"), F.lit(name).alias("branch"), *text))
     out = branches[0]

@@ -66,36 +66,95 @@ def test_existing_flag_name(texts, parent):
 
 def test_sizes_are_upper_bounds(parent):
     keys = integrity.parent_keys(parent, "id.x")
-    assert integrity.broadcast_size(keys, F.lit(True)) == [7 + 5 * integrity.ROW_OVERHEAD]
-    assert integrity.broadcast_size(keys, F.col("key") == "30", F.col("key") == "4") == [2 * (2 + integrity.ROW_OVERHEAD), 0]
-    assert integrity.broadcast_size(keys.where("false"), F.lit(True)) == [0]
+    sizes = integrity._sizes({3: keys, 5: keys.where("key = '30'"), 6: keys.where("false")})
+    assert sizes == {3: 7 + 5 * integrity.ROW_OVERHEAD, 5: 2 * (2 + integrity.ROW_OVERHEAD), 6: 0}
+
+
+def test_repeated_parent_keys_count_once(texts, spark):
+    """A parent of many rows and few keys is small."""
+    parent = spark.range(10_000).selectExpr("id % 3 AS id")
+    key = integrity.ForeignKey("k", parent, "id", "ok")
+    (lookup,) = integrity.measure(texts(["k"], [("1",)]), [key], 3 * (1 + integrity.ROW_OVERHEAD), 10)
+    assert lookup.listed is not None and lookup.listed_means and lookup.listed.count() == 3
+
+
+def test_one_bound_for_all_lists(texts, spark):
+    """Three parents that each fit the bound, of which it holds one."""
+    parent = spark.range(100)
+    keys = [integrity.ForeignKey(c, parent, "id", f"ok_{c}") for c in "abc"]
+    df = texts(["a", "b", "c"], [("1", "200", "x")] * 5)
+    bound = 150 * (2 + integrity.ROW_OVERHEAD)
+    lookups = integrity.measure(df, keys, bound, 10)
+    assert sum(x.listed.agg(F.sum(integrity.broadcast_cost())).first()[0] or 0 for x in lookups if x.listed is not None) <= bound
+    out = integrity.with_foreign_keys(df, keys, broadcast_bytes=bound)
+    assert {tuple(r) for r in out.collect()} == {("1", "200", "x", True, False, False)}
 
 
 @pytest.mark.parametrize("shared", [True, False])
 def test_judged_values(texts, parent, monkeypatch, shared):
-    if not (shared and parent.sparkSession.conf.get("spark.checkpoint.dir", None)):
+    if not shared:
         monkeypatch.setattr(integrity, "has_shared_folder", lambda df: False)
     df = texts(["k"], [("1",)] * 5 + [("9",)] * 2 + [(None,)] * 3 + [("30",)])
-    judged = integrity.judged_values(df, "k", integrity.parent_keys(parent, "id.x"))
-    assert {tuple(r) for r in judged.collect()} == {("1", 5, True), ("9", 2, False), ("30", 1, True)}
+    judged = integrity.judged_values(df, {4: "k"}, {4: integrity.parent_keys(parent, "id.x")})
+    assert {tuple(r) for r in judged.collect()} == {(4, "1", 5, True), (4, "9", 2, False), (4, "30", 1, True)}
     out = with_foreign_key(df, "k", parent, "id.x", "ok", broadcast_bytes=0, hot_rows=2)
     assert out.where("ok").count() == 6 and out.count() == 11
 
 
-def test_hot_values_are_bounded(spark, monkeypatch):
-    rows = [("a", 40, True), ("b", 30, False), ("c" * 300, 30, True), ("d", 1, True)]
+@pytest.mark.parametrize("shared", [True, False])
+def test_every_key_is_measured_on_the_source(spark, texts, monkeypatch, shared):
+    """Three keys on the shuffled way: one measuring job with one join for all."""
+    if not shared:
+        monkeypatch.setattr(integrity, "has_shared_folder", lambda df: False)
+    plans = []
+    real = integrity.judged_values
+
+    def judged(df, columns, sets):
+        assert df is source
+        out = real(df, columns, sets)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(integrity, "judged_values", judged)
+    source = texts(["a", "b", "c"], [("1", "2", "3"), ("4", "5", None)])
+    keys = [integrity.ForeignKey(c, spark.range(n), "id", f"ok_{c}") for c, n in (("a", 2), ("b", 4), ("c", 9))]
+    out = integrity.with_foreign_keys(source, keys, broadcast_bytes=0, hot_rows=0)
+    assert sorted(tuple(r) for r in out.collect()) == [
+        ("1", "2", "3", True, True, True),
+        ("4", "5", None, False, False, False),
+    ]
+    assert len(plans) == 1 and plans[0].count("Join") == (0 if shared else 1)
+
+
+def test_hot_hashes_have_no_bound_on_length_or_number(spark):
+    rows = [("a", 40, True), ("b", 30, False), ("c" * 3000, 30, True), ("d", 1, True)]
     values = spark.createDataFrame(rows, "key string, rows long, found boolean")
-    assert [tuple(r) for r in integrity.hot_values(values, 20).collect()] == [("a", True), ("b", False)]  # the third is long
-    assert [r.key for r in integrity.hot_values(values, 30).collect()] == ["a"]
-    monkeypatch.setattr(integrity, "HOT_KEYS", 1)
-    assert [r.key for r in integrity.hot_values(values, 0).collect()] == ["a"]
+    assert integrity.hot_hashes(values, 20).count() == 3
+    assert integrity.hot_hashes(values, 30).count() == 1
+
+
+def test_long_hot_value_is_spread(spark):
+    """Half the rows have one value of 300 bytes: no join task gets twice the mean."""
+    rows = spark.range(0, 80_000, numPartitions=16)
+    value = F.when(F.col("id") % 2 == 0, F.lpad(F.lit("7"), 300, "x")).otherwise(F.col("id").cast("string"))
+    df = rows.select("id", value.alias("k"))
+    parent = df.select("k").distinct().where(F.length("k") > 4)
+    for key, setting in SPREAD.items():
+        spark.conf.set(key, setting)
+    try:
+        out = with_foreign_key(df, "k", parent, "k", "ok", broadcast_bytes=0, hot_rows=1000)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        by_task = out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.count_if("ok").alias("ok")).collect()
+    finally:
+        for key in SPREAD:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert "TakeOrderedAndProject" not in plan
+    assert sum(r.n for r in by_task) == 80_000 and sum(r.ok for r in by_task) == 40_000 + 35_000
+    assert max(r.n for r in by_task) <= 2 * 80_000 / 8
 
 
-def test_values_beyond_the_hot_bound_take_the_shuffle(texts, parent, monkeypatch):
-    monkeypatch.setattr(integrity, "HOT_KEYS", 1)
-    df = texts(["k"], [("1",)] * 9 + [("9",)] * 8 + [("2",)] * 7)
-    out = with_foreign_key(df, "k", parent, "id.x", "ok", broadcast_bytes=0, hot_rows=2)
-    assert {tuple(r) for r in out.groupBy("k", "ok").count().collect()} == {("1", True, 9), ("9", False, 8), ("2", True, 7)}
+SPREAD = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
 
 
 def test_hot_and_null_rows_are_spread(spark):

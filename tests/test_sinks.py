@@ -82,6 +82,68 @@ def test_failed_job_keeps_the_old_rows(spark, frame, tmp_path):
     assert [f.name for f in (tmp_path / "t").iterdir() if f.is_dir()] == ["ID_PER=202501"]
 
 
+@pytest.mark.parametrize("periods", [24, 200])
+def test_many_periods_are_counted_once(spark, tmp_path, monkeypatch, periods):
+    """No counter per period in the plan of the write, and one collect for all."""
+    import sieveline.sinks.partitions as module
+
+    plans, reads = [], []
+    real_write, real_count = module.write_partitions, module.rows_by_partition
+
+    def write(df, path, *columns):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return real_write(df, path, *columns)
+
+    def count(*args, **kwargs):
+        reads.append(1)
+        return real_count(*args, **kwargs)
+
+    monkeypatch.setattr(module, "write_partitions", write)
+    monkeypatch.setattr(module, "rows_by_partition", count)
+    months = [200001 + 100 * (i // 12) + i % 12 for i in range(periods)]
+    listed = F.array(*[F.lit(m) for m in months])
+    df = spark.range(0, 5 * periods, numPartitions=4).select(F.get(listed, (F.col("id") % periods).cast("int")).alias("ID_PER"), "id")
+    rows = replace_periods(df, str(tmp_path / "t"), months)
+    assert rows == {m: 5 for m in months} and len(reads) == 1
+    assert "count" not in plans[0] and "CollectMetrics" not in plans[0]
+    assert read_table(spark, str(tmp_path / "t")).count() == 5 * periods
+
+
+def test_another_layout_is_refused_before_writing(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    replace_periods(frame((202501, "a", 1.0)), path, [202501])
+    files = sorted((tmp_path / "t").rglob("*.parquet"))
+    wider = frame((202502, "b", 2.0)).withColumn("MORE", F.lit(1))
+    text = frame((202502, "b", 2.0)).withColumn("N", F.lit("x"))
+    for other in (wider, wider.drop("N", "MORE"), text):
+        with pytest.raises(ValueError, match=r"stored: .*CODE.* new: .*CODE"):
+            replace_periods(other, path, [202502])
+    with pytest.raises(ValueError, match="'N' is string"):
+        replace_periods(text, path, [202502], additive=True)
+    with pytest.raises(ValueError, match="case only"):
+        replace_periods(frame((202502, "b", 2.0)).withColumn("code", F.lit(1)), path, [202502], additive=True)
+    assert sorted((tmp_path / "t").rglob("*.parquet")) == files
+    assert content(spark, path) == [(202501, "a", 1.0)]
+
+
+def test_additive_layout_keeps_every_column(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    replace_periods(frame((202501, "a", 1.0)), path, [202501])
+    replace_periods(frame((202502, "b", 2.0)).drop("N").withColumn("MORE", F.lit("m")), path, [202502], additive=True)
+    assert read_table(spark, path).columns == ["ID_PER", "CODE", "N", "MORE"]
+    rows = sorted(tuple(r) for r in read_table(spark, path).collect())
+    assert rows == [(202501, "a", 1.0, None), (202502, "b", None, "m")]
+
+
+def test_table_without_a_layout_file_has_the_union_of_its_files(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    frame((202501, "a", 1.0)).write.partitionBy("ID_PER").parquet(path)
+    frame((202502, "b", 2.0)).withColumn("MORE", F.lit("m")).write.mode("append").partitionBy("ID_PER").parquet(path)
+    assert sorted(read_table(spark, path).columns) == ["CODE", "ID_PER", "MORE", "N"]
+    replace_periods(frame((202501, "z", 1.0)), path, [202501], additive=True)
+    assert {r.CODE for r in read_table(spark, path).collect()} == {"z", "b"}
+
+
 def test_large_period_is_split_when_rebalanced(spark, tmp_path):
     df = spark.range(0, 200_000, numPartitions=16).select(
         F.when(F.col("id") % 10 < 9, 202501).otherwise(202502).alias("ID_PER"), F.sha2(F.col("id").cast("string"), 256).alias("H")
@@ -96,18 +158,53 @@ def test_large_period_is_split_when_rebalanced(spark, tmp_path):
     assert read_table(spark, str(tmp_path / "t")).count() == 200_000
 
 
-def test_publish_projects_and_stores_rejects(spark, texts, tmp_path):
-    path, rejected = str(tmp_path / "good"), str(tmp_path / "rejects")
-    feed = texts(["MORE", "N", "CODE"], [("m", "01", "a"), ("m", "2", "bb"), ("m", "x", "c")])
-    good, rejects = clean(feed, RULES, 202501)
-    assert publish(good, RULES, path, [202501], rejects=rejects, rejects_path=rejected) == {202501: 1}
+FEED = [("m", "01", "a"), ("m", "2", "bb"), ("m", "x", "c")]
+
+
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_publish_stores_good_rows_and_rejects_in_one_pass(spark, texts, tmp_path, rebalance):
+    path = str(tmp_path / "t")
+    cleaned = clean(texts(["MORE", "N", "CODE"], FEED), RULES, 202501)
+    assert publish(cleaned, RULES, path, [202501], rebalance=rebalance) == {202501: 1}
     assert read_table(spark, path).columns == ["ID_PER", "CODE", "N"]
     assert content(spark, path) == [(202501, "a", 1.0)]
-    stored = read_table(spark, rejected)
+    stored = read_table(spark, path, kind="rejects")
     assert stored.columns == ["ID_PER", "MORE", "N", "CODE", "DINS"]
     assert sorted(tuple(r)[:-1] for r in stored.collect()) == [(202501, "m", "2", "bb"), (202501, "m", "x", "c")]
-    with pytest.raises(ValueError, match="go together"):
-        publish(good, RULES, path, [202501], rejects=rejects)
+
+
+def test_either_kind_is_emptied_by_the_same_commit(spark, texts, tmp_path):
+    path, columns = str(tmp_path / "t"), ["MORE", "N", "CODE"]
+    publish(clean(texts(columns, FEED), RULES, 202501), RULES, path, [202501])
+    publish(clean(texts(columns, FEED), RULES, 202502), RULES, path, [202502])
+    assert publish(clean(texts(columns, FEED[1:]), RULES, 202502), RULES, path, [202502, 202503]) == {202502: 0, 202503: 0}
+    assert content(spark, path) == [(202501, "a", 1.0)]
+    publish(clean(texts(columns, FEED[:1]), RULES, 202501), RULES, path, [202501])
+    assert {r.ID_PER for r in read_table(spark, path, kind="rejects").collect()} == {202502}
+
+
+def test_failure_leaves_both_kinds(spark, texts, tmp_path):
+    path, columns = str(tmp_path / "t"), ["MORE", "N", "CODE"]
+    publish(clean(texts(columns, FEED), RULES, 202501), RULES, path, [202501])
+    before = sorted((tmp_path / "t").rglob("*.parquet"))
+    broken = texts(columns, FEED * 30).repartition(4)
+    broken = broken.withColumn("MORE", F.when(F.col("N") != "x", F.col("MORE")).otherwise(F.raise_error(F.lit("lost"))))
+    with pytest.raises(PySparkException, match="lost"):
+        publish(clean(broken, RULES, 202501), RULES, path, [202501])
+    assert sorted((tmp_path / "t").rglob("*.parquet")) == before
+    assert content(spark, path) == [(202501, "a", 1.0)] and read_table(spark, path, kind="rejects").count() == 2
+
+
+def test_rejects_of_another_layout(spark, texts, tmp_path):
+    path = str(tmp_path / "t")
+    publish(clean(texts(["MORE", "N", "CODE"], FEED), RULES, 202501), RULES, path, [202501])
+    wider = clean(texts(["MORE", "N", "CODE", "NEW"], [(*r, "n") for r in FEED]), RULES, 202502)
+    with pytest.raises(ValueError, match="rejects: layout differs"):
+        publish(wider, RULES, path, [202502])
+    publish(wider, RULES, path, [202502], additive=True)
+    assert {(r.ID_PER, r.NEW) for r in read_table(spark, path, kind="rejects").collect()} == {(202501, None), (202502, "n")}
+    with pytest.raises(ValueError, match="stored"):
+        replace_periods(texts(["CODE"], []).withColumn("ID_PER", F.lit(1)), path, [202501])
 
 
 def test_publish_renames_and_checks_before_writing(spark, texts, tmp_path):
@@ -126,6 +223,7 @@ class FakeDatabase:
     def __init__(self, spark, monkeypatch, lost_report=False):
         self.rows, self.writes, self.reads = [], [], []
         real_save, real_load = DataFrameWriter.save, DataFrameReader.load
+        real_option, real_mode = DataFrameWriter.option, DataFrameWriter.mode
         formats, options = {}, {}
 
         def set_format(target, name):
@@ -134,14 +232,15 @@ class FakeDatabase:
 
         def set_option(target, key, value):
             options.setdefault(id(target), {})[key] = value
-            return target
+            return real_option(target, key, value) if isinstance(target, DataFrameWriter) else target
 
         def set_options(target, **values):
             options.setdefault(id(target), {}).update(values)
             return target
 
         def set_mode(target, mode):
-            return set_option(target, "mode", mode)
+            options.setdefault(id(target), {})["mode"] = mode
+            return real_mode(target, mode)
 
         def save(writer, *args, **kwargs):
             if formats.get(id(writer)) != "jdbc":
@@ -202,7 +301,31 @@ def test_publish_loads_the_database_from_the_table(spark, frame, tmp_path, monke
         return df.count()
 
     monkeypatch.setattr(module, "load_period", load)
+    monkeypatch.setattr(module, "check_empty", lambda spark, url, table, period, **where: None)
     target = JdbcTarget("jdbc:x", "T", {"password": "secret"}, connections=3)
     publish(frame((202501, "a", 1.0), (202502, "b", 1.0)), RULES, str(tmp_path / "t"), [202502, 202501], jdbc=target)
     assert calls == [("jdbc:x", "T", p, 10_000, 3, {"password": "secret"}) for p in (202501, 202502)]
     assert "secret" not in repr(target)
+
+
+def test_refused_load_leaves_the_table_unchanged(spark, frame, tmp_path, monkeypatch):
+    """The second period has rows in the database: nothing is written anywhere."""
+    path = str(tmp_path / "t")
+    publish(frame((202501, "a", 1.0), (202502, "b", 1.0)), RULES, path, [202501, 202502])
+    db = FakeDatabase(spark, monkeypatch)
+    db.rows.append((202502, "old", 1.0))
+    with pytest.raises(ValueError, match="period 202502 already has 1 rows"):
+        publish(frame((202501, "x", 2.0), (202502, "y", 2.0)), RULES, path, [202501, 202502], jdbc=JdbcTarget("jdbc:x", "T"))
+    assert content(spark, path) == [(202501, "a", 1.0), (202502, "b", 1.0)] and db.rows == [(202502, "old", 1.0)]
+
+
+def test_second_publication_empties_the_period(spark, frame, tmp_path, monkeypatch):
+    path, db = str(tmp_path / "t"), FakeDatabase(spark, monkeypatch)
+
+    def empty(period):
+        db.rows = [r for r in db.rows if r[0] != period]
+
+    target = JdbcTarget("jdbc:x", "T", empty_period=empty)
+    for n in (1.0, 2.0):
+        assert publish(frame((202501, "a", n)), RULES, path, [202501], jdbc=target) == {202501: 1}
+        assert db.rows == [(202501, "a", n)]
