@@ -35,6 +35,8 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
 )
 CONTAINERS = set("article main section div nav aside footer header form ul ol dl table body blockquote figure details dialog menu fieldset".split())
+# Containers that say nothing by themselves; only their names have weights.
+GENERIC = set("div section body ul ol dl table blockquote figure details".split())
 NEVER = {"nav", "aside", "footer", "form", "menu", "dialog", "fieldset"}
 NEVER_NAMED = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent notice notices "
@@ -131,7 +133,7 @@ class Weights:
     def word(self, stack: tuple[tuple[int, tuple[str, ...]], ...]) -> float:
         if never_content(stack):
             return -CLIP
-        known = [self.containers[k] for _, keys in stack for k in keys if k in self.containers]
+        known = [self.containers[k] for _, keys in stack for k in keys if k in self.containers and k not in GENERIC]
         return min(known[-2:], default=1.0)
 
     def tag(self, tag: str) -> float:

@@ -24,7 +24,7 @@ ADDRESS = r"(?<![\p{L}\p{N}.])(?:\d{1,3}\.){3}\d{1,3}(?![\p{L}\p{N}]|\.\d)"
 DATE = r"(?<![\p{L}\p{N}./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\p{L}\p{N}]|[./-]\d)"
 PHONE = r"(?<![\p{L}\p{N}])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?![\p{L}\p{N}]|[.-]\d)"
 SOCIAL = r"(?<![\p{L}\p{N}-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)"
-CARD = r"(?<![\p{L}\p{N}.-])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}]|[.-]\d)"
+CARD = r"(?<![\p{L}\p{N}.-])(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{1,4}(?:[ -]\d{1,3})?|\d{4}[ -]\d{6}[ -]\d{5})(?![\p{L}\p{N}]|[.-]\d)"
 SECRET = r"(?<![\p{L}\p{N}])(?=[a-f]*\d)(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![\p{L}\p{N}])"
 ANY = "|".join(f"(?:{p})" for p in (EMAIL, ADDRESS, DATE, PHONE, SOCIAL, SECRET, CARD))
 KINDS = ("email", "address", "date", "phone", "social", "secret", "card")

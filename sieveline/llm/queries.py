@@ -8,6 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sieveline.llm import bpe, decontaminate, divergence, html_text, language_id, line_dedup, ngram_join, pseudonyms, token_store, warc
+from sieveline.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,7 +40,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.link(table(spark, sf_dir, "documents"))
+    return ngram_join.link(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op6_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +52,7 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return divergence.judge(table(spark, sf_dir, "documents"))
+    return divergence.judge(table(spark, sf_dir, "documents")).drop("class_distance", "word_distance")
 
 
 def op9_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,5 +75,3 @@ QUERIES: dict[str, Query] = {
     "op9_pseudonyms": op9_pseudonyms,
     "op10_token_store": op10_token_store,
 }
-
-ORACLES: dict[str, str] = {}

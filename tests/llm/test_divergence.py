@@ -1,0 +1,120 @@
+"""Quality rules against a brute-force version in Python; no Python in the plan."""
+
+import math
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from sieveline.llm import divergence as dv
+from tests.llm.corpus import frame, prose, texts
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def classes(text):
+    import unicodedata
+
+    out = [0] * 6
+    for c in text:
+        k = unicodedata.category(c)
+        if k in ("Ll", "Lo", "Lm") or k[0] == "M":
+            out[0] += 1
+        elif c in " \t\n\x0b\x0c\r":
+            out[1] += 1
+        elif k in ("Lu", "Lt"):
+            out[2] += 1
+        elif c in ".,;:":
+            out[3] += 1
+        elif k[0] == "N":
+            out[4] += 1
+        else:
+            out[5] += 1
+    return out
+
+
+def jsd(p, q):
+    total = 0.0
+    for a, b in zip(p, q):
+        m = (a + b) / 2
+        total += (a * math.log2(a / m) if a > 0 else 0) / 2 + (b * math.log2(b / m) if b > 0 else 0) / 2
+    return math.sqrt(max(0.0, total))
+
+
+def brute(rows, limits=dv.Limits()):
+    by_lang, letters = {}, {}
+    for _, text, lang in rows:
+        by_lang.setdefault(lang or "", Counter()).update(WORD.findall(text or ""))
+        have = letters.setdefault(lang or "", [0] * 6)
+        for k, n in enumerate(classes(text or "")):
+            have[k] += n
+    pooled, pooled_letters = sum(by_lang.values(), Counter()), [sum(x) for x in zip(*letters.values())]
+    everything = sum(pooled.values())
+    out = []
+    for doc_id, text, lang in rows:
+        text = text or ""
+        words = WORD.findall(text)
+        lines = [x for x in text.split("\n") if WORD.search(x)]
+        windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+        often, covered = Counter(windows), set()
+        for i, w in enumerate(windows):
+            if often[w] > 1:
+                covered.update(range(i, i + 5))
+        own = lang and sum(by_lang[lang].values()) >= max(1, everything * limits.language_share)
+        ref, ref_letters = (by_lang[lang], letters[lang]) if own else (pooled, pooled_letters)
+        total = sum(ref.values())
+        common = {w: n / total for w, n in ref.items() if n >= max(1, total * limits.common_share)}
+        far_words = far_classes = None
+        if len(words) >= limits.min_words:
+            have = Counter(w for w in words if w in common)
+            keys = list(common)
+            p = [have[k] / len(words) for k in keys] + [1 - sum(have.values()) / len(words)]
+            far_words = jsd(p, [common[k] for k in keys] + [max(0.0, 1 - sum(common.values()))])
+        if len(text) >= limits.min_chars:
+            mine = classes(text)
+            far_classes = jsd([x / sum(mine) for x in mine], [x / sum(ref_letters) for x in ref_letters])
+        failed = len(words) < 10 or 100 * len(covered) > 20 * len(words)
+        kept = not failed and (far_words or 0) <= limits.word_distance and (far_classes or 0) <= limits.class_distance
+        symbols = sum(c in dv.SYMBOLS for c in text)
+        out.append((doc_id, len(words), sum(map(len, words)), symbols, len(lines) - len(set(lines)), len(covered), failed, kept, far_classes, far_words))
+    return out
+
+
+def corpus():
+    rng = random.Random(11)
+    rows = texts() + [(500 + i, prose(rng, 120), "en") for i in range(30)]
+    rows += [(600, " ".join(f"{w}***" for w in prose(rng, 80).split()), "en"), (601, prose(rng, 80).upper(), "en")]
+    rows += [(602, " | ".join(prose(rng, 80).split()), "en"), (603, "again and again we go there " * 20, "en")]
+    return rows + [(604, prose(rng, 60), "xx"), (605, "a\na\nb c\n\na", "en")]
+
+
+def test_against_brute_force(spark):
+    rows = corpus()
+    got = sorted((tuple(r) for r in dv.judge(frame(spark, rows)).collect()), key=str)
+    want = sorted(brute(rows), key=str)
+    assert len(got) == len(want)
+    for a, b in zip(got, want):
+        assert a[:8] == b[:8], (a, b)
+        for x, y in zip(a[8:], b[8:]):
+            assert (x is None) == (y is None) and (x is None or abs(x - y) < 1e-9), (a, b)
+    kept = {r[0]: r[7] for r in got}
+    assert not any(kept[i] for i in (600, 601, 602, 603)) and sum(kept[500 + i] for i in range(30)) >= 29
+
+
+def test_native_and_without_a_shuffle_of_documents(spark):
+    judged = dv.judge(frame(spark, corpus()))
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "SortMergeJoin" not in plan
+
+
+def test_no_more_common_words_than_the_share_allows(spark):
+    refs = dv.references(frame(spark, corpus()), dv.Limits(common_share=0.02))
+    assert refs.select(F.max(F.size(F.array_remove("slots", "")))).first()[0] <= 50
+
+
+def test_empty_table(spark):
+    docs = frame(spark, corpus())
+    assert dv.judge(docs.where("false")).count() == 0
+    (row,) = dv.judge(frame(spark, [(1, None, None)])).collect()
+    assert tuple(row)[:8] == (1, 0, 0, 0, 0, 0, True, False)

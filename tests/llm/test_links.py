@@ -1,0 +1,71 @@
+"""Connected components and joins without hot groups."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sieveline.llm import links
+
+
+def components(pairs):
+    root = {}
+
+    def find(x):
+        root.setdefault(x, x)
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        x, y = sorted((find(a), find(b)))
+        root[y] = x
+    return {x: find(x) for x in root}
+
+
+GRAPHS = {
+    "chain": [(i, i + 1) for i in range(60)],
+    "star": [(0, i) for i in range(1, 200)],
+    "two stars, one leaf": [(0, i) for i in range(2, 50)] + [(1, i) for i in range(49, 99)],
+    "random": [(random.Random(i).randrange(300), random.Random(i + 999).randrange(300)) for i in range(180)],
+    "loops and repeats": [(3, 3), (5, 4), (4, 5), (5, 4)],
+}
+
+
+@pytest.mark.parametrize("name", GRAPHS)
+def test_components(spark, name):
+    pairs = GRAPHS[name]
+    got = links.connected(spark.createDataFrame(pairs, "a long, b long"))
+    want = components([p for p in pairs if p[0] != p[1]])
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want.items())
+
+
+def test_no_edges(spark):
+    assert links.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_lookup_spreads_hot_keys(spark):
+    rows = spark.range(6000).select(F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 3 == 0, F.col("id")).alias("k"), "id")
+    table = rows.where("k IS NOT NULL AND k % 5 != 0").groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    got = links.lookup(rows, table, "k", 6000)
+    assert got.columns == ["k", "id", "top"] and got.count() == 6000
+    want = rows.join(table, "k", "left").select("k", "id", "top")
+    assert got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("block", [3, 256])
+def test_links_between_members_that_the_star_does_not_join(spark, monkeypatch, block):
+    """Nodes of one key, linked if they differ by at most 3: the star finds few of them."""
+    monkeypatch.setattr(links, "BLOCK", block)
+    nodes = [0, 2, 5, 8, 20, 22, 25, 60]
+    postings = spark.createDataFrame([(1, n, n) for n in nodes] + [(2, 60, 60), (2, 61, 61), (3, 99, 99)], "key long, node long, size long")
+    seen = []
+
+    def verify(pairs):
+        assert pairs.count() == pairs.distinct().count() and pairs.where("a >= b").isEmpty()
+        seen.append(pairs.count())
+        return pairs.where("b - a <= 3")
+
+    got = {r.node: r.component for r in links.linked(postings, verify, F.col("size_b") - F.col("size_a") < 50).collect()}
+    assert got == {0: 0, 2: 0, 5: 0, 8: 0, 20: 20, 22: 20, 25: 20, 60: 60, 61: 60}
+    assert seen[0] == 7

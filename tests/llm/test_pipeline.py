@@ -1,0 +1,64 @@
+"""The pipeline stage by stage on a small corpus, against brute force."""
+
+import random
+
+import corpus_pipeline as cp
+from sieveline.llm import bpe, decontaminate
+from sieveline.llm.queries import VOCABULARY
+from tests.llm import test_line_dedup, test_ngram_join
+from tests.llm.corpus import SCHEMA, prose, texts
+
+BENCHMARK = [(i, prose(random.Random(70 + i), 30)) for i in range(5)]
+
+
+def corpus():
+    rng = random.Random(12)
+    seen, rows = set(), []
+    for doc_id, text, lang in texts():
+        if doc_id is not None and doc_id not in seen and (text is None or len(text) < 20_000):
+            seen.add(doc_id)
+            rows.append((doc_id, text, lang))
+    rows += [(700 + i, f"{prose(rng, 50)}\n{prose(rng, 8)} {text} {prose(rng, 30)}", "en") for i, text in BENCHMARK]
+    rows += [(720 + i, "of the in\nand near", "en") for i in range(4)]  # short lines: left to the join
+    return rows
+
+
+def test_stages(spark, tmp_path):
+    sf_dir = str(tmp_path)
+    rows = corpus()
+    full = [(i, t, lang, "src", len(t) if t is not None else None) for i, t, lang in rows]
+    spark.createDataFrame(full, ", ".join(SCHEMA.split(", ")[:5])).repartition(4).write.parquet(f"{sf_dir}/documents.parquet")
+    spark.createDataFrame(BENCHMARK, "item_id long, text string").write.parquet(f"{sf_dir}/benchmark.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, kept = docs.columns, [(i, t) for i, t, _ in rows]
+
+    letters = [(i, t) for i, t in kept if any(c.isalpha() for c in t or "")]
+    gone = None
+    for k, (name, stage) in enumerate(cp.STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < 4:
+            assert docs.columns == columns, name
+            docs.write.parquet(f"{sf_dir}/{name}")
+            docs = spark.read.parquet(f"{sf_dir}/{name}")
+            got = sorted((r.doc_id, r.text) for r in docs.collect())
+            assert docs.where("n_chars != length(text) OR lang IS NULL").count() == 0
+        if name == "language_id":
+            kept = sorted(letters)
+        elif name == "line_dedup":
+            gone = test_line_dedup.brute([(i, t, None) for i, t in kept])
+            after = [(i, "\n".join(x for p, x in enumerate(t.split("\n")) if p not in gone.get((i, t), ()))) for i, t in kept]
+            kept = sorted((i, a) for (i, a), (_, t) in zip(after, kept) if a == t or a.split())
+        elif name == "ngram_join":
+            found = test_ngram_join.brute([(i, t, None) for i, t in kept])
+            kept = sorted((i, t) for (i, t), (_, n, c) in zip(kept, found) if n == 0 or c == i)
+        elif name == "decontaminate":
+            held = {i for i, t in kept if any(decontaminate.normalize(x) in decontaminate.normalize(t) for _, x in BENCHMARK)}
+            assert held == {700 + i for i, _ in BENCHMARK}
+            kept = [(i, t) for i, t in kept if i not in held]
+        if k < 4:
+            assert got == kept, name
+    assert gone and {720, 721, 722, 723} & {i for i, _ in kept} == {720}
+    encoder = bpe.Encoder(bpe.WordBpe(VOCABULARY))
+    assert sorted((r.doc_id, r.n_tokens) for r in docs.collect()) == [(i, len(encoder.ids(t))) for i, t in kept]
+    again = cp.run(spark, sf_dir)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, docs.collect()))

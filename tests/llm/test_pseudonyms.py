@@ -1,0 +1,102 @@
+"""Pseudonyms: valid in, valid out, one to one, in place; no Python in the plan."""
+
+import datetime
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from sieveline.llm import pseudonyms as ps
+from tests.llm.corpus import frame, texts
+
+KEY = "test key"
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c) * (2 if i % 2 else 1)
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def apply(spark, function, values, schema="v string"):
+    df = spark.createDataFrame([(v,) for v in values], schema)
+    return {r.v: r.new for r in df.select("v", function(F.col("v"), KEY).alias("new")).collect()}
+
+
+@pytest.mark.parametrize("n", [2, 3, 4])
+def test_digits_are_permuted_one_to_one(spark, n):
+    every = [f"{i:0{n}d}" for i in range(10**n)]
+    got = apply(spark, lambda c, k: ps.permute_digits(c, k, "t"), every)
+    assert sorted(got.values()) == every and sum(a == b for a, b in got.items()) < 0.05 * len(every) + 3
+
+
+def test_dates_are_permuted_one_to_one(spark):
+    first = datetime.date(1800, 1, 1)
+    days = [(first + datetime.timedelta(i)).isoformat() for i in range(ps.DAYS_LEFT * ps.DAYS_RIGHT)]
+    assert days[-1] == "2199-12-31"
+    df = spark.createDataFrame([(d,) for d in days], "v string").select(ps.date(F.col("v"), KEY).alias("new"))
+    assert df.distinct().count() == len(days) and df.where("new IS NULL OR new NOT RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}$'").isEmpty()
+
+
+def test_date_formats(spark):
+    got = apply(spark, ps.date, ["2024-02-29", "29.02.2024", "29/02/2024", "02/29/2024", "2023-02-29", "1799-12-31", "99/99/2024"])
+    moved = datetime.date.fromisoformat(got["2024-02-29"])
+    assert got["29.02.2024"] == moved.strftime("%d.%m.%Y") and got["29/02/2024"] == moved.strftime("%d/%m/%Y")
+    assert got["02/29/2024"] == moved.strftime("%m/%d/%Y")
+    assert got["2023-02-29"] is got["1799-12-31"] is got["99/99/2024"] is None
+
+
+def test_cards(spark):
+    rng = random.Random(1)
+    numbers = []
+    for n in (13, 15, 16, 19):
+        for _ in range(50):
+            body = "".join(rng.choices("0123456789", k=n - 1))
+            numbers += [body + c for c in "0123456789"]
+    got = apply(spark, ps.card, numbers)
+    fresh = {a: b for a, b in got.items() if b is not None}
+    assert set(fresh) == {n for n in got if luhn(n)}
+    assert all(luhn(b) and len(a) == len(b) and a[0] == b[0] for a, b in fresh.items()) and len(set(fresh.values())) == len(fresh)
+    spaced = apply(spark, ps.card, ["4111 1111-1111 1111", "4111111111111111"])
+    assert spaced["4111 1111-1111 1111"].replace(" ", "").replace("-", "") == spaced["4111111111111111"]
+    assert re.fullmatch(r"\d{4} \d{4}-\d{4} \d{4}", spaced["4111 1111-1111 1111"])
+
+
+def test_addresses_and_phones(spark):
+    got = apply(spark, ps.address, ["1.2.3.4", "255.255.255.255", "0.0.0.0", "256.1.1.1", "1.2.3.5"])
+    assert got["256.1.1.1"] is None and len(set(got.values())) == 5
+    assert all(max(map(int, v.split("."))) <= 255 for v in got.values() if v)
+    phones = apply(spark, ps.phone, ["+1 (017) 555-7713", "+49 30 1234567", "+1 23"])
+    assert re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", phones["+1 (017) 555-7713"]) and phones["+49 30 1234567"].startswith("+49 ")
+    assert phones["+1 23"] is None
+
+
+def test_texts_keep_everything_else(spark):
+    secret = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    text = f'Call +1 (017) 555-7713, a.b-é@mail7.example.com; 4111 1111 1111 1111 or 4111111111111112. IP 97.51.17.173\n2024-02-29 token = "{secret}" 1.2.3.4.5 v1.2 3,141 100 123-45-6789'
+    rows = [(1, text, None), (2, "x " + text, None), (3, None, None), (4, "", None), (5, "no data @ all 12", None), (6, "4111111111111111", None)]
+    out = {r.doc_id: r for r in ps.replace(frame(spark, rows), KEY).collect()}
+    assert out[2].text == "x " + out[1].text and out[1].n_replaced == 7
+    assert out[1].kinds == ["address", "card", "date", "email", "phone", "secret", "social"]
+    for kept in ("Call +1 (", "@mail7.example.com; ", " or 4111111111111112. IP ", '\n', 'token = "', "1.2.3.4.5 v1.2 3,141 100 "):
+        assert kept in out[1].text
+    for gone in (secret, "a.b-é", "555-7713", "97.51.17.173", "2024-02-29", "4111 1111 1111 1111", "123-45-6789"):
+        assert gone not in out[1].text
+    assert len(out[1].text) == len(text) + len(re.search(r"IP ([\d.]+)", out[1].text).group(1)) - len("97.51.17.173")
+    assert out[6].text in out[1].text.replace(" ", "")
+    assert (out[3].text, out[3].n_replaced) == (None, 0) and out[4].text == "" and out[5].text == "no data @ all 12"
+    other = ps.replace(frame(spark, rows), "another key").where("doc_id = 6").first().text
+    assert other != out[6].text and luhn(other)
+
+
+def test_corpus_and_plan(spark):
+    docs = frame(spark, texts())
+    done = ps.replace(docs, KEY)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and done.columns == ["doc_id", "text", "n_replaced", "kinds"]
+    same = docs.select("doc_id", "text").exceptAll(done.where("n_replaced = 0").select("doc_id", "text")).count()
+    assert same == done.where("n_replaced > 0").count() == 0
+    assert ps.replace(docs.where("false"), KEY).count() == 0

@@ -1,0 +1,49 @@
+"""Registered queries: their SQL counterparts, and all of them where they are left out."""
+
+import os
+import subprocess
+import sys
+
+import duckdb
+import pytest
+
+from sieveline.llm.queries import ORACLES, QUERIES
+from tests.conftest import ROOT
+
+SF_DIR = "/root/testdata/sf0.001"
+needs_data = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+
+
+def test_one_query_per_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11)) and set(ORACLES) < set(QUERIES)
+
+
+@needs_data
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
+    result = con.execute(ORACLES[name])
+    columns = [d[0] for d in result.description]
+    want = sorted(result.fetchall(), key=str)
+    df = QUERIES[name](spark, SF_DIR)
+    assert sorted(df.columns) == sorted(columns)
+    assert sorted((tuple(r) for r in df.select(columns).collect()), key=str) == want
+
+
+def test_the_rest_works_without_the_subpackage(tmp_path):
+    """A copy without the corpus modules still imports and has its own queries."""
+    code = f"""
+import sys, importlib.abc
+class Gone(importlib.abc.MetaPathFinder):
+    def find_spec(self, name, path, target=None):
+        if name == "corpus_pipeline" or name.startswith("sieveline.llm"):
+            raise ModuleNotFoundError(name, name="corpus_pipeline" if name == "corpus_pipeline" else "sieveline.llm")
+sys.meta_path.insert(0, Gone())
+sys.path.insert(0, {ROOT!r})
+import __spark_entry__ as e
+print(sorted(n for n in e.queries() if n.startswith("op") or n == "pipeline"), len(e.oracle_sql()) == len(e.queries()))
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, timeout=120)
+    assert done.stdout.splitlines()[-1:] == ["[] True"], done.stderr[-1500:]

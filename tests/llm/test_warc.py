@@ -1,0 +1,107 @@
+"""WARC bundles: exact round trip, frames on their own, revisits, damage."""
+
+import hashlib
+import io
+
+import pytest
+import zstandard
+from pyspark.sql import functions as F
+
+from sieveline.llm import warc
+from sieveline.shared import new_folder
+
+SCHEMA = "page_id long, url string, html string, payload string, bundle int"
+
+
+def pages(spark):
+    big, mid = "<p>" + "x" * 2000, "é" * 500
+    rows = [(i, f"http://e.org/{i}", f"<html>{i}" + "y" * (i * 37 % 4000)) for i in range(120)]
+    rows += [(1000 + i, "http://e.org/copy", big) for i in range(90)]  # a hot group
+    rows += [(2000 + i, None, "short") for i in range(5)]
+    rows += [(3000, "http://e.org/a b\r\nX: y", mid), (3001, "u", mid), (3002, "u", "é" * 499)]  # 1000 bytes and 998
+    rows += [(4000, "u", None), (4001, "u", ""), (None, "u", big), (5000, "u", "z" * 3000), (5000, "u", "z" * 3000)]
+    rows += [(6000, "u", "a\r\n\r\nWARC/1.1\r\n\r\n" * 90)]
+    return rows, spark.createDataFrame([(*r, "c", 1) for r in rows], SCHEMA).repartition(5)
+
+
+def wanted(rows):
+    top = {}
+    for page_id, _, html in rows:
+        raw = (html or "").encode()
+        if len(raw) >= 1000 and page_id is not None:
+            top[raw] = max(top.get(raw, page_id), page_id)
+    out = []
+    for page_id, _, html in rows:
+        raw = (html or "").encode()
+        target = top.get(raw) if len(raw) >= 1000 else None
+        revisit = target is not None and target != page_id and page_id is not None
+        out.append((page_id, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", target if revisit else None))
+    return sorted(out, key=str)
+
+
+def test_round_trip(spark):
+    rows, df = pages(spark)
+    assert sorted(map(tuple, warc.archive(spark, df).collect()), key=str) == wanted(rows)
+    assert warc.archive(spark, df.where("false")).count() == 0
+
+
+def test_index_finds_each_record_in_one_frame(spark):
+    rows, df = pages(spark)
+    index = warc.write_bundles(df, new_folder(spark, "t"), frame_bytes=3000, bundle_bytes=1500)
+    entries = index.collect()
+    assert len(entries) == len(rows) and len({e.bundle for e in entries}) > 5 and max(e.frame for e in entries) > 3
+    html = {}
+    for page_id, _, text in rows:
+        html.setdefault(page_id, set()).add((text or "").encode())
+    for e in entries:
+        record = warc.read_record(e.bundle, e.frame, e.place, e.bytes)
+        assert record.page_id == e.page_id
+        assert record.payload in html[e.page_id] if record.record_type == "response" else record.payload == b""
+    urls = {warc.read_record(e.bundle, e.frame, e.place, e.bytes).url for e in entries if e.page_id == 3000}
+    assert urls == {"http://e.org/a%20b%0D%0AX:%20y"}
+
+
+def test_bundle_is_plain_zstandard_with_a_seek_table():
+    class Kept(io.BytesIO):
+        def close(self):
+            pass
+
+    file = Kept()
+    bundle = warc.Bundle(file, 2000)
+    records = [warc.build_record(i, "u", b"p" * 700, None, 700, hashlib.sha1(b"p" * 700).hexdigest(), "2025-01-01T00:00:00Z") for i in range(9)]
+    places = [bundle.add(r) for r in records]
+    bundle.close()
+    whole = zstandard.ZstdDecompressor().stream_reader(io.BytesIO(file.getvalue()), read_across_frames=True).read()
+    assert whole == b"".join(records) and len({p[0] for p in places}) > 2
+    table = warc.seek_table(file)
+    for (number, place, size), record in zip(places, records):
+        assert warc.read_frame(file, table, number)[place : place + size] == record
+    damaged = bytearray(b"".join(records))
+    damaged[damaged.index(b"pppp")] = 113
+    with pytest.raises(ValueError, match="damaged"):
+        list(warc.parse_records(bytes(damaged)))
+
+
+def test_files_outside_the_index_are_not_read(spark):
+    """A lost attempt leaves its file; the manifest names only the files that count."""
+    _, df = pages(spark)
+    folder = new_folder(spark, "t")
+    index = warc.write_bundles(df, folder)
+    before = sorted(map(tuple, warc.read_bundles(index).collect()), key=str)
+    store, path = warc.store_of(f"{folder}/part-99999-0000-lost.warc.zst")
+    with store.open_output_stream(path, compression=None) as file:
+        file.write(b"half a frame")
+    assert sorted(map(tuple, warc.read_bundles(index).collect()), key=str) == before
+
+
+def test_hot_payload_is_not_shuffled_to_one_task(spark):
+    rows = spark.range(0, 8000, numPartitions=8).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 3 == 0, F.repeat(F.lit("h"), 1500)).otherwise(F.concat(F.repeat(F.lit("q"), 1200), F.col("id").cast("string"))).alias("html"))
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        by_task = warc.with_targets(rows).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    assert sum(r["count"] for r in by_task) == 8000 and max(r["count"] for r in by_task) < 8000 / 4
