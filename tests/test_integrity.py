@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sieveline import clean, metrics, parse_rules, with_foreign_key
+from sieveline import clean, metrics, parse_rules, tag_and_flag, with_foreign_key
 from sieveline.operators import integrity
 
 # The parent fixture needs 327 bytes, the values a feed lacks or has may need less.
@@ -177,6 +177,17 @@ def test_hot_and_null_rows_are_spread(spark):
     assert max(r.n for r in by_task) < 90_000 / 4
 
 
+def test_clean_and_metrics_share_one_measuring(texts, parent, monkeypatch):
+    calls, real = [], integrity.measure
+    monkeypatch.setattr(integrity, "measure", lambda *args: calls.append(1) or real(*args))
+    rules = parse_rules({"k": {"type": "foreign_key", "parent": "p", "parent_column": "id.x"}})
+    df = texts(["k"], [("1",), ("9",), (None,)])
+    flagged = tag_and_flag(df, rules, 202501, {"p": parent})
+    assert clean(df, rules, 202501, flagged=flagged).good.count() == 1
+    counts = {r.metric: r.rows_ok for r in metrics(df, rules, flagged=flagged).collect()}
+    assert counts == {"raw": 3, "good": 1, "rejects": 2, "passed:k": 1} and len(calls) == 1
+
+
 def test_rule_in_a_rule_set(spark, texts, parent):
     rules = parse_rules(
         {

@@ -123,6 +123,16 @@ def test_feed_run(spark, write):
     assert {(r.ID_PER, r.metric): r.rows_ok for r in counts.collect()}[202501, "good"] == 1
 
 
+def test_misnamed_file_fails_the_run_whatever_it_holds(spark, write):
+    """A file of which every row would be rejected counts as well."""
+    write("f/202501_units.csv", "ID,ACR\n1,ABC\n")
+    folder = write("f/wrong.csv", "ID,ACR\nx,AB\n").rsplit("/", 1)[0]
+    for path in (folder, f"{folder}/*.csv"):
+        with pytest.raises(ValueError, match="1 file name.*'wrong.csv'"):
+            process_feed(spark, CONFIG, "units", path)
+    assert process_feed(spark, CONFIG, "units", folder, period=202501).rejects.count() == 1
+
+
 def test_feed_run_with_given_period(spark, write):
     path = write("units.csv", "ID,ACR\n1,ABC\n")
     assert rows(process_feed(spark, CONFIG, "units", path, period=202503).good.drop("DINS")) == [(202503, 1.0, "ABC")]
