@@ -136,22 +136,24 @@ def references(docs: DataFrame, limits: Limits = Limits(), text_column: str = "t
     totals = counted.groupBy("lang").agg(F.sum("n").alias("total"), *sums)
     # Languages below the share are pooled before anything of them reaches the driver.
     (everything,) = totals.agg(F.sum("total")).first()
-    large = [r for r in totals.where(F.col("total") >= max(1.0, (everything or 0) * limits.language_share)).collect() if r["lang"]]
-    (pooled,) = totals.agg(F.sum("total").alias("total"), *sums).select(F.lit(POOLED).alias("lang"), "*").collect()
+    large = written(totals.where((F.col("lang") != "") & (F.col("total") >= max(1.0, (everything or 0) * limits.language_share))), "totals")
+    pooled = totals.agg(F.sum("total").alias("total"), *sums).select(F.lit(POOLED).alias("lang"), "*")
+    least = F.greatest(F.lit(1.0), F.col("total") * limits.common_share)
+    of_own = counted.select("lang", "word", "n").join(F.broadcast(large.select("lang", "total")), "lang").where(F.col("n") >= least)
+    of_all = counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= max(1.0, (everything or 0) * limits.common_share))
+    listed = of_own.select("lang", "word", "n").unionByName(of_all.select(F.lit(POOLED).alias("lang"), "word", "n"))
+    common: dict[str, list] = {}
+    for r in listed.select("*", F.xxhash64("word").alias("h")).collect():
+        common.setdefault(r["lang"], []).append(r)
     schema = "ref string, classes array<double>, slots array<string>, shares array<double>, spread int"
     rows = []
-    for row in [*large, pooled]:
-        total = row["total"] or 0
-        own = counted if row["lang"] == POOLED else counted.where(F.col("lang") == row["lang"])
-        common = (
-            own.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= max(1.0, total * limits.common_share))
-            .select("word", "n", F.xxhash64("word").alias("h")).collect()
-        )
+    for row in [*large.collect(), *pooled.collect()]:
+        total, mine = row["total"] or 0, common.get(row["lang"], [])
         size = 64
-        while len({c["h"] % size for c in common}) < len(common):
+        while len({c["h"] % size for c in mine}) < len(mine):
             size *= 2
         slots, shares = [""] * size, [0.0] * size
-        for c in common:
+        for c in mine:
             slots[c["h"] % size], shares[c["h"] % size] = c["word"], c["n"] / total
         letters = [row[f"c{k}"] or 0 for k in range(len(CLASSES) + 1)]
         rows.append((row["lang"], [c / max(1, sum(letters)) for c in letters], slots, shares, size))

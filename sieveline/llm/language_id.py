@@ -8,7 +8,6 @@ scored at once; the search runs only over texts in which a switch could pay at a
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
