@@ -178,12 +178,12 @@ class WordBpe:
 class Known(dict):
     """A bounded memory of a function's results, forgotten as a whole when full."""
 
-    def __init__(self, function, size: int):
-        self.function, self.size = function, size
+    def __init__(self, function, size: int, longest: int = 256):
+        self.function, self.size, self.longest = function, size, longest
 
-    def __missing__(self, key: str) -> tuple[int, ...]:
+    def __missing__(self, key: str):
         result = self.function(key)
-        if len(result) <= 64:
+        if len(key) <= self.longest:
             if len(self) >= self.size:
                 self.clear()
             self[key] = result

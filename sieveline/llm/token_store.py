@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sieveline.llm.bpe import chunks, pieces
+from sieveline.llm.bpe import Known, byte_letters, chunks, pieces
 from sieveline.llm.common import keyed_texts, map_batches
 from sieveline.llm.files import make_folder, spread, store_of, task_file
 from sieveline.shared import new_folder
@@ -32,6 +32,10 @@ ROUND_RULES = 1 << 13
 MIN_COUNT = 16
 ROUNDS = 8
 CACHED_PIECES = 500_000
+# Punctuation that no pattern of the vocabulary joins to a word, and the end of
+# the letters that are the same in every normal form.
+PUNCTUATION = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
+PLAIN = "\u0250"
 MAGIC = b"REPAIR01"
 HEAD = struct.Struct("<8sIIIQQ")
 
@@ -104,7 +108,7 @@ def compress(ids: np.ndarray, last: np.ndarray, width: int, rounds: int = ROUNDS
         if len(pairs) > ROUND_RULES:
             chosen = np.argsort(-counts, kind="stable")[:ROUND_RULES]
             pairs = np.sort(pairs[chosen])
-        slot = np.searchsorted(pairs, keys)
+        slot = np.searchsorted(pairs, keys) if len(keys) < (1 << 16) else _slots(pairs, keys)
         slot[slot == len(pairs)] = 0
         hit = pairs[slot] == keys
         # Where pairs overlap, every other one from the first on is replaced.
@@ -127,6 +131,16 @@ def compress(ids: np.ndarray, last: np.ndarray, width: int, rounds: int = ROUNDS
     return Grammar(width, join(lefts), join(rights)), symbols, last
 
 
+def _slots(pairs: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Where each key would be among the sorted pairs, found by a table of their hashes.
+    Of pairs with one hash the first is found; the next round has the others."""
+    bits = 20
+    table = np.zeros(1 << bits, np.int32)
+    at = lambda k: ((k * -7046029254386353131) >> 44) & ((1 << bits) - 1)
+    table[at(pairs)[::-1]] = np.arange(len(pairs), dtype=np.int32)[::-1]
+    return table[at(keys)]
+
+
 def pack_shard(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, width: int) -> bytes:
     """A shard's bytes: head; left and right parts and expansion lengths of the rules;
     per document its id, whether it has one, its number of ids and the end of its
@@ -183,35 +197,55 @@ class Shard:
         return self.grammar.token(self.of(k), at)
 
 
+class LibraryEncoder:
+    """Ids by the tokenizers library. Pieces between white space, which no token
+    crosses, are given to it once each, and remembered up to a bound.
+
+    Most pieces are a word of plain letters with punctuation behind. The library's
+    normalizer and patterns would only lower its case and cut it in two; such parts go
+    to its BPE model at once, every other piece through all of the library.
+    """
+
+    def __init__(self, vocabulary: str, cached: int = CACHED_PIECES):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.of_piece = Known(self.piece, cached)
+        self.of_part = Known(self.part, cached)
+
+    @property
+    def width(self) -> int:
+        return self.tokenizer.get_vocab_size()
+
+    def part(self, text: str) -> bytes:
+        """Ids of one lower-case word or run of punctuation."""
+        raw = text if text.isascii() else "".join(map(self.letters.__getitem__, text.encode()))
+        return packed([t.id for t in self.model.tokenize(raw)])
+
+    def piece(self, text: str) -> bytes:
+        word = text.rstrip(PUNCTUATION)
+        if word.isalpha() and max(word) < PLAIN and (low := word.lower()).isalpha():
+            ids = self.of_part[low]
+            return ids + self.of_part[text[len(word) :]] if len(word) < len(text) else ids
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def encode(self, text: str | None) -> bytes:
+        """Little-endian 32-bit ids of a text; none for null."""
+        return b"".join(b"".join(map(self.of_piece.__getitem__, pieces(part))) for part in chunks(text or ""))
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 @lru_cache(maxsize=2)
-def _tokenizer(vocabulary: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    known: dict[str, bytes] = {}
-    return tokenizer, known
-
-
-def encode_texts(texts: list[str | None], vocabulary: str) -> list[bytes]:
-    """Little-endian 32-bit ids of each text, by the tokenizers library. Pieces between
-    white space, which no token crosses, are given to it once each."""
-    tokenizer, known = _tokenizer(vocabulary)
-    if len(known) > CACHED_PIECES:
-        known.clear()
-    out = []
-    for text in texts:
-        ids = []
-        for part in chunks(text or ""):
-            found = pieces(part)
-            if missing := [p for p in set(found) if p not in known]:
-                for piece, coded in zip(missing, tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                    known[piece] = np.array(coded.ids, "<u4").tobytes()
-            ids += map(known.__getitem__, found)
-        out.append(b"".join(ids))
-    return out
+def _encoder(vocabulary: str) -> LibraryEncoder:
+    """One encoder for each vocabulary in a worker."""
+    return LibraryEncoder(vocabulary)
 
 
 def write_shards(
@@ -234,7 +268,8 @@ def write_shards(
         from pyspark import TaskContext
 
         part, shard = TaskContext.get().partitionId(), 0
-        width = max(_tokenizer(vocabulary)[0].get_vocab_size(), end_id + 1)
+        encoder = _encoder(vocabulary)
+        width = max(encoder.width, end_id + 1)
         held_ids, held, tokens = [], [], 0
 
         def save() -> pa.RecordBatch:
@@ -252,7 +287,7 @@ def write_shards(
 
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                (raw,) = encode_texts([text.as_py()], vocabulary)
+                raw = encoder.encode(text.as_py())
                 held_ids.append(doc_id)
                 held.append(raw + end)
                 tokens += len(raw) // 4 + 1
