@@ -31,6 +31,8 @@ PERCENT = 80
 #: Bands and rows of the signature. At the threshold itself a pair is found with
 #: probability 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.998, above it more often.
 BANDS, ROWS = 12, 4
+#: Lines whose shingles a task keeps while it compares pairs.
+KEPT = 2000
 #: Lines a task remembers to give each signature once; it forgets them all then.
 SEEN = 300_000
 PIECE = 1 << 20
@@ -46,24 +48,30 @@ def _functions() -> tuple[np.ndarray, np.ndarray]:
     return random.integers(0, 1 << 32, n, np.uint32), random.integers(0, 1 << 31, n, np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def grams_of(line: bytes) -> np.ndarray:
+def grams_of(line: bytes) -> frozenset[bytes]:
     """Distinct shingles of a normalized line of ``SHINGLE`` bytes or more."""
-    return np.unique(np.ndarray((len(line) - SHINGLE + 1,), "<u8", line, strides=(1,)))
+    return frozenset(line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1))
 
 
-def bands(lines: list[bytes]) -> np.ndarray:
-    """Lines x bands: a hash of each band's minima."""
-    lengths = np.array([len(x) for x in lines], np.int64)
-    ends = np.cumsum(lengths)
-    joined = b"".join(lines) + bytes(SHINGLE)
-    grams = np.ndarray((int(ends[-1]),), "<u8", joined, strides=(1,)) * np.uint64(0x9E3779B97F4A7C15)
+def mixed_grams(joined: bytes, n: int) -> np.ndarray:
+    """Hashes of the shingles that begin at the first ``n`` bytes."""
+    grams = np.ndarray((n,), "<u8", joined, strides=(1,)) * np.uint64(0x9E3779B97F4A7C15)
     grams ^= grams >> np.uint64(29)
     grams *= np.uint64(0xBF58476D1CE4E5B9)
+    return grams
+
+
+def signatures(lines: list[bytes]) -> tuple[np.ndarray, list[int]]:
+    """Lines x bands, a hash of each band's minima; the size of each line's set."""
+    lengths = np.array([len(x) for x in lines], np.int64)
+    ends = np.cumsum(lengths)
+    grams = mixed_grams(b"".join(lines) + bytes(SHINGLE), int(ends[-1]))
     inside = np.ones(len(grams), bool)
     for k in range(1, SHINGLE):
         inside[ends - k] = False
-    hashes = (grams >> np.uint64(32)).astype(np.uint32)[inside]
-    starts = np.concatenate(([0], np.cumsum(lengths - SHINGLE + 1)))[:-1]
+    grams = grams[inside]
+    hashes = (grams >> np.uint64(32)).astype(np.uint32)
+    starts = np.concatenate(([0], np.cumsum(lengths - SHINGLE + 1)))
     flips, factors = _functions()
     keys = np.empty((len(lines), BANDS), np.uint64)
     work = np.empty_like(hashes)
@@ -72,29 +80,34 @@ def bands(lines: list[bytes]) -> np.ndarray:
         for k in range(band * ROWS, (band + 1) * ROWS):
             np.bitwise_xor(hashes, flips[k], out=work)
             np.multiply(work, factors[k], out=work)
-            key = (key ^ np.minimum.reduceat(work, starts)) * np.uint64(0x9E3779B97F4A7C15)
+            key = (key ^ np.minimum.reduceat(work, starts[:-1])) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(32)
         keys[:, band] = key
-    return keys.view(np.int64)
+    sizes = []
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        own = grams[a:b]
+        own.sort()
+        sizes.append(1 + int(np.count_nonzero(own[1:] != own[:-1])))
+    return keys.view(np.int64), sizes
 
 
 def similar(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
     """Whether two normalized lines share ``percent`` of their shingles."""
-    x, y = grams_of(a), grams_of(b)
-    least = percent * (len(x) + len(y))
-    if (100 + percent) * min(len(x), len(y)) < least:
-        return False
-    both = np.concatenate((x, y))
-    both.sort()
-    return bool((100 + percent) * np.count_nonzero(both[1:] == both[:-1]) >= least)
+    return overlap_at_least(grams_of(a), grams_of(b), percent)
+
+
+def overlap_at_least(a: frozenset[bytes], b: frozenset[bytes], percent: int = PERCENT) -> bool:
+    """Whether the intersection has ``percent`` of the union."""
+    least = percent * (len(a) + len(b))
+    return (100 + percent) * min(len(a), len(b)) >= least and (100 + percent) * len(a & b) >= least
 
 
 def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``(doc_id, text_hash, place, identity, bands)`` of each line that is long enough;
-    the bands are null where the task has given them for an equal line."""
+    """``(doc_id, text_hash, place, identity, bands, size)`` of each line that is long
+    enough; the last two are null where the task has given them for an equal line."""
     doc_type = to_arrow_type(texts.schema["doc_id"].dataType)
-    kinds = [doc_type, pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64())]
-    names = ["doc_id", "text_hash", "place", "identity", "bands"]
+    kinds = [doc_type, pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32()]
+    names = ["doc_id", "text_hash", "place", "identity", "bands", "size"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -105,12 +118,14 @@ def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             nonlocal rows, fresh, at, size
-            signed: list = [None] * len(rows)
+            signed: list[list] = [[None] * len(rows) for _ in kinds[4:]]
             if fresh:
-                for i, keys in zip(at, bands(fresh).tolist()):
-                    signed[i] = keys
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            made = pa.RecordBatch.from_arrays([*columns, pa.array(signed, kinds[4])], names)
+                keys, sizes = signatures(fresh)
+                for i, *values in zip(at, keys.tolist(), sizes):
+                    for column, value in zip(signed, values):
+                        column[i] = value
+            columns = [pa.array(c, k) for c, k in zip([*zip(*rows), *signed], kinds)]
+            made = pa.RecordBatch.from_arrays(columns, names)
             rows, fresh, at, size = [], [], [], 0
             return made
 
@@ -139,36 +154,47 @@ def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
             yield flush()
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return map_batches(texts, run, f"doc_id {kind}, text_hash bigint, place int, identity binary, bands array<bigint>")
+    return map_batches(texts, run, f"doc_id {kind}, text_hash bigint, place int, identity binary, bands array<bigint>, size int")
 
 
 def with_lines(rows: DataFrame) -> DataFrame:
-    """``(a, b, line)`` from ``(text, place, identity, a, b)``, for the texts whose line
+    """``(node, line)`` from ``(text, place, identity, node)``, for the texts whose line
     at the place is the one meant."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, last, lines = [], None, []
-            columns = [batch.column(c).to_pylist() for c in ("place", "identity", "a", "b")]
-            for value, place, identity, a, b in zip(batch.column("text").cast(pa.binary()), *columns):
+            columns = [batch.column(c).to_pylist() for c in ("place", "identity", "node")]
+            for value, place, identity, node in zip(batch.column("text").cast(pa.binary()), *columns):
                 raw = value.as_py()
                 if raw != last:
                     last, lines = raw, raw.split(b"\n")
                 norm = normalize(lines[place]) if place < len(lines) else b""
                 if xxhash.xxh3_128_digest(norm) == identity:
-                    found.append((a, b, norm))
-            made = zip(*found) if found else ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(made, (pa.int64(), pa.int64(), pa.binary()))], ["a", "b", "line"])
+                    found.append((node, norm))
+            made = zip(*found) if found else ([], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(made, (pa.int64(), pa.binary()))], ["node", "line"])
 
-    return map_batches(rows.select("text", "place", "identity", "a", "b"), run, "a bigint, b bigint, line binary")
+    return map_batches(rows.select("text", "place", "identity", "node"), run, "node bigint, line binary")
 
 
 def verified(pairs: DataFrame, percent: int) -> DataFrame:
+    """Of ``(a, b, line_a, line_b)`` the pairs over the threshold."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, frozenset[bytes]] = {}
+
+        def grams(node: int, line: bytes) -> frozenset[bytes]:
+            if node not in kept:
+                if len(kept) >= KEPT:
+                    kept.clear()
+                kept[node] = grams_of(line)
+            return kept[node]
+
         for batch in batches:
-            sides = zip(batch.column("line_a").to_pylist(), batch.column("line_b").to_pylist())
-            kept = pa.array([similar(a, b, percent) for a, b in sides], pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
+            columns = [batch.column(c).to_pylist() for c in ("a", "line_a", "b", "line_b")]
+            links = pa.array([overlap_at_least(grams(a, x), grams(b, y), percent) for a, x, b, y in zip(*columns)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(links), batch.column("b").filter(links)], ["a", "b"])
 
     return map_batches(pairs, run, "a bigint, b bigint")
 
@@ -184,28 +210,30 @@ def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     texts = keyed_texts(docs, id_column, text_column)
     lines = written(lines_of(texts, min_bytes), "lines")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place", "text_hash")
-    classes = lines.groupBy("identity").agg(F.min(order).alias("first"), F.count("*").alias("n"), F.first("bands", True).alias("bands"))
+    signed = [F.first(c, True).alias(c) for c in ("bands", "size")]
+    classes = lines.groupBy("identity").agg(F.min(order).alias("first"), F.count("*").alias("n"), *signed)
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     nodes = classes.select("node", "identity", "first")
-    postings = classes.select("node", F.lit(0).alias("size"), F.explode("bands").alias("key"))
+    postings = classes.select("node", "size", F.explode("bands").alias("key"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """The lines of both sides are read again where they are; only they travel."""
-        count = pairs.count()
-
-        def side(wanted: DataFrame, key: str) -> DataFrame:
-            named = wanted.join(nodes, F.col(key) == F.col("node")).select("a", "b", "identity", "first.doc_id", "first.place", "first.text_hash")
-            named = checked_broadcast(named.withColumnRenamed("doc_id", "wanted"), count)
-            same = F.col("doc_id").eqNullSafe(F.col("wanted")) & (F.xxhash64("text") == F.col("text_hash"))
-            return with_lines(texts.join(named, same))
-
-        later = side(pairs, "b").withColumnRenamed("line", "line_b").distinct()
-        first = side(pairs.select("a").distinct().withColumn("b", F.col("a")), "a").select("a", F.col("line").alias("line_a")).distinct()
-        return verified(later.join(first.hint("merge"), "a"), percent)
-
-    components = linked(postings, verify)
+        """The lines of all nodes of the pairs are read again where they are, in one
+        pass; they and no texts travel."""
+        wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+        count = wanted.count()
+        named = nodes.join(checked_broadcast(wanted, count), "node").select(
+            "node", "identity", F.col("first.doc_id").alias("wanted"), "first.place", "first.text_hash"
+        )
+        same = F.col("doc_id").eqNullSafe(F.col("wanted")) & (F.xxhash64("text") == F.col("text_hash"))
+        read = written(with_lines(texts.join(checked_broadcast(written(named, "named"), count), same)).dropDuplicates(["node"]), "read")
+        of_a = read.select(F.col("node").alias("a"), F.col("line").alias("line_a"))
+        of_b = read.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
+        return verified(pairs.join(of_b.hint("merge"), "b").join(of_a.hint("merge"), "a"), percent)
+
+    possible = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    components = linked(postings, postings, verify, possible, possible)
     # What stays of each class: the first line of its component, or of itself.
-    reached = classes.drop("bands").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    reached = classes.drop("bands", "size").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     reached = written(reached.where(F.col("n") > 1).unionByName(reached.where((F.col("n") == 1) & (F.col("component") != F.col("node"))))
                       .unionByName(reached.where(F.col("n") == 1).join(components.select("component").distinct(), "component", "left_semi")
                                    .where(F.col("component") == F.col("node")).select(reached.columns)), "reached")
@@ -213,7 +241,7 @@ def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     total, rows = reached.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     table = lookup(reached.select("identity", "n", "component").withColumnRenamed("n", "rows"), written(keep, "keep"), "component", total)
     table = written(table.select("identity", F.col("rows").alias("n"), "keep"), "keep")
-    judged = lookup(lines.drop("bands"), table, "identity", rows).where("keep IS NOT NULL")
+    judged = lookup(lines.drop("bands", "size"), table, "identity", rows).where("keep IS NOT NULL")
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("place") == F.col("keep.place")) & (F.col("text_hash") == F.col("keep.text_hash"))
     return written(judged.where(~stays).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("place")).alias("removed")), "removed")
 
