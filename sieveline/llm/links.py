@@ -7,26 +7,34 @@ are looked up by broadcast, while the others take an ordinary join.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sieveline.functions.predicates import quoted
+from sieveline.llm.common import map_batches
 from sieveline.shared import written
 
 #: Rows up to which a list of fixed-size rows is broadcast. Beyond, it is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Members of a key that meet each other at once.
 BLOCK = 256
+#: The size of a set in a range of hashes from which the range bounds nothing.
+FULL = 255
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
     """``rows`` with the other columns of ``table``, null where it lacks the key.
 
     ``table`` has each ``key`` once, with ``n``, the rows that have it (or more), and is
-    stored or cheap; ``total`` is at least the sum of all ``n``. ``n`` is not added.
+    stored or cheap; ``total`` is at least the sum of all ``n``. ``n`` is not added. A
+    table that can only be short, because ``total`` is, is broadcast.
     """
+    if total <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table.drop("n")), key, "left").select(*map(quoted, rows.columns), *[c for c in table.columns if c not in (key, "n")])
     values = [c for c in table.columns if c not in (key, "n")]
     often = F.col("n") > max(1000, total // 1000)
     hot = table.where(often).select(F.col(key).alias("__hot"), *[F.col(v).alias(f"__hot_{v}") for v in values])
@@ -50,10 +58,18 @@ def checked_broadcast(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("merge")
 
 
+def with_listed(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
+    """The rows whose key the table has, with its other columns. A short table is
+    broadcast, so that rows stay in place; else it is ``lookup``."""
+    if (count := table.count()) <= BROADCAST_ROWS:
+        return rows.join(checked_broadcast(table.drop("n"), count), key)
+    return lookup(rows, table, key, total)
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for the nodes of ``edges (a, b)``: the smallest node they
-    reach. Rounds of large and small stars until the edges are stars; each round's edges
-    are stored, which cuts the lineage.
+    reach. Rounds of large and small stars until the edges are stars; the edges after
+    each round are stored, which cuts the lineage.
     """
     stars = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     stars = written(stars, "edges")
@@ -63,7 +79,6 @@ def connected(edges: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         least = least.withColumn("m", F.least("a", "m"))
         large = lookup(both, least, "a", 2 * before[0]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        large = written(large, "edges")
         least = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
         joined = lookup(large, least, "a", 2 * before[0])
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(joined.select("a", "m")).where("a != b").distinct()
@@ -83,47 +98,94 @@ def _digest(edges: DataFrame) -> tuple[int, int]:
     return n, int(total or 0)
 
 
+def best_anchors(sketches: DataFrame, possible: Callable[[Column, Column], Column]) -> DataFrame:
+    """``(a, b)``: for each node ``b`` that shares a key with another one node ``a``, of
+    those that its keys name the one named most often. A key names the node that shares
+    most of its own keys: in a group of near copies, what they are copies of."""
+    grouped = written(sketches.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "keys")
+    shared = grouped.agg(F.sum("n")).first()[0] or 0
+    near = written(with_listed(sketches, grouped, "key", shared), "sketches")
+    counts = written(near.groupBy("node").agg(F.count("*").alias("n")).withColumn("shared", F.col("n")), "counts")
+    ranked = with_listed(near, counts, "node", shared)
+    named = F.max(F.struct("shared", (-F.col("node")).alias("first"), "size"))
+    anchors = written(ranked.groupBy("key").agg(named.alias("named"), F.count("*").alias("n")), "anchors")
+    met = with_listed(near, anchors, "key", shared).select(
+        "node", "size", (-F.col("named.first")).alias("a"), F.col("named.size").alias("size_a"), "named.shared"
+    )
+    met = met.where((F.col("a") != F.col("node")) & possible(F.col("size_a"), F.col("size")))
+    often = met.groupBy("node", "a", "shared").agg(F.count("*").alias("times"))
+    best = often.groupBy("node").agg(F.max(F.struct("times", "shared", (-F.col("a")).alias("first"))).alias("best"))
+    return best.select((-F.col("best.first")).alias("a"), F.col("node").alias("b"))
+
+
 def linked(
     postings: DataFrame,
+    sketches: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    possible: Column | None = None,
+    possible: Callable[[Column, Column], Column],
+    alike: Callable[[Column, Column], Column],
 ) -> DataFrame:
     """Components ``(node, component)`` of the verified links between nodes that share
-    a key. ``postings`` has ``key``, ``node`` and ``size``.
-
-    First each node is paired with the smallest node of each of its keys, which joins
-    most of a large group without its pairs. Then only nodes of one key that are still
-    apart are paired, all of them, so no link that would join two components is missed.
-    ``verify`` takes distinct pairs ``(a, b)`` with ``a < b`` and keeps the links;
-    ``possible`` is a condition on ``size_a`` and ``size_b`` that every link meets.
+    a key. ``postings`` and ``sketches`` have ``key``, ``node`` (a number) and ``size``.
+
+    First each node is paired with one other, by the few keys of its sketch (see
+    ``best_anchors``), which joins most of a large group without its pairs. Then, by
+    their postings, only nodes of one key that are still apart are paired, all of them,
+    so no link that would join two components is missed. ``verify`` takes distinct pairs
+    ``(a, b)`` and keeps the links. ``possible`` is a condition on the sizes of two
+    postings that every link meets at one key or more, ``alike`` one on those of sketches.
     """
-    possible = F.lit(True) if possible is None else possible
-    postings = postings.select("key", "node", "size")
-    grouped = postings.groupBy("key").agg(F.min(F.struct("node", "size")).alias("anchor"), F.count("*").alias("n")).where("n > 1")
-    grouped = written(grouped, "keys")
-    shared = grouped.agg(F.sum("n")).first()[0] or 0
-    near = written(lookup(postings, grouped, "key", shared).where("anchor IS NOT NULL"), "postings")
-    stars = near.select(F.col("anchor.node").alias("a"), F.col("node").alias("b"), F.col("anchor.size").alias("size_a"), F.col("size").alias("size_b"))
-    stars = stars.where(possible & (F.col("a") < F.col("b"))).select("a", "b").distinct()
-    first = written(verify(written(stars, "pairs")), "links")
+    first = written(verify(written(best_anchors(sketches.select("key", "node", "size"), alike), "pairs")), "links")
     components = connected(first)
 
-    sizes = components.groupBy("node").agg(F.min("component").alias("component")).withColumn("n", F.lit(1))
-    members = near.select("key", "node", "size").join(
-        checked_broadcast(sizes.drop("n"), components.count()), "node", "left"
-    ).select("key", "node", "size", F.coalesce("component", "node").alias("component"))
+    joined = checked_broadcast(components, components.count())
+    members = postings.join(joined, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
     mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi")
     mixed = written(mixed.select("key", "n", F.ceil(F.col("n") / BLOCK).alias("parts")), "mixed")
-    apart = lookup(members, mixed, "key", shared).where("parts IS NOT NULL")
+    apart = with_listed(members, mixed, "key", mixed.agg(F.sum("n")).first()[0] or 0)
     block = F.pmod(F.xxhash64("node"), F.col("parts"))
-    blocks = apart.groupBy("key", "component", block.alias("block")).agg(F.collect_set(F.struct("node", "size")).alias("members"))
+    blocks = apart.groupBy("key", block.alias("block")).agg(F.collect_set(F.struct("node", "size", "component")).alias("members"))
     blocks = written(blocks, "blocks")
-    left = blocks.select("key", F.col("component").alias("ca"), F.col("members").alias("left"))
-    right = blocks.select("key", F.col("component").alias("cb"), F.col("members").alias("right"))
-    pairs = left.join(right, "key").where("ca < cb").select(F.explode("left").alias("x"), "right").select("x", F.explode("right").alias("y"))
-    pairs = pairs.select(F.col("x.size").alias("size_a"), F.col("y.size").alias("size_b"), F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-    pairs = written(pairs.where(possible & (F.col("a") < F.col("b"))).select("a", "b").distinct(), "pairs")
-    second = written(verify(pairs), "links")
+    left = blocks.select("key", F.col("block").alias("x_block"), F.col("members").alias("left"))
+    right = blocks.select("key", F.col("block").alias("y_block"), F.col("members").alias("right"))
+    met = left.join(right, "key").where("x_block <= y_block").repartition("key", "x_block", "y_block")
+
+    def partner(x: Column, y: Column) -> Column:
+        """Only pairs that can be links become rows."""
+        once = (F.col("x_block") < F.col("y_block")) | (x.node < y.node)
+        return once & (x.component != y.component) & possible(x.size, y.size)
+
+    pair = lambda x, y: F.struct(F.least(x.node, y.node).alias("a"), F.greatest(x.node, y.node).alias("b"))
+    pairs = F.flatten(F.transform("left", lambda x: F.transform(F.filter("right", lambda y: partner(x, y)), lambda y: pair(x, y))))
+    pairs = met.select(pairs.alias("pairs")).where("size(pairs) > 0").select(F.inline("pairs")).distinct()
+    second = written(verify(written(pairs, "pairs")), "links")
     if second.isEmpty():
         return components
     return connected(first.union(second))
+
+
+def range_sizes(sets: np.ndarray, ranges: int) -> np.ndarray:
+    """How many of 64-bit hashes lie in each of equal ranges (a power of two of them),
+    up to ``FULL``."""
+    shift = np.uint64(64 - ranges.bit_length() + 1)
+    return np.minimum(np.bincount((sets >> shift).astype(np.int64), minlength=ranges), FULL).astype(np.uint8)
+
+
+def suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose sets ``(node, size, ranges)`` can still share
+    ``percent`` of their union: they share at most the sum, over the ranges of hashes,
+    of the smaller sizes."""
+    of_a = sets.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("ranges").alias("ranges_a"))
+    of_b = sets.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("ranges").alias("ranges_b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.num_rows
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(rows, -1) for c in ("ranges_a", "ranges_b"))
+            smaller = np.minimum(x, y)
+            total = batch.column("size_a").to_numpy().astype(np.int64) + batch.column("size_b").to_numpy()
+            kept = ((100 + percent) * smaller.sum(axis=1, dtype=np.int64) >= percent * total) | (smaller == FULL).any(axis=1)
+            mask = pa.array(kept)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
+
+    return map_batches(pairs.join(of_a.hint("merge"), "a").join(of_b.hint("merge"), "b"), run, "a bigint, b bigint")

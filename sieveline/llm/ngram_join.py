@@ -4,7 +4,7 @@ Texts with equal sets of n-grams are one class. Of each class's set, in an order
 has frequent n-grams last, only a prefix is indexed: two sets over the threshold share
 an n-gram of their prefixes. Pairs that meet there pass the length filter, the positional
 filter (what stands behind the places that meet bounds the overlap), and the suffix
-filter (the sets' sizes in 64 ranges of hashes bound it too), and are then verified once
+filter (the sets' sizes in ranges of hashes bound it too), and are then verified once
 on whole sets. N-grams are compared by 64-bit hashes, sets by 128-bit ones.
 """
 
@@ -15,13 +15,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.functions.predicates import quoted
 from sieveline.llm.common import keyed_texts, map_batches, text_hash
-from sieveline.llm.links import checked_broadcast, linked, lookup
+from sieveline.llm.links import checked_broadcast, linked, lookup, range_sizes, suffix_filter
 from sieveline.shared import written
 
 WORDS = 5
@@ -30,8 +30,9 @@ PERCENT = 80
 #: An n-gram is frequent in one of this many texts; at most so many are listed.
 FREQUENT_ONE_IN = 2000
 FREQUENT_LIST = 1_000_000
-CACHED_WORDS = 400_000
-RANGES = 64
+CACHED_WORDS = 200_000
+#: Ranges of hashes of the suffix filter; n-grams of a sketch.
+RANGES, SKETCH = 256, 8
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -102,7 +103,7 @@ def identify(texts: DataFrame, n: int = WORDS) -> DataFrame:
                 seen.append(grams)
                 pending += len(grams)
                 texts += 1
-                if pending > 4_000_000:
+                if pending > 1_500_000:
                     condense()
             rest = [pa.nulls(len(sizes), k) for k in kinds[2:]]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(wholes, kinds[0]), pa.array(sizes, kinds[0]), pa.array(identities, kinds[1]), *rest], names)
@@ -163,23 +164,27 @@ def _sets(batch: pa.RecordBatch, hashes: WordHashes, n: int) -> Iterator[np.ndar
 
 
 def profiles(stands: DataFrame, common: tuple[np.ndarray, np.ndarray], n: int, percent: int) -> DataFrame:
-    """``(node, size, prefix)`` of each standing text."""
+    """``(node, size, prefix, ranges, sketch)`` of each standing text; the sketch has the
+    smallest hashes of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            nodes, sizes, prefixes = [], [], []
+            nodes, sizes, prefixes, ranges, sketches = [], [], [], [], []
             for node, sets in zip(batch.column("node").to_pylist(), _sets(batch, hashes, n)):
                 if sets is not None:
                     nodes.append(node)
                     sizes.append(len(sets))
                     prefixes.append(rare_first(sets, *common)[: prefix_length(len(sets), percent)].view(np.int64))
+                    ranges.append(range_sizes(sets, RANGES).tobytes())
+                    sketches.append(sets[:SKETCH].view(np.int64))
             ends = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
             values = pa.array(np.concatenate(prefixes) if prefixes else np.empty(0, np.int64))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), lists], ["node", "size", "prefix"])
+            columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), lists, pa.array(ranges, pa.binary()), pa.array(sketches, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "size", "prefix", "ranges", "sketch"])
 
-    return map_batches(stands.select("node", "identity", "text"), run, "node bigint, size int, prefix array<bigint>")
+    return map_batches(stands.select("node", "identity", "text"), run, "node bigint, size int, prefix array<bigint>, ranges binary, sketch array<bigint>")
 
 
 def with_sets(stands: DataFrame, n: int) -> DataFrame:
@@ -188,36 +193,51 @@ def with_sets(stands: DataFrame, n: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            rows = [(a, b, s.tobytes()) for a, b, s in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), _sets(batch, hashes, n)) if s is not None]
-            columns = zip(*rows) if rows else ([], [], [])
-            kinds = (pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "sets"])
+            rows, size = [], 0
+            for a, b, sets in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), _sets(batch, hashes, n)):
+                if sets is not None:
+                    rows.append((a, b, packed(sets)))
+                    size += sets.nbytes
+                if size > 4_000_000:
+                    yield _set_batch(rows)
+                    rows, size = [], 0
+            if rows:
+                yield _set_batch(rows)
 
     return map_batches(stands.select("a", "b", "identity", "text"), run, "a bigint, b bigint, sets binary")
 
 
 def overlap_at_least(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    """Whether the intersection has ``percent`` of the union. The sets' sizes in equal
-    ranges of hashes bound their overlap (suffix filter) before it is counted."""
+    """Whether the intersection has ``percent`` of the union."""
     least = percent * (len(a) + len(b))  # (100 + percent) * overlap must reach it
-    if (100 + percent) * min(len(a), len(b)) < least:
-        return False
-    shift = np.uint64(64 - RANGES.bit_length() + 1)
-    bound = np.minimum(np.bincount((a >> shift).astype(np.int64), minlength=RANGES), np.bincount((b >> shift).astype(np.int64), minlength=RANGES)).sum()
-    if (100 + percent) * bound < least:
-        return False
     both = np.concatenate((a, b))
     both.sort(kind="stable")
     return bool((100 + percent) * np.count_nonzero(both[1:] == both[:-1]) >= least)
 
 
+def packed(sets: np.ndarray) -> bytes:
+    """The upper six bytes of each hash, which are compared within a pair of sets."""
+    return sets.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    wide = np.zeros((len(raw) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return wide.reshape(-1).view(">u8").astype(np.uint64)
+
+
+def _set_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["a", "b", "sets"])
+
+
 def verified(pairs: DataFrame, percent: int) -> DataFrame:
     """Of ``(a, b, sets_a, sets_b)`` the pairs over the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = (batch.column("sets_a"), batch.column("sets_b"))
-            keep = [overlap_at_least(*[np.frombuffer(s.as_py(), np.uint64) for s in pair], percent) for pair in zip(*sides)]
+            keep = [overlap_at_least(*[unpacked(s.as_py()) for s in pair], percent) for pair in zip(*sides)]
             kept = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
 
@@ -250,8 +270,10 @@ def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     postings = postings.select("key", "node", F.struct("size", "place").alias("size"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """The texts of both sides are read again where they are; only the sets of
-        the pairs travel, to the first side's."""
+        """Pairs that pass the suffix filter are verified once. The texts of both sides
+        are read again where they are; only the sets travel, the second side's to the
+        first's."""
+        pairs = written(suffix_filter(pairs, profile, percent), "candidates")
         later = pairs.join(nodes, F.col("b") == F.col("node")).select("a", "b", "least", "identity")
         first = pairs.select("a").distinct().withColumn("b", F.col("a"))
         first = first.join(nodes, F.col("a") == F.col("node")).select("a", "b", "least", "identity")
@@ -260,12 +282,18 @@ def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         sets_a = with_sets(standing(texts, first, size), n).select("a", F.col("sets").alias("sets_a"))
         return verified(sets_b.join(sets_a.hint("merge"), "a"), percent)
 
-    a, b = F.col("size_a"), F.col("size_b")
-    lengths = 100 * F.least(a.size, b.size) >= percent * F.greatest(a.size, b.size)
-    # What stands before the places that meet, the two themselves, and what is behind.
-    most = F.least(a.place, b.place) + 1 + F.least(a.size - a.place, b.size - b.place) - 1
-    positions = (100 + percent) * most >= percent * (a.size + b.size)
-    components = linked(postings, verify, lengths & positions)
+    def possible(a: Column, b: Column) -> Column:
+        """Lengths, and positions: at the first n-gram that two prefixes share, the
+        overlap is at most what is left of either set. A link meets it there."""
+        lengths = 100 * F.least(a.size, b.size) >= percent * F.greatest(a.size, b.size)
+        left = F.least(a.size - a.place, b.size - b.place)
+        return lengths & ((100 + percent) * left >= percent * (a.size + b.size))
+
+    def alike(a: Column, b: Column) -> Column:
+        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+    sketches = profile.select("node", "size", F.explode("sketch").alias("key"))
+    components = linked(postings, sketches, verify, possible, alike)
 
     # Back from classes to rows; the smallest id of a component is that of its classes.
     reached = nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
