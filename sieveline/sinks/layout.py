@@ -32,6 +32,8 @@ def stored_layout(spark: SparkSession, path: str, period_name: str) -> StructTyp
         finally:
             stream.close()
         return StructType.fromJson(json.loads(text))
+    if not store.exists(file.getParent()):
+        return None
     try:
         found = spark.read.option("mergeSchema", True).parquet(path).schema
     except AnalysisException:
