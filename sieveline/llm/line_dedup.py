@@ -1,7 +1,8 @@
 """Fuzzy deduplication of lines by MinHash.
 
 A line's set is its shingles of eight bytes, A-Z in lower case and white space as one
-space. Equal lines are one class. Of each class a MinHash signature is cut into bands;
+space; a shorter line is its own shingle, so only equal lines are similar to it. Equal
+lines are one class, at any length; blank lines are none and stay. Of each class a MinHash signature is cut into bands;
 lines that share a band are compared by the exact Jaccard similarity of their sets, and
 union-find over the similar ones (distributed, in rounds of stars) gives the components,
 of which one line is kept: the first of the document with the smallest id.
@@ -23,9 +24,9 @@ from sieveline.llm.common import keyed_texts, map_batches, text_hash
 from sieveline.llm.links import checked_broadcast, linked, lookup
 from sieveline.shared import written
 
-#: Bytes of a shingle; bytes of a line below which it is always kept.
+#: Bytes of a shingle; bytes of a line below which it is always kept: only blank ones.
 SHINGLE = 8
-MIN_BYTES = 40
+MIN_BYTES = 1
 #: Percent of the union that two lines share at least.
 PERCENT = 80
 #: Bands and rows of the signature. At the threshold itself a pair is found with
@@ -49,7 +50,9 @@ def _functions() -> tuple[np.ndarray, np.ndarray]:
 
 
 def grams_of(line: bytes) -> frozenset[bytes]:
-    """Distinct shingles of a normalized line of ``SHINGLE`` bytes or more."""
+    """Distinct shingles of a normalized line; a line shorter than one is one."""
+    if len(line) < SHINGLE:
+        return frozenset((line,))
     return frozenset(line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1))
 
 
@@ -62,7 +65,8 @@ def mixed_grams(joined: bytes, n: int) -> np.ndarray:
 
 
 def signatures(lines: list[bytes]) -> tuple[np.ndarray, list[int]]:
-    """Lines x bands, a hash of each band's minima; the size of each line's set."""
+    """Lines x bands, a hash of each band's minima; the size of each line's set. For
+    lines of ``SHINGLE`` bytes or more."""
     lengths = np.array([len(x) for x in lines], np.int64)
     ends = np.cumsum(lengths)
     grams = mixed_grams(b"".join(lines) + bytes(SHINGLE), int(ends[-1]))
@@ -104,7 +108,9 @@ def overlap_at_least(a: frozenset[bytes], b: frozenset[bytes], percent: int = PE
 
 def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``(doc_id, text_hash, place, identity, bands, size)`` of each line that is long
-    enough; the last two are null where the task has given them for an equal line."""
+    enough; the last two are null where the task has given them for an equal line, and
+    for lines shorter than a shingle, which meet equal ones by identity alone."""
+    min_bytes = max(1, min_bytes)
     doc_type = to_arrow_type(texts.schema["doc_id"].dataType)
     kinds = [doc_type, pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32()]
     names = ["doc_id", "text_hash", "place", "identity", "bands", "size"]
@@ -140,7 +146,7 @@ def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
                     if len(line) < min_bytes or len(norm := normalize(line)) < min_bytes:
                         continue
                     identity = xxhash.xxh3_128_digest(norm)
-                    if identity not in seen:
+                    if len(norm) >= SHINGLE and identity not in seen:
                         if len(seen) >= SEEN:
                             seen.clear()
                         seen.add(identity)
@@ -203,7 +209,7 @@ def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     """``(doc_id, text_hash, removed)``: the places of the lines that go, for each
     document that loses any.
 
-    Lines of fewer than ``min_bytes`` bytes stay. Documents without an id count as the
+    Blank lines, and others of fewer than ``min_bytes`` bytes, stay. Documents without an id count as the
     last ones. Rows with one id and text lose the same lines; rows with one id and
     different texts are told apart by the text.
     """

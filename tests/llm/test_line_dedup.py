@@ -104,3 +104,20 @@ def test_empty_table_and_names(spark):
     assert ld.deduplicate(docs.where("false")).count() == 0
     kept = ld.apply_removals(docs, ld.removals(docs))
     assert kept.columns == [*docs.columns, "removed"] and kept.count() == docs.count()
+
+
+def test_short_lines(spark):
+    """Exact copies go at any length, also below a shingle; a copy leaves no remnant."""
+    long_line = " ".join(prose(random.Random(5), 30).split())
+    whole = f"Menu\n\n{long_line}\n\u4f60\u597d\uff0c\u4e16\u754c\u3002\na\nRead all of it here"
+    rows = [(1, whole, "en"), (2, whole, "en"), (3, f"{whole}\nMenus", "en"), (4, "  MENU\nb\n \nb", "en"), (5, "Read all of it here!", "en")]
+    got = {r.doc_id: (r.text, r.removed) for r in ld.deduplicate(frame(spark, rows)).collect()}
+    assert got == {
+        1: (whole, []),
+        2: ("", [0, 2, 3, 4, 5]),
+        3: ("\nMenus", [0, 2, 3, 4, 5]),
+        4: ("b\n ", [0, 3]),
+        5: ("", [0]),
+    }
+    assert brute(rows) == {(i, t): got[i][1] for i, t, _ in rows if got[i][1]}
+    assert not ld.similar(b"menu", b"menus") and ld.similar(b"menu", b"menu")
