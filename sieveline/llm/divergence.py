@@ -10,6 +10,7 @@ are not shuffled.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -36,7 +37,11 @@ POOLED = "\x00all"
 class Limits:
     """A word is common if it makes up ``common_share`` of its language's words, so
     there are at most ``1 / common_share`` of them. A language has references of its
-    own if it holds ``language_share`` of all words, else the pooled ones."""
+    own if it holds ``language_share`` of all words, else the pooled ones.
+
+    The words are too far over ``word_distance``, or over ``bare_share`` of the distance
+    that a text without any common word has from the reference (none: no such limit).
+    """
 
     common_share: float = 0.005
     language_share: float = 0.001
@@ -44,6 +49,7 @@ class Limits:
     min_chars: int = 200
     word_distance: float = 0.4
     class_distance: float = 0.25
+    bare_share: float | None = 0.9
 
 
 def _once(value: Column, use) -> Column:
@@ -111,7 +117,8 @@ def _repeat_words(words: Column) -> Column:
 def references(docs: DataFrame, limits: Limits = Limits(), text_column: str = "text", lang_column: str = "lang") -> DataFrame:
     """One row for each language of its own and one pooled: ``ref``, the shares of the
     character ``classes``, and the common words with their shares as a hash table
-    (``slots``, ``shares``, ``spread``).
+    (``slots``, ``shares``, ``spread``), ``bare``, the distance of a text without any of
+    them, and ``tables``, for the pooled one the tables of all references.
 
     The counts cover all documents and are pre-aggregated; what reaches the driver is
     bounded by the shares in ``limits``.
@@ -145,7 +152,8 @@ def references(docs: DataFrame, limits: Limits = Limits(), text_column: str = "t
     common: dict[str, list] = {}
     for r in listed.select("*", F.xxhash64("word").alias("h")).collect():
         common.setdefault(r["lang"], []).append(r)
-    schema = "ref string, classes array<double>, slots array<string>, shares array<double>, spread int"
+    table = "slots array<string>, shares array<double>, spread int, bare double"
+    schema = f"ref string, classes array<double>, {table}, tables array<struct<{table.replace(' array', ': array').replace(' int', ': int').replace(' double', ': double')}>>"
     rows = []
     for row in [*large.collect(), *pooled.collect()]:
         total, mine = row["total"] or 0, common.get(row["lang"], [])
@@ -156,8 +164,15 @@ def references(docs: DataFrame, limits: Limits = Limits(), text_column: str = "t
         for c in mine:
             slots[c["h"] % size], shares[c["h"] % size] = c["word"], c["n"] / total
         letters = [row[f"c{k}"] or 0 for k in range(len(CLASSES) + 1)]
-        rows.append((row["lang"], [c / max(1, sum(letters)) for c in letters], slots, shares, size))
-    return spark.createDataFrame(rows, schema)
+        rows.append((row["lang"], [c / max(1, sum(letters)) for c in letters], slots, shares, size, _bare(sum(shares))))
+    tables = [row[2:] for row in rows]
+    return spark.createDataFrame([(*row, tables if row[0] == POOLED else None) for row in rows], schema)
+
+
+def _bare(share: float) -> float:
+    """The distance of a text without common words, which make up ``share`` of the reference."""
+    rest = max(0.0, 1 - share)
+    return math.sqrt((share + math.log2(2 / (1 + rest)) + (rest * math.log2(2 * rest / (1 + rest)) if rest else 0.0)) / 2)
 
 
 def _part(p: Column, q: Column) -> Column:
@@ -210,8 +225,9 @@ def judge(
     base_failed, kept, class_distance, word_distance)``, one row for each row.
 
     Null texts count as empty and fail the base rules; a null language is compared with
-    the pooled references. A distance is null where the text is below the minimum
-    length, which passes. Other columns are left behind.
+    the pooled references, and lacks common words if it lacks those of every reference.
+    A distance is null where the text is below the minimum length, which passes. Other
+    columns are left behind.
     """
     refs = references(docs, limits, text_column, lang_column)
     owned = F.array(*[F.lit(r["ref"]) for r in refs.select("ref").collect()])
@@ -241,11 +257,21 @@ def judge(
         F.when(n >= limits.min_words, _word_distance(F.col("words"), F.col("slots"), F.col("shares"), F.col("spread"))).alias(
             "word_distance"
         ),
+        "words",
+        "bare",
+        "tables",
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     far = F.coalesce(F.col("class_distance") > limits.class_distance, F.lit(False)) | F.coalesce(
         F.col("word_distance") > limits.word_distance, F.lit(False)
     )
+    if limits.bare_share is not None:
+        # A text of unknown language may be in any that has a reference.
+        share = lambda distance, bare: F.when(bare > 0, distance / bare)
+        nearest = F.array_min(F.transform("tables", lambda t: share(_word_distance(F.col("words"), t.slots, t.shares, t.spread), t.bare)))
+        own = share(F.col("word_distance"), F.col("bare"))
+        lacking = F.when(F.col("word_distance").isNotNull(), F.when(F.col("tables").isNull(), own).otherwise(nearest))
+        far = far | F.coalesce(lacking > limits.bare_share, F.lit(False))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~far).alias("kept"), "class_distance", "word_distance",

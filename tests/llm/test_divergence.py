@@ -118,3 +118,21 @@ def test_empty_table(spark):
     assert dv.judge(docs.where("false")).count() == 0
     (row,) = dv.judge(frame(spark, [(1, None, None)])).collect()
     assert tuple(row)[:8] == (1, 0, 0, 0, 0, 0, True, False)
+
+
+def test_text_without_the_common_words_goes(spark):
+    """Foreign text, made-up words and words with glued symbols, also of no named language."""
+    rng = random.Random(17)
+    rows = [(k * 100 + i, prose(rng, 150, lang), lang) for k, lang in ((1, "en"), (2, "de")) for i in range(40)]
+    made = [" ".join("".join(rng.choices("bcfgklmpvwxz", k=rng.randint(2, 8))) for _ in range(200)) for _ in range(10)]
+    rows += [(300 + i, prose(rng, 150, "de"), "en") for i in range(3)] + [(310 + i, prose(rng, 150), "de") for i in range(3)]
+    rows += [(400 + i, text, ("en", "de", None)[i % 3]) for i, text in enumerate(made)]
+    rows += [(500 + i, " ".join(w + "q" for w in prose(rng, 150, lang).split()), lang) for i, lang in enumerate(("en", "de"))]
+    rows += [(600 + i, prose(rng, 150, lang), None) for i, lang in enumerate(("en", "de", "en", "de"))]
+    got = {r.doc_id: r for r in dv.judge(frame(spark, rows)).collect()}
+    kept = {i for i, r in got.items() if r.kept}
+    assert kept == {i for i in got if i < 300 or i >= 600}
+    # The fixed limit alone cannot be reached by them.
+    assert max(r.word_distance for i, r in got.items() if i >= 300) < dv.Limits().word_distance
+    without = {r.doc_id for r in dv.judge(frame(spark, rows), dv.Limits(bare_share=None)).collect() if r.kept}
+    assert without > kept
