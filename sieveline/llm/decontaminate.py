@@ -1,14 +1,15 @@
 """Benchmark items in texts, also with some edits.
 
-Windows of the texts, and of the items, are embedded by random walks (CGK): a walk reads
-a character at each step and moves on, or not, by a random bit of step and character,
-so that few edits change few steps. Keys of some random steps of a walk (bit sampling),
-several for each of several walks, find windows that agree; what they find is
-verified by the exact edit distance of the whole item to the text around the window.
-
-Windows of a text start at every so many words; those of an item at every word. The
-distance is chosen so that each item holds a window at any alignment, which makes sure
-that every unedited occurrence is found; walks and keys are for the edited ones.
+Each item is cut into seeds, the runs of a few characters from each of its places; the
+texts are hashed in the same way at each character. A seed that is met says where the
+item would begin. If enough of the item's runs of ``DENSE`` characters stand there (of
+three in short items), the exact edit distance of the whole item to the text around
+decides.
+
+A seed is as long as an item with all allowed edits still holds one unedited, surely or
+(long items, random edits) with probability ``RECALL``. So every unedited occurrence of
+a long item is found in any script, whatever stands around it; in short items neither
+seeds nor runs lose an occurrence within the limit.
 """
 
 from __future__ import annotations
@@ -26,13 +27,17 @@ from sieveline.llm.common import map_batches
 
 #: Edits an occurrence may have, as a share of the item's characters.
 EDITS = 0.2
-#: Steps of a walk, walks, keys of each walk, steps of a key, words between windows at most.
-STEPS, WALKS, KEYS, SAMPLED, STRIDE = 72, 3, 5, 13, 6
+#: Characters of a seed at most; the probability with which a longer seed than the sure
+#: one stays unedited in an item with all its edits.
+SEED, RECALL = 8, 0.99
+#: Characters of the runs that are counted around a seed of a long item.
+DENSE = 5
+#: Characters below which an item has to stand between words.
+BOUNDED = 45
 #: Characters of normalized text that are searched at once.
 CHUNK = 1 << 21
 #: Bytes of items that are searched for in one pass; more items take more passes.
 ITEM_BYTES = 1 << 25
-SEED = 20250101
 FILTER_BITS = 20
 
 
@@ -68,104 +73,203 @@ def best_match(item: str, text: str, most: int) -> tuple[int, int] | None:
     return (best, end) if best <= most else None
 
 
-def word_starts(points: np.ndarray) -> np.ndarray:
-    """Places behind a space or the end of a text."""
-    return np.concatenate(([0], np.flatnonzero((points == 32) | (points == 10)) + 1))[: len(points)]
+def unspaced(c: str) -> bool:
+    """Whether ``c`` belongs to a script written without spaces between words."""
+    return "\u0e00" <= c <= "\u0eff" or "\u1000" <= c <= "\u109f" or "\u1780" <= c <= "\u17ff" or "\u2e80" <= c <= "\u9fff" or "\uf900" <= c <= "\ufaff" or c >= "\U00020000"
+
+
+def boundary(text: str, at: int) -> bool:
+    """Whether no word runs over the place: of the characters beside it one is neither a
+    letter nor a digit, or belongs to a script without spaces."""
+    return not 0 < at < len(text) or not (text[at - 1].isalnum() and text[at].isalnum()) or unspaced(text[at - 1]) or unspaced(text[at])
+
+
+def bounded_match(item: str, text: str, most: int, lo: int, hi: int) -> tuple[int, int, int] | None:
+    """Like ``best_match`` for the parts of ``text[lo:hi]`` that begin and end between
+    words: distance, start and end.
+    Where one edit is allowed it may not be a space: a joined pair of words is another word."""
+    size, best = len(item), None
+    masks: dict[str, int] = {}
+    for i, c in enumerate(item):
+        masks[c] = masks.get(c, 0) | 1 << i
+    full, last = (1 << size) - 1, 1 << (size - 1)
+    for start in range(lo, hi):
+        if not boundary(text, start):
+            continue
+        plus, minus, score = full, 0, size
+        for place in range(start, min(hi, start + size + most)):
+            same = masks.get(text[place], 0)
+            vertical = same | minus
+            horizontal = (((same & plus) + plus) ^ plus) | same
+            up, down = minus | ~(horizontal | plus) & full, plus & horizontal
+            score += bool(up & last) - bool(down & last)
+            up, down = (up << 1 | 1) & full, down << 1 & full
+            plus, minus = down | ~(vertical | up) & full, up & vertical
+            if score <= most and (best is None or score < best[0]) and boundary(text, place + 1):
+                if most > 1 or text.count(" ", start, place + 1) == item.count(" "):
+                    best = score, start, place + 1
+    return best
+
+
+def seed_length(size: int, most: int, edits: float) -> int:
+    """Characters of the seeds of an item: as many as one of the runs between ``most``
+    edits surely has, or more if with random edits one has them with ``RECALL``."""
+    sure = -(-(size - most) // (most + 1))
+    for q in range(SEED, sure, -1):
+        if (1 - (1 - edits) ** q) ** (most + 1) <= 1 - RECALL:
+            return q
+    return min(sure, SEED)
+
+
+def seeds_of(points: np.ndarray, q: int) -> np.ndarray:
+    """A hash of the ``q`` characters from each place."""
+    n = max(0, len(points) - q + 1)
+    hashes = np.zeros(n, np.uint64)
+    for k in range(q):
+        hashes *= np.uint64(0x9E3779B97F4A7C15)
+        hashes += points[k : k + n]
+    hashes ^= hashes >> np.uint64(29)
+    hashes *= np.uint64(0xBF58476D1CE4E5B9)
+    return hashes
+
+
+def fewest(size: int, most: int, edits: float) -> tuple[int, int]:
+    """Length and least number of the runs of characters that an occurrence shares with
+    the item: three, of which an edit changes three at most, for short items; else
+    ``DENSE``, as many as random edits up to the limit leave but in one of a hundred."""
+    if size < BOUNDED:
+        return 3, size - 2 - 3 * most
+    whole = (1 - edits) ** DENSE
+    spread = whole * (1 - whole) + 2 * sum((1 - edits) ** (DENSE + d) - whole * whole for d in range(1, DENSE))
+    count = size - DENSE + 1
+    return DENSE, max(int(count * whole - 2.33 * (count * spread) ** 0.5), count - DENSE * most)
+
+
+def points_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+@dataclass
+class Seeds:
+    """The seeds of one length, sorted: of which item and at which place."""
+
+    hashes: np.ndarray
+    items: np.ndarray
+    places: np.ndarray
+    shift: np.uint64
+    known: np.ndarray
+
+    def hits(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each seed that is met its item, its place, and where the item would begin."""
+        met = np.flatnonzero(self.known[hashes >> self.shift])
+        low = np.searchsorted(self.hashes, hashes[met], "left")
+        times = np.searchsorted(self.hashes, hashes[met], "right") - low
+        entries = np.repeat(low - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum()) if len(met) else low
+        places = np.repeat(met, times)
+        return self.items[entries], places, places - self.places[entries]
 
 
 @dataclass
 class Index:
-    """The walks' random bits, the sampled steps, and the items' windows by key."""
+    """The items and their seeds by length."""
 
     items: list[tuple[int, str]]
     edits: float = EDITS
-    stride: int = STRIDE
-    literal: list[int] = field(default_factory=list)
+    seeds: dict[int, Seeds] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
-        random = np.random.default_rng(SEED)
-        self.bits = random.integers(0, 2, (WALKS, STEPS, 256)).astype(np.int64)
-        self.samples = [[np.sort(random.choice(STEPS, SAMPLED, replace=False)) for _ in range(KEYS)] for _ in range(WALKS)]
-        found: list[list[dict[int, list[tuple[int, int]]]]] = [[{} for _ in range(KEYS)] for _ in range(WALKS)]
-        for number, (_, text) in enumerate(self.items):
-            raw = text.encode()
-            points = np.frombuffer(raw, np.uint8)
-            starts = word_starts(points)
-            padded = np.concatenate((points, np.zeros(STEPS + 1, np.uint8)))
-            whole = []
-            for walk in range(WALKS):
-                keys, ends = self.keys(padded, starts, walk)
-                inside = ends <= len(points)
-                whole.append(int(inside.sum()))
-                for k in range(KEYS):
-                    for key, start in zip(keys[k][inside].tolist(), starts[inside].tolist()):
-                        found[walk][k].setdefault(key, []).append((number, start))
-            # Windows lie at least this close for one of them to be inside the item.
-            if min(whole) < 2:
-                self.literal.append(number)
-            else:
-                self.stride = min(self.stride, min(whole))
-        self.found = found
-        self.known = []
-        for walk in range(WALKS):
-            for k in range(KEYS):
-                bitmap = np.zeros(1 << FILTER_BITS, bool)
-                keys = np.fromiter(found[walk][k], np.uint64, len(found[walk][k]))
-                bitmap[keys >> np.uint64(64 - FILTER_BITS)] = True
-                self.known.append(bitmap)
-
-    def keys(self, padded: np.ndarray, starts: np.ndarray, walk: int) -> tuple[list[np.ndarray], np.ndarray]:
-        """The keys of the windows at ``starts``, and where their walks end."""
-        at = starts.astype(np.int64)
-        keys = [np.full(len(at), 0x51 + k, np.uint64) for k in range(KEYS)]
-        steps = [set(s.tolist()) for s in self.samples[walk]]
-        for step in range(STEPS):
-            read = padded[at]
-            for k in range(KEYS):
-                if step in steps[k]:
-                    keys[k] = (keys[k] ^ read) * np.uint64(0x9E3779B97F4A7C15)
-            at += self.bits[walk, step][read]
-        return [k ^ (k >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93) for k in keys], at
+        self.sizes = np.array([len(t) for _, t in self.items], np.int64)
+        self.most = np.array([int(self.edits * len(t)) for _, t in self.items], np.int64)
+        self.points = [points_of(t) for _, t in self.items]
+        self.limits = [fewest(n, m, self.edits) for n, m in zip(self.sizes.tolist(), self.most.tolist())]
+        self.runs = [(seeds_of(p, q) >> np.uint64(48)).astype(np.uint16) for p, (q, _) in zip(self.points, self.limits)]
+        found: dict[int, list[tuple[np.ndarray, int]]] = {}
+        for number, (size, most) in enumerate(zip(self.sizes.tolist(), self.most.tolist())):
+            if size:
+                q = seed_length(size, most, self.edits)
+                found.setdefault(q, []).append((seeds_of(self.points[number], q), number))
+        for q, made in sorted(found.items()):
+            hashes = np.concatenate([h for h, _ in made])
+            numbers = np.repeat([n for _, n in made], [len(h) for h, _ in made])
+            places = np.concatenate([np.arange(len(h)) for h, _ in made])
+            order = np.argsort(hashes, kind="stable")
+            bits = min(28, max(FILTER_BITS, len(hashes).bit_length() + 5))
+            known = np.zeros(1 << bits, bool)
+            known[hashes >> np.uint64(64 - bits)] = True
+            self.seeds[q] = Seeds(hashes[order], numbers[order], places[order], np.uint64(64 - bits), known)
 
     def search(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """For each normalized text its items: ``(item, distance, start, stop)``, the
         closest occurrence of each, places in characters of the normalized text."""
-        raws = [t.encode() for t in texts]
-        offsets = np.concatenate(([0], np.cumsum([len(r) + 1 for r in raws])))
-        joined = np.frombuffer(b"\n".join([*raws, b""]) + bytes(STEPS + 1), np.uint8)
+        offsets = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))).astype(np.int64)
+        joined = points_of("\n".join([*texts, ""]))
+        padded = np.concatenate((joined, np.zeros(DENSE, np.uint32)))
+        grams = {q: (seeds_of(padded, q)[: len(joined)] >> np.uint64(48)).astype(np.uint16) for q in {q for q, _ in self.limits}}
         hits: list[dict[int, tuple[int, int, int]]] = [{} for _ in texts]
-        starts = word_starts(joined[: offsets[-1]])[:: self.stride]
-        tried: set[tuple[int, int, int]] = set()
-        for walk in range(WALKS if len(self.literal) < len(self.items) else 0):
-            keys, _ = self.keys(joined, starts, walk)
-            for k in range(KEYS):
-                maybe = np.flatnonzero(self.known[walk * KEYS + k][keys[k] >> np.uint64(64 - FILTER_BITS)])
-                for w in maybe:
-                    for number, start in self.found[walk][k].get(int(keys[k][w]), ()):
-                        text = int(np.searchsorted(offsets, starts[w], "right")) - 1
-                        self._verify(raws[text], text, number, int(starts[w] - offsets[text]) - start, hits[text], tried)
-        for number in self.literal:
-            word = self.items[number][1]
-            for text, found in enumerate(hits):
-                at = f" {texts[text]} ".find(f" {word} ") if word else -1
-                if at >= 0:
-                    found[number] = (0, at, at + len(word))
+        for q, seeds in self.seeds.items():
+            numbers, places, begins = seeds.hits(seeds_of(joined, q))
+            # One try for all seeds of a text that mean about the same place.
+            owners = np.searchsorted(offsets, places, "right") - 1
+            firsts = (begins - offsets[owners]) // (self.most[numbers] + 1)
+            low = int(firsts.min(initial=0))
+            wide = int(firsts.max(initial=0)) - low + 1
+            tries = np.unique((numbers * len(texts) + owners) * wide + firsts - low)
+            pairs, firsts = tries // wide, tries % wide + low
+            numbers, owners = pairs // len(texts), pairs % len(texts)
+            cuts = np.flatnonzero(np.diff(numbers, prepend=-1))
+            for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(numbers)]):
+                number = int(numbers[a])
+                begins = firsts[a:b] * (self.most[number] + 1)
+                dense = self.dense(grams, number, begins + offsets[owners[a:b]])
+                for text, first in zip(owners[a:b][dense].tolist(), begins[dense].tolist()):
+                    if self.aligned(grams, number, first + int(offsets[text])):
+                        self._verify(texts[text], number, first, hits[text])
         return [[(number, *hit) for number, hit in sorted(found.items())] for found in hits]
 
-    def _verify(self, raw: bytes, text: int, number: int, begin: int, hits: dict, tried: set) -> None:
-        item = self.items[number][1]
-        most = int(self.edits * len(item))
-        slack = 4 * most + 8  # bytes; a character has four at most
-        place = (text, number, begin // (most + 1))
-        if place in tried or (number in hits and hits[number][0] == 0):
+    def dense(self, grams: dict[int, np.ndarray], number: int, begins: np.ndarray) -> np.ndarray:
+        """Around which places enough of the item's runs of characters stand."""
+        size, most = int(self.sizes[number]), int(self.most[number])
+        q, least = self.limits[number]
+        if least <= 0:
+            return np.ones(len(begins), bool)
+        own = np.zeros(1 << 16, bool)
+        own[self.runs[number]] = True
+        met = grams[q]
+        span, width = size + most, size + 4 * most + 2
+        kept = []
+        for at in range(0, len(begins), max(1, CHUNK // width)):
+            some = begins[at : at + max(1, CHUNK // width)]
+            window = np.clip(some[:, None] + np.arange(-most - 1, width - most), 0, len(met) - 1)
+            sums = np.cumsum(own[met[window]], axis=1, dtype=np.int32)
+            most_of = (sums[:, span:] - sums[:, :-span]).max(axis=1)
+            kept.append(np.maximum(most_of, sums[:, span - 1]) >= least)
+        return np.concatenate(kept)
+
+    def aligned(self, grams: dict[int, np.ndarray], number: int, begin: int) -> bool:
+        """Whether enough of the item's runs stand where edits can have moved them."""
+        most = int(self.most[number])
+        q, least = self.limits[number]
+        if least <= 0:
+            return True
+        own, met = self.runs[number], grams[q]
+        # A try stands for the places up to ``most`` behind it.
+        width = 3 * most + 3
+        near = met.take(np.arange(begin - most - 1, begin - most - 2 + len(own) + width), mode="clip")
+        found = (np.ndarray((len(own), width), near.dtype, near, strides=(2, 2)) == own[:, None]).any(axis=1)
+        return int(np.count_nonzero(found)) >= least
+
+    def _verify(self, text: str, number: int, first: int, hits: dict) -> None:
+        if number in hits and hits[number][0] == 0:
             return
-        tried.add(place)
-        lo, hi = max(0, begin - slack), begin + len(item.encode()) + slack
-        before = len(raw[:lo].decode("utf-8", "ignore"))
-        match = best_match(item, raw[lo:hi].decode("utf-8", "ignore"), most)
+        item, most = self.items[number][1], int(self.most[number])
+        lo, hi = max(0, first - most - 2), min(len(text), max(0, first + len(item) + 3 * most + 3))
+        if len(item) < BOUNDED:
+            match = bounded_match(item, text, most, lo, hi)
+        else:
+            found = best_match(item, text[lo:hi], most)
+            match = found and (found[0], max(0, lo + found[1] - len(item)), lo + found[1])
         if match and (number not in hits or match[0] < hits[number][0]):
-            stop = before + match[1]
-            hits[number] = (match[0], max(0, stop - len(item)), stop)
+            hits[number] = match
 
 
 def indexes(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text", edits: float = EDITS) -> list[Index]:
@@ -186,8 +290,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", edits
     """``docs`` with ``hits``, an array of ``(item_id, distance, start, stop)``: the
     closest occurrence of each item within ``edits``, places in the normalized text.
 
-    One row for each row. Null and empty texts have none. Items too short to hold a
-    window are found as whole words without edits. A column of ``docs`` called ``hits``
+    One row for each row. Null and empty texts have none. Items of fewer than
+    ``BOUNDED`` characters have to begin and end between words. A column of ``docs`` called ``hits``
     is replaced.
     """
     docs = docs.drop("hits")

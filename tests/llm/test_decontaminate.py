@@ -90,3 +90,24 @@ def test_hard_cases(spark):
     one = spark.createDataFrame([(1, prose(random.Random(1), 30))], "item_id long, text string")
     assert dc.scan(docs, one).count() == docs.count()
     assert dc.find(docs.where("false"), one).count() == 0
+
+
+def test_recall_at_the_full_limit():
+    """Random edits of single characters, as many as the limit allows; it does not matter
+    which texts stand before."""
+    rng = random.Random(7)
+    bench = items(rng, 60)
+    index = dc.Index([(i, dc.normalize(t)) for i, t in bench])
+    for share, recall in ((0.12, 0.99), (0.2, 0.95)):
+        edited = []
+        for i, text in bench:
+            changed = list(dc.normalize(text))
+            for _ in range(int(share * len(changed))):
+                k = rng.randrange(len(changed))
+                changed[k : k + rng.randint(0, 1)] = rng.choice(["", "q", "e", "zx"[rng.randint(0, 1)]])
+            changed = "".join(changed)
+            if dc.best_match(dc.normalize(text), changed, int(dc.EDITS * len(text))):
+                edited.append((i, dc.normalize(prose(rng, rng.randint(0, 50)) + " " + changed + " " + prose(rng, 50))))
+        hits = index.search([t for _, t in edited])
+        assert sum(any(h[0] == i for h in found) for found, (i, _) in zip(hits, edited)) >= recall * len(edited) > 50
+        assert hits == [index.search([t])[0] for _, t in edited]
