@@ -111,3 +111,17 @@ def test_recall_at_the_full_limit():
         hits = index.search([t for _, t in edited])
         assert sum(any(h[0] == i for h in found) for found, (i, _) in zip(hits, edited)) >= recall * len(edited) > 50
         assert hits == [index.search([t])[0] for _, t in edited]
+
+
+def test_short_items_and_scripts_without_spaces():
+    chinese = "".join(chr(0x4E00 + (i * i * 7 + 13 * i) % 5000) for i in range(300))
+    bench = [(0, "why is the sky blue"), (1, chinese), (2, chinese[40:52]), (3, "tiny one"), (4, "art")]
+    index = dc.Index(bench)
+    changed = chinese[:90] + "\u3042" + chinese[91:200] + chinese[230:]
+    texts = ['he asked: "why is the sky blue?"', "so whi is teh sky blue.", "why is the sky bluest", f"\u3042\u3044{chinese}\u3046", f"\u3042{changed}\u3046",
+             "a tiny ones", "(tiny one)", "tinyone", "party", "art!", ""]
+    got = [[(h[0], h[1]) for h in found] for found in index.search(texts)]
+    assert got[:4] == [[(0, 0)], [(0, 3)], [(0, 2)] if got[2] else [], [(1, 0), (2, 0)]]
+    assert got[4] == [(1, 31), (2, 0)] and got[5:] == [[(3, 1)], [(3, 0)], [], [], [(4, 0)], []]
+    (hit,) = index.search(texts[:1])[0]
+    assert texts[0][hit[2] : hit[3]] == bench[0][1]
