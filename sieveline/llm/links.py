@@ -60,10 +60,12 @@ def checked_broadcast(df: DataFrame, rows: int) -> DataFrame:
 
 def with_listed(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
     """The rows whose key the table has, with its other columns. A short table is
-    broadcast, so that rows stay in place; else it is ``lookup``."""
+    broadcast, so that rows stay in place; else it is ``lookup`` without the rows that
+    have no match."""
     if (count := table.count()) <= BROADCAST_ROWS:
         return rows.join(checked_broadcast(table.drop("n"), count), key)
-    return lookup(rows, table, key, total)
+    listed = lookup(rows, table.withColumn("__listed", F.col(key).isNotNull()), key, total)
+    return listed.where("__listed").drop("__listed")
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -144,11 +146,13 @@ def linked(
     mixed = written(mixed.select("key", "n", F.ceil(F.col("n") / BLOCK).alias("parts")), "mixed")
     apart = with_listed(members, mixed, "key", mixed.agg(F.sum("n")).first()[0] or 0)
     block = F.pmod(F.xxhash64("node"), F.col("parts"))
-    blocks = apart.groupBy("key", block.alias("block")).agg(F.collect_set(F.struct("node", "size", "component")).alias("members"))
+    blocks = apart.groupBy("key", "parts", block.alias("block")).agg(F.collect_set(F.struct("node", "size", "component")).alias("members"))
     blocks = written(blocks, "blocks")
-    left = blocks.select("key", F.col("block").alias("x_block"), F.col("members").alias("left"))
-    right = blocks.select("key", F.col("block").alias("y_block"), F.col("members").alias("right"))
-    met = left.join(right, "key").where("x_block <= y_block").repartition("key", "x_block", "y_block")
+    # Each pair of blocks meets by itself, so that no task gets all blocks of a key.
+    held = [F.array_min("members.component").alias("lo"), F.array_max("members.component").alias("hi")]
+    left = blocks.select("key", F.col("block").alias("x_block"), F.explode(F.sequence("block", F.col("parts") - 1)).alias("y_block"), F.col("members").alias("left"), *held)
+    right = blocks.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("x_block"), F.col("block").alias("y_block"), F.col("members").alias("right"), *held)
+    met = left.join(right.withColumnsRenamed({"lo": "y_lo", "hi": "y_hi"}), ["key", "x_block", "y_block"]).where("least(lo, y_lo) < greatest(hi, y_hi)")
 
     def partner(x: Column, y: Column) -> Column:
         """Only pairs that can be links become rows."""

@@ -73,3 +73,28 @@ def test_links_between_members_that_the_star_does_not_join(spark, monkeypatch, b
     got = {r.node: r.component for r in links.linked(postings, postings, verify, possible, possible).collect()}
     assert got == {0: 0, 2: 0, 5: 0, 8: 0, 20: 20, 22: 20, 25: 20, 60: 60, 61: 60}
     assert len(seen) == 2
+
+
+def test_listed_keys_only_at_any_size(spark, monkeypatch):
+    rows = spark.range(3000).select((F.col("id") % 7).alias("k"), "id")
+    table = rows.where("k < 3").groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("top"))
+    want = rows.join(table.drop("n"), "k").select("k", "id", "top")
+    monkeypatch.setattr(links, "BROADCAST_ROWS", 0)
+    got = links.with_listed(rows, table, "k", 3000)
+    assert got.columns == want.columns and got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_settled_hot_key_makes_no_block_at_any_size(spark, monkeypatch):
+    """Key 1 is held by 300 nodes that are one component; key 2 by four that are apart."""
+    monkeypatch.setattr(links, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(links, "BLOCK", 2)
+    stored = {}
+    monkeypatch.setattr(links, "written", lambda df, purpose, write=links.written: stored.setdefault(purpose, []).append(write(df, purpose)) or stored[purpose][-1])
+    rows = [(1, n, 9) for n in range(300)] + [(2, n, 9) for n in (400, 401, 402, 499, 0)]
+    sketches = spark.createDataFrame([r for r in rows if r[0] == 1], "key long, node long, size long")
+    verify = lambda pairs: pairs.where("b < 300 OR (a = 401 AND b = 402)")
+    possible = lambda a, b: F.abs(a - b) < 5
+    got = {r.node: r.component for r in links.linked(spark.createDataFrame(rows, "key long, node long, size long"), sketches, verify, possible, possible).collect()}
+    assert got == {n: 0 for n in range(300)} | {401: 401, 402: 401}
+    (blocks,) = stored["blocks"]
+    assert {r.key for r in blocks.collect()} == {2} and blocks.where("block IS NULL").isEmpty()
