@@ -44,6 +44,10 @@ NEVER_NAMED = set(
     "recommended newsletter subscribe subscription login signup search popup modal comment comments commentlist respond reply disqus "
     "reactions contentinfo complementary".split()
 )
+# Words that only say what kind of box a listed name is on.
+BOXES = set("area bar block box button buttons container content inner items left link links list outer posts right section site widget wrap wrapper".split())
+#: Elements that hold the text, whatever they are called.
+HOLDERS = {"body", "main", "article"}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*>|[^<]+|<", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
@@ -65,11 +69,23 @@ def container_keys(tag: str, markup: str) -> tuple[str, ...]:
     return (tag, *[f".{n}" for n in names])
 
 
+def never_named(tag: str, markup: str, inside: bool) -> bool:
+    """Whether a whole name of the container is listed, alone or with what kind of box it
+    is; ``no-sidebar`` is none. ``inside``: in an article, whose header is part of it."""
+    if tag in HOLDERS:
+        return False
+    names = [n for m in NAMES.finditer(markup) for n in m.group(1).strip("\"'").lower().split()]
+    parts = [{p for p in re.split(r"[_-]+", n) if p} for n in names]
+    listed = NEVER_NAMED - {"header"} if inside else NEVER_NAMED
+    return any(p & listed and p <= listed | BOXES for p in parts)
+
+
 def never_content(stack: tuple[tuple[int, tuple[str, ...]], ...]) -> bool:
-    """A page's header is left out, an article's is part of it."""
+    """A page's header is left out, an article's is part of it. Containers with a
+    listed name have numbers below zero."""
     inside = False
-    for _, keys in stack:
-        if keys[0] in NEVER or any(k[1:] in NEVER_NAMED for k in keys[1:]) or (keys[0] == "header" and not inside):
+    for number, keys in stack:
+        if keys[0] in NEVER or number < 0 or (keys[0] == "header" and not inside):
             return True
         inside |= keys[0] == "article"
     return False
@@ -116,12 +132,21 @@ def parse(page: str) -> list[Piece]:
         if tag in CONTAINERS:
             if not closing:
                 opened += 1
-                stack.append((opened, container_keys(tag, token)))
+                never = never_named(tag, token, any(keys[0] == "article" for _, keys in stack))
+                stack.append((-opened if never else opened, container_keys(tag, token)))
             else:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][1][0] == tag:
                         del stack[k:]
                         break
+    # A name does not drop most of the page's words.
+    held: Counter = Counter()
+    for p in pieces:
+        for number in {n for n, _ in p.stack if n < 0}:
+            held[number] += p.words
+    if large := {n for n, words in held.items() if 2 * words > sum(p.words for p in pieces)}:
+        for p in pieces:
+            p.stack = tuple((-n if n in large else n, keys) for n, keys in p.stack)
     return pieces
 
 

@@ -82,3 +82,15 @@ def test_frame(spark):
         assert by_id[i].n_chars == len(by_id[i].text) and by_id[i].url == f"u{i}"
     assert by_id[100].text == "" and by_id[None].n_chars == 0
     assert ht.extract(df.where("false")).count() == 0
+
+
+def test_names_that_only_hold_a_listed_word(weights):
+    text = "<p>This is the text of the page.</p><p>All of it.</p>"
+    want = "This is the text of the page.\nAll of it."
+    for tag, name in (("body", "single no-sidebar"), ("body", "sidebar"), ("main", "comment"), ("div", "content with-sidebar"), ("div", "social-science"), ("div", "sidebar")):
+        assert ht.main_text(f"<{tag} class='{name}'>{text}</{tag}><footer>the end</footer>", weights) == want, (tag, name)
+    for name in ("article-header", "entry-header", "header"):
+        assert ht.main_text(page(f"<div class='{name}'><h1>Head</h1></div>{text}"), weights) == f"Head\n{want}"
+    assert ht.main_text(page(f"<div class='social-science'><p>more</p></div>{text}"), weights) == f"more\n{want}"
+    for name in ("share-buttons", "related_posts", "x sidebar", "cookie-notice"):
+        assert ht.main_text(page(f"{text}<div class='{name}'><p>gone</p></div>"), weights) == want
