@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from sieveline.llm.divergence import CLASSES, SYMBOLS, Limits
+from sieveline.llm.oracle_centroids import CENTROIDS
+from sieveline.llm.oracle_trie import TRIE
 
 LIMITS = Limits()
 WORD = r"[^\x20\x09-\x0D]+"
@@ -111,4 +113,6 @@ ORACLES: dict[str, str] = {
     "op4_warc": WARC,
     "op5_ngram_join": NGRAM_JOIN,
     "op8_divergence": DIVERGENCE,
+    "op11_prefix_trie": TRIE,
+    "op12_centroids": CENTROIDS,
 }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sieveline.llm import bpe, decontaminate, divergence, html_text, language_id, line_dedup, ngram_join, pseudonyms, token_store, warc
+from sieveline.llm import (
+    bpe,
+    centroids,
+    decontaminate,
+    divergence,
+    html_text,
+    language_id,
+    line_dedup,
+    ngram_join,
+    prefix_trie,
+    pseudonyms,
+    token_counts,
+    token_store,
+    warc,
+)
 from sieveline.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -17,6 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The key of a run is the caller's secret; this one is for the query alone.
 KEY = "acceptance"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +79,18 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(spark, table(spark, sf_dir, "documents"), VOCABULARY, end_id=2)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_line_dedup": op2_line_dedup,
@@ -75,4 +102,7 @@ QUERIES: dict[str, Query] = {
     "op8_divergence": op8_divergence,
     "op9_pseudonyms": op9_pseudonyms,
     "op10_token_store": op10_token_store,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_centroids": op12_centroids,
+    "op13_token_counts": op13_token_counts,
 }

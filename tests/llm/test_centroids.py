@@ -1,0 +1,89 @@
+import hashlib
+import os
+import random
+
+import numpy as np
+import pytest
+
+from sieveline.llm import centroids
+
+NAN, INF = float("nan"), float("inf")
+
+
+def brute(rows, clusters=4, rounds=3, width=3):
+    """Rounds over all vectors and centroids, in Python integers."""
+    kept = [(i, [int(np.floor(64 * float(c))) for c in v]) for i, v in rows if v is not None and len(v) == width and all(c is not None and np.isfinite(c) for c in v)]
+    first = sorted((hashlib.sha256(f"1:{i}".encode()).hexdigest(), x) for i, x in kept if i is not None)
+    at = [x for _, x in first[:clusters]]
+    far = lambda x, c: sum((a - b) ** 2 for a, b in zip(x, c))
+    nearest = lambda x: min(range(len(at)), key=lambda c: (far(x, at[c]), c))
+    for _ in range(rounds):
+        own = [nearest(x) for _, x in kept]
+        at = [[sum(col) // len(col) for col in zip(*part)] if (part := [x for (_, x), o in zip(kept, own) if o == c]) else at[c] for c in range(len(at))]
+    own = [(i, nearest(x), far(x, at[nearest(x)])) for i, x in kept] if at else []
+    sums = [sum(d for _, o, d in own if o == c) for c in range(len(at))]
+    return sorted(((i, o, d, sums[o], sum(sums), hashlib.sha256(",".join(map(str, at[o])).encode()).hexdigest()) for i, o, d in own), key=str)
+
+
+def vectors(spark, rows, parts=3):
+    return spark.createDataFrame([(i, v, 7, 1) for i, v in rows], "vec_id bigint, embedding array<float>, cluster int, x int").repartition(parts)
+
+
+def blobs(n, seed=3, width=3):
+    rng = np.random.default_rng(seed)
+    middle = rng.uniform(-8, 8, (4, width))
+    return [(i, [float(np.float32(c)) for c in middle[i % 4] + rng.normal(0, 0.2, width)]) for i in range(n)]
+
+
+HARD = [
+    (900, None), (901, []), (902, [1.0, 2.0]), (903, [1.0, None, 2.0]), (904, [NAN, 0.0, 0.0]), (905, [0.0, INF, 0.0]), (906, [0.0, 0.0, 0.0, 0.0]),
+    (None, [1.0, 1.0, 1.0]), (None, None), (5, [0.5, -0.25, 0.0]), (5, [0.5, -0.25, 0.0]), (5, [9.0, 9.0, 9.0]), (907, [0.0, 0.0, 0.0]),
+]
+
+
+@pytest.mark.parametrize("block", [7, 1000])
+def test_equals_rounds_over_all_pairs(spark, block):
+    rows = blobs(200) + HARD
+    got = centroids.cluster(vectors(spark, rows), clusters=4, width=3, block=block)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
+
+
+def test_a_hot_vector_and_ties(spark):
+    """A third of all rows is one vector; whole numbers halfway between centroids."""
+    rng = random.Random(1)
+    rows = [(i, [0.0, 0.0, 0.0]) for i in range(60)] + [(100 + i, [float(rng.randint(-2, 2)) for _ in range(3)]) for i in range(120)]
+    got = centroids.cluster(vectors(spark, rows), clusters=6, width=3, block=16)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, clusters=6)
+
+
+def test_only_expired_vectors_are_compared(spark):
+    """Once centroids have settled, heaps hold back almost all vectors."""
+    rows, run = blobs(400), centroids.Run([], [])
+    got = centroids.cluster(vectors(spark, rows), clusters=4, width=3, rounds=8, block=64, run=run)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, rounds=8)
+    assert run.scanned[0] == 400 and run.scanned[-1] < 40 and len(run.folders) == 1 and os.path.isdir(run.folders[0])
+
+
+def test_heaps_pop_only_up_to_the_drift():
+    heaps = centroids.Heaps.empty(6, 2)
+    heaps.own = np.array([0, 1, 0, 1, 0, 1], np.int32)
+    heaps.push(np.arange(6), np.array([3.0, 1.0, 1.0, 5.0, 2.0, 2.0]), np.array([0.0, 10.0]))
+    assert heaps.heap(0)[1].tolist() == [2, 4, 0] and heaps.heap(1)[0].tolist() == [11.0, 12.0, 15.0]
+    assert sorted(heaps.pop(np.array([2.0, 11.5]), 0.0).tolist()) == [1, 2, 4]
+    assert heaps.heap(0)[1].tolist() == [0] and heaps.heap(1)[1].tolist() == [5, 3]
+
+
+def test_large_components_are_exact(spark):
+    rows = [(i, [float(np.float32(1e5 * (i % 3) + i)), float(np.float32(-3e4 * (i % 2))), float(i)]) for i in range(40)]
+    got = centroids.cluster(vectors(spark, rows), clusters=5, width=3)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows, clusters=5)
+    far = centroids.cluster(vectors(spark, [(1, [3e38, 0.0, 0.0]), (2, [-3e38, 0.0, 0.0]), (3, [0.0, 0.0, 0.0])]), clusters=2, width=3).collect()
+    assert len(far) == 3 and all(r["distance"] >= 0 for r in far)
+
+
+def test_few_and_no_vectors(spark):
+    rows = blobs(3)
+    assert sorted(map(tuple, centroids.cluster(vectors(spark, rows), clusters=4, width=3).collect()), key=str) == brute(rows)
+    for none in (vectors(spark, rows).where("false"), vectors(spark, HARD[:7]), vectors(spark, [(None, [0.0, 0.0, 0.0])])):
+        got = centroids.cluster(none, clusters=4, width=3)
+        assert got.collect() == [] and got.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]

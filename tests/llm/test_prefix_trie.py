@@ -1,0 +1,129 @@
+import hashlib
+import os
+import random
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from sieveline.llm import links, prefix_trie
+from sieveline.shared import shared_root
+
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def brute(rows):
+    """The trie over rebuilt lists of turns, node by node."""
+    turns = defaultdict(list)
+    for c, t, role, text in rows:
+        if c is not None:
+            turns[c].append((t is not None, t or 0, role or "", text or ""))
+    own = {c: [x[2:] for x in sorted(v)] for c, v in turns.items()}
+    made = {}
+    for c, v in own.items():
+        h, base = zlib.crc32(str(c).encode()) % 9, c - (c % 5 if c >= 0 else -(-c % 5))
+        made[c] = tuple(own.get(base, [])[:h] + v[h:])
+    members, kids = defaultdict(list), defaultdict(list)
+    for c, v in made.items():
+        for d in range(len(v) + 1):
+            members[v[:d]].append(c)
+    for p in members:
+        if p:
+            kids[p[:-1]].append(p)
+    leaves, saved, out = {}, {}, []
+    for p in sorted(members, key=len, reverse=True):
+        leaves[p] = sum(leaves[k] for k in kids[p]) or 1
+        saved[p] = sum(saved[k] for k in kids[p]) + ((len(members[p]) - 1) * len(p[-1][1].encode()) if p else 0)
+        ends = ",".join(str(c) for c in sorted(members[p]) if len(made[c]) == len(p))
+        above = min(members[p[:-1]]) if p else None
+        out.append((min(members[p]), len(p), above, len(members[p]), len(kids[p]), leaves[p], saved[p], hashlib.sha256(ends.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def turns(spark, rows, parts=4):
+    full = [(*r, "x", 1, 2) for r in rows]
+    return spark.createDataFrame(full, "conv_id bigint, turn bigint, role string, text string, node string, depth int, part int").repartition(parts)
+
+
+def nodes(df):
+    return sorted((tuple(r) for r in df.select(*COLUMNS).collect()), key=str)
+
+
+def talks(n, seed=2):
+    """Conversations that share first turns, some equal, some long, some without a base."""
+    rng, rows = random.Random(seed), []
+    for c in rng.sample(range(-20, 3 * n), n):
+        same = rng.random() < 0.3
+        for t in range(40 if c % 17 == 0 else rng.randint(1, 12)):
+            shared = same or rng.random() < 0.5
+            rows.append((c, t, "user" if t % 2 == 0 else "assistant", f"té {t}" if shared else f"own {rng.randint(0, 3)}"))
+    return rows
+
+
+HARD = [
+    (500, 0, "user", "a"), (500, 0, "user", "a"), (500, None, None, None), (500, None, "user", "z"), (500, 1, None, "b"), (500, 1, "", "b"),
+    (None, 0, "user", "lost"), (None, None, None, None), (503, 5, "user", ""), (504, 5, "user", None), (507, 0, "a", "bc"), (508, 0, "ab", "c"),
+    (1000000007, 3, "user", "long " * 50_000), (1000000005, 3, "user", "long " * 50_000),
+]
+
+
+def test_equals_a_walk_over_rebuilt_turns(spark):
+    rows = talks(120) + HARD
+    assert nodes(prefix_trie.trie(turns(spark, rows))) == brute(rows)
+
+
+def test_one_conversation_over_several_tasks(spark, monkeypatch):
+    """A conversation with most of all turns lies in several tasks and chunks, and hot
+    conversations and nodes take the routes of large tables."""
+    monkeypatch.setattr(links, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(prefix_trie, "CHUNK", 16)
+    monkeypatch.setattr(prefix_trie, "PIECE", 2)
+    rng = random.Random(4)
+    rows = [(5, t, "user", f"turn {rng.randint(0, 9)} {t}") for t in range(3000)] + talks(60)
+    rows += [(c, t, "user", f"hello {t}") for c in range(5000, 5300) for t in range(2)]
+    assert nodes(prefix_trie.trie(turns(spark, rows))) == brute(rows)
+
+
+def test_prefix_sums_are_joined_over_tasks(spark):
+    """The law of the monoid: what lies in tasks before is joined from the left."""
+    rows = [(1, t, "user", str(t * t)) for t in range(500)] + [(2, 0, "user", "x")]
+    sums = []
+    for parts in ("1", "7"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        placed = prefix_trie.ordered_turns(turns(spark, rows), ("conv_id", "turn", "role", "text"), 0)
+        stored = prefix_trie.written(prefix_trie.running(placed, 0), "turns")
+        found = prefix_trie.carried(stored, 0).select("conv_id", "idx", "text", "f0", "f1", "f2", "f3", "u0", "u3").collect()
+        sums.append(sorted(map(tuple, found)))
+        assert (stored.select("part").distinct().count() > 1) == (parts == "7")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sums[0] == sums[1]
+
+
+def test_a_failed_fingerprint_is_noticed(spark, monkeypatch):
+    """With hashes that cannot tell turns apart the references differ, and another seed
+    is taken."""
+    real, seeds = prefix_trie.ordered_turns, []
+
+    def weak(df, columns, seed):
+        seeds.append(seed)
+        placed = real(df, columns, seed)
+        return placed.withColumns({"h1": placed.h1 * 0, "h2": placed.h2 * 0}) if seed < 2 else placed
+
+    monkeypatch.setattr(prefix_trie, "ordered_turns", weak)
+    rows = talks(30)
+    assert nodes(prefix_trie.trie(turns(spark, rows))) == brute(rows) and seeds == [0, 1, 2]
+
+
+@pytest.mark.parametrize("rows", [[], [(None, 1, "user", "x")], [(3, 0, "user", "x")], [(c, 0, "user", "x") for c in range(1, 40)]])
+def test_small_tables(spark, rows):
+    assert nodes(prefix_trie.trie(turns(spark, rows))) == brute(rows)
+
+
+def test_one_folder_is_left(spark):
+    root = os.path.join(shared_root(spark), "sieveline")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    prefix_trie.trie(turns(spark, HARD)).collect()
+    left = set(os.listdir(root)) - before
+    assert len(left) == 1 and next(iter(left)).startswith("trie-")
