@@ -48,15 +48,19 @@ def publish(
     rejects, with all columns, replace theirs in the same table, pass and commit
     (``read_table(..., kind="rejects")``). A database target is then loaded period by
     period from the table just written, so that cleaning runs once and in full parallel,
-    whatever the number of connections. All periods are checked in the database, and
-    emptied if it says how, before the table is touched.
+    whatever the number of connections. All periods are prepared in the database, that is
+    emptied if it says how, and checked, before the table is touched: if that fails for
+    one of them, the table stays as it was. If the table's own write fails after it, the
+    periods that were emptied are loaded by running again.
     """
     good = source.good if isinstance(source, Cleaned) else source
     target = to_target(good, rules, rename, period_name)
     spark = good.sparkSession
     where = dict(period_name=period_name, options=jdbc.options) if jdbc else {}
-    if jdbc is not None and jdbc.empty_period is None:
+    if jdbc is not None:
         for period in sorted(set(periods)):
+            if jdbc.empty_period is not None:
+                jdbc.empty_period(period)
             check_empty(spark, jdbc.url, jdbc.table, period, **where)
     if isinstance(source, Cleaned):
         names = {new: old for old, new in (rename or {}).items()}
@@ -78,6 +82,5 @@ def publish(
                 options=jdbc.options,
                 batchsize=jdbc.batchsize,
                 connections=jdbc.connections,
-                empty_period=jdbc.empty_period,
             )
     return rows

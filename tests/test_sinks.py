@@ -90,9 +90,9 @@ def test_many_periods_are_counted_once(spark, tmp_path, monkeypatch, periods):
     plans, reads = [], []
     real_write, real_count = module.write_partitions, module.rows_by_partition
 
-    def write(df, path, *columns):
+    def write(df, path, *columns, **options):
         plans.append(df._jdf.queryExecution().optimizedPlan().toString())
-        return real_write(df, path, *columns)
+        return real_write(df, path, *columns, **options)
 
     def count(*args, **kwargs):
         reads.append(1)
@@ -144,6 +144,84 @@ def test_table_without_a_layout_file_has_the_union_of_its_files(spark, frame, tm
     assert {r.CODE for r in read_table(spark, path).collect()} == {"z", "b"}
 
 
+def layouts(path):
+    return sorted(f.name for f in path.glob("_layout*"))
+
+
+def test_a_failed_first_publish_leaves_no_layout(spark, frame, tmp_path):
+    """The corrected feed may have other types: there is no table yet to disagree with."""
+    path = tmp_path / "t"
+    stray = frame((202501, "a", 1.0), (202502, "b", 2.0))
+    with pytest.raises(PySparkException, match="not to be replaced"):
+        replace_periods(stray, str(path), [202501])
+    assert layouts(path) == []
+    corrected = frame((202501, "a", 1.0)).withColumn("N", F.lit("text"))
+    assert replace_periods(corrected, str(path), [202501]) == {202501: 1}
+    assert content(spark, str(path)) == [(202501, "a", "text")] and layouts(path) == ["_layout-000001.json"]
+
+
+def test_a_failed_additive_publish_leaves_the_old_layout(spark, frame, tmp_path):
+    path, old = tmp_path / "t", frame((202501, "a", 1.0))
+    replace_periods(old, str(path), [202501])
+    wider = frame((202502, "b", 2.0), (209901, "stray", 1.0)).withColumn("MORE", F.lit(1))
+    with pytest.raises(PySparkException, match="not to be replaced"):
+        replace_periods(wider, str(path), [202502], additive=True)
+    assert replace_periods(frame((202501, "c", 3.0)), str(path), [202501]) == {202501: 1}
+    assert read_table(spark, str(path)).columns == ["ID_PER", "CODE", "N"] and layouts(path) == ["_layout-000001.json"]
+    replace_periods(wider.where("ID_PER = 202502"), str(path), [202502], additive=True)
+    assert read_table(spark, str(path)).columns == ["ID_PER", "CODE", "N", "MORE"] and layouts(path) == ["_layout-000001.json", "_layout-000002.json"]
+    with pytest.raises(ValueError, match="layout differs"):
+        replace_periods(old, str(path), [202501])
+
+
+def test_a_layout_not_stored_is_completed_by_running_again(spark, frame, tmp_path, monkeypatch):
+    """A run that dies between the data's commit and the layout's: the table reads in the
+    old layout until it runs again."""
+    import sieveline.sinks.partitions as module
+
+    path, wider = str(tmp_path / "t"), frame((202502, "b", 2.0)).withColumn("MORE", F.lit(1))
+    replace_periods(frame((202501, "a", 1.0)), path, [202501])
+
+    def dies(*args):
+        raise OSError("gone")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(module, "store_layout", dies)
+        with pytest.raises(OSError, match="gone"):
+            replace_periods(wider, path, [202502], additive=True)
+    assert content(spark, path) == [(202501, "a", 1.0), (202502, "b", 2.0)]
+    replace_periods(wider, path, [202502], additive=True)
+    assert content(spark, path) == [(202501, "a", 1.0, None), (202502, "b", 2.0, 1)]
+
+
+def test_an_unversioned_layout_is_the_first_version(spark, frame, tmp_path):
+    path = tmp_path / "t"
+    replace_periods(frame((202501, "a", 1.0)), str(path), [202501])
+    (path / "_layout-000001.json").rename(path / "_layout.json")
+    with pytest.raises(ValueError, match="layout differs"):
+        replace_periods(frame((202502, "b", 2.0)).drop("N"), str(path), [202502])
+    replace_periods(frame((202502, "b", 2.0)).withColumn("MORE", F.lit("m")), str(path), [202502], additive=True)
+    assert layouts(path) == ["_layout-000001.json", "_layout.json"]
+    assert content(spark, str(path)) == [(202501, "a", 1.0, None), (202502, "b", 2.0, "m")]
+
+
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_emptied_periods_are_in_the_one_commit(spark, frame, tmp_path, monkeypatch, rebalance):
+    """Nothing is written behind the commit, so a failure cannot leave old rows in a period
+    that is to be empty."""
+    import sieveline.sinks.partitions as module
+
+    path, commits = str(tmp_path / "t"), []
+    replace_periods(frame((202501, "a", 1.0), (202502, "b", 2.0)), path, [202501, 202502])
+    real = module.write_partitions
+    monkeypatch.setattr(module, "write_partitions", lambda *a, **k: commits.append(a) or real(*a, **k))
+    monkeypatch.setattr(module, "store_layout", lambda *a: content(spark, path) == [(202501, "c", 3.0)] or pytest.fail("emptied later"))
+    assert replace_periods(frame((202501, "c", 3.0)), path, [202501, 202502, 202503], rebalance=rebalance) == {202501: 1, 202502: 0, 202503: 0}
+    assert len(commits) == 1 and content(spark, path) == [(202501, "c", 3.0)]
+    with pytest.raises(ValueError, match="_mark"):
+        replace_periods(frame((202501, "c", 3.0)).withColumn("_mark", F.lit(True)), path, [202501])
+
+
 def test_large_period_is_split_when_rebalanced(spark, tmp_path):
     df = spark.range(0, 200_000, numPartitions=16).select(
         F.when(F.col("id") % 10 < 9, 202501).otherwise(202502).alias("ID_PER"), F.sha2(F.col("id").cast("string"), 256).alias("H")
@@ -224,6 +302,7 @@ class FakeDatabase:
         self.rows, self.writes, self.reads = [], [], []
         real_save, real_load = DataFrameWriter.save, DataFrameReader.load
         real_option, real_mode = DataFrameWriter.option, DataFrameWriter.mode
+        real_read_option = DataFrameReader.option
         formats, options = {}, {}
 
         def set_format(target, name):
@@ -232,7 +311,9 @@ class FakeDatabase:
 
         def set_option(target, key, value):
             options.setdefault(id(target), {})[key] = value
-            return real_option(target, key, value) if isinstance(target, DataFrameWriter) else target
+            if isinstance(target, DataFrameWriter):
+                return real_option(target, key, value)
+            return target if formats.get(id(target)) == "jdbc" else real_read_option(target, key, value)
 
         def set_options(target, **values):
             options.setdefault(id(target), {}).update(values)
@@ -329,3 +410,25 @@ def test_second_publication_empties_the_period(spark, frame, tmp_path, monkeypat
     for n in (1.0, 2.0):
         assert publish(frame((202501, "a", n)), RULES, path, [202501], jdbc=target) == {202501: 1}
         assert db.rows == [(202501, "a", n)]
+
+
+def test_a_failing_empty_leaves_the_table(spark, frame, tmp_path, monkeypatch):
+    """All periods are emptied and checked before the table is touched."""
+    path, db, emptied = str(tmp_path / "t"), FakeDatabase(spark, monkeypatch), []
+    publish(frame((202501, "a", 1.0), (202502, "b", 1.0)), RULES, path, [202501, 202502])
+    files = sorted((tmp_path / "t").rglob("*.parquet"))
+    new = frame((202501, "x", 2.0), (202502, "y", 2.0))
+
+    def refuses(period):
+        emptied.append(period)
+        if period == 202502:
+            raise PermissionError("not allowed")
+
+    with pytest.raises(PermissionError):
+        publish(new, RULES, path, [202501, 202502], jdbc=JdbcTarget("jdbc:x", "T", empty_period=refuses))
+    assert emptied == [202501, 202502]
+    db.rows.append((202502, "old", 1.0))
+    with pytest.raises(ValueError, match="already has 1 rows"):  # a statement that empties nothing
+        publish(new, RULES, path, [202501, 202502], jdbc=JdbcTarget("jdbc:x", "T", empty_period=lambda period: None))
+    assert content(spark, path) == [(202501, "a", 1.0), (202502, "b", 1.0)] and sorted((tmp_path / "t").rglob("*.parquet")) == files
+    assert db.rows == [(202502, "old", 1.0)]
