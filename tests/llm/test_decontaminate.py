@@ -1,10 +1,16 @@
 """Benchmark items in texts: all unedited ones, edited ones at the target recall."""
 
 import random
+from collections import Counter
+
+import pyarrow.parquet as pq
+import pytest
 
 from sieveline.llm import decontaminate as dc
 from tests.llm.corpus import frame, near, prose, texts
 
+SF_DIR = "/root/testdata/sf0.01"
+
 
 def distance(item, text):
     """Least edit distance of the item to any part of the text, by the plain table."""
@@ -77,7 +83,7 @@ def test_items_of_many_lengths_and_passes(spark, monkeypatch):
     docs = frame(spark, rows)
     assert sorted((r.doc_id, r.item_id) for r in dc.find(docs, benchmark).collect()) == want
     monkeypatch.setattr(dc, "ITEM_BYTES", 600)
-    assert len(dc.indexes(benchmark)) > 1
+    assert len(list(dc.item_parts(benchmark))) > 1
     assert sorted((r.doc_id, r.item_id) for r in dc.find(docs, benchmark).collect()) == want
 
 
@@ -125,3 +131,58 @@ def test_short_items_and_scripts_without_spaces():
     assert got[4] == [(1, 31), (2, 0)] and got[5:] == [[(3, 1)], [(3, 0)], [], [], [(4, 0)], []]
     (hit,) = index.search(texts[:1])[0]
     assert texts[0][hit[2] : hit[3]] == bench[0][1]
+
+
+def edited(rng, text, share, even):
+    """Substituted, inserted and deleted characters, at random places or at even distances."""
+    n, out = int(share * len(text)), list(text)
+    places = [int((k + 0.5) / share) for k in range(n)] if even else rng.sample(range(len(text)), n)
+    for k in sorted(places, reverse=True):
+        out[k : k + rng.choice([0, 1, 1])] = rng.choice(["", "q", "e", " "])
+    return "".join(out)
+
+
+@pytest.mark.parametrize("even", [False, True])
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15, 0.2])
+def test_walks_reach_the_recall_on_the_benchmark(share, even):
+    """Recall over the given benchmark, up to the limit, also for edits placed so that no
+    run of five characters stays."""
+    table = pq.read_table(f"{SF_DIR}/benchmark.parquet").to_pydict()
+    index = dc.Index([(i, dc.normalize(t)) for i, t in zip(table["item_id"], table["text"])])
+    rng, found, there = random.Random(11), 0, 0
+    for _ in range(5):
+        changed = [edited(rng, t, share, even) for _, t in index.items]
+        hits = index.search([dc.normalize(prose(rng, 30) + ". " + c + " " + prose(rng, 30)) for c in changed])
+        for number, c in enumerate(changed):
+            if dc.best_match(index.items[number][1], dc.normalize(c), int(index.most[number])):
+                there += 1
+                found += any(h[0] == number for h in hits[number])
+    assert there >= 150 and found >= 0.95 * there, (found, there)
+
+
+def test_equals_the_distance_of_every_item_to_every_text(spark):
+    """Brute force over all pairs of a small corpus: nothing else is found, and what walks
+    may miss is rare."""
+    rng = random.Random(12)
+    bench = [(i, prose(rng, rng.randint(10, 70))) for i in range(25)]
+    rows = [(i, prose(rng, rng.randint(0, 150)), None) for i in range(60)]
+    for i, text in bench:
+        for k, share in enumerate((0.0, 0.07, 0.14, 0.19, 0.24)):
+            rows.append((1000 + 10 * i + k, f"{prose(rng, 20)} {edited(rng, text, share, False) if share else text}. {prose(rng, 20)}", None))
+    rows += [(2000, None, None), (2001, "", None), (None, bench[0][1], None), (2002, bench[1][1], None), (2002, bench[1][1], None)]
+    want = []
+    for doc_id, text, _ in rows:
+        for item, plain in bench:
+            goal = dc.normalize(plain)
+            if match := dc.best_match(goal, dc.normalize(text), int(dc.EDITS * len(goal))):
+                want.append((doc_id, item, match[0]))
+    benchmark = spark.createDataFrame(bench, "item_id long, text string")
+    got = [(r.doc_id, r.item_id, r.distance) for r in dc.find(frame(spark, rows), benchmark).collect()]
+    assert not Counter(got) - Counter(want) and len(got) >= 0.98 * len(want) > 90
+
+
+def test_windows_start_in_any_script_and_long_words():
+    chinese = "".join(chr(0x4E00 + i) for i in range(30))
+    text = "ab, c\u00e9d " + chinese + " " + "x" * 40
+    starts = dc.window_starts(dc.points_of(text)).tolist()
+    assert starts[:2] == [0, 4] and starts[2:32] == list(range(8, 38)) and starts[32] == 39 and starts[33:] == list(range(39 + dc.LONG_WORD, 79))
