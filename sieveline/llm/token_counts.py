@@ -10,6 +10,8 @@ has white space behind anything else within one piece and looks ahead only withi
 white space, so every place before white space that follows something else is safe,
 unless a special token has it inside. A text without such a place is not cut, and neither
 are the texts of other kinds of tokenizers, for which nothing is known of the kind.
+The same boundaries part a batch into words, each of which is encoded once per batch, or
+once per worker if it is short.
 """
 
 from __future__ import annotations
@@ -32,7 +34,12 @@ from sieveline.llm.common import keyed_texts, map_batches
 BATCH_BYTES = 1 << 20
 LIMIT = 512
 
+#: Words whose counts a worker remembers, and their longest length in characters.
+KNOWN_WORDS, KNOWN_LENGTH = 400_000, 64
+
 _SPACE = re.compile(rb"[ \n]")
+# White space and what follows it: every one of these begins at a safe boundary.
+_WORD = re.compile(r"\s*\S+|\s+\Z")
 # White space of several bytes; a place behind it is not safe.
 _WIDE_SPACE = "\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -95,7 +102,24 @@ class Counter:
         self.special = [t.content.encode() for t in tokenizer.get_added_tokens_decoder().values()]
         self.cuts = _cuts_at_spaces(tokenizer)
         encode = tokenizer.encode_batch_fast
-        self.count = lambda texts: [len(e) for e in encode(texts, add_special_tokens=False)]
+        self.encode = lambda texts: [len(e) for e in encode(texts, add_special_tokens=False)]
+        self.known: dict[str, int] = {}
+        self.count = self.by_words if self.cuts else self.encode
+
+    def by_words(self, texts: list[str]) -> list[int]:
+        """The tokens of each text as the sum of its words'."""
+        words = [_WORD.findall(t) for t in texts]
+        distinct = set().union(*words)
+        new = list(distinct - self.known.keys())
+        if len(self.known) + len(new) > KNOWN_WORDS:
+            self.known.clear()
+            new = list(distinct)
+        self.known.update(zip(new, self.encode(new)))
+        counts = [sum(map(self.known.__getitem__, w)) for w in words]
+        for word in new:
+            if len(word) > KNOWN_LENGTH:
+                del self.known[word]
+        return counts
 
     @staticmethod
     @cache
