@@ -1,11 +1,12 @@
 """Fuzzy deduplication of lines by MinHash.
 
-A line's set is its shingles of eight bytes, A-Z in lower case and white space as one
+A line's set is its shingles of eight characters, A-Z in lower case and white space as one
 space; a shorter line is its own shingle, so only equal lines are similar to it. Equal
 lines are one class, at any length; blank lines are none and stay. Of each class a MinHash signature is cut into bands;
 lines that share a band are compared by the exact Jaccard similarity of their sets, and
 union-find over the similar ones (distributed, in rounds of stars) gives the components,
-of which one line is kept: the first of the document with the smallest id.
+of which one line is kept: the first of the document with the smallest id. Shingles are
+compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.functions.predicates import quoted
 from sieveline.llm.common import keyed_texts, map_batches, text_hash
-from sieveline.llm.links import checked_broadcast, linked, lookup
-from sieveline.shared import written
+from sieveline.llm.links import bitmap, checked_broadcast, linked, lookup
+from sieveline.shared import owned, written
 
-#: Bytes of a shingle; bytes of a line below which it is always kept: only blank ones.
+#: Characters of a shingle; bytes of a line below which it is always kept: only blank ones.
 SHINGLE = 8
 MIN_BYTES = 1
 #: Percent of the union that two lines share at least.
@@ -32,8 +33,8 @@ PERCENT = 80
 #: Bands and rows of the signature. At the threshold itself a pair is found with
 #: probability 1 - (1 - 0.8 ** ROWS) ** BANDS = 0.998, above it more often.
 BANDS, ROWS = 12, 4
-#: Lines whose shingles a task keeps while it compares pairs.
-KEPT = 2000
+#: Bytes of lines whose shingles a task keeps while it compares pairs.
+KEPT_BYTES = 1 << 22
 #: Lines a task remembers to give each signature once; it forgets them all then.
 SEEN = 300_000
 PIECE = 1 << 20
@@ -49,31 +50,44 @@ def _functions() -> tuple[np.ndarray, np.ndarray]:
     return random.integers(0, 1 << 32, n, np.uint32), random.integers(0, 1 << 31, n, np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def grams_of(line: bytes) -> frozenset[bytes]:
-    """Distinct shingles of a normalized line; a line shorter than one is one."""
-    if len(line) < SHINGLE:
-        return frozenset((line,))
-    return frozenset(line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1))
-
-
-def mixed_grams(joined: bytes, n: int) -> np.ndarray:
-    """Hashes of the shingles that begin at the first ``n`` bytes."""
-    grams = np.ndarray((n,), "<u8", joined, strides=(1,)) * np.uint64(0x9E3779B97F4A7C15)
+def mixed_grams(points: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of the shingles that begin at the first ``n`` characters."""
+    grams = np.zeros(n, np.uint64)
+    for k in range(SHINGLE):
+        grams *= np.uint64(0x9E3779B97F4A7C15)
+        grams += points[k : k + n]
     grams ^= grams >> np.uint64(29)
     grams *= np.uint64(0xBF58476D1CE4E5B9)
-    return grams
+    return grams ^ (grams >> np.uint64(32))
+
+
+def points_of(line: bytes) -> np.ndarray:
+    """The characters; a byte that is no UTF-8 counts as one."""
+    if line.isascii():
+        return np.frombuffer(line, np.uint8)
+    return np.frombuffer(line.decode("utf-8", "surrogateescape").encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def signatures(lines: list[bytes]) -> tuple[np.ndarray, list[int]]:
-    """Lines x bands, a hash of each band's minima; the size of each line's set. For
-    lines of ``SHINGLE`` bytes or more."""
-    lengths = np.array([len(x) for x in lines], np.int64)
+def grams_of(line: bytes) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a normalized line; a line shorter than
+    one is one."""
+    points = points_of(line)
+    if len(points) < SHINGLE:
+        return np.array([xxhash.xxh64_intdigest(line)], np.uint64)
+    return np.unique(mixed_grams(points, len(points) - SHINGLE + 1))
+
+
+def signatures(lines: list[bytes]) -> tuple[np.ndarray, list[int], list[bytes]]:
+    """Lines x bands, a hash of each band's minima; size and bitmap of each line's set.
+    For lines of ``SHINGLE`` characters or more."""
+    parts = [points_of(x) for x in lines]
+    lengths = np.array([len(p) for p in parts], np.int64)
     ends = np.cumsum(lengths)
-    grams = mixed_grams(b"".join(lines) + bytes(SHINGLE), int(ends[-1]))
-    inside = np.ones(len(grams), bool)
+    points = np.concatenate([*parts, np.zeros(SHINGLE, np.uint8)])
+    inside = np.ones(int(ends[-1]), bool)
     for k in range(1, SHINGLE):
         inside[ends - k] = False
-    grams = grams[inside]
+    grams = mixed_grams(points, int(ends[-1]))[inside]
     hashes = (grams >> np.uint64(32)).astype(np.uint32)
     starts = np.concatenate(([0], np.cumsum(lengths - SHINGLE + 1)))
     flips, factors = _functions()
@@ -87,12 +101,14 @@ def signatures(lines: list[bytes]) -> tuple[np.ndarray, list[int]]:
             key = (key ^ np.minimum.reduceat(work, starts[:-1])) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(32)
         keys[:, band] = key
-    sizes = []
+    sizes, bitmaps = [], []
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
         own = grams[a:b]
         own.sort()
-        sizes.append(1 + int(np.count_nonzero(own[1:] != own[:-1])))
-    return keys.view(np.int64), sizes
+        own = own[np.concatenate(([True], own[1:] != own[:-1]))]
+        sizes.append(len(own))
+        bitmaps.append(bitmap(own))
+    return keys.view(np.int64), sizes, bitmaps
 
 
 def similar(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
@@ -100,20 +116,24 @@ def similar(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
     return overlap_at_least(grams_of(a), grams_of(b), percent)
 
 
-def overlap_at_least(a: frozenset[bytes], b: frozenset[bytes], percent: int = PERCENT) -> bool:
+def overlap_at_least(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether the intersection has ``percent`` of the union."""
     least = percent * (len(a) + len(b))
-    return (100 + percent) * min(len(a), len(b)) >= least and (100 + percent) * len(a & b) >= least
+    if (100 + percent) * min(len(a), len(b)) < least:
+        return False
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    return bool((100 + percent) * np.count_nonzero(both[1:] == both[:-1]) >= least)
 
 
 def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``(doc_id, text_hash, place, identity, bands, size)`` of each line that is long
-    enough; the last two are null where the task has given them for an equal line, and
+    """``(doc_id, text_hash, place, identity, bands, size, bitmap)`` of each line that is long
+    enough; the last three are null where the task has given them for an equal line, and
     for lines shorter than a shingle, which meet equal ones by identity alone."""
     min_bytes = max(1, min_bytes)
     doc_type = to_arrow_type(texts.schema["doc_id"].dataType)
-    kinds = [doc_type, pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32()]
-    names = ["doc_id", "text_hash", "place", "identity", "bands", "size"]
+    kinds = [doc_type, pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
+    names = ["doc_id", "text_hash", "place", "identity", "bands", "size", "bitmap"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -126,8 +146,8 @@ def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
             nonlocal rows, fresh, at, size
             signed: list[list] = [[None] * len(rows) for _ in kinds[4:]]
             if fresh:
-                keys, sizes = signatures(fresh)
-                for i, *values in zip(at, keys.tolist(), sizes):
+                keys, *rest = signatures(fresh)
+                for i, *values in zip(at, keys.tolist(), *rest):
                     for column, value in zip(signed, values):
                         column[i] = value
             columns = [pa.array(c, k) for c, k in zip([*zip(*rows), *signed], kinds)]
@@ -146,7 +166,7 @@ def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
                     if len(line) < min_bytes or len(norm := normalize(line)) < min_bytes:
                         continue
                     identity = xxhash.xxh3_128_digest(norm)
-                    if len(norm) >= SHINGLE and identity not in seen:
+                    if identity not in seen and len(norm) >= SHINGLE and (norm.isascii() or len(points_of(norm)) >= SHINGLE):
                         if len(seen) >= SEEN:
                             seen.clear()
                         seen.add(identity)
@@ -160,7 +180,7 @@ def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
             yield flush()
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return map_batches(texts, run, f"doc_id {kind}, text_hash bigint, place int, identity binary, bands array<bigint>, size int")
+    return map_batches(texts, run, f"doc_id {kind}, text_hash bigint, place int, identity binary, bands array<bigint>, size int, bitmap binary")
 
 
 def with_lines(rows: DataFrame) -> DataFrame:
@@ -188,23 +208,30 @@ def verified(pairs: DataFrame, percent: int) -> DataFrame:
     """Of ``(a, b, line_a, line_b)`` the pairs over the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[int, frozenset[bytes]] = {}
+        kept: dict[int, np.ndarray] = {}
+        size = 0
 
-        def grams(node: int, line: bytes) -> frozenset[bytes]:
+        def grams(node: int, line: pa.Scalar) -> np.ndarray:
+            nonlocal size
             if node not in kept:
-                if len(kept) >= KEPT:
+                raw = line.as_py()
+                if size + len(raw) > KEPT_BYTES:
                     kept.clear()
-                kept[node] = grams_of(line)
+                    size = 0
+                kept[node] = grams_of(raw)
+                size += len(raw)
             return kept[node]
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("a", "line_a", "b", "line_b")]
-            links = pa.array([overlap_at_least(grams(a, x), grams(b, y), percent) for a, x, b, y in zip(*columns)], pa.bool_())
+            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            rows = zip(a, batch.column("line_a"), b, batch.column("line_b"))
+            links = pa.array([overlap_at_least(grams(i, x), grams(j, y), percent) for i, x, j, y in rows], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(links), batch.column("b").filter(links)], ["a", "b"])
 
     return map_batches(pairs, run, "a bigint, b bigint")
 
 
+@owned
 def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, min_bytes: int = MIN_BYTES) -> DataFrame:
     """``(doc_id, text_hash, removed)``: the places of the lines that go, for each
     document that loses any.
@@ -216,11 +243,11 @@ def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     texts = keyed_texts(docs, id_column, text_column)
     lines = written(lines_of(texts, min_bytes), "lines")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place", "text_hash")
-    signed = [F.first(c, True).alias(c) for c in ("bands", "size")]
+    signed = [F.first(c, True).alias(c) for c in ("bands", "size", "bitmap")]
     classes = lines.groupBy("identity").agg(F.min(order).alias("first"), F.count("*").alias("n"), *signed)
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     nodes = classes.select("node", "identity", "first")
-    postings = classes.select("node", "size", F.explode("bands").alias("key"))
+    postings = classes.select(F.explode("bands").alias("key"), "node", "size", F.lit(0).alias("place"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         """The lines of all nodes of the pairs are read again where they are, in one
@@ -236,10 +263,9 @@ def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         of_b = read.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
         return verified(pairs.join(of_b.hint("merge"), "b").join(of_a.hint("merge"), "a"), percent)
 
-    possible = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
-    components = linked(postings, postings, verify, possible, possible)
+    components = linked(postings, None, classes.select("node", "bitmap"), verify, percent)
     # What stays of each class: the first line of its component, or of itself.
-    reached = classes.drop("bands", "size").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    reached = classes.drop("bands", "size", "bitmap").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     reached = written(reached.where(F.col("n") > 1).unionByName(reached.where((F.col("n") == 1) & (F.col("component") != F.col("node"))))
                       .unionByName(reached.where(F.col("n") == 1).join(components.select("component").distinct(), "component", "left_semi")
                                    .where(F.col("component") == F.col("node")).select(reached.columns)), "reached")
@@ -247,9 +273,9 @@ def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     total, rows = reached.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     table = lookup(reached.select("identity", "n", "component").withColumnRenamed("n", "rows"), written(keep, "keep"), "component", total)
     table = written(table.select("identity", F.col("rows").alias("n"), "keep"), "keep")
-    judged = lookup(lines.drop("bands", "size"), table, "identity", rows).where("keep IS NOT NULL")
+    judged = lookup(lines.drop("bands", "size", "bitmap"), table, "identity", rows).where("keep IS NOT NULL")
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("place") == F.col("keep.place")) & (F.col("text_hash") == F.col("keep.text_hash"))
-    return written(judged.where(~stays).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("place")).alias("removed")), "removed")
+    return judged.where(~stays).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("place")).alias("removed"))
 
 
 def apply_removals(docs: DataFrame, removed: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -258,7 +284,11 @@ def apply_removals(docs: DataFrame, removed: DataFrame, id_column: str = "doc_id
     cells = removed.agg(F.coalesce(F.sum(F.size("removed") + 8), F.lit(0))).first()[0]
     same = quoted(id_column).eqNullSafe(F.col("__id")) & (F.xxhash64(quoted(text_column).cast("string")) == F.col("__hash"))
     joined = docs.join(checked_broadcast(gone, cells // 8), same, "left")
-    stays = F.filter(F.split(quoted(text_column).cast("string"), "\n", -1), lambda x, i: ~F.array_contains(F.col("__gone"), i))
+    # Split once; the places that stay are found by hash: linear in the lines of a text.
+    split = F.when(F.col("__gone").isNotNull(), F.split(quoted(text_column).cast("string"), "\n", -1))
+    joined = joined.withColumn("__lines", split)
+    left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), F.col("__gone"))
+    stays = F.transform(left, lambda i: F.element_at(F.col("__lines"), i + 1))
     text = F.when(F.col("__gone").isNull(), quoted(text_column).cast("string")).otherwise(F.array_join(stays, "\n"))
     columns = [text.alias(c) if c == text_column else quoted(c) for c in docs.columns if c != "removed"]
     return joined.select(*columns, F.col("__gone").alias("removed"))

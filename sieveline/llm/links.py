@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveline.functions.predicates import quoted
@@ -20,10 +20,12 @@ from sieveline.shared import written
 
 #: Rows up to which a list of fixed-size rows is broadcast. Beyond, it is joined by shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Members of a key that meet each other at once.
-BLOCK = 256
-#: The size of a set in a range of hashes from which the range bounds nothing.
-FULL = 255
+#: Bytes of the members of a key that meet each other at once, and block pairs of a batch.
+BLOCK_BYTES = 1 << 16
+BLOCK_PAIRS = 64
+#: Bytes of a set's bitmap, at least and at most: half a byte for each of its elements, and
+#: up to twice that.
+LEAST_BITS, MOST_BITS = 32, 1 << 16
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
@@ -102,11 +104,9 @@ def _digest(edges: DataFrame) -> tuple[int, int]:
 
 def best_anchors(sketches: DataFrame, possible: Callable[[Column, Column], Column]) -> DataFrame:
     """``(a, b)``: for each node ``b`` that shares a key with another one node ``a``, of
-    those that its keys name the one named most often. A key names the node that shares
+    those that its keys, which others have too, name the one named most often. A key names the node that shares
     most of its own keys: in a group of near copies, what they are copies of."""
-    grouped = written(sketches.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "keys")
-    shared = grouped.agg(F.sum("n")).first()[0] or 0
-    near = written(with_listed(sketches, grouped, "key", shared), "sketches")
+    near, shared = sketches, sketches.count()
     counts = written(near.groupBy("node").agg(F.count("*").alias("n")).withColumn("shared", F.col("n")), "counts")
     ranked = with_listed(near, counts, "node", shared)
     named = F.max(F.struct("shared", (-F.col("node")).alias("first"), "size"))
@@ -122,74 +122,160 @@ def best_anchors(sketches: DataFrame, possible: Callable[[Column, Column], Colum
 
 def linked(
     postings: DataFrame,
-    sketches: DataFrame,
+    sketches: DataFrame | None,
+    bitmaps: DataFrame,
     verify: Callable[[DataFrame], DataFrame],
-    possible: Callable[[Column, Column], Column],
-    alike: Callable[[Column, Column], Column],
+    percent: int,
 ) -> DataFrame:
     """Components ``(node, component)`` of the verified links between nodes that share
-    a key. ``postings`` and ``sketches`` have ``key``, ``node`` (a number) and ``size``.
+    a key. ``postings`` has ``key``, ``node`` (a number), the ``size`` of its set and the
+    ``place`` of the key in it (0 if it is in no order); ``sketches`` the same without places,
+    None if they are the postings; ``bitmaps`` has the ``bitmap`` of each node's set. A link
+    shares ``percent`` of the union of two sets.
 
     First each node is paired with one other, by the few keys of its sketch (see
     ``best_anchors``), which joins most of a large group without its pairs. Then, by
-    their postings, only nodes of one key that are still apart are paired, all of them,
-    so no link that would join two components is missed. ``verify`` takes distinct pairs
-    ``(a, b)`` and keeps the links. ``possible`` is a condition on the sizes of two
-    postings that every link meets at one key or more, ``alike`` one on those of sketches.
+    their postings, only nodes of one key that are still apart are compared, all of them,
+    in blocks: lengths, places and bitmaps rule out whatever cannot be a link before it
+    becomes a row, so no link that would join two components is missed. ``verify`` takes
+    distinct pairs ``(a, b)`` and keeps the links.
     """
-    first = written(verify(written(best_anchors(sketches.select("key", "node", "size"), alike), "pairs")), "links")
+    alike = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
+    few = written(shared_keys(postings if sketches is None else sketches), "sketches")
+    first = written(verify(written(best_anchors(few.select("key", "node", "size"), alike), "pairs")), "links")
     components = connected(first)
 
     joined = checked_broadcast(components, components.count())
-    members = postings.join(joined, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
-    mixed = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo != hi")
-    mixed = written(mixed.select("key", "n", F.ceil(F.col("n") / BLOCK).alias("parts")), "mixed")
+    several = few if sketches is None else postings
+    members = several.join(joined, "node", "left").select("key", "node", "size", "place", F.coalesce("component", "node").alias("component"))
+    bytes_of = F.lit(32) + bitmap_bytes(F.col("size"))
+    mixed = members.groupBy("key").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum(bytes_of).alias("bytes")
+    )
+    mixed = written(mixed.where("lo != hi").select("key", "n", F.ceil(F.col("bytes") / BLOCK_BYTES).alias("parts")), "mixed")
     apart = with_listed(members, mixed, "key", mixed.agg(F.sum("n")).first()[0] or 0)
+    apart = apart.join(bitmaps, "node")
     block = F.pmod(F.xxhash64("node"), F.col("parts"))
-    blocks = apart.groupBy("key", "parts", block.alias("block")).agg(F.collect_set(F.struct("node", "size", "component")).alias("members"))
+    member = F.struct("node", "component", "size", "place", "bitmap")
+    blocks = apart.groupBy("key", "parts", block.alias("block")).agg(
+        F.collect_list(member).alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi")
+    )
     blocks = written(blocks, "blocks")
     # Each pair of blocks meets by itself, so that no task gets all blocks of a key.
-    held = [F.array_min("members.component").alias("lo"), F.array_max("members.component").alias("hi")]
-    left = blocks.select("key", F.col("block").alias("x_block"), F.explode(F.sequence("block", F.col("parts") - 1)).alias("y_block"), F.col("members").alias("left"), *held)
-    right = blocks.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("x_block"), F.col("block").alias("y_block"), F.col("members").alias("right"), *held)
-    met = left.join(right.withColumnsRenamed({"lo": "y_lo", "hi": "y_hi"}), ["key", "x_block", "y_block"]).where("least(lo, y_lo) < greatest(hi, y_hi)")
-
-    def partner(x: Column, y: Column) -> Column:
-        """Only pairs that can be links become rows."""
-        once = (F.col("x_block") < F.col("y_block")) | (x.node < y.node)
-        return once & (x.component != y.component) & possible(x.size, y.size)
-
-    pair = lambda x, y: F.struct(F.least(x.node, y.node).alias("a"), F.greatest(x.node, y.node).alias("b"))
-    pairs = F.flatten(F.transform("left", lambda x: F.transform(F.filter("right", lambda y: partner(x, y)), lambda y: pair(x, y))))
-    pairs = met.select(pairs.alias("pairs")).where("size(pairs) > 0").select(F.inline("pairs")).distinct()
-    second = written(verify(written(pairs, "pairs")), "links")
+    left = blocks.select("key", F.col("block").alias("x_block"), F.explode(F.sequence("block", F.col("parts") - 1)).alias("y_block"), F.col("members").alias("left"), "lo", "hi")
+    right = blocks.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("x_block"), F.col("block").alias("y_block"), F.col("members").alias("right"), F.col("lo").alias("y_lo"), F.col("hi").alias("y_hi"))
+    met = left.join(right, ["key", "x_block", "y_block"]).where("least(lo, y_lo) < greatest(hi, y_hi)")
+    pairs = _few_at_once(components.sparkSession, lambda: written(survivors(met, percent).distinct(), "pairs"))
+    second = written(verify(pairs), "links")
     if second.isEmpty():
         return components
     return connected(first.union(second))
 
 
-def range_sizes(sets: np.ndarray, ranges: int) -> np.ndarray:
-    """How many of 64-bit hashes lie in each of equal ranges (a power of two of them),
-    up to ``FULL``."""
-    shift = np.uint64(64 - ranges.bit_length() + 1)
-    return np.minimum(np.bincount((sets >> shift).astype(np.int64), minlength=ranges), FULL).astype(np.uint8)
+def _few_at_once(spark: SparkSession, job: Callable[[], DataFrame]) -> DataFrame:
+    """Run a job whose Arrow batches hold few block pairs, whatever the session's batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(BLOCK_PAIRS))
+    try:
+        return job()
+    finally:
+        spark.conf.set(name, before)
+
+
+def shared_keys(postings: DataFrame) -> DataFrame:
+    """The postings whose key another one has."""
+    grouped = written(postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "keys")
+    return with_listed(postings, grouped, "key", grouped.agg(F.sum("n")).first()[0] or 0)
+
+
+def bitmap_bytes(size: Column) -> Column:
+    """Bytes of the bitmap of a set, by its size."""
+    power = F.pow(F.lit(2.0), F.ceil(F.log2(F.greatest(size, F.lit(1)).cast("double") / 2)))
+    return F.least(F.greatest(power, F.lit(float(LEAST_BITS))), F.lit(float(MOST_BITS))).cast("int")
+
+
+def bitmap_width(size: int) -> int:
+    width = LEAST_BITS
+    while width < MOST_BITS and 2 * width < size:
+        width *= 2
+    return width
+
+
+def bitmap(sets: np.ndarray) -> bytes:
+    """The parities of how many of a set's 64-bit hashes fall on each bit. Two sets differ in
+    at least as many elements as their bitmaps in bits."""
+    width = bitmap_width(len(sets))
+    places = (sets >> np.uint64(64 - (8 * width).bit_length() + 1)).astype(np.int64)
+    odd = np.bincount(places, minlength=8 * width) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose sets ``(node, size, ranges)`` can still share
-    ``percent`` of their union: they share at most the sum, over the ranges of hashes,
-    of the smaller sizes."""
-    of_a = sets.select(F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("ranges").alias("ranges_a"))
-    of_b = sets.select(F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("ranges").alias("ranges_b"))
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps (rows of bytes) as those of a smaller width: neighbouring bits fall together."""
+    while bits.shape[1] > width:
+        wide = np.unpackbits(bits, axis=1)
+        bits = np.packbits(wide[:, ::2] ^ wide[:, 1::2], axis=1)
+    return bits
+
+
+class Members:
+    """The members of a block as arrays."""
+
+    def __init__(self, values: pa.StructArray):
+        self.node, self.component, self.size, self.place = (
+            values.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("node", "component", "size", "place")
+        )
+        self.bits = values.field("bitmap").to_pylist()
+        self.width = np.array([len(b) for b in self.bits], np.int64)
+        self.made: dict[int, np.ndarray] = {}
+
+    def at(self, width: int) -> np.ndarray:
+        """The bitmaps in a width, as words; zeros for those that are narrower."""
+        if width not in self.made:
+            rows = np.zeros((len(self.bits), width), np.uint8)
+            for own in np.unique(self.width[self.width >= width]).tolist():
+                some = np.flatnonzero(self.width == own)
+                raw = np.frombuffer(b"".join(self.bits[i] for i in some), np.uint8).reshape(len(some), own)
+                rows[some] = folded(raw, width)
+            self.made[width] = rows.view(np.uint64)
+        return self.made[width]
+
+
+def possible_pairs(x: Members, y: Members, same_block: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which members can be linked: of different components, by their sizes, by what is
+    left of their sets behind the key, and by the bits in which their bitmaps differ."""
+    total = x.size[:, None] + y.size[None]
+    left = np.minimum((x.size - x.place)[:, None], (y.size - y.place)[None])
+    lengths = 100 * np.minimum(x.size[:, None], y.size[None]) >= percent * np.maximum(x.size[:, None], y.size[None])
+    mask = (x.component[:, None] != y.component[None]) & lengths & ((100 + percent) * left >= percent * total)
+    mask &= x.node[:, None] < y.node[None] if same_block else x.node[:, None] != y.node[None]
+    i, j = np.nonzero(mask)
+    widths = np.minimum(x.width[i], y.width[j])
+    kept = np.zeros(len(i), bool)
+    for width in np.unique(widths).tolist():
+        some = np.flatnonzero(widths == width)
+        a, b = x.at(width), y.at(width)
+        for at in range(0, len(some), 1 + (1 << 22) // width):
+            part = some[at : at + 1 + (1 << 22) // width]
+            differ = np.bitwise_count(a[i[part]] ^ b[j[part]]).sum(axis=1, dtype=np.int64)
+            kept[part] = (100 + percent) * differ <= (100 - percent) * total[i[part], j[part]]
+    return i[kept], j[kept]
+
+
+def survivors(met: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``, a below b: the pairs of members of two blocks that can be links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.num_rows
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(rows, -1) for c in ("ranges_a", "ranges_b"))
-            smaller = np.minimum(x, y)
-            total = batch.column("size_a").to_numpy().astype(np.int64) + batch.column("size_b").to_numpy()
-            kept = ((100 + percent) * smaller.sum(axis=1, dtype=np.int64) >= percent * total) | (smaller == FULL).any(axis=1)
-            mask = pa.array(kept)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
-
-    return map_batches(pairs.join(of_a.hint("merge"), "a").join(of_b.hint("merge"), "b"), run, "a bigint, b bigint")
+            same = batch.column("same").to_pylist()
+            pairs = []
+            for row in range(batch.num_rows):
+                x, y = (Members(batch.column(c)[row].values) for c in ("left", "right"))
+                i, j = possible_pairs(x, y, same[row], percent)
+                a, b = x.node[i], y.node[j]
+                pairs.append(np.stack((np.minimum(a, b), np.maximum(a, b))))
+            found = np.concatenate(pairs, axis=1) if pairs else np.empty((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+
+    return map_batches(met.select((F.col("x_block") == F.col("y_block")).alias("same"), "left", "right"), run, "a bigint, b bigint")

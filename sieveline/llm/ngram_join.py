@@ -1,11 +1,13 @@
 """Jaccard self-join of texts on word n-grams by rare-first prefix filtering.
 
-Texts with equal sets of n-grams are one class. Of each class's set, in an order that
-has frequent n-grams last, only a prefix is indexed: two sets over the threshold share
-an n-gram of their prefixes. Pairs that meet there pass the length filter, the positional
-filter (what stands behind the places that meet bounds the overlap), and the suffix
-filter (the sets' sizes in ranges of hashes bound it too), and are then verified once
-on whole sets. N-grams are compared by 64-bit hashes, sets by 128-bit ones.
+Texts with equal sets of n-grams are one class. All n-grams have one global order, by a
+Count-Min sketch that every task fills and Spark sums up, the rarest first. Of each
+class's set only a prefix is indexed: two sets over the threshold share an n-gram of their
+prefixes, and n-grams that the sketch says are in one text alone need no entry. Texts that
+meet there pass the length filter, the positional filter (what stands behind the places
+that meet bounds the overlap), and the suffix filter (the bits in which bitmaps of the
+whole sets differ bound it too), and are then verified once on whole sets. N-grams are
+compared by 64-bit hashes, sets by 128-bit ones.
 """
 
 from __future__ import annotations
@@ -20,19 +22,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from sieveline.functions.predicates import quoted
-from sieveline.llm.common import keyed_texts, map_batches, text_hash
-from sieveline.llm.links import checked_broadcast, linked, lookup, range_sizes, suffix_filter
-from sieveline.shared import written
+from sieveline.llm.common import keyed_texts, map_batches, ship, text_hash
+from sieveline.llm.links import bitmap, checked_broadcast, linked, lookup
+from sieveline.shared import owned, written
 
 WORDS = 5
 #: Percent of the union that the intersection has at least.
 PERCENT = 80
-#: An n-gram is frequent in one of this many texts; at most so many are listed.
-FREQUENT_ONE_IN = 2000
-FREQUENT_LIST = 1_000_000
+#: Cells of the sketch of counts, in two rows, and the pieces in which they travel. A cell's
+#: noise is all n-grams over the cells; n-grams below it are in order of their hashes.
+CELLS, ROWS, PIECE = 1 << 21, 2, 1 << 16
 CACHED_WORDS = 200_000
-#: Ranges of hashes of the suffix filter; n-grams of a sketch.
-RANGES, SKETCH = 256, 8
+#: N-grams of a sketch of a text.
+SKETCH = 8
 
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -73,26 +75,34 @@ def _texts(batch: pa.RecordBatch) -> Iterator[bytes | None]:
         yield value.as_py()
 
 
+def cells_of(grams: np.ndarray, row: int) -> np.ndarray:
+    """The cell of each n-gram in a row of the sketch."""
+    bits = np.uint64(CELLS.bit_length() - 1)
+    mixed = grams * np.uint64(0xD6E8FEB86659FD93) if row else grams
+    return (mixed >> (np.uint64(64) - bits)).astype(np.int64)
+
+
 def identify(texts: DataFrame, n: int = WORDS) -> DataFrame:
-    """``(doc_id, text_hash, n_shingles, identity, grams, counts)``: a row for each text,
-    and rows without identity that list n-grams that are frequent within a task."""
+    """``(doc_id, text_hash, n_shingles, identity, piece, cells)``: a row for each text,
+    and rows without identity that hold the task's sketch of counts in pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        counts = np.zeros((ROWS, CELLS), np.uint16)
         seen: list[np.ndarray] = []
-        texts = pending = 0
-        heavy: list[tuple[np.ndarray, np.ndarray]] = []
+        pending, any_text = 0, False
 
         def condense() -> None:
             nonlocal pending
-            grams, counts = np.unique(np.concatenate(seen), return_counts=True)
-            often = counts >= max(3, texts // (2 * FREQUENT_ONE_IN))
-            heavy.append((grams[often], counts[often]))
+            grams = np.concatenate(seen)
+            for row in range(ROWS):
+                cells, times = np.unique(cells_of(grams, row), return_counts=True)
+                counts[row, cells] = np.minimum(counts[row, cells] + times, 65535)
             seen.clear()
             pending = 0
 
-        kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        names = ["doc_id", "text_hash", "n_shingles", "identity", "grams", "counts"]
+        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+        names = ["doc_id", "text_hash", "n_shingles", "identity", "piece", "cells"]
         for batch in batches:
             wholes, sizes, identities = [], [], []
             for text in _texts(batch):
@@ -100,46 +110,51 @@ def identify(texts: DataFrame, n: int = WORDS) -> DataFrame:
                 wholes.append(None if text is None else text_hash(text))
                 sizes.append(len(grams))
                 identities.append(set_id(grams) if len(grams) else b"")
-                seen.append(grams)
-                pending += len(grams)
-                texts += 1
+                if len(grams):
+                    seen.append(grams)
+                    pending += len(grams)
+                    any_text = True
                 if pending > 1_500_000:
                     condense()
             rest = [pa.nulls(len(sizes), k) for k in kinds[2:]]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(wholes, kinds[0]), pa.array(sizes, kinds[0]), pa.array(identities, kinds[1]), *rest], names)
         if seen:
             condense()
-        for grams, counts in heavy:
-            if len(grams):
-                lists = [pa.array([x.astype(np.int64).tolist()], kinds[2]) for x in (grams.view(np.int64), counts)]
-                yield pa.RecordBatch.from_arrays([pa.nulls(1, doc_type), pa.nulls(1, kinds[0]), pa.nulls(1, kinds[0]), pa.nulls(1, kinds[1]), *lists], names)
+        if any_text:
+            raw = counts.reshape(-1)
+            pieces = [raw[at : at + PIECE].tobytes() for at in range(0, len(raw), PIECE)]
+            nothing = [pa.nulls(len(pieces), k) for k in (doc_type, kinds[0], kinds[0], kinds[1])]
+            yield pa.RecordBatch.from_arrays([*nothing, pa.array(range(len(pieces)), kinds[2]), pa.array(pieces, kinds[3])], names)
 
     doc_type = to_arrow_type(texts.schema["doc_id"].dataType)
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return map_batches(texts, run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, identity binary, grams array<bigint>, counts array<bigint>")
+    return map_batches(texts, run, f"doc_id {kind}, text_hash bigint, n_shingles bigint, identity binary, piece int, cells binary")
+
 
+def summed_counts(found: DataFrame) -> np.ndarray:
+    """The sum of all tasks' sketches, which has a fixed size. Each piece is summed up over
+    some of the tasks, and these sums over all."""
 
-def frequent(found: DataFrame, texts: int, grams: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and counts of n-grams that are frequent, in order of the hash. The counts
-    that tasks list are summed; the list is bounded, because the counts add up to at
-    most all n-grams."""
-    least = max(texts // FREQUENT_ONE_IN, grams // FREQUENT_LIST, 4)
-    listed = found.where("identity IS NULL").select(F.explode(F.arrays_zip("grams", "counts")).alias("x"))
-    summed = listed.groupBy(F.col("x.grams").alias("gram")).agg(F.sum("x.counts").alias("n")).where(F.col("n") >= least)
-    rows = summed.collect()
-    order = np.argsort(np.array([r["gram"] for r in rows], np.int64).view(np.uint64), kind="stable")
-    hashes = np.array([r["gram"] for r in rows], np.int64).view(np.uint64)[order]
-    return hashes, np.array([r["n"] for r in rows], np.int64)[order]
+    def run(key: tuple, table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(PIECE, np.int64)
+        for batch in table:
+            for raw in batch.column("cells"):
+                total += np.frombuffer(raw.as_buffer(), np.uint16 if len(raw.as_buffer()) == 2 * PIECE else np.uint32)
+        held = np.minimum(total, (1 << 32) - 1).astype(np.uint32)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([held.tobytes()], pa.binary())], ["piece", "cells"])
 
+    ship(found.sparkSession)
+    parts = found.where("identity IS NULL").select("piece", "cells", F.pmod(F.xxhash64("cells"), F.lit(32)).alias("some"))
+    sums = parts.groupBy("piece", "some").applyInArrow(run, "piece int, cells binary").groupBy("piece").applyInArrow(run, "piece int, cells binary")
+    counts = np.zeros((ROWS * CELLS // PIECE, PIECE), np.uint32)
+    for row in sums.collect():
+        counts[row["piece"]] = np.frombuffer(row["cells"], np.uint32)
+    return counts.reshape(ROWS, CELLS)
 
-def rare_first(sets: np.ndarray, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """A set ordered by frequency, then by hash; n-grams that are not listed come first."""
-    if not len(hashes):
-        return sets
-    place = np.searchsorted(hashes, sets)
-    place[place == len(hashes)] = 0
-    weight = np.where(hashes[place] == sets, counts[place], 0)
-    return sets[np.argsort(weight, kind="stable")]
+
+def weights(sets: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How many texts hold each n-gram, or more."""
+    return np.minimum.reduce([counts[row][cells_of(sets, row)] for row in range(ROWS)])
 
 
 def prefix_length(size: int, percent: int = PERCENT) -> int:
@@ -147,9 +162,9 @@ def prefix_length(size: int, percent: int = PERCENT) -> int:
 
 
 def standing(texts: DataFrame, ids: DataFrame, count: int) -> DataFrame:
-    """``ids`` with the text of each: ``least`` is an id that has it. Other texts of
-    the same id are told apart by ``identity`` when the sets are made."""
-    return texts.join(checked_broadcast(ids, count), F.col("doc_id").eqNullSafe(F.col("least"))).drop("doc_id", "least")
+    """``ids`` with the text of each, which ``least`` and ``text_hash`` name."""
+    same = F.col("doc_id").eqNullSafe(F.col("least")) & (F.xxhash64("text") == F.col("text_hash"))
+    return texts.join(checked_broadcast(ids, count), same).drop("doc_id", "least", "text_hash")
 
 
 def _sets(batch: pa.RecordBatch, hashes: WordHashes, n: int) -> Iterator[np.ndarray | None]:
@@ -163,28 +178,28 @@ def _sets(batch: pa.RecordBatch, hashes: WordHashes, n: int) -> Iterator[np.ndar
         yield grams if set_id(grams) == identity else None
 
 
-def profiles(stands: DataFrame, common: tuple[np.ndarray, np.ndarray], n: int, percent: int) -> DataFrame:
-    """``(node, size, prefix, ranges, sketch)`` of each standing text; the sketch has the
-    smallest hashes of its set."""
+def profiles(stands: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
+    """``(node, size, places, prefix, bitmap, sketch)`` of each standing text: the n-grams of
+    its prefix that another text may have, their places in the order, and the smallest
+    hashes of its set as a sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        kinds = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64())]
         for batch in batches:
-            nodes, sizes, prefixes, ranges, sketches = [], [], [], [], []
+            rows = []
             for node, sets in zip(batch.column("node").to_pylist(), _sets(batch, hashes, n)):
                 if sets is not None:
-                    nodes.append(node)
-                    sizes.append(len(sets))
-                    prefixes.append(rare_first(sets, *common)[: prefix_length(len(sets), percent)].view(np.int64))
-                    ranges.append(range_sizes(sets, RANGES).tobytes())
-                    sketches.append(sets[:SKETCH].view(np.int64))
-            ends = np.concatenate(([0], np.cumsum([len(p) for p in prefixes]))).astype(np.int32)
-            values = pa.array(np.concatenate(prefixes) if prefixes else np.empty(0, np.int64))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
-            columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), lists, pa.array(ranges, pa.binary()), pa.array(sketches, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["node", "size", "prefix", "ranges", "sketch"])
+                    often = weights(sets, counts)
+                    first = np.argsort(often, kind="stable")[: prefix_length(len(sets), percent)]
+                    places = np.flatnonzero(often[first] > 1)
+                    several = sets[often > 1]
+                    rows.append((node, len(sets), places, sets[first[places]].view(np.int64), bitmap(sets), several[:SKETCH].view(np.int64)))
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 6, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "size", "places", "prefix", "bitmap", "sketch"])
 
-    return map_batches(stands.select("node", "identity", "text"), run, "node bigint, size int, prefix array<bigint>, ranges binary, sketch array<bigint>")
+    schema = "node bigint, size int, places array<int>, prefix array<bigint>, bitmap binary, sketch array<bigint>"
+    return map_batches(stands.select("node", "identity", "text"), run, schema)
 
 
 def with_sets(stands: DataFrame, n: int) -> DataFrame:
@@ -196,7 +211,7 @@ def with_sets(stands: DataFrame, n: int) -> DataFrame:
             rows, size = [], 0
             for a, b, sets in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), _sets(batch, hashes, n)):
                 if sets is not None:
-                    rows.append((a, b, packed(sets)))
+                    rows.append((a, b, sets.tobytes()))
                     size += sets.nbytes
                 if size > 4_000_000:
                     yield _set_batch(rows)
@@ -215,17 +230,6 @@ def overlap_at_least(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bo
     return bool((100 + percent) * np.count_nonzero(both[1:] == both[:-1]) >= least)
 
 
-def packed(sets: np.ndarray) -> bytes:
-    """The upper six bytes of each hash, which are compared within a pair of sets."""
-    return sets.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-
-
-def unpacked(raw: bytes) -> np.ndarray:
-    wide = np.zeros((len(raw) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return wide.reshape(-1).view(">u8").astype(np.uint64)
-
-
 def _set_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     kinds = (pa.int64(), pa.int64(), pa.binary())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["a", "b", "sets"])
@@ -237,13 +241,14 @@ def verified(pairs: DataFrame, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = (batch.column("sets_a"), batch.column("sets_b"))
-            keep = [overlap_at_least(*[unpacked(s.as_py()) for s in pair], percent) for pair in zip(*sides)]
+            keep = [overlap_at_least(*[np.frombuffer(s.as_buffer(), np.uint64) for s in pair], percent) for pair in zip(*sides)]
             kept = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(kept), batch.column("b").filter(kept)], ["a", "b"])
 
     return map_batches(pairs, run, "a bigint, b bigint")
 
 
+@owned
 def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id, text_hash)``, one row for each row: the size
     of its set, the smallest id among the texts it reaches by links, and Spark's
@@ -257,43 +262,36 @@ def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     texts = keyed_texts(docs, id_column, text_column)
     found = written(identify(texts, n), "sets")
     rows = found.where("identity IS NOT NULL").select("doc_id", "text_hash", "n_shingles", "identity")
-    total, grams = rows.agg(F.count("*"), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
-    common = frequent(found, total, grams)
+    total = rows.count()
+    counts = summed_counts(found)
 
     # One text of each class stands for it. Its number is given once, when it is stored.
-    classes = rows.where("n_shingles > 0").groupBy("identity").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    nodes = classes.select("least", "identity", "node")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("first")
+    classes = rows.where("n_shingles > 0").groupBy("identity").agg(first, F.count("*").alias("n"))
+    classes = classes.select("identity", F.col("first.doc_id").alias("least"), "first.text_hash", "n", F.monotonically_increasing_id().alias("node"))
+    classes = written(classes, "classes")
+    nodes = classes.select("least", "text_hash", "identity", "node")
     count = nodes.count()
-    profile = written(profiles(standing(texts, nodes, count), common, n, percent), "profiles")
-    postings = profile.select("node", "size", F.posexplode("prefix").alias("place", "key"))
-    postings = postings.select("key", "node", F.struct("size", "place").alias("size"))
+    repeated = rows.select("doc_id", "text_hash").distinct().count() < total
+    # Rows with one id and one text stand for their class once.
+    once = lambda df, *keys: df.dropDuplicates(list(keys)) if repeated else df
+    profile = written(once(profiles(standing(texts, nodes, count), counts, n, percent), "node"), "profiles")
+    entries = F.inline(F.arrays_zip(F.col("places").alias("place"), F.col("prefix").alias("key")))
+    postings = profile.select("node", "size", entries).select("key", "node", "size", "place")
 
     def verify(pairs: DataFrame) -> DataFrame:
-        """Pairs that pass the suffix filter are verified once. The texts of both sides
-        are read again where they are; only the sets travel, the second side's to the
-        first's."""
-        pairs = written(suffix_filter(pairs, profile, percent), "candidates")
-        later = pairs.join(nodes, F.col("b") == F.col("node")).select("a", "b", "least", "identity")
+        """Pairs are verified once. The texts of both sides are read again where they are;
+        only the sets travel, the second side's to the first's."""
+        later = pairs.join(nodes, F.col("b") == F.col("node")).select("a", "b", "least", "text_hash", "identity")
         first = pairs.select("a").distinct().withColumn("b", F.col("a"))
-        first = first.join(nodes, F.col("a") == F.col("node")).select("a", "b", "least", "identity")
+        first = first.join(nodes, F.col("a") == F.col("node")).select("a", "b", "least", "text_hash", "identity")
         size = pairs.count()
-        sets_b = with_sets(standing(texts, later, size), n).withColumnRenamed("sets", "sets_b")
-        sets_a = with_sets(standing(texts, first, size), n).select("a", F.col("sets").alias("sets_a"))
+        sets_b = once(with_sets(standing(texts, later, size), n), "a", "b").withColumnRenamed("sets", "sets_b")
+        sets_a = once(with_sets(standing(texts, first, size), n), "a").select("a", F.col("sets").alias("sets_a"))
         return verified(sets_b.join(sets_a.hint("merge"), "a"), percent)
 
-    def possible(a: Column, b: Column) -> Column:
-        """Lengths, and positions: at the first n-gram that two prefixes share, the
-        overlap is at most what is left of either set. A link meets it there."""
-        lengths = 100 * F.least(a.size, b.size) >= percent * F.greatest(a.size, b.size)
-        left = F.least(a.size - a.place, b.size - b.place)
-        return lengths & ((100 + percent) * left >= percent * (a.size + b.size))
-
-    def alike(a: Column, b: Column) -> Column:
-        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-    sketches = profile.select("node", "size", F.explode("sketch").alias("key"))
-    components = linked(postings, sketches, verify, possible, alike)
+    sketches = profile.select("node", "size", F.explode("sketch").alias("key")).select("key", "node", "size")
+    components = linked(postings, sketches, profile.select("node", "bitmap"), verify, percent)
 
     # Back from classes to rows; the smallest id of a component is that of its classes.
     reached = nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))

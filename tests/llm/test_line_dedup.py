@@ -1,6 +1,7 @@
 """Fuzzy line dedup against brute force; recall of the bands."""
 
 import random
+from functools import cache
 
 import numpy as np
 
@@ -8,6 +9,18 @@ from sieveline.llm import line_dedup as ld
 from tests.llm.corpus import frame, near, prose, texts
 
 
+@cache
+def shingles(line):
+    text = line.decode()
+    return frozenset(text[i : i + 8] for i in range(len(text) - 7)) or frozenset([text])
+
+
+def similar(a, b):
+    """Jaccard over the texts of all shingles of eight characters."""
+    x, y = shingles(a), shingles(b)
+    return 5 * min(len(x), len(y)) >= 4 * max(len(x), len(y)) and 100 * len(x & y) >= 80 * len(x | y)
+
+
 def brute(rows):
     """Places that go, by document and text: all pairs of lines are compared."""
     lines = []
@@ -25,7 +38,7 @@ def brute(rows):
 
     for i, a in enumerate(distinct):
         for b in distinct[:i]:
-            if 8 * min(len(a), len(b)) >= 6 * max(len(a), len(b)) and ld.similar(a, b):
+            if similar(a, b):
                 root[find(a)] = find(b)
     groups = {}
     for x in lines:
@@ -85,7 +98,7 @@ def test_bands_reach_the_recall():
         if len(a) < 60 or not ld.similar(a, b):
             continue
         pairs += 1
-        (x, y), sizes = ld.signatures([a, b])
+        (x, y), sizes, _ = ld.signatures([a, b])
         assert sizes == [len(ld.grams_of(a)), len(ld.grams_of(b))]
         found += bool((x == y).any())
     assert found >= 0.98 * pairs
@@ -95,7 +108,7 @@ def test_unrelated_lines_share_no_band():
     rng = random.Random(4)
     lines = [ld.normalize(" ".join(prose(rng, 30).split()).encode()) for _ in range(300)]
     lines = [x for x in lines if len(x) >= ld.MIN_BYTES]
-    keys, _ = ld.signatures(lines)
+    keys, *_ = ld.signatures(lines)
     assert len(np.unique(keys)) > 0.99 * keys.size
 
 
@@ -121,3 +134,34 @@ def test_short_lines(spark):
     }
     assert brute(rows) == {(i, t): got[i][1] for i, t, _ in rows if got[i][1]}
     assert not ld.similar(b"menu", b"menus") and ld.similar(b"menu", b"menu")
+
+
+def test_shingles_are_characters(spark):
+    """Lines in scripts of several bytes a character; what a byte shingle would join or part."""
+    rng = random.Random(14)
+    chinese = ["".join(chr(0x4E00 + rng.randrange(4000)) for _ in range(60)) for _ in range(6)]
+    for line in [*chinese, "short", "caf\u00e9 " * 9, "\U0001f600" * 12, "na\u00efve text and more of it"]:
+        own = line.encode()
+        assert len(ld.grams_of(own)) == len(shingles(own))
+    rows = []
+    for i, line in enumerate(chinese):
+        changed = line[:30] + "\u3042" + line[31:]
+        rows += [(10 * i, line, None), (10 * i + 1, "x\n" + line + "\u3002", None), (10 * i + 2, changed + "\n" + line[:7], None)]
+    got = {r.doc_id: r.removed for r in ld.deduplicate(frame(spark, rows)).collect()}
+    want = brute(rows)
+    assert got == {i: want.get((i, t), []) for i, t, _ in rows} and sum(map(len, got.values())) >= 11
+
+
+def test_very_long_lines_and_many_lines(spark, monkeypatch):
+    """Lines of a megabyte are compared whole; a text of many lines takes linear time."""
+    monkeypatch.setattr(ld, "KEPT_BYTES", 1 << 20)
+    rng = random.Random(15)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(150_000)]
+    other = words[:74_000] + ["zz"] + words[74_001:]
+    lines = [f"line {i} of many" for i in range(30_000)]
+    rows = [(1, " ".join(words), None), (2, " ".join(other) + "\nend", None), (3, " ".join(words[:100_000]), None)]
+    rows += [(4, "\n".join(lines), None), (5, "\n".join(lines[::-1]) + "\nlast", None)]
+    exact = ld.deduplicate(frame(spark, rows), percent=100).collect()
+    assert {r.doc_id: (r.n_removed, r.text[-4:]) for r in exact if r.doc_id > 3} == {4: (0, "many"), 5: (30_000, "last")}
+    got = {r.doc_id: r.removed for r in ld.deduplicate(frame(spark, rows[:3])).collect()}
+    assert got == {1: [], 2: [0], 3: []}

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,23 +57,66 @@ def test_lookup_spreads_hot_keys(spark, monkeypatch):
     assert got.exceptAll(want).count() == 0
 
 
-@pytest.mark.parametrize("block", [3, 256])
-def test_links_between_members_that_the_star_does_not_join(spark, monkeypatch, block):
-    """Nodes of one key, linked if they differ by at most 3: the star finds few of them."""
-    monkeypatch.setattr(links, "BLOCK", block)
-    nodes = [0, 2, 5, 8, 20, 22, 25, 60]
-    postings = spark.createDataFrame([(1, n, n) for n in nodes] + [(2, 60, 60), (2, 61, 61), (3, 99, 99)], "key long, node long, size long")
-    seen = []
+def hashed(numbers):
+    """A set of 64-bit hashes from small numbers."""
+    return np.unique(np.array(sorted(numbers), np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
-    def verify(pairs):
-        assert pairs.count() == pairs.distinct().count() and pairs.where("a = b").isEmpty()
-        seen.append(pairs.count())
-        return pairs.where("abs(b - a) <= 3")
 
-    possible = lambda a, b: F.abs(a - b) < 50
-    got = {r.node: r.component for r in links.linked(postings, postings, verify, possible, possible).collect()}
-    assert got == {0: 0, 2: 0, 5: 0, 8: 0, 20: 20, 22: 20, 25: 20, 60: 60, 61: 60}
-    assert len(seen) == 2
+def tables(spark, sets, keys):
+    """Postings of the nodes' keys and their bitmaps."""
+    postings = [(k, node, len(sets[node]), 0) for node, own in keys.items() for k in own]
+    bitmaps = [(node, bytearray(links.bitmap(hashed(s)))) for node, s in sets.items()]
+    return spark.createDataFrame(postings, "key long, node long, size int, place int").repartition(3), spark.createDataFrame(bitmaps, "node long, bitmap binary")
+
+
+def verifier(sets, seen):
+    def verify(pairs):
+        rows = [(r.a, r.b) for r in pairs.collect()]
+        assert len(rows) == len(set(rows)) and all(a != b for a, b in rows)
+        seen.append(rows)
+        kept = [(a, b) for a, b in rows if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+        return pairs.sparkSession.createDataFrame(kept, "a long, b long")
+
+    return verify
+
+
+def families(seed=3, n=60):
+    """Sets that are near a few bases, some linked over others only."""
+    rng, sets = random.Random(seed), {}
+    for node in range(n):
+        base = set(range(1000 * (node % 4), 1000 * (node % 4) + rng.choice([40, 50, 60])))
+        for _ in range(rng.randint(0, 9)):
+            base.discard(rng.choice(sorted(base)))
+        sets[node] = frozenset(base | {rng.randrange(10**9) for _ in range(rng.randint(0, 4))})
+    return sets
+
+
+@pytest.mark.parametrize("block", [100, 1 << 16])
+@pytest.mark.parametrize("sketched", [False, True])
+def test_links_between_members_that_the_star_does_not_join(spark, monkeypatch, block, sketched):
+    """All links count, also those that the first partner of a node does not find."""
+    monkeypatch.setattr(links, "BLOCK_BYTES", block)
+    sets, seen = families(), []
+    postings, bitmaps = tables(spark, sets, {n: {n % 4, 100 + n % 8} for n in sets})
+    sketches = postings.where("key >= 100").drop("place") if sketched else None
+    got = {r.node: r.component for r in links.linked(postings, sketches, bitmaps, verifier(sets, seen), 80).collect()}
+    pairs = [(a, b) for a in sets for b in sets if a < b and a % 4 == b % 4 and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert got == components(pairs) and len(seen) == 2
+    # What is verified are links, but for a few.
+    assert len(set(seen[1]) - set(pairs)) <= 0.2 * len(seen[1]) + 5
+
+
+def test_bitmaps_bound_the_difference():
+    rng = random.Random(5)
+    for _ in range(400):
+        a, b = ({rng.randrange(3000) for _ in range(rng.choice([1, 30, 300, 1500]))} for _ in range(2))
+        if rng.random() < 0.5:
+            b = set(rng.sample(sorted(a), len(a) * 9 // 10 or 1)) | {rng.randrange(10**9) for _ in range(3)}
+        widths = [links.bitmap_width(len(hashed(s))) for s in (a, b)]
+        least = min(widths)
+        bits = [links.folded(np.frombuffer(links.bitmap(hashed(s)), np.uint8)[None], least) for s in (a, b)]
+        differ = int(np.bitwise_count(bits[0] ^ bits[1]).sum())
+        assert differ <= len(a ^ b) and (differ - len(a ^ b)) % 2 == 0
 
 
 def test_listed_keys_only_at_any_size(spark, monkeypatch):
@@ -87,14 +131,14 @@ def test_listed_keys_only_at_any_size(spark, monkeypatch):
 def test_settled_hot_key_makes_no_block_at_any_size(spark, monkeypatch):
     """Key 1 is held by 300 nodes that are one component; key 2 by four that are apart."""
     monkeypatch.setattr(links, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(links, "BLOCK", 2)
+    monkeypatch.setattr(links, "BLOCK_BYTES", 100)
     stored = {}
     monkeypatch.setattr(links, "written", lambda df, purpose, write=links.written: stored.setdefault(purpose, []).append(write(df, purpose)) or stored[purpose][-1])
-    rows = [(1, n, 9) for n in range(300)] + [(2, n, 9) for n in (400, 401, 402, 499, 0)]
-    sketches = spark.createDataFrame([r for r in rows if r[0] == 1], "key long, node long, size long")
-    verify = lambda pairs: pairs.where("b < 300 OR (a = 401 AND b = 402)")
-    possible = lambda a, b: F.abs(a - b) < 5
-    got = {r.node: r.component for r in links.linked(spark.createDataFrame(rows, "key long, node long, size long"), sketches, verify, possible, possible).collect()}
+    hot = frozenset(range(50))
+    sets = {n: hot for n in range(300)} | {400: frozenset(range(100, 150)), 401: frozenset(range(200, 250)), 402: frozenset(range(200, 249)), 499: frozenset(range(900, 950))}
+    postings, bitmaps = tables(spark, sets, {n: {1} for n in range(300)} | {n: {2} for n in (400, 401, 402, 499)} | {0: {1, 2}})
+    sketches = postings.where("key = 1").drop("place")
+    got = {r.node: r.component for r in links.linked(postings, sketches, bitmaps, verifier(sets, []), 80).collect()}
     assert got == {n: 0 for n in range(300)} | {401: 401, 402: 401}
     (blocks,) = stored["blocks"]
     assert {r.key for r in blocks.collect()} == {2} and blocks.where("block IS NULL").isEmpty()

@@ -2,12 +2,14 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
 
+from sieveline.llm import links
 from sieveline.llm import ngram_join as nj
-from tests.llm.corpus import frame, texts
+from tests.llm.corpus import frame, prose, texts
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -72,13 +74,61 @@ def test_prefix_and_verification_agree_with_sets():
         both = len(np.intersect1d(a, b))
         link = 100 * both >= 80 * (len(a) + len(b) - both)
         assert nj.overlap_at_least(a, b) == link
-        smaller = np.minimum(nj.range_sizes(a, 64), nj.range_sizes(b, 64)).sum(dtype=int)
-        assert smaller >= both
-        common = (np.sort(a)[:: 2].copy(), np.arange(1, len(a[::2]) + 1))
-        pa, pb = (nj.rare_first(s, *common)[: nj.prefix_length(len(s))] for s in (a, b))
+        counts = np.random.default_rng(n).integers(1, 9, (nj.ROWS, nj.CELLS)).astype(np.uint32)
+        pa, pb = (s[np.argsort(nj.weights(s, counts), kind="stable")][: nj.prefix_length(len(s))] for s in (a, b))
         assert not link or len(np.intersect1d(pa, pb))
 
 
+def test_the_sketch_is_at_least_the_count_and_orders_rare_first(spark):
+    """Summed over tasks; n-grams of one text alone are told from those of several."""
+    rows = texts()
+    found = nj.identify(nj.keyed_texts(frame(spark, rows, 5), "doc_id", "text"))
+    counts, hashes, true = nj.summed_counts(found), nj.WordHashes(), Counter()
+    for _, text, _ in rows:
+        true.update(nj.shingles((text or "").encode(), hashes).tolist())
+    grams = np.array(list(true), np.uint64)
+    got, want = nj.weights(grams, counts), np.array(list(true.values()))
+    assert (got >= want).all() and (got == want).mean() > 0.95
+    assert nj.summed_counts(found.where("false")).sum() == 0
+
+
+def test_repeated_and_null_ids_are_rows_of_their_own(spark, monkeypatch):
+    """Many rows with one id, or none, make no more rows on any route."""
+    sizes = {}
+
+    def keep(df, purpose, write=nj.written):
+        stored = write(df, purpose)
+        sizes[purpose] = stored.count()
+        return stored
+
+    monkeypatch.setattr(nj, "written", keep)
+    rng = random.Random(9)
+    rows = [(None, prose(rng, 40), None) for _ in range(300)] + [(7, prose(rng, 40), None) for _ in range(300)] + [(8, "the same words again and again", None)] * 300
+    got = nj.link(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute(rows), key=str)
+    assert len(got) == 900 and sizes["profiles"] == 601
+
+
+@pytest.mark.parametrize("rows_broadcast", [0, 1_000_000])
+def test_a_large_group_of_near_copies(spark, monkeypatch, rows_broadcast):
+    """Copies with edits at many places, of which many pairs are below the threshold: few
+    of these become rows."""
+    monkeypatch.setattr(links, "BROADCAST_ROWS", rows_broadcast)
+    monkeypatch.setattr(links, "BLOCK_BYTES", 1 << 12)
+    found, real = [], links.survivors
+    monkeypatch.setattr(links, "survivors", lambda met, percent: found.append(real(met, percent).distinct()) or found[-1])
+    rng = random.Random(10)
+    base = prose(rng, 150).split()
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for k in rng.sample(range(len(words)), rng.randint(1, 14)):
+            words[k] = f"q{rng.randint(0, 10**6)}"
+        rows.append((i, " ".join(words), None))
+    got = nj.link(frame(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(brute(rows), key=str)
+
+
 def test_keep_one(spark):
     rows = texts()
     docs = frame(spark, rows)
