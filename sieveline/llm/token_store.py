@@ -1,10 +1,13 @@
 """Token ids in binary shards, compressed by a Re-Pair grammar.
 
 Documents in ascending order are tokenized and cut into shards. In each shard frequent
-pairs of neighbouring ids are replaced by nonterminals, all of a round's most frequent
-pairs at once, until no pair is frequent. A shard stores the rules, the length each
-symbol expands to, and an index of its documents, so one document, or one token in
-it, is decoded without the others.
+pairs of neighbouring ids are replaced by nonterminals, the most frequent first, until
+none is there ``MIN_COUNT`` times. A pass replaces all pairs that are at least an eighth as
+frequent as the most frequent one, but for those whose occurrences could overlap with
+one of a more frequent pair: a symbol is on the left of the pairs of a pass or on
+the right of them. So no pair of a pass takes away from another's count. A shard stores the
+rules, the length each symbol expands to, and an index of its documents, so one document,
+or one token in it, is decoded without the others.
 """
 
 from __future__ import annotations
@@ -27,10 +30,11 @@ from sieveline.shared import new_folder
 
 #: Ids of a shard, after which the next one begins (a document is never cut).
 SHARD_TOKENS = 1 << 22
-#: Rules of one round, occurrences that make a pair frequent, and rounds at most.
-ROUND_RULES = 1 << 13
+#: Occurrences that make a pair frequent: what a rule costs is stored three times.
 MIN_COUNT = 16
-ROUNDS = 8
+#: Part of the count of the most frequent pair that others of a pass have.
+PASS_SHARE = 8
+SLOT_BITS = 20
 CACHED_PIECES = 500_000
 # Punctuation that no pattern of the vocabulary joins to a word, and the end of
 # the letters that are the same in every normal form.
@@ -86,59 +90,77 @@ class Grammar:
         return symbol
 
 
-def compress(ids: np.ndarray, last: np.ndarray, width: int, rounds: int = ROUNDS) -> tuple[Grammar, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, last: np.ndarray, width: int, min_count: int = MIN_COUNT) -> tuple[Grammar, np.ndarray, np.ndarray]:
     """Grammar, symbols, and which symbols end a document. ``last`` marks the ids that
     do; no pair reaches over them."""
-    symbols, last = ids.astype(np.int64), last.copy()
-    lefts, rights, rules = [], [], 0
-    for _ in range(rounds):
-        if len(symbols) < 2:
+    symbols, last = ids.astype(np.uint32), last.copy()
+    lefts, rights, rules, top = [], [], 0, None
+    while len(symbols) > 1:
+        slots = _slots(symbols)
+        slots[last[:-1]] = 0
+        counts = np.bincount(slots, minlength=1 << SLOT_BITS).astype(np.int32)
+        counts[0] = 0  # ends of documents, and no pair
+        # No slot holds more of one pair than of all its pairs: whatever is frequent is in a frequent slot.
+        bound = int(counts.max())
+        if bound < min_count:
             break
-        keys = symbols[:-1] * (1 << 32) + symbols[1:]
-        keys[last[:-1]] = -1
-        ordered = np.sort(keys)
-        edges = np.flatnonzero(np.diff(ordered)) + 1
-        starts = np.concatenate(([0], edges))
-        counts = np.diff(np.concatenate((starts, [len(ordered)])))
-        pairs = ordered[starts]
-        frequent = (counts >= MIN_COUNT) & (pairs >= 0)
-        pairs, counts = pairs[frequent], counts[frequent]
-        if len(pairs) == 0:
-            break
-        if len(pairs) > ROUND_RULES:
-            chosen = np.argsort(-counts, kind="stable")[:ROUND_RULES]
-            pairs = np.sort(pairs[chosen])
-        slot = np.searchsorted(pairs, keys) if len(keys) < (1 << 16) else _slots(pairs, keys)
-        slot[slot == len(pairs)] = 0
-        hit = pairs[slot] == keys
-        # Where pairs overlap, every other one from the first on is replaced.
-        place = np.arange(len(keys))
-        run = np.maximum.accumulate(np.where(hit, 0, place + 1))
-        taken = np.flatnonzero(hit & ((place - run) % 2 == 0))
-        used, rule = np.unique(slot[taken], return_inverse=True)
-        lefts.append(pairs[used] >> 32)
-        rights.append(pairs[used] & 0xFFFFFFFF)
-        symbols[taken] = width + rules + rule
+        top = min(bound, top or bound)
+        least = max(min_count, top // PASS_SHARE)
+        at = np.flatnonzero(counts[slots] >= least)
+        keys = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
+        pairs, slot, times = np.unique(keys, return_inverse=True, return_counts=True)
+        chosen = _apart(pairs, times, least)
+        if not len(chosen):
+            if least == min_count:
+                break
+            top = least - 1
+            continue
+        number = np.full(len(pairs), -1, np.int64)
+        number[chosen] = np.arange(len(chosen))
+        slot = number[slot]
+        taken, rule = at[slot >= 0], slot[slot >= 0]
+        # Only a pair of two equal symbols overlaps itself; of a run every other one is replaced.
+        if (symbols[taken] == symbols[taken + 1]).any():
+            begins = np.concatenate(([True], np.diff(taken) != 1))
+            place = np.arange(len(taken))
+            keep = (place - np.maximum.accumulate(np.where(begins, place, 0))) % 2 == 0
+            taken, rule = taken[keep], rule[keep]
+        lefts.append((pairs[chosen] >> np.uint64(32)).astype(np.int64))
+        rights.append((pairs[chosen] & np.uint64(0xFFFFFFFF)).astype(np.int64))
+        top = int(times[chosen].max())
+        symbols[taken] = (width + rules + rule).astype(np.uint32)
         last[taken] = last[taken + 1]
-        rules += len(used)
-        keep = np.ones(len(symbols), bool)
-        keep[taken + 1] = False
-        saved = len(taken) / len(symbols)
-        symbols, last = symbols[keep], last[keep]
-        if saved < 0.01:
-            break
+        rules += len(chosen)
+        left = np.ones(len(symbols), bool)
+        left[taken + 1] = False
+        symbols, last = symbols[left], last[left]
     join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
-    return Grammar(width, join(lefts), join(rights)), symbols, last
-
-
-def _slots(pairs: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Where each key would be among the sorted pairs, found by a table of their hashes.
-    Of pairs with one hash the first is found; the next round has the others."""
-    bits = 20
-    table = np.zeros(1 << bits, np.int32)
-    at = lambda k: ((k * -7046029254386353131) >> 44) & ((1 << bits) - 1)
-    table[at(pairs)[::-1]] = np.arange(len(pairs), dtype=np.int32)[::-1]
-    return table[at(keys)]
+    return Grammar(width, join(lefts), join(rights)), symbols.astype(np.int64), last
+
+
+def _slots(symbols: np.ndarray) -> np.ndarray:
+    """A slot for the pair at each place, from 1 on."""
+    mixed = symbols[:-1] * np.uint32(0x9E3779B1) + symbols[1:]
+    mixed ^= mixed >> np.uint32(15)
+    mixed *= np.uint32(0x85EBCA77)
+    return np.maximum(mixed >> np.uint32(32 - SLOT_BITS), np.uint32(1)).astype(np.intp)
+
+
+def _apart(pairs: np.ndarray, times: np.ndarray, least: int) -> np.ndarray:
+    """The pairs of a pass, most frequent first, equally frequent ones by their symbols:
+    none whose left symbol is another's right one."""
+    often = np.flatnonzero(times >= least)
+    order = often[np.argsort(-times[often], kind="stable")]
+    lefts: set[int] = set()
+    rights: set[int] = set()
+    chosen = []
+    for k, a, b in zip(order.tolist(), (pairs[order] >> np.uint64(32)).tolist(), (pairs[order] & np.uint64(0xFFFFFFFF)).tolist()):
+        if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
+            continue
+        lefts.add(a)
+        rights.add(b)
+        chosen.append(k)
+    return np.array(chosen, np.int64)
 
 
 def pack_shard(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray, width: int) -> bytes:
@@ -303,9 +325,14 @@ def write_shards(
 
 def read_shards(manifest: DataFrame) -> DataFrame:
     """Every document of the shards: ``(doc_id, start, n_tokens, ids_crc32)``. The ids
-    before a shard are summed over the manifest, which has one row per shard."""
-    before = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    placed = manifest.select("file", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start"))
+    before a shard are summed over the tasks that wrote (a row of each reaches the
+    driver) and over the shards of its own."""
+    parts = sorted((r["part"], r["tokens"]) for r in manifest.groupBy("part").agg(F.sum("tokens").alias("tokens")).collect())
+    sums = np.concatenate(([0], np.cumsum([n for _, n in parts], dtype=np.int64)))
+    begins = manifest.sparkSession.createDataFrame([(p, int(n)) for (p, _), n in zip(parts, sums)], "part int, begin bigint")
+    before = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    placed = manifest.join(F.broadcast(begins), "part")
+    placed = placed.select("file", (F.col("begin") + F.coalesce(F.sum("tokens").over(before), F.lit(0))).alias("start"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
