@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -29,7 +30,7 @@ from sieveline.shared import owned, written
 WORDS = 5
 #: Percent of the union that the intersection has at least.
 PERCENT = 80
-#: Cells of the sketch of counts, in two rows, and the pieces in which they travel. A cell's
+#: Cells of the sketch of counts, in two rows, and the pieces in which they travel, compressed. A cell's
 #: noise is all n-grams over the cells; n-grams below it are in order of their hashes.
 CELLS, ROWS, PIECE = 1 << 21, 2, 1 << 16
 CACHED_WORDS = 200_000
@@ -122,7 +123,8 @@ def identify(texts: DataFrame, n: int = WORDS) -> DataFrame:
             condense()
         if any_text:
             raw = counts.reshape(-1)
-            pieces = [raw[at : at + PIECE].tobytes() for at in range(0, len(raw), PIECE)]
+            packer = zstandard.ZstdCompressor(1)
+            pieces = [packer.compress(raw[at : at + PIECE].tobytes()) for at in range(0, len(raw), PIECE)]
             nothing = [pa.nulls(len(pieces), k) for k in (doc_type, kinds[0], kinds[0], kinds[1])]
             yield pa.RecordBatch.from_arrays([*nothing, pa.array(range(len(pieces)), kinds[2]), pa.array(pieces, kinds[3])], names)
 
@@ -138,17 +140,18 @@ def summed_counts(found: DataFrame) -> np.ndarray:
     def run(key: tuple, table: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(PIECE, np.int64)
         for batch in table:
-            for raw in batch.column("cells"):
-                total += np.frombuffer(raw.as_buffer(), np.uint16 if len(raw.as_buffer()) == 2 * PIECE else np.uint32)
-        held = np.minimum(total, (1 << 32) - 1).astype(np.uint32)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([held.tobytes()], pa.binary())], ["piece", "cells"])
+            for packed in batch.column("cells"):
+                raw = zstandard.decompress(packed.as_py())
+                total += np.frombuffer(raw, np.uint16 if len(raw) == 2 * PIECE else np.uint32)
+        held = zstandard.compress(np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes(), 1)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([held], pa.binary())], ["piece", "cells"])
 
     ship(found.sparkSession)
     parts = found.where("identity IS NULL").select("piece", "cells", F.pmod(F.xxhash64("cells"), F.lit(32)).alias("some"))
     sums = parts.groupBy("piece", "some").applyInArrow(run, "piece int, cells binary").groupBy("piece").applyInArrow(run, "piece int, cells binary")
     counts = np.zeros((ROWS * CELLS // PIECE, PIECE), np.uint32)
     for row in sums.collect():
-        counts[row["piece"]] = np.frombuffer(row["cells"], np.uint32)
+        counts[row["piece"]] = np.frombuffer(zstandard.decompress(bytes(row["cells"])), np.uint32)
     return counts.reshape(ROWS, CELLS)
 
 
