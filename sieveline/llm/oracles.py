@@ -16,9 +16,9 @@ WITH q AS (
   FROM pages),
 g AS (SELECT payload_digest, max(page_id) AS top FROM q WHERE payload_bytes >= 1000 GROUP BY payload_digest)
 SELECT q.page_id, q.payload_bytes, q.payload_digest,
-       CASE WHEN g.top <> q.page_id AND q.payload_bytes >= 1000 THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN g.top <> q.page_id AND q.payload_bytes >= 1000 THEN g.top END AS refers_to
-FROM q LEFT JOIN g ON q.payload_digest = g.payload_digest"""
+       CASE WHEN g.top <> q.page_id OR (q.page_id IS NULL AND g.top IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.top <> q.page_id OR q.page_id IS NULL THEN g.top END AS refers_to
+FROM q LEFT JOIN g ON q.payload_digest = g.payload_digest AND q.payload_bytes >= 1000"""
 
 NGRAM_JOIN = f"""
 WITH RECURSIVE w AS (

@@ -30,6 +30,8 @@ from sieveline.shared import new_folder, written
 #: Full bytes of a frame before the next one begins, and of a bundle.
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 28
+#: Digests (with an id each) up to which all that repeat are broadcast.
+BROADCAST_ROWS = 1_000_000
 #: Payloads below this size are always stored.
 REVISIT_BYTES = 1000
 # Fixed values of the seekable format: skippable frame, footer, and their layouts.
@@ -167,9 +169,11 @@ def read_record(bundle: str, frame: int, place: int, size: int) -> Record:
 def with_targets(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
     """``(page_id, url, payload, payload_bytes, payload_digest, refers_to)``.
 
-    Equal payloads are found by digest in a pre-aggregated count. The few digests
-    that hold over a thousandth of the pages (under a thousand, whatever the
-    data) are looked up by broadcast, so no task gets a hot group; the others join.
+    Equal payloads are found by digest in a pre-aggregated count. Up to
+    ``BROADCAST_ROWS`` digests that several pages have are broadcast, and no payload
+    moves. Of more, the few that hold over a thousandth of the pages (under a thousand,
+    whatever the data) are, and their rows and small ones stay in place too; only the
+    other rows are joined. So no task gets a hot group.
     """
     payload = F.coalesce(F.encode(quoted("html").cast("string"), "UTF-8"), F.lit(b""))
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), quoted("url").cast("string").alias("url"), payload.alias("payload"))
@@ -177,19 +181,18 @@ def with_targets(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFr
     large = F.col("payload_bytes") >= revisit_bytes
     groups = keyed.where(large).groupBy("payload_digest").agg(F.count("*").alias("n"), F.max("page_id").alias("top")).where("n > 1")
     groups = written(groups, "payloads")
-    (total,) = groups.agg(F.sum("n")).first()
-    hot = F.col("n") > max(64, (total or 0) // 1000)
-    often = groups.where(hot).select("payload_digest", F.col("top").alias("hot_top"))
-    seldom = groups.where(~hot).select(F.col("payload_digest").alias("digest"), F.col("top").alias("cold_top"))
-    marked = keyed.join(F.broadcast(often), "payload_digest", "left")
-    # Only rows that can have a match travel by their digest; a row that is decided or
-    # small gets a key of its own partition, which matches nothing.
-    decided = F.col("hot_top").isNotNull() | ~large
-    marked = marked.withColumn("key", F.when(decided, F.concat(F.lit("-"), F.xxhash64("page_id").cast("string"))).otherwise(F.col("payload_digest")))
-    joined = marked.join(seldom, F.col("key") == F.col("digest"), "left")
-    top = F.when(large, F.coalesce("hot_top", "cold_top"))
-    target = F.when(top != F.col("page_id"), top)
-    return joined.select("page_id", "url", "payload", "payload_bytes", "payload_digest", target.alias("refers_to"))
+    count, total = groups.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    few = count <= BROADCAST_ROWS
+    hot = F.lit(True) if few else F.col("n") > max(64, total // 1000)
+    marked = keyed.join(F.broadcast(groups.where(hot).select("payload_digest", "top")), "payload_digest", "left")
+    if not few:
+        decided = F.col("top").isNotNull() | ~large
+        others = groups.where(~hot).select("payload_digest", F.col("top").alias("other"))
+        joined = marked.where(~decided).join(others, "payload_digest", "left").withColumn("top", F.col("other")).drop("other")
+        marked = marked.where(decided).unionByName(joined)
+    # A page without an id revisits the others' response too.
+    target = F.when(large & ~F.col("top").eqNullSafe(F.col("page_id")), F.col("top"))
+    return marked.select("page_id", "url", "payload", "payload_bytes", "payload_digest", target.alias("refers_to"))
 
 
 def write_bundles(
@@ -200,7 +203,7 @@ def write_bundles(
     ``(page_id, bundle, frame, place, bytes)``, itself stored in the folder.
 
     Null html is an empty payload; a null url has no target header; a page without
-    id is never referred to. Rows with one id and payload are both responses. Other
+    id is never referred to, but revisits a page with one. Rows with one id and payload are both responses. Other
     columns are left behind.
     """
     make_folder(folder)

@@ -19,7 +19,7 @@ def pages(spark):
     rows += [(1000 + i, "http://e.org/copy", big) for i in range(90)]  # a hot group
     rows += [(2000 + i, None, "short") for i in range(5)]
     rows += [(3000, "http://e.org/a b\r\nX: y", mid), (3001, "u", mid), (3002, "u", "é" * 499)]  # 1000 bytes and 998
-    rows += [(4000, "u", None), (4001, "u", ""), (None, "u", big), (5000, "u", "z" * 3000), (5000, "u", "z" * 3000)]
+    rows += [(4000, "u", None), (4001, "u", ""), *[(None, "u", big)] * 9, (None, "v", "n" * 1500), (None, "v", "n" * 1500), (5000, "u", "z" * 3000), (5000, "u", "z" * 3000)]
     rows += [(6000, "u", "a\r\n\r\nWARC/1.1\r\n\r\n" * 90)]
     return rows, spark.createDataFrame([(*r, "c", 1) for r in rows], SCHEMA).repartition(5)
 
@@ -34,12 +34,14 @@ def wanted(rows):
     for page_id, _, html in rows:
         raw = (html or "").encode()
         target = top.get(raw) if len(raw) >= 1000 else None
-        revisit = target is not None and target != page_id and page_id is not None
+        revisit = target is not None and target != page_id
         out.append((page_id, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if revisit else "response", target if revisit else None))
     return sorted(out, key=str)
 
 
-def test_round_trip(spark):
+@pytest.mark.parametrize("broadcast", [0, 1_000_000])
+def test_round_trip(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", broadcast)
     rows, df = pages(spark)
     assert sorted(map(tuple, warc.archive(spark, df).collect()), key=str) == wanted(rows)
     assert warc.archive(spark, df.where("false")).count() == 0
@@ -94,7 +96,14 @@ def test_files_outside_the_index_are_not_read(spark):
     assert sorted(map(tuple, warc.read_bundles(index).collect()), key=str) == before
 
 
-def test_hot_payload_is_not_shuffled_to_one_task(spark):
+def test_no_payload_moves_where_few_repeat(spark):
+    _, df = pages(spark)
+    plan = warc.with_targets(df.coalesce(1))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_hot_payload_is_not_shuffled_to_one_task(spark, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
     rows = spark.range(0, 8000, numPartitions=8).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.when(F.col("id") % 3 == 0, F.repeat(F.lit("h"), 1500)).otherwise(F.concat(F.repeat(F.lit("q"), 1200), F.col("id").cast("string"))).alias("html"))
     settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
     for key, value in settings.items():
