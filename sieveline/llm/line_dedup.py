@@ -77,9 +77,9 @@ def grams_of(line: bytes) -> np.ndarray:
     return np.unique(mixed_grams(points, len(points) - SHINGLE + 1))
 
 
-def signatures(lines: list[bytes]) -> tuple[np.ndarray, list[int], list[bytes]]:
-    """Lines x bands, a hash of each band's minima; size and bitmap of each line's set.
-    For lines of ``SHINGLE`` characters or more."""
+def signatures(lines: list[bytes]) -> tuple[np.ndarray, list[int]]:
+    """Lines x bands, a hash of each band's minima; the size of each line's set. For
+    lines of ``SHINGLE`` characters or more."""
     parts = [points_of(x) for x in lines]
     lengths = np.array([len(p) for p in parts], np.int64)
     ends = np.cumsum(lengths)
@@ -101,14 +101,12 @@ def signatures(lines: list[bytes]) -> tuple[np.ndarray, list[int], list[bytes]]:
             key = (key ^ np.minimum.reduceat(work, starts[:-1])) * np.uint64(0x9E3779B97F4A7C15)
             key ^= key >> np.uint64(32)
         keys[:, band] = key
-    sizes, bitmaps = [], []
+    sizes = []
     for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
         own = grams[a:b]
         own.sort()
-        own = own[np.concatenate(([True], own[1:] != own[:-1]))]
-        sizes.append(len(own))
-        bitmaps.append(bitmap(own))
-    return keys.view(np.int64), sizes, bitmaps
+        sizes.append(1 + int(np.count_nonzero(own[1:] != own[:-1])))
+    return keys.view(np.int64), sizes
 
 
 def similar(a: bytes, b: bytes, percent: int = PERCENT) -> bool:
@@ -127,13 +125,13 @@ def overlap_at_least(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bo
 
 
 def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """``(doc_id, text_hash, place, identity, bands, size, bitmap)`` of each line that is long
-    enough; the last three are null where the task has given them for an equal line, and
+    """``(doc_id, text_hash, place, identity, bands, size)`` of each line that is long
+    enough; the last two are null where the task has given them for an equal line, and
     for lines shorter than a shingle, which meet equal ones by identity alone."""
     min_bytes = max(1, min_bytes)
     doc_type = to_arrow_type(texts.schema["doc_id"].dataType)
-    kinds = [doc_type, pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32(), pa.binary()]
-    names = ["doc_id", "text_hash", "place", "identity", "bands", "size", "bitmap"]
+    kinds = [doc_type, pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.int32()]
+    names = ["doc_id", "text_hash", "place", "identity", "bands", "size"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -146,8 +144,8 @@ def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
             nonlocal rows, fresh, at, size
             signed: list[list] = [[None] * len(rows) for _ in kinds[4:]]
             if fresh:
-                keys, *rest = signatures(fresh)
-                for i, *values in zip(at, keys.tolist(), *rest):
+                keys, sizes = signatures(fresh)
+                for i, *values in zip(at, keys.tolist(), sizes):
                     for column, value in zip(signed, values):
                         column[i] = value
             columns = [pa.array(c, k) for c, k in zip([*zip(*rows), *signed], kinds)]
@@ -180,28 +178,44 @@ def lines_of(texts: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
             yield flush()
 
     kind = texts.schema["doc_id"].dataType.simpleString()
-    return map_batches(texts, run, f"doc_id {kind}, text_hash bigint, place int, identity binary, bands array<bigint>, size int, bitmap binary")
+    return map_batches(texts, run, f"doc_id {kind}, text_hash bigint, place int, identity binary, bands array<bigint>, size int")
 
 
 def with_lines(rows: DataFrame) -> DataFrame:
-    """``(node, line)`` from ``(text, place, identity, node)``, for the texts whose line
-    at the place is the one meant."""
+    """``(node, line)`` from ``(text, wanted)``, for the places of a text (``place``,
+    ``identity``, ``node``) whose line is the one meant."""
+
+    def made(found: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        columns = zip(*found) if found else ([], [])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary()))], ["node", "line"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, last, lines = [], None, []
-            columns = [batch.column(c).to_pylist() for c in ("place", "identity", "node")]
-            for value, place, identity, node in zip(batch.column("text").cast(pa.binary()), *columns):
-                raw = value.as_py()
-                if raw != last:
-                    last, lines = raw, raw.split(b"\n")
-                norm = normalize(lines[place]) if place < len(lines) else b""
-                if xxhash.xxh3_128_digest(norm) == identity:
-                    found.append((node, norm))
-            made = zip(*found) if found else ([], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(made, (pa.int64(), pa.binary()))], ["node", "line"])
+            found, size = [], 0
+            for value, wanted in zip(batch.column("text").cast(pa.binary()), batch.column("wanted")):
+                lines = value.as_py().split(b"\n")
+                for one in wanted.as_py():
+                    norm = normalize(lines[one["place"]]) if one["place"] < len(lines) else b""
+                    if xxhash.xxh3_128_digest(norm) == one["identity"]:
+                        found.append((one["node"], norm))
+                        size += len(norm)
+                if size >= PIECE:
+                    yield made(found)
+                    found, size = [], 0
+            yield made(found)
+
+    return map_batches(rows.select("text", "wanted"), run, "node bigint, line binary")
+
+
+def with_bitmaps(lines: DataFrame) -> DataFrame:
+    """``(node, bitmap)`` of ``(node, line)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [bitmap(grams_of(line.as_py())) for line in batch.column("line")]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], ["node", "bitmap"])
 
-    return map_batches(rows.select("text", "place", "identity", "node"), run, "node bigint, line binary")
+    return map_batches(lines, run, "node bigint, bitmap binary")
 
 
 def verified(pairs: DataFrame, percent: int) -> DataFrame:
@@ -243,29 +257,39 @@ def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     texts = keyed_texts(docs, id_column, text_column)
     lines = written(lines_of(texts, min_bytes), "lines")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place", "text_hash")
-    signed = [F.first(c, True).alias(c) for c in ("bands", "size", "bitmap")]
+    signed = [F.first(c, True).alias(c) for c in ("bands", "size")]
     classes = lines.groupBy("identity").agg(F.min(order).alias("first"), F.count("*").alias("n"), *signed)
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     nodes = classes.select("node", "identity", "first")
     postings = classes.select(F.explode("bands").alias("key"), "node", "size", F.lit(0).alias("place"))
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        """The lines of all nodes of the pairs are read again where they are, in one
-        pass; they and no texts travel."""
-        wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    def lines_at(wanted: DataFrame) -> DataFrame:
+        """The lines of the given nodes are read again where they are, in one pass; they
+        and no texts travel."""
+        wanted = written(wanted, "wanted")
         count = wanted.count()
-        named = nodes.join(checked_broadcast(wanted, count), "node").select(
-            "node", "identity", F.col("first.doc_id").alias("wanted"), "first.place", "first.text_hash"
-        )
-        same = F.col("doc_id").eqNullSafe(F.col("wanted")) & (F.xxhash64("text") == F.col("text_hash"))
-        read = written(with_lines(texts.join(checked_broadcast(written(named, "named"), count), same)).dropDuplicates(["node"]), "read")
+        # A text comes once, with all the places that are wanted of it.
+        named = nodes.join(checked_broadcast(wanted, count), "node")
+        place = F.struct("first.place", "identity", "node")
+        named = named.groupBy(F.col("first.doc_id").alias("holder"), "first.text_hash").agg(F.collect_list(place).alias("wanted"))
+        same = F.col("doc_id").eqNullSafe(F.col("holder")) & (F.xxhash64("text") == F.col("text_hash"))
+        return written(with_lines(texts.join(checked_broadcast(written(named, "named"), count), same)).dropDuplicates(["node"]), "read")
+
+    held: list[DataFrame] = []  # the lines of nodes that are apart
+
+    def bitmaps(wanted: DataFrame) -> DataFrame:
+        held.append(lines_at(wanted))
+        return with_bitmaps(held[0])
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        read = held[0] if held else lines_at(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         of_a = read.select(F.col("node").alias("a"), F.col("line").alias("line_a"))
         of_b = read.select(F.col("node").alias("b"), F.col("line").alias("line_b"))
         return verified(pairs.join(of_b.hint("merge"), "b").join(of_a.hint("merge"), "a"), percent)
 
-    components = linked(postings, None, classes.select("node", "bitmap"), verify, percent)
+    components = linked(postings, None, bitmaps, verify, percent)
     # What stays of each class: the first line of its component, or of itself.
-    reached = classes.drop("bands", "size", "bitmap").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    reached = classes.drop("bands", "size").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     reached = written(reached.where(F.col("n") > 1).unionByName(reached.where((F.col("n") == 1) & (F.col("component") != F.col("node"))))
                       .unionByName(reached.where(F.col("n") == 1).join(components.select("component").distinct(), "component", "left_semi")
                                    .where(F.col("component") == F.col("node")).select(reached.columns)), "reached")
@@ -273,7 +297,7 @@ def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     total, rows = reached.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     table = lookup(reached.select("identity", "n", "component").withColumnRenamed("n", "rows"), written(keep, "keep"), "component", total)
     table = written(table.select("identity", F.col("rows").alias("n"), "keep"), "keep")
-    judged = lookup(lines.drop("bands", "size", "bitmap"), table, "identity", rows).where("keep IS NOT NULL")
+    judged = lookup(lines.drop("bands", "size"), table, "identity", rows).where("keep IS NOT NULL")
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("place") == F.col("keep.place")) & (F.col("text_hash") == F.col("keep.text_hash"))
     return judged.where(~stays).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("place")).alias("removed"))
 

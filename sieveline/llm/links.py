@@ -123,15 +123,15 @@ def best_anchors(sketches: DataFrame, possible: Callable[[Column, Column], Colum
 def linked(
     postings: DataFrame,
     sketches: DataFrame | None,
-    bitmaps: DataFrame,
+    bitmaps: Callable[[DataFrame], DataFrame],
     verify: Callable[[DataFrame], DataFrame],
     percent: int,
 ) -> DataFrame:
     """Components ``(node, component)`` of the verified links between nodes that share
     a key. ``postings`` has ``key``, ``node`` (a number), the ``size`` of its set and the
     ``place`` of the key in it (0 if it is in no order); ``sketches`` the same without places,
-    None if they are the postings; ``bitmaps`` has the ``bitmap`` of each node's set. A link
-    shares ``percent`` of the union of two sets.
+    None if they are the postings; ``bitmaps`` gives the ``bitmap`` of each ``node`` of a frame. A
+    link shares ``percent`` of the union of two sets.
 
     First each node is paired with one other, by the few keys of its sketch (see
     ``best_anchors``), which joins most of a large group without its pairs. Then, by
@@ -154,7 +154,8 @@ def linked(
     )
     mixed = written(mixed.where("lo != hi").select("key", "n", F.ceil(F.col("bytes") / BLOCK_BYTES).alias("parts")), "mixed")
     apart = with_listed(members, mixed, "key", mixed.agg(F.sum("n")).first()[0] or 0)
-    apart = apart.join(bitmaps, "node")
+    apart = written(apart, "apart")
+    apart = apart.join(bitmaps(apart.select("node").distinct()), "node")
     block = F.pmod(F.xxhash64("node"), F.col("parts"))
     member = F.struct("node", "component", "size", "place", "bitmap")
     blocks = apart.groupBy("key", "parts", block.alias("block")).agg(

@@ -294,7 +294,7 @@ def link(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         return verified(sets_b.join(sets_a.hint("merge"), "a"), percent)
 
     sketches = profile.select("node", "size", F.explode("sketch").alias("key")).select("key", "node", "size")
-    components = linked(postings, sketches, profile.select("node", "bitmap"), verify, percent)
+    components = linked(postings, sketches, lambda nodes: profile.select("node", "bitmap"), verify, percent)
 
     # Back from classes to rows; the smallest id of a component is that of its classes.
     reached = nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))

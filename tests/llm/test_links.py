@@ -66,7 +66,7 @@ def tables(spark, sets, keys):
     """Postings of the nodes' keys and their bitmaps."""
     postings = [(k, node, len(sets[node]), 0) for node, own in keys.items() for k in own]
     bitmaps = [(node, bytearray(links.bitmap(hashed(s)))) for node, s in sets.items()]
-    return spark.createDataFrame(postings, "key long, node long, size int, place int").repartition(3), spark.createDataFrame(bitmaps, "node long, bitmap binary")
+    return spark.createDataFrame(postings, "key long, node long, size int, place int").repartition(3), (lambda nodes: spark.createDataFrame(bitmaps, "node long, bitmap binary").join(nodes, "node"))
 
 
 def verifier(sets, seen):
