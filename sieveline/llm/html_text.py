@@ -3,8 +3,9 @@
 A page is a sequence of words and tags. Words score by the containers they stand in,
 tags score below zero; the weights are log odds counted on pages whose content is
 labelled by an ``article`` element. One linear scan finds the contiguous region with
-the highest sum. The region is extended to the container that holds it, and what stands
-in containers that are never content is left out.
+the highest sum, and the region is the text: its bounds move only to the ends of the
+blocks they fall in. Within it, what stands in containers that are never content is left
+out. Reading a page takes linear time, however deep or broken its markup is.
 """
 
 from __future__ import annotations
@@ -25,16 +26,22 @@ from sieveline.llm.common import map_batches
 
 #: Labelled pages the weights are counted on, about; twice as many at most.
 SAMPLE = 2000
-#: Weights lie between this and its negative.
+#: Weights lie between this and its negative; those of tags between these two.
 CLIP = 5.0
-TAG = -0.1
-
-# Elements whose content is no text, inline elements, containers.
-RAW = {"script", "style", "title", "textarea", "noscript", "template", "svg", "iframe", "select", "button", "head", "object", "math"}
-INLINE = set(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split()
-)
+TAG, LEAST_TAG = -0.1, -1.0
+#: Score of a word up to which it is left out of the region it stands in.
+LEAST_WORD = -2.0
+
+# Elements whose content is no markup (to the end of the page if they are not
+# closed), others whose content is no text, elements that hold a line of a form, containers,
+# elements that begin and end a line (all others stand in one).
+RAW = {"script", "style", "title", "textarea", "iframe"}
+SKIPPED = {"template", "svg", "select"}
+CONTROLS = {"button", "label", "option"}
 CONTAINERS = set("article main section div nav aside footer header form ul ol dl table body blockquote figure details dialog menu fieldset".split())
+BLOCKS = CONTAINERS | set(
+    "address br caption center dd dir dt figcaption h1 h2 h3 h4 h5 h6 head hgroup hr html legend li link meta optgroup p pre summary tbody td tfoot th thead tr".split()
+)
 # Containers that say nothing by themselves; only their names have weights.
 GENERIC = set("div section body ul ol dl table blockquote figure details".split())
 NEVER = {"nav", "aside", "footer", "form", "menu", "dialog", "fieldset"}
@@ -48,106 +55,184 @@ NEVER_NAMED = set(
 BOXES = set("area bar block box button buttons container content inner items left link links list outer posts right section site widget wrap wrapper".split())
 #: Elements that hold the text, whatever they are called.
 HOLDERS = {"body", "main", "article"}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[a-zA-Z][^>]*>|[^<]+|<", re.S)
-NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-NAMES = re.compile(r"""(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+TEXT = re.compile(r"[^<]+")
+NAME = re.compile(r"/?([a-zA-Z][^\s/<>]*)")
+NAMES = re.compile(r"""(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+QUOTED = re.compile(r"[^\"']+|\"[^\"]*\"|'[^']*'")
+ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW | SKIPPED}
+
+
+class Node:
+    """An open container: what words in it inherit from those around it."""
+
+    __slots__ = ("tag", "names", "parent", "inside", "never", "known", "words", "listed")
+
+    def __init__(self, tag: str, names: list[list[str]], parent: Node | None, listed: bool):
+        self.tag, self.names, self.parent, self.listed = tag, names, parent, listed
+        self.inside = tag == "article" or bool(parent and parent.inside)
+        self.never = False
+        self.known: tuple[float, ...] = ()
+        self.words = [0, 0]  # outside and inside an article
+
+    @property
+    def keys(self) -> list[str]:
+        return [self.tag, *[f".{part}" for name in self.names for part in name]]
 
 
 @dataclass
 class Piece:
-    """A run of text: its words, the open containers' keys and ids, and its block."""
+    """A run of text: its words, the tags before it, its container and block."""
 
     text: str
     words: int
     tags: list[str]
-    stack: tuple[tuple[int, tuple[str, ...]], ...]
+    node: Node
     block: int
 
 
-def container_keys(tag: str, markup: str) -> tuple[str, ...]:
-    names = [n for m in NAMES.finditer(markup) for n in re.split(r"[\s_-]+", m.group(1).strip("\"'").lower()) if n]
-    return (tag, *[f".{n}" for n in names])
+def named(markup: str, ids: bool = True) -> list[str]:
+    """The names of a tag, in lower case."""
+    return [n for m in NAMES.finditer(markup) if ids or m.group(1).lower() != "id" for n in m.group(2).strip("\"'").lower().split()]
+
+
+def container_names(markup: str) -> list[list[str]]:
+    """The parts of each name."""
+    return [parts for name in named(markup) if (parts := [p for p in re.split(r"[_-]+", name) if p])]
 
 
 def never_named(tag: str, markup: str, inside: bool) -> bool:
     """Whether a whole name of the container is listed, alone or with what kind of box it
-    is; ``no-sidebar`` is none. ``inside``: in an article, whose header is part of it."""
+    is; ``no-sidebar`` is none. ``inside``: in an article, whose header is part of it, and
+    where an id names a place in the text."""
     if tag in HOLDERS:
         return False
-    names = [n for m in NAMES.finditer(markup) for n in m.group(1).strip("\"'").lower().split()]
-    parts = [{p for p in re.split(r"[_-]+", n) if p} for n in names]
+    parts = [{p for p in re.split(r"[_-]+", n) if p} for n in named(markup, ids=not inside)]
     listed = NEVER_NAMED - {"header"} if inside else NEVER_NAMED
     return any(p & listed and p <= listed | BOXES for p in parts)
 
 
-def never_content(stack: tuple[tuple[int, tuple[str, ...]], ...]) -> bool:
-    """A page's header is left out, an article's is part of it. Containers with a
-    listed name have numbers below zero."""
-    inside = False
-    for number, keys in stack:
-        if keys[0] in NEVER or number < 0 or (keys[0] == "header" and not inside):
-            return True
-        inside |= keys[0] == "article"
-    return False
+class Tags:
+    """Finds the ends of a page's tags, each character looked at a few times at most."""
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.gone: set[str] = set()  # quotes that do not come again
+
+    def end(self, at: int) -> int:
+        """Behind the end of the tag at ``at``, 0 if there is none. A quoted value may
+        hold the sign; with a quote that is never closed, the first sign ends the tag."""
+        if at > self.last:
+            return 0
+        first = sign = self.page.find(">", at)
+        place = at
+        while sign >= 0:
+            while place < sign and (run := QUOTED.match(self.page, place, sign)):
+                place = run.end()
+            if place >= sign:
+                return sign + 1
+            quote = self.page[place]
+            close = -1 if quote in self.gone else self.page.find(quote, sign)
+            if close < 0:
+                self.gone.add(quote)
+                break
+            place = close + 1
+            sign = self.page.find(">", place) if place <= self.last else -1
+        return first + 1
 
 
-def parse(page: str) -> list[Piece]:
-    """The runs of text of a page, in order, with the tags before each."""
+def parse(page: str) -> tuple[list[Piece], list[Node]]:
+    """The runs of text of a page, in order, with the tags before each, and its containers,
+    outer ones first."""
+    top = Node("", [], None, False)
     pieces: list[Piece] = []
-    stack: list[tuple[int, tuple[str, ...]]] = []
+    nodes, node = [top], top
+    opened: Counter = Counter()
     tags: list[str] = []
-    block = opened = 0
-    at, raw = 0, ""
-    lowered = ""
+    ends = Tags(page)
+    unclosed: set[str] = set()
+    block = at = 0
+
+    def add(text: str) -> None:
+        nonlocal tags
+        words = len(text.split())
+        if words or (pieces and pieces[-1].block == block):
+            pieces.append(Piece(text, words, tags, node, block))
+            node.words[node.inside] += words
+            tags = []
+
     while at < len(page):
-        if raw:  # up to the end tag, whatever stands there
-            lowered = lowered or page.lower()
-            end = lowered.find(f"</{raw}", at)
-            if end < 0:
-                break
-            at, raw = end, ""
-        found = TOKEN.match(page, at)
-        token, at = found.group(), found.end()
-        if token[0] != "<" or token == "<":
-            words = len(token.split())
-            if words or (pieces and pieces[-1].block == block):
-                pieces.append(Piece(token, words, tags, tuple(stack), block))
-                tags = []
+        if page[at] != "<":
+            end = TEXT.match(page, at).end()
+            add(page[at:end])
+            at = end
+            continue
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            at = end + 3 if end >= 0 else len(page)
             continue
-        if not (named := NAME.match(token)):
+        found = NAME.match(page, at + 1)
+        end = ends.end(at) if found or page[at + 1 : at + 2] in ("!", "?") else 0
+        if not end:
+            add("<")
+            at += 1
             continue
-        tag = named.group(1).lower()
-        closing = token[1] == "/"
-        if tag in RAW:
+        markup, start = page[at:end], at
+        at = end
+        if not found:
+            continue
+        tag, closing = found.group(1).lower(), markup[1] == "/"
+        if tag in ENDS:
             tags.append(tag)
-            raw = "" if closing or token.endswith("/>") or tag == "head" else tag
+            if not closing and not markup.endswith("/>") and tag not in unclosed:
+                stop = ENDS[tag].search(page, at)
+                if stop:
+                    at = stop.start()
+                elif tag in RAW:
+                    break
+                else:
+                    unclosed.add(tag)
             continue
-        if tag in INLINE:
+        if tag in CONTROLS or tag not in BLOCKS:
             tags.append(tag)
+            if tag in CONTROLS:
+                while node.tag in CONTROLS:
+                    node = node.parent
+                if not closing:
+                    node = Node(tag, [], node, True)
+                    nodes.append(node)
             continue
+        while node.tag in CONTROLS:  # a line of a form ends where a block begins or ends
+            node = node.parent
         block += tag != "br"
         tags.append("/" + tag if closing else tag)
         if tag == "br" and pieces and pieces[-1].block == block:
-            pieces.append(Piece(" ", 0, [], tuple(stack), block))
+            pieces.append(Piece(" ", 0, [], node, block))
         if tag in CONTAINERS:
             if not closing:
-                opened += 1
-                never = never_named(tag, token, any(keys[0] == "article" for _, keys in stack))
-                stack.append((-opened if never else opened, container_keys(tag, token)))
-            else:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][1][0] == tag:
-                        del stack[k:]
+                node = Node(tag, container_names(markup), node, never_named(tag, markup, node.inside))
+                nodes.append(node)
+                opened[tag] += 1
+            elif opened[tag]:
+                while True:
+                    opened[node.tag] -= 1
+                    left, node = node.tag, node.parent
+                    if left == tag:
                         break
-    # A name does not drop most of the page's words.
-    held: Counter = Counter()
-    for p in pieces:
-        for number in {n for n, _ in p.stack if n < 0}:
-            held[number] += p.words
-    if large := {n for n, words in held.items() if 2 * words > sum(p.words for p in pieces)}:
-        for p in pieces:
-            p.stack = tuple((-n if n in large else n, keys) for n, keys in p.stack)
-    return pieces
+    _inherit(nodes)
+    return pieces, nodes
+
+
+def _inherit(nodes: list[Node]) -> None:
+    """Sum up the words of containers, and mark what is never content: a page's header,
+    not an article's, and listed names, unless one holds most of the page's words."""
+    for node in reversed(nodes[1:]):
+        for side in (0, 1):
+            node.parent.words[side] += node.words[side]
+    total = sum(nodes[0].words)
+    for node in nodes[1:]:
+        within = node.parent.inside
+        listed = node.listed and 2 * sum(node.words) <= total
+        node.never = node.parent.never or listed or node.tag in NEVER or (node.tag == "header" and not within)
 
 
 @dataclass
@@ -155,11 +240,22 @@ class Weights:
     containers: dict[str, float] = field(default_factory=dict)
     tags: dict[str, float] = field(default_factory=dict)
 
-    def word(self, stack: tuple[tuple[int, tuple[str, ...]], ...]) -> float:
-        if never_content(stack):
-            return -CLIP
-        known = [self.containers[k] for _, keys in stack for k in keys if k in self.containers and k not in GENERIC]
-        return min(known[-2:], default=1.0)
+    def known(self, node: Node) -> tuple[float, ...]:
+        """The weights of the two innermost names around a container's words. Within an
+        article only names that are known as a whole count, and no tags."""
+        before = node.parent.known if node.parent else ()
+        if node.parent and node.parent.inside:
+            parts = [[p for p in name if p not in BOXES] for name in node.names]
+            own = [max(self.containers[f".{p}"] for p in name) for name in parts if name and all(f".{p}" in self.containers for p in name)]
+        else:
+            own = [self.containers[k] for k in node.keys if k in self.containers and k not in GENERIC]
+        return (*before, *own)[-2:]
+
+    def word(self, node: Node) -> float:
+        """Within an article no word scores below zero: an advert there does not part it."""
+        if node.inside:
+            return 0.0 if node.never else max(1.0, min(node.known, default=1.0))
+        return -CLIP if node.never else min(node.known, default=1.0)
 
     def tag(self, tag: str) -> float:
         return self.tags.get(tag, TAG)
@@ -169,29 +265,31 @@ def count(page: str) -> Counter:
     """Words and tags of a labelled page by container and side; nothing if it has no
     article."""
     seen: Counter = Counter()
-    pieces = parse(page)
-    if not any(keys[0] == "article" for p in pieces for _, keys in p.stack):
+    pieces, nodes = parse(page)
+    if not any(p.node.inside for p in pieces):
         return seen
+    sides = ("out", "in")
+    for node in nodes:
+        for key in node.keys:
+            for side in (0, 1):
+                if node.words[side]:
+                    seen[("word", key, sides[side])] += node.words[side]
     for p in pieces:
-        side = "in" if any(keys[0] == "article" for _, keys in p.stack) else "out"
-        for _, keys in p.stack:
-            for key in keys:
-                seen[("word", key, side)] += p.words
         for tag in p.tags:
-            seen[("tag", tag, side)] += 1
-        seen[("all", "words", side)] += p.words
+            seen[("tag", tag, sides[p.node.inside])] += 1
+        seen[("all", "words", sides[p.node.inside])] += p.words
     return seen
 
 
 def weigh(counts: dict[tuple[str, str, str], int]) -> Weights:
-    """Log odds of content, smoothed by one and clipped; tags at most ``TAG``."""
+    """Log odds of content, smoothed by one and clipped; tags score below zero."""
 
     def odds(kind: str, key: str) -> float:
         value = math.log((counts.get((kind, key, "in"), 0) + 1) / (counts.get((kind, key, "out"), 0) + 1))
         return max(-CLIP, min(CLIP, value))
 
-    containers = {key: odds(kind, key) for kind, key, _ in counts if kind == "word" and key != "body"}
-    return Weights(containers, {key: min(TAG, odds(kind, key)) for kind, key, _ in counts if kind == "tag"})
+    containers = {key: odds(kind, key) for kind, key, _ in counts if kind == "word" and key not in ("", "body")}
+    return Weights(containers, {key: max(LEAST_TAG, min(TAG, odds(kind, key))) for kind, key, _ in counts if kind == "tag"})
 
 
 def best_region(scores: list[tuple[float, float]]) -> tuple[int, int] | None:
@@ -210,25 +308,21 @@ def best_region(scores: list[tuple[float, float]]) -> tuple[int, int] | None:
 
 def main_text(page: str | None, weights: Weights) -> str:
     """Blocks of the best region, one per line; empty if the page has none."""
-    pieces = parse(page or "")
-    scores = [(sum(map(weights.tag, p.tags)), p.words * weights.word(p.stack)) for p in pieces]
+    pieces, nodes = parse(page or "")
+    for node in nodes:
+        node.known = weights.known(node)
+    scores = [(sum(map(weights.tag, p.tags)), p.words * weights.word(p.node)) for p in pieces]
     region = best_region(scores)
     if region is None:
         return ""
-    # The container that holds the region: an article or main element if there is one.
-    heart = pieces[region[0] : region[1] + 1]
-    votes: Counter = Counter()
-    for p in heart:
-        for number, keys in p.stack:
-            if keys[0] in ("article", "main") and not never_content(p.stack):
-                votes[number] += p.words
-    if votes:
-        most = max(votes.values())
-        number = min(n for n, v in votes.items() if v == most)
-        heart = [p for p in pieces if any(n == number for n, _ in p.stack)]
+    first, last = region
+    while first and pieces[first - 1].block == pieces[first].block:
+        first -= 1
+    while last + 1 < len(pieces) and pieces[last + 1].block == pieces[last].block:
+        last += 1
     blocks: dict[int, list[str]] = {}
-    for p in heart:
-        if not never_content(p.stack):
+    for p in pieces[first : last + 1]:
+        if not p.node.never and min(p.node.known, default=1.0) > LEAST_WORD:
             blocks.setdefault(p.block, []).append(p.text)
     texts = (" ".join(html.unescape("".join(parts)).split()) for parts in blocks.values())
     return "\n".join(t for t in texts if t)

@@ -1,6 +1,7 @@
 """Main text of pages: structure, hard markup, learned weights, and the linear scan."""
 
 import random
+import time
 
 import pytest
 
@@ -94,3 +95,79 @@ def test_names_that_only_hold_a_listed_word(weights):
     assert ht.main_text(page(f"<div class='social-science'><p>more</p></div>{text}"), weights) == f"more\n{want}"
     for name in ("share-buttons", "related_posts", "x sidebar", "cookie-notice"):
         assert ht.main_text(page(f"{text}<div class='{name}'><p>gone</p></div>"), weights) == want
+
+
+ARTICLE = "<p>" + "first words of the text " * 8 + "</p>"
+FIRST = ("first words of the text " * 8).strip()
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ("<p>one <math><mi>x</mi><mo>+</mo><mn>1</mn></math> two</p>", "one x+1 two"),
+        ("<noscript>shown without scripts</noscript><object><p>instead of the film</p></object>", "shown without scripts\ninstead of the film"),
+        ("<section id='related'><p>Related work</p></section><div id='search'><p>We search</p></div>", "Related work\nWe search"),
+        ("<p>press <button>Go<p>after an open button</p>", "press\nafter an open button"),
+        ("<p>x <svg>not <text>closed<p>after</p>", "x not closed\nafter"),
+        ("<p>x <svg><text>drawn</text></svg>y</p><select><option>a</select>", "x y"),
+        ("<SCRIPT>a</ScRiPt ><p>after</p><style>b</STYLE>", "after"),
+        ("<p class='a>b' title=\"c>d\">e</p><p title=\"open>f</p>", "e\nf"),
+    ],
+)
+def test_nothing_else_is_lost(weights, body, text):
+    assert ht.main_text(page(ARTICLE + body), weights) == f"{FIRST}\n{text}"
+
+
+def test_sibling_articles_are_one_region(weights):
+    two = page(ARTICLE).replace("</article>", "</article><article>" + ARTICLE.replace("first", "second") + "</article>")
+    assert ht.main_text(two, weights) == f"{FIRST}\n{FIRST.replace('first', 'second')}"
+    inside = page(ARTICLE + "<nav><a>menu</a></nav>" + ARTICLE.replace("first", "second"))
+    assert ht.main_text(inside, weights) == f"{FIRST}\n{FIRST.replace('first', 'second')}"
+
+
+def test_letters_that_grow_in_lower_case(weights):
+    """Places are those of the page itself."""
+    for n in (15, 40, 400):
+        body = f"<p>{chr(0x130) * n}</p><script>var x = 1;</script><p>Second paragraph of the text.</p>"
+        assert ht.main_text(page(ARTICLE + body), weights) == f"{FIRST}\n{chr(0x130) * n}\nSecond paragraph of the text."
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<div>x", "<div>x</section>", "<a \"", "<a '>", "<a \">", "<p", "<", "<!--", "<svg>", "<button>", "<b>y</div>", "<script>"])
+def test_broken_pages_take_linear_time(weights, unit):
+    def seconds(n):
+        start = time.process_time()
+        ht.main_text("<body><p>text " + unit * n, weights)
+        return time.process_time() - start
+
+    assert min(seconds(8000) for _ in range(3)) < 0.4
+
+
+def brute_region(page_text, weights):
+    """The text of the best of all regions, block by block."""
+    pieces, nodes = ht.parse(page_text)
+    for node in nodes:
+        node.known = weights.known(node)
+    scores = [(sum(map(weights.tag, p.tags)), p.words * weights.word(p.node)) for p in pieces]
+    value = lambda a, b: sum(x + y for x, y in scores[a : b + 1]) - scores[a][0]
+    a, b = max(((a, b) for a in range(len(pieces)) for b in range(a, len(pieces))), key=lambda r: value(*r))
+    wanted = {p.block for p in pieces[a : b + 1]}
+    blocks = {}
+    for p in pieces:
+        if p.block in wanted and not p.node.never and min(p.node.known, default=1.0) > ht.LEAST_WORD:
+            blocks.setdefault(p.block, []).append(p.text)
+    return "\n".join(t for parts in blocks.values() if (t := " ".join(ht.html.unescape("".join(parts)).split())))
+
+
+def test_the_query_is_the_best_region_of_every_page(spark):
+    """The whole operator against all regions of each page, with its own weights."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(60):
+        parts = [f"<p>{'words of it ' * rng.randint(1, 9)}</p>" for _ in range(rng.randint(1, 5))]
+        boxes = ["<nav><a>menu here</a></nav>", "<div class='ad'>buy it now</div>", "<ul><li>a point</li></ul>", "<aside>more</aside>"]
+        body = "".join(x for p in parts for x in (p, rng.choice(["", *boxes])))
+        rows.append((i, "u", page(body) if i % 3 else f"<body>{boxes[0]}<div id=x>{body}</div><footer>end of it</footer>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    weights = ht.fit(df)
+    got = {r.page_id: r.text for r in ht.extract(df).collect()}
+    assert got == {i: brute_region(h, weights) for i, _, h in rows} and all(got.values())
