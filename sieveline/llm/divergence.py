@@ -29,6 +29,7 @@ CLASSES = {
     "digit": r"\p{N}+",
 }
 WHITE = " \t\n\x0b\f\r"
+SPACES = list(CLASSES).index("space")
 SYMBOLS = "#*$%&|<>"
 POOLED = "\x00all"
 
@@ -75,11 +76,12 @@ def _texts(docs: DataFrame, id_column: str, text_column: str, lang_column: str)
 
 
 def _with_classes(texts: DataFrame) -> DataFrame:
-    """``classes``: the characters of each class, in the order of ``CLASSES``, then the rest."""
+    """``classes``: the characters of each class, in the order of ``CLASSES``, then the
+    rest, and how many of the rest are ``SYMBOLS``."""
 
     def strip(rest: Column, patterns: list[str], counts: list[Column]) -> Column:
         if not patterns:
-            return F.array(*counts, F.length(rest))
+            return F.array(*counts, F.length(rest), F.length(rest) - F.length(F.translate(rest, SYMBOLS, "")))
         return _once(
             F.regexp_replace(rest, patterns[0], ""),
             lambda left: strip(left, patterns[1:], [*counts, F.length(rest) - F.length(left)]),
@@ -88,12 +90,12 @@ def _with_classes(texts: DataFrame) -> DataFrame:
     return texts.withColumn("classes", strip(F.col("text"), list(CLASSES.values()), []))
 
 
-def _repeat_words(words: Column) -> Column:
+def _repeat_words(hashes: Column) -> Column:
     """Words in 5-word windows that occur twice or more, the first time included.
-    Windows are compared by a 64-bit hash."""
-    n = F.size(words)
+    Windows are compared by a 64-bit hash of their words' ``hashes``."""
+    n = F.size(hashes)
     starts = F.sequence(F.lit(0), n - 5)
-    hashes = F.when(n >= 5, F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(5)])))
+    windows = F.when(n >= 5, F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(5)])))
 
     def repeated(ordered: Column) -> Column:
         same = F.filter(
@@ -106,12 +108,13 @@ def _repeat_words(words: Column) -> Column:
         return _sum(steps, F.lit(0))
 
     def count(h: Column) -> Column:
-        ordered = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        # Only a text with a repeated window is sorted.
+        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
         return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(
             _once(_once(ordered, repeated), covered)
         )
 
-    return F.coalesce(_once(hashes, count), F.lit(0)).cast("long")
+    return F.coalesce(_once(windows, count), F.lit(0)).cast("long")
 
 
 def references(docs: DataFrame, limits: Limits = Limits(), text_column: str = "text", lang_column: str = "lang") -> DataFrame:
@@ -188,11 +191,14 @@ def _class_distance(classes: Column, shares: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), _sum(F.zip_with(classes, shares, lambda c, q: _part(c / total, q)), F.lit(0.0))))
 
 
-def _word_distance(words: Column, slots: Column, shares: Column, spread: Column) -> Column:
+def _word_distance(words: Column, hashes: Column, slots: Column, shares: Column, spread: Column) -> Column:
     """Over the common words and, as one category, all others."""
     n = F.size(words).cast("double")
-    slot = F.transform(words, lambda w: F.pmod(F.xxhash64(w), spread).cast("int"))
-    known = F.array_remove(F.zip_with(words, slot, lambda w, k: F.when(F.get(slots, k) == w, k).otherwise(-1)), -1)
+
+    def slot(word: Column, hashed: Column) -> Column:
+        return _once(F.pmod(hashed, spread).cast("int"), lambda k: F.when(F.get(slots, k) == word, k).otherwise(-1))
+
+    known = F.array_remove(F.zip_with(words, hashes, slot), -1)
 
     def distance(found: Column) -> Column:
         def present(k: Column) -> Column:
@@ -233,17 +239,17 @@ def judge(
     owned = F.array(*[F.lit(r["ref"]) for r in refs.select("ref").collect()])
     text = F.col("text")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
-    stripped = F.translate(text, WHITE, "")
     measured = _with_classes(_texts(docs, id_column, text_column, lang_column)).select(
         "doc_id",
         F.when(F.array_contains(owned, F.col("lang")), F.col("lang")).otherwise(POOLED).alias("ref"),
-        F.length(stripped).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        (F.length(text) - F.col("classes")[SPACES]).cast("long").alias("word_chars"),
+        F.col("classes")[len(CLASSES) + 1].cast("long").alias("n_symbols"),
         _once(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
         F.length(text).alias("chars"),
-        F.col("classes").alias("own_classes"),
+        F.slice("classes", 1, len(CLASSES) + 1).alias("own_classes"),
         _words(text).alias("words"),
     )
+    measured = measured.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     joined = measured.join(F.broadcast(refs), "ref", "left")
     n = F.size("words")
     judged = joined.select(
@@ -252,12 +258,13 @@ def judge(
         "word_chars",
         "n_symbols",
         "n_dup_lines",
-        _repeat_words(F.col("words")).alias("n_repeat_words"),
+        _repeat_words(F.col("hashes")).alias("n_repeat_words"),
         F.when(F.col("chars") >= limits.min_chars, _class_distance(F.col("own_classes"), F.col("classes"))).alias("class_distance"),
-        F.when(n >= limits.min_words, _word_distance(F.col("words"), F.col("slots"), F.col("shares"), F.col("spread"))).alias(
+        F.when(n >= limits.min_words, _word_distance(F.col("words"), F.col("hashes"), F.col("slots"), F.col("shares"), F.col("spread"))).alias(
             "word_distance"
         ),
         "words",
+        "hashes",
         "bare",
         "tables",
     )
@@ -268,7 +275,7 @@ def judge(
     if limits.bare_share is not None:
         # A text of unknown language may be in any that has a reference.
         share = lambda distance, bare: F.when(bare > 0, distance / bare)
-        nearest = F.array_min(F.transform("tables", lambda t: share(_word_distance(F.col("words"), t.slots, t.shares, t.spread), t.bare)))
+        nearest = F.array_min(F.transform("tables", lambda t: share(_word_distance(F.col("words"), F.col("hashes"), t.slots, t.shares, t.spread), t.bare)))
         own = share(F.col("word_distance"), F.col("bare"))
         lacking = F.when(F.col("word_distance").isNotNull(), F.when(F.col("tables").isNull(), own).otherwise(nearest))
         far = far | F.coalesce(lacking > limits.bare_share, F.lit(False))

@@ -93,19 +93,24 @@ common AS (
 named AS (SELECT m.*, coalesce(r.ref, '*') AS ref FROM measured m LEFT JOIN refs r ON m.lang = r.ref AND r.ref <> '*'),
 own AS (SELECT rid, word, count(*) AS n FROM (SELECT rid, unnest(ws) AS word FROM w) GROUP BY rid, word),
 shares AS (
-  SELECT n.rid, coalesce(o.n, 0) / n.n_words AS p, c.q
-  FROM named n JOIN common c ON n.ref = c.ref LEFT JOIN own o ON o.rid = n.rid AND o.word = c.word
+  SELECT n.rid, c.ref, c.ref = n.ref AS is_own, coalesce(o.n, 0) / n.n_words AS p, c.q
+  FROM named n JOIN common c ON n.ref = c.ref OR n.ref = '*' LEFT JOIN own o ON o.rid = n.rid AND o.word = c.word
   WHERE n.n_words >= {LIMITS.min_words}),
 summed AS (
-  SELECT rid, sum({_part("p", "q")}) AS parts, greatest(0, 1 - sum(p)) AS rest_p, greatest(0, 1 - sum(q)) AS rest_q FROM shares GROUP BY rid),
-words_far AS (SELECT rid, sqrt(greatest(0, parts + {_part("rest_p", "rest_q")})) AS distance FROM summed),
+  SELECT rid, is_own, sum({_part("p", "q")}) AS parts, greatest(0, 1 - sum(p)) AS rest_p, sum(q) AS share, greatest(0, 1 - sum(q)) AS rest_q
+  FROM shares GROUP BY rid, ref, is_own),
+distances AS (
+  SELECT rid, is_own, sqrt(greatest(0, parts + {_part("rest_p", "rest_q")})) AS distance,
+         sqrt((share + log2(2 / (1 + rest_q)) + CASE WHEN rest_q > 0 THEN rest_q * log2(2 * rest_q / (1 + rest_q)) ELSE 0 END) / 2) AS bare
+  FROM summed),
+words_far AS (SELECT rid, max(distance) FILTER (WHERE is_own) AS distance, min(distance / bare) AS lacking FROM distances GROUP BY rid),
 far AS (
   SELECT m.rid, CASE WHEN m.chars >= {LIMITS.min_chars} THEN sqrt(greatest(0, {_CLASS_PARTS})) END AS distance
   FROM named m JOIN refs r ON m.ref = r.ref)
 SELECT m.doc_id, m.n_words, m.word_chars, m.n_symbols, m.n_dup_lines, m.n_repeat_words,
        m.n_words < 10 OR 100 * m.n_repeat_words > 20 * m.n_words AS base_failed,
        NOT (m.n_words < 10 OR 100 * m.n_repeat_words > 20 * m.n_words)
-         AND coalesce(words_far.distance <= {LIMITS.word_distance}, true)
+         AND coalesce(words_far.distance <= {LIMITS.word_distance}, true) AND coalesce(words_far.lacking <= {LIMITS.bare_share}, true)
          AND coalesce(far.distance <= {LIMITS.class_distance}, true) AS kept
 FROM named m LEFT JOIN words_far ON m.rid = words_far.rid LEFT JOIN far ON m.rid = far.rid"""
 

@@ -1,6 +1,7 @@
 """Registered queries: their SQL counterparts, and all of them where they are left out."""
 
 import os
+import random
 import subprocess
 import sys
 
@@ -47,3 +48,17 @@ print(sorted(n for n in e.queries() if n.startswith("op") or n == "pipeline"), l
 """
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=tmp_path, timeout=120)
     assert done.stdout.splitlines()[-1:] == ["[] True"], done.stderr[-1500:]
+
+
+@needs_data
+def test_divergence_query_rejects_foreign_and_made_up_text(spark, tmp_path):
+    """The rule for texts without their language's common words is in the query itself."""
+    rng = random.Random(4)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    text = {r.lang: r.text for r in docs.where("length(text) > 1500").collect() if r.lang}
+    made = " ".join("".join(rng.choices("bcfgklmpvwxz", k=rng.randint(2, 8))) for _ in range(200))
+    rows = [(10**9, text["de"], "en"), (10**9 + 1, text["en"], "fr"), (10**9 + 2, made, "en"), (10**9 + 3, made, None)]
+    more = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in rows], docs.schema)
+    docs.union(more).write.parquet(str(tmp_path / "documents.parquet"))
+    kept = {r.doc_id: r.kept for r in QUERIES["op8_divergence"](spark, str(tmp_path)).collect()}
+    assert not any(kept[i] for i, _, _ in rows) and sum(kept.values()) > 0.7 * len(kept)
