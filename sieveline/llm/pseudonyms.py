@@ -2,8 +2,9 @@
 
 Numbers and dates that are valid (a card's check digit, an address's octets, a date of
 the calendar) are permuted by a keyed Feistel network within their format; equal values
-become equal ones in every document, and different values different ones. Letters of
-mail addresses and secrets get keyed digests of the same length. Everything is a column
+become equal ones in every document, and different numbers and dates different ones. Letters
+of mail addresses and secrets get keyed digests of the same length (no permutation), and
+the domain of an address stays. Everything is a column
 expression; rows are not shuffled, and texts without a digit or ``@`` are not searched.
 """
 
@@ -17,6 +18,8 @@ from sieveline.llm.common import keyed_texts
 ROUNDS = 10
 # The days of 400 years (they repeat), as a product for the two halves.
 FIRST_DAY, DAYS_LEFT, DAYS_RIGHT = "1800-01-01", 189, 773
+# The same for the days from the 13th of a month on.
+FIRST_YEAR, MONTHS, LATE_LEFT, LATE_RIGHT = 1800, 4800, 9, 9833
 DATE_FORMATS = {"iso": "yyyy-MM-dd", "dots": "dd.MM.yyyy", "slashes": "dd/MM/yyyy", "american": "MM/dd/yyyy"}
 
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+"
@@ -120,20 +123,54 @@ def address(text: Column, key: str) -> Column:
     return _bind(F.split(text, r"\.").cast("array<int>"), of)
 
 
+def _month_start(month: Column) -> Column:
+    """The first day of a month, counted from the first one."""
+    return F.add_months(F.lit(FIRST_DAY).cast("date"), month.cast("int"))
+
+
+def _late_before(month: Column) -> Column:
+    """Late days (from the 13th on) before a month."""
+    return F.datediff(_month_start(month), F.lit(FIRST_DAY).cast("date")) - 12 * month
+
+
 def date(text: Column, key: str) -> Column:
     """Another date in the same format, between the years 1800 and 2199; null if it is
-    none of these years or of the calendar."""
+    none of these years or of the calendar.
+
+    With slashes a date is read with the day first if it can be, so only late days (from
+    the 13th on) are read with the month first; these are permuted among themselves, so
+    that the result is read in the same way, and different dates stay different.
+    """
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def permuted(place: Column, left: int, right: int, tweak: str) -> Column:
+        state = feistel(F.floor(place / right), place % right, F.lit(left), F.lit(right), key, F.lit(tweak))
+        return _bind(state, lambda s: s.l * right + s.r)
 
     def of(written: str) -> Column:
-        days = F.datediff(F.try_to_date(text, written), F.lit(FIRST_DAY).cast("date"))
-        state = feistel(F.floor(days / DAYS_RIGHT), days % DAYS_RIGHT, F.lit(DAYS_LEFT), F.lit(DAYS_RIGHT), key, F.lit("date"))
-        moved = _bind(state, lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"), (s.l * DAYS_RIGHT + s.r).cast("int")))
+        days = F.datediff(F.try_to_date(text, written), first)
+        moved = F.date_add(first, permuted(days, DAYS_LEFT, DAYS_RIGHT, "date").cast("int"))
         return F.when(days.between(0, DAYS_LEFT * DAYS_RIGHT - 1), F.date_format(moved, written))
 
+    def late() -> Column:
+        written = DATE_FORMATS["american"]
+        read = F.try_to_date(text, written)
+        month = (F.year(read) - FIRST_YEAR) * 12 + F.month(read) - 1
+        place = _late_before(month) + F.dayofmonth(read) - 13
+
+        def made(moved: Column) -> Column:
+            about = F.floor(moved * MONTHS / (LATE_LEFT * LATE_RIGHT)).cast("int")
+            near = F.filter(F.sequence(F.greatest(about - 2, F.lit(0)), F.least(about + 2, F.lit(MONTHS - 1))), lambda m: _late_before(m) <= moved)
+            day = _bind(F.array_max(near), lambda m: F.date_add(_month_start(m), (moved - _late_before(m) + 12).cast("int")))
+            return F.date_format(day, written)
+
+        known = F.year(read).between(FIRST_YEAR, FIRST_YEAR + 399) & (F.dayofmonth(read) > 12)
+        return F.when(known, _bind(permuted(place, LATE_LEFT, LATE_RIGHT, "late"), made))
+
     return (
         F.when(text.rlike("^[0-9]{4}-"), of(DATE_FORMATS["iso"]))
         .when(text.contains("."), of(DATE_FORMATS["dots"]))
-        .otherwise(F.coalesce(of(DATE_FORMATS["slashes"]), of(DATE_FORMATS["american"])))
+        .otherwise(F.coalesce(of(DATE_FORMATS["slashes"]), late()))
     )
 
 
