@@ -21,7 +21,8 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import batched, chain, groupby
+from operator import itemgetter
 
 import pyarrow as pa
 import regex
@@ -32,9 +33,11 @@ from sieveline.llm.common import keyed_texts, map_batches
 #: Words a worker remembers; at this number it forgets them all.
 CACHED_WORDS = 300_000
 #: Symbols of an unfinished word that are merged at once, besides the lookahead.
-BUFFER = 4096
+BUFFER = 256
 #: Characters of a text that are normalized at once.
 CHUNK = 1 << 16
+# Between the last two letters of these no word ends, nothing is composed and no pattern looks back.
+INSIDE = regex.compile("[a-zA-Z]{5}|[\u4e00-\u9fa5]{5}")
 # White space of the vocabulary's patterns, and the pattern of its words.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECES = regex.compile(rf"[{WHITE}]+")
@@ -69,6 +72,8 @@ class WordBpe:
             self.pieces[i] = piece
         self.word_end = ends
         letters = byte_letters()
+        self.path, self.library = path, None
+        self.byte_of = {c: b for b, c in enumerate(letters)}
         self.inner = [vocab[c] for c in letters]
         self.final = [vocab[c + ends] for c in letters]
         self.width = len(self.pieces)
@@ -131,15 +136,11 @@ class WordBpe:
 
     def word_ids(self, word: str) -> tuple[int, ...]:
         """Ids of a word that is at hand as a whole."""
-        if len(word) > BUFFER:
-            return tuple(self.stream_word([word]))
-        raw = word.encode("utf-8", "surrogatepass")
-        symbols = [self.inner[b] for b in raw]
-        symbols[-1] = self.final[raw[-1]]
-        return tuple(self.merge(symbols))
+        return tuple(self.stream_word([word]))
 
     def stream_word(self, parts: Iterable[str], buffer: int = BUFFER) -> Iterator[int]:
-        """Ids of one word that arrives in parts, each emitted once it is stable."""
+        """Ids of one word that arrives in parts, each emitted once it is stable: when the
+        lookahead behind it is there, or the word ends."""
         held: list[int] = []
         last = -1
         for part in parts:
@@ -171,9 +172,38 @@ class WordBpe:
     def words(self, text: str) -> list[str]:
         """Normalized words of a text without special tokens."""
         if not text.isascii():
+            if _unknown().search(text):
+                return self.library_words(text)
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.word_pattern.findall(text.lower())
 
+    def library_words(self, text: str) -> list[str]:
+        """The same by the library's own tables, for code points that Python does not know."""
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        found = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(map(self.byte_of.__getitem__, word)).decode("utf-8", "surrogatepass") for word, _ in found]
+
+    def stream_piece(self, piece: str) -> Iterator[int]:
+        """Ids of text without white space and special tokens, of any length, part by part."""
+        cuts, at = [0], CHUNK
+        while found := INSIDE.search(piece, at):
+            cuts.append(found.end() - 1)
+            at = found.end() + CHUNK
+        cuts.append(len(piece))
+
+        def parts() -> Iterator[tuple[int, str]]:
+            number = 0
+            for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                for place, word in enumerate(self.words(piece[a:b])):
+                    number += k == 0 or place > 0  # else it goes on with the last word
+                    yield number, word
+
+        for _, word in groupby(parts(), key=itemgetter(0)):
+            yield from self.stream_word(part for _, part in word)
+
 
 class Known(dict):
     """A bounded memory of a function's results, forgotten as a whole when full."""
@@ -212,12 +242,37 @@ class Encoder:
         ids += self.piece_ids(piece[start:])
         return tuple(ids)
 
-    def ids(self, text: str | None) -> list[int]:
-        """Ids of a text; none for null. Strings of special tokens are those tokens."""
-        ids: list[int] = []
+    def stream(self, text: str | None) -> Iterator[list[int]]:
+        """Ids of a text in lists of a bounded size; none for null. Strings of special
+        tokens are those tokens."""
         for part in chunks(text or ""):
-            ids += chain.from_iterable(map(self.of_piece.__getitem__, pieces(part)))
-        return ids
+            if len(part) <= CHUNK:
+                yield list(chain.from_iterable(map(self.of_piece.__getitem__, pieces(part))))
+                continue
+            for piece in pieces(part):
+                yield from batched(self.long_piece(piece), CHUNK)
+
+    def long_piece(self, piece: str) -> Iterator[int]:
+        """Ids of a piece of any length, as they become certain."""
+        start = 0
+        for found in self.bpe.special_pattern.finditer(piece):
+            yield from self.bpe.stream_piece(piece[start : found.start()])
+            yield self.bpe.specials[found.group()]
+            start = found.end()
+        yield from self.bpe.stream_piece(piece[start:])
+
+    def ids(self, text: str | None) -> list[int]:
+        """All ids of a text."""
+        return list(chain.from_iterable(self.stream(text)))
+
+
+@lru_cache(maxsize=1)
+def _unknown() -> regex.Pattern:
+    """The code points that Python's tables do not have."""
+    unknown = [unicodedata.category(chr(i)) == "Cn" for i in range(0x110000)]
+    starts = [i for i in range(0x110000) if unknown[i] and not (i and unknown[i - 1])]
+    ends = [i for i in range(0x110000) if unknown[i] and not (i + 1 < 0x110000 and unknown[i + 1])]
+    return regex.compile("[" + "".join(f"{regex.escape(chr(a))}-{regex.escape(chr(b))}" for a, b in zip(starts, ends)) + "]")
 
 
 def chunks(text: str) -> Iterator[str]:
@@ -344,7 +399,8 @@ def decode(encoded: DataFrame, vocabulary: str, joined: bool = False) -> DataFra
 def round_trip(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Encode and decode each text in one pass and return digests of both:
     ``(doc_id, n_tokens, ids_sha256, decoded_sha256)``. The digests are of the decimal
-    ids joined by a space and of the joined pieces; null counts as empty."""
+    ids joined by a space and of the joined pieces; null counts as empty. Ids and decoded
+    text are never held as a whole, however long the text is."""
     texts = keyed_texts(docs, id_column, text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,10 +409,22 @@ def round_trip(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text
         for batch in batches:
             counts, ids_digests, text_digests = [], [], []
             for value in batch.column("text"):
-                ids = encoder.ids(value.as_py())
-                counts.append(len(ids))
-                ids_digests.append(hashlib.sha256(" ".join(map(decimal, ids)).encode()).hexdigest())
-                text_digests.append(hashlib.sha256(decoder.text(ids).encode()).hexdigest())
+                count, digest, text_digest = 0, hashlib.sha256(), hashlib.sha256()
+
+                def emitted(text: str | None) -> Iterator[int]:
+                    """The ids, counted and digested on their way to the decoder."""
+                    nonlocal count
+                    for ids in encoder.stream(text):
+                        if ids:
+                            digest.update((" " * (count > 0) + " ".join(map(decimal, ids))).encode())
+                            count += len(ids)
+                            yield from ids
+
+                for decoded in decoder.stream(emitted(value.as_py())):
+                    text_digest.update(decoded.encode())
+                counts.append(count)
+                ids_digests.append(digest.hexdigest())
+                text_digests.append(text_digest.hexdigest())
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_digests), pa.array(text_digests)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

@@ -2,8 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
+import unicodedata
 
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from sieveline.llm import bpe
@@ -94,3 +97,43 @@ def test_encode_and_decode_frames(spark):
     assert sorted((r.doc_id, r.ids) for r in encoded.collect()) == [(1, ids_of("ab c")), (2, []), (2, [])]
     assert sorted((r.doc_id, r.text) for r in bpe.decode(encoded, VOCABULARY).collect()) == [(1, "ab c "), (2, ""), (2, "")]
     assert bpe.round_trip(docs.where("false"), VOCABULARY).count() == 0
+
+
+def test_code_points_that_python_does_not_know():
+    """Word classes and cases are the library's, also of letters newer than Python's tables."""
+    rng = random.Random(6)
+    newer = [c for c in map(chr, range(0x370, 0x33000)) if unicodedata.category(c) == "Cn" and regex.match(r"[\p{L}\p{N}\p{M}\p{S}\p{P}]", c)]
+    named = ["\u0558", "\u088f", "\u0c5c", "\u1c89", "\ua7cb"]
+    others = [chr(rng.choice([*range(0x80, 0xD800), *range(0xE000, 0x30000)])) for _ in range(4000)]
+    encoder = bpe.Encoder(BPE)
+    assert len(newer) > 1000
+    for start in range(0, len(newer) + len(others), 50):
+        text = " ".join(f"aB{c}Ab {c}{c}'s1" for c in [*named, *newer, *others][start : start + 50])
+        assert encoder.ids(text) == ids_of(text)
+
+
+def test_long_pieces_are_read_in_parts(monkeypatch):
+    """Texts without white space: parts end within words of letters, and words go on."""
+    monkeypatch.setattr(bpe, "CHUNK", 40)
+    monkeypatch.setattr(bpe, "BUFFER", 16)
+    rng, parts = random.Random(8), ["abcdefgh", "Letters", "\u6f22\u5b57" * 4, "'s", "'ll", "12", "!?", "\u00e9\u0301", "<|endoftext|>", "don't", "\u039f\u03a3"]
+    for _ in range(300):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 60))) + rng.choice(["", " x"])
+        encoder = bpe.Encoder(BPE, cached_words=10)
+        assert encoder.ids(text) == ids_of(text)
+
+
+def test_memory_does_not_grow_with_the_text():
+    """What encoding, digests and decoding hold besides the text itself."""
+
+    def peak(n):
+        text = "some words of it, and-" * n
+        encoder, decoder = bpe.Encoder(BPE), bpe.Decoder(BPE)
+        tracemalloc.start()
+        count = sum(len(x) for x in decoder.stream(i for ids in encoder.stream(text.replace(" ", "")) for i in ids))
+        size = tracemalloc.get_traced_memory()[1] - len(text)
+        tracemalloc.stop()
+        return size, count
+
+    (small, some), (large, more) = peak(8_000), peak(40_000)
+    assert more > 4.9 * some and large < 1.5 * small + 2_000_000
