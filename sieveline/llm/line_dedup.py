@@ -275,10 +275,11 @@ def removals(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         same = F.col("doc_id").eqNullSafe(F.col("holder")) & (F.xxhash64("text") == F.col("text_hash"))
         return written(with_lines(texts.join(checked_broadcast(written(named, "named"), count), same)).dropDuplicates(["node"]), "read")
 
-    held: list[DataFrame] = []  # the lines of nodes that are apart
+    held: list[DataFrame] = []  # the lines of nodes that are apart; later ones are among them
 
     def bitmaps(wanted: DataFrame) -> DataFrame:
-        held.append(lines_at(wanted))
+        if not held:
+            held.append(lines_at(wanted))
         return with_bitmaps(held[0])
 
     def verify(pairs: DataFrame) -> DataFrame:

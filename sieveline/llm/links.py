@@ -23,9 +23,10 @@ BROADCAST_ROWS = 1_000_000
 #: Bytes of the members of a key that meet each other at once, and block pairs of a batch.
 BLOCK_BYTES = 1 << 16
 BLOCK_PAIRS = 64
-#: Bytes of a set's bitmap, at least and at most: half a byte for each of its elements, and
-#: up to twice that.
-LEAST_BITS, MOST_BITS = 32, 1 << 16
+#: Bytes of a set's bitmap: half a byte for each of its elements, and up to twice that, between
+#: these two. A bitmap travels with every key of its node, so that of a long set is narrow,
+#: and rules out less.
+LEAST_BITS, MOST_BITS = 32, 128
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, total: int) -> DataFrame:
@@ -137,7 +138,8 @@ def linked(
     ``best_anchors``), which joins most of a large group without its pairs. Then, by
     their postings, only nodes of one key that are still apart are compared, all of them,
     in blocks: lengths, places and bitmaps rule out whatever cannot be a link before it
-    becomes a row, so no link that would join two components is missed. ``verify`` takes
+    becomes a row, so no link that would join two components is missed. Two components that
+    are linked in many places are joined by their nearest pairs first. ``verify`` takes
     distinct pairs ``(a, b)`` and keeps the links.
     """
     alike = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -145,9 +147,26 @@ def linked(
     first = written(verify(written(best_anchors(few.select("key", "node", "size"), alike), "pairs")), "links")
     components = connected(first)
 
-    joined = checked_broadcast(components, components.count())
     several = few if sketches is None else postings
-    members = several.join(joined, "node", "left").select("key", "node", "size", "place", F.coalesce("component", "node").alias("component"))
+    links = first
+    # First only the nearest pair of two components per pair of blocks, which joins most of
+    # those that are one; then, with what is still apart, all pairs.
+    for nearest in (True, False):
+        pairs = _apart_pairs(several, components, bitmaps, percent, nearest)
+        more = written(verify(pairs), "links")
+        if not more.isEmpty():
+            links = links.union(more)
+            components = connected(links)
+    return components
+
+
+def _apart_pairs(
+    postings: DataFrame, components: DataFrame, bitmaps: Callable[[DataFrame], DataFrame], percent: int, nearest: bool
+) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes that share a key, are in different components and
+    can be links; with ``nearest`` one for each two components that meet in a pair of blocks."""
+    joined = checked_broadcast(components, components.count())
+    members = postings.join(joined, "node", "left").select("key", "node", "size", "place", F.coalesce("component", "node").alias("component"))
     bytes_of = F.lit(32) + bitmap_bytes(F.col("size"))
     mixed = members.groupBy("key").agg(
         F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"), F.sum(bytes_of).alias("bytes")
@@ -166,11 +185,7 @@ def linked(
     left = blocks.select("key", F.col("block").alias("x_block"), F.explode(F.sequence("block", F.col("parts") - 1)).alias("y_block"), F.col("members").alias("left"), "lo", "hi")
     right = blocks.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("x_block"), F.col("block").alias("y_block"), F.col("members").alias("right"), F.col("lo").alias("y_lo"), F.col("hi").alias("y_hi"))
     met = left.join(right, ["key", "x_block", "y_block"]).where("least(lo, y_lo) < greatest(hi, y_hi)")
-    pairs = _few_at_once(components.sparkSession, lambda: written(survivors(met, percent).distinct(), "pairs"))
-    second = written(verify(pairs), "links")
-    if second.isEmpty():
-        return components
-    return connected(first.union(second))
+    return _few_at_once(components.sparkSession, lambda: written(survivors(met, percent, nearest).distinct(), "pairs"))
 
 
 def _few_at_once(spark: SparkSession, job: Callable[[], DataFrame]) -> DataFrame:
@@ -243,9 +258,10 @@ class Members:
         return self.made[width]
 
 
-def possible_pairs(x: Members, y: Members, same_block: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
+def possible_pairs(x: Members, y: Members, same_block: bool, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Which members can be linked: of different components, by their sizes, by what is
-    left of their sets behind the key, and by the bits in which their bitmaps differ."""
+    left of their sets behind the key, and by the bits in which their bitmaps differ; with
+    the share of bits that differ."""
     total = x.size[:, None] + y.size[None]
     left = np.minimum((x.size - x.place)[:, None], (y.size - y.place)[None])
     lengths = 100 * np.minimum(x.size[:, None], y.size[None]) >= percent * np.maximum(x.size[:, None], y.size[None])
@@ -254,17 +270,29 @@ def possible_pairs(x: Members, y: Members, same_block: bool, percent: int) -> tu
     i, j = np.nonzero(mask)
     widths = np.minimum(x.width[i], y.width[j])
     kept = np.zeros(len(i), bool)
+    far = np.zeros(len(i))
     for width in np.unique(widths).tolist():
         some = np.flatnonzero(widths == width)
         a, b = x.at(width), y.at(width)
         for at in range(0, len(some), 1 + (1 << 22) // width):
             part = some[at : at + 1 + (1 << 22) // width]
             differ = np.bitwise_count(a[i[part]] ^ b[j[part]]).sum(axis=1, dtype=np.int64)
-            kept[part] = (100 + percent) * differ <= (100 - percent) * total[i[part], j[part]]
-    return i[kept], j[kept]
+            both = total[i[part], j[part]]
+            kept[part] = (100 + percent) * differ <= (100 - percent) * both
+            far[part] = differ / both
+    return i[kept], j[kept], far[kept]
+
+
+def nearest_pairs(x: Members, y: Members, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One of the pairs for each two components, the one that differs least."""
+    a, b = x.component[i], y.component[j]
+    lo, hi = np.minimum(a, b), np.maximum(a, b)
+    order = np.lexsort((j, i, far, hi, lo))
+    first = np.concatenate(([True], (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)))[: len(order)]
+    return i[order[first]], j[order[first]]
 
 
-def survivors(met: DataFrame, percent: int) -> DataFrame:
+def survivors(met: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """``(a, b)``, a below b: the pairs of members of two blocks that can be links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +301,9 @@ def survivors(met: DataFrame, percent: int) -> DataFrame:
             pairs = []
             for row in range(batch.num_rows):
                 x, y = (Members(batch.column(c)[row].values) for c in ("left", "right"))
-                i, j = possible_pairs(x, y, same[row], percent)
+                i, j, far = possible_pairs(x, y, same[row], percent)
+                if nearest:
+                    i, j = nearest_pairs(x, y, i, j, far)
                 a, b = x.node[i], y.node[j]
                 pairs.append(np.stack((np.minimum(a, b), np.maximum(a, b))))
             found = np.concatenate(pairs, axis=1) if pairs else np.empty((2, 0), np.int64)

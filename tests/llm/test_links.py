@@ -101,9 +101,11 @@ def test_links_between_members_that_the_star_does_not_join(spark, monkeypatch, b
     sketches = postings.where("key >= 100").drop("place") if sketched else None
     got = {r.node: r.component for r in links.linked(postings, sketches, bitmaps, verifier(sets, seen), 80).collect()}
     pairs = [(a, b) for a in sets for b in sets if a < b and a % 4 == b % 4 and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
-    assert got == components(pairs) and len(seen) == 2
-    # What is verified are links, but for a few.
-    assert len(set(seen[1]) - set(pairs)) <= 0.2 * len(seen[1]) + 5
+    assert got == components(pairs) and len(seen) == 3
+    # What is verified are links, but for a few, and few in all.
+    for found in seen[1:]:
+        assert len(set(found) - set(pairs)) <= 0.2 * len(found) + 8
+    assert len(seen[1]) + len(seen[2]) <= len(pairs)
 
 
 def test_bitmaps_bound_the_difference():
@@ -140,5 +142,5 @@ def test_settled_hot_key_makes_no_block_at_any_size(spark, monkeypatch):
     sketches = postings.where("key = 1").drop("place")
     got = {r.node: r.component for r in links.linked(postings, sketches, bitmaps, verifier(sets, []), 80).collect()}
     assert got == {n: 0 for n in range(300)} | {401: 401, 402: 401}
-    (blocks,) = stored["blocks"]
-    assert {r.key for r in blocks.collect()} == {2} and blocks.where("block IS NULL").isEmpty()
+    for blocks in stored["blocks"]:
+        assert {r.key for r in blocks.collect()} == {2} and blocks.where("block IS NULL").isEmpty()
