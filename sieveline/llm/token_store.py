@@ -95,18 +95,20 @@ def compress(ids: np.ndarray, last: np.ndarray, width: int, min_count: int = MIN
     do; no pair reaches over them."""
     symbols, last = ids.astype(np.uint32), last.copy()
     lefts, rights, rules, top = [], [], 0, None
-    while len(symbols) > 1:
-        slots = _slots(symbols)
-        slots[last[:-1]] = 0
-        counts = np.bincount(slots, minlength=1 << SLOT_BITS).astype(np.int32)
-        counts[0] = 0  # ends of documents, and no pair
+    # Places whose pair may be frequent: a pair that is not becomes no more frequent later.
+    live = np.flatnonzero(~last[:-1]) if len(symbols) else np.empty(0, np.int64)
+    while len(live):
+        slots = _slots(symbols[live], symbols[live + 1])
+        counts = np.bincount(slots, minlength=1 << SLOT_BITS)[slots]
         # No slot holds more of one pair than of all its pairs: whatever is frequent is in a frequent slot.
-        bound = int(counts.max())
-        if bound < min_count:
+        often = counts >= min_count
+        live, counts = live[often], counts[often]
+        if not len(live):
             break
+        bound = int(counts.max())
         top = min(bound, top or bound)
         least = max(min_count, top // PASS_SHARE)
-        at = np.flatnonzero(counts[slots] >= least)
+        at = live[counts >= least]
         keys = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
         pairs, slot, times = np.unique(keys, return_inverse=True, return_counts=True)
         chosen = _apart(pairs, times, least)
@@ -133,17 +135,24 @@ def compress(ids: np.ndarray, last: np.ndarray, width: int, min_count: int = MIN
         rules += len(chosen)
         left = np.ones(len(symbols), bool)
         left[taken + 1] = False
+        # The new symbols and what stands before them make new pairs.
+        mark = np.zeros(len(symbols), bool)
+        mark[live] = mark[taken] = True
+        mark = mark[left]
+        made = taken - np.arange(len(taken))
+        mark[made[made > 0] - 1] = True
         symbols, last = symbols[left], last[left]
+        live = np.flatnonzero(mark[:-1] & ~last[:-1])
     join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
     return Grammar(width, join(lefts), join(rights)), symbols.astype(np.int64), last
 
 
-def _slots(symbols: np.ndarray) -> np.ndarray:
-    """A slot for the pair at each place, from 1 on."""
-    mixed = symbols[:-1] * np.uint32(0x9E3779B1) + symbols[1:]
+def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """A slot for each pair."""
+    mixed = left * np.uint32(0x9E3779B1) + right
     mixed ^= mixed >> np.uint32(15)
     mixed *= np.uint32(0x85EBCA77)
-    return np.maximum(mixed >> np.uint32(32 - SLOT_BITS), np.uint32(1)).astype(np.intp)
+    return (mixed >> np.uint32(32 - SLOT_BITS)).astype(np.intp)
 
 
 def _apart(pairs: np.ndarray, times: np.ndarray, least: int) -> np.ndarray:
