@@ -306,7 +306,7 @@ def survivors(met: DataFrame, percent: int, nearest: bool) -> DataFrame:
                     i, j = nearest_pairs(x, y, i, j, far)
                 a, b = x.node[i], y.node[j]
                 pairs.append(np.stack((np.minimum(a, b), np.maximum(a, b))))
-            found = np.concatenate(pairs, axis=1) if pairs else np.empty((2, 0), np.int64)
+            found = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.empty((2, 0), np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
 
     return map_batches(met.select((F.col("x_block") == F.col("y_block")).alias("same"), "left", "right"), run, "a bigint, b bigint")

@@ -97,8 +97,8 @@ def identify(texts: DataFrame, n: int = WORDS) -> DataFrame:
             nonlocal pending
             grams = np.concatenate(seen)
             for row in range(ROWS):
-                cells, times = np.unique(cells_of(grams, row), return_counts=True)
-                counts[row, cells] = np.minimum(counts[row, cells] + times, 65535)
+                times = np.bincount(cells_of(grams, row), minlength=CELLS)
+                counts[row] = np.minimum(counts[row] + times, 65535)
             seen.clear()
             pending = 0
 
@@ -193,7 +193,7 @@ def profiles(stands: DataFrame, counts: np.ndarray, n: int, percent: int) -> Dat
             rows = []
             for node, sets in zip(batch.column("node").to_pylist(), _sets(batch, hashes, n)):
                 if sets is not None:
-                    often = weights(sets, counts)
+                    often = np.minimum(weights(sets, counts), 65535).astype(np.uint16)  # sorted in linear time
                     first = np.argsort(often, kind="stable")[: prefix_length(len(sets), percent)]
                     places = np.flatnonzero(often[first] > 1)
                     several = sets[often > 1]
