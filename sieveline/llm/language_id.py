@@ -8,7 +8,7 @@ scored at once; the search runs only over texts in which a switch could pay at a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -25,6 +25,8 @@ SAMPLE = 1500
 #: Log-odds a switch of language costs; the weight of a trigram (they overlap).
 SWITCH = 12.0
 WEIGHT = 0.5
+#: Characters of the texts whose words are held at once, unless one text has more.
+PIECE = 500_000
 #: Buckets of the trigram tables, a power of two, and the smoothing count.
 BUCKETS = 1 << 16
 SMOOTH = 0.5
@@ -64,6 +66,20 @@ def script_table() -> np.ndarray:
     return table
 
 
+def few_at_once(texts: Iterable[str], most: int = PIECE) -> Iterator[list[str]]:
+    """Texts in lists of about ``most`` characters together, at least one in each."""
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        if held and size + len(text) > most:
+            yield held
+            held, size = [], 0
+        held.append(text)
+        size += len(text)
+    if held:
+        yield held
+
+
 @dataclass
 class Words:
     """The words of several texts: where each begins and ends in the joined code
@@ -208,9 +224,11 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 by_lang.setdefault(lang, []).append(text)
             for lang, texts in by_lang.items():
-                words = words_of(texts)
-                scripts = np.bincount(words.script, words.stop - words.start, len(SCRIPTS) + 2).astype(np.int64)
-                counts = np.concatenate((np.bincount(words.grams, minlength=BUCKETS), scripts))
+                counts = np.zeros(BUCKETS + len(SCRIPTS) + 2, np.int64)
+                for some in few_at_once(texts):
+                    words = words_of(some)
+                    counts[:BUCKETS] += np.bincount(words.grams, minlength=BUCKETS)
+                    counts[BUCKETS:] += np.bincount(words.script, words.stop - words.start, len(SCRIPTS) + 2).astype(np.int64)
                 places = np.flatnonzero(counts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(places)), pa.array(places, pa.int32()), pa.array(counts[places], pa.int64())], ["lang", "place", "n"]
@@ -248,14 +266,10 @@ def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             at = 0
-            while at < whole.num_rows:  # a few MB of text at a time
-                size = n = 0
-                while at + n < whole.num_rows and (n == 0 or size < 2_000_000):
-                    size += len(whole.column(source)[at + n].as_py() or "")
-                    n += 1
-                batch = whole.slice(at, n)
-                at += n
-                found = label([t or "" for t in batch.column(source).to_pylist()], model, switch)
+            for texts in few_at_once(value.as_py() or "" for value in whole.column(source)):
+                batch = whole.slice(at, len(texts))
+                at += len(texts)
+                found = label(texts, model, switch)
                 spans = pa.array([[{"lang": a, "start": b, "stop": c} for a, b, c in s] for _, _, s in found], SPANS)
                 columns = [batch.column("doc_id"), batch.column("held_out"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64()), spans]
                 yield pa.RecordBatch.from_arrays([*columns, *[batch.column(c) for c in keep]], ["doc_id", "held_out", "lang_pred", "score", "spans", *keep])

@@ -69,3 +69,14 @@ def test_hard_cases(spark):
     assert (nothing.lang_pred, nothing.score) == ("und", 0.0)
     kept = lid.identify(docs, lid.fit(docs), keep=("text", "lang", "node")).columns
     assert kept == ["doc_id", "held_out", "lang_pred", "score", "spans", "text", "lang", "node"]
+
+
+def test_words_are_held_for_few_texts_at_once():
+    """Fitting and labelling take texts in lists of a bounded number of characters."""
+    sizes = []
+    texts = ["uno dos tres " * 40, "one two three " * 40, "", "x"] * 5
+    for some in lid.few_at_once(texts, 1000):
+        sizes.append(sum(map(len, some)))
+    assert max(sizes) <= 1000 and sum(sizes) == sum(map(len, texts))
+    assert [t for some in lid.few_at_once(texts, 100) for t in some] == texts
+    assert [len(some) for some in lid.few_at_once(["a" * 300, "b"], 100)] == [1, 1]
