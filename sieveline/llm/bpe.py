@@ -19,11 +19,12 @@ import hashlib
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import batched, chain, groupby
 from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -34,13 +35,17 @@ from sieveline.llm.common import keyed_texts, map_batches
 CACHED_WORDS = 300_000
 #: Symbols of an unfinished word that are merged at once, besides the lookahead.
 BUFFER = 256
-#: Characters of a text that are normalized at once.
+#: Characters of a text that are normalized at once, and of the texts whose new words are merged together.
 CHUNK = 1 << 16
+BATCH = 1 << 20
+#: Symbols of a word that is merged together with others, and the step of the widths they are put in.
+TOGETHER, WIDTH_STEP = 48, 4
 # Between the last two letters of these no word ends, nothing is composed and no pattern looks back.
 INSIDE = regex.compile("[a-zA-Z]{5}|[\u4e00-\u9fa5]{5}")
 # White space of the vocabulary's patterns, and the pattern of its words.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECES = regex.compile(rf"[{WHITE}]+")
+BREAK = "\n"
 WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}]+"
 
 
@@ -88,6 +93,13 @@ class WordBpe:
             self.pairs.append((a, b))
         self.special_pattern = regex.compile("|".join(map(regex.escape, self.specials)) or r"(?!)")
         self.word_pattern = regex.compile(WORDS)
+        self.broken_pattern = regex.compile(f"{WORDS}|{BREAK}")
+        # The same as arrays: the pairs in ascending order and their ranks; ids as shared numbers.
+        self.numbers = np.array(range(self.width + 1), object)
+        self.keys = np.array(sorted(self.ranks), np.int64)
+        self.key_ranks = np.array([self.ranks[k] for k in self.keys.tolist()], np.int32)
+        self.made = np.array(self.results, np.int32)
+        self.symbols = np.array([self.inner, self.final], np.int32)
         self.lookahead = sufficient_lookahead(self.pairs, self.results, {*self.inner, *self.final})
 
     def merge(self, symbols: list[int]) -> list[int]:
@@ -134,6 +146,59 @@ class WordBpe:
                 heapq.heappush(queue, (r, k))
         return [s for s in symbols if s >= 0]
 
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, the number of merges where there is none."""
+        wanted = left.astype(np.int64) * self.width + right
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return np.where(self.keys[at] == wanted, self.key_ranks[at], np.int32(len(self.made)))
+
+    def merge_together(self, words: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of words that are in the buffer to their ends, all of them merged at once: in
+        each round every word has its lowest rank applied where it is leftmost."""
+        found: list[tuple[int, ...]] = [()] * len(words)
+        groups: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            if len(word) <= TOGETHER:
+                groups.setdefault(-(-len(word) // WIDTH_STEP) * WIDTH_STEP, []).append(i)
+            else:
+                found[i] = tuple(self.merge([*map(self.inner.__getitem__, word[:-1]), self.final[word[-1]]]))
+        for width, group in groups.items() if len(self.made) else ():
+            lengths = np.array([len(words[i]) for i in group])
+            raw = np.frombuffer(b"".join(words[i].ljust(width, b"\0") for i in group), np.uint8).reshape(-1, width)
+            cells = np.arange(width)
+            symbols = np.where(cells < lengths[:, None] - 1, self.symbols[0][raw], self.symbols[1][raw])
+            # Behind a word's end stands a symbol that is in no pair.
+            symbols[cells >= lengths[:, None]] = self.width
+            ranks = np.full((len(group), width), len(self.made), np.int32)
+            inside = cells[:-1] < lengths[:, None] - 1
+            ranks[:, :-1][inside] = self.ranks_of(symbols[:, :-1][inside], symbols[:, 1:][inside])
+            rows = np.arange(len(group))
+            while len(rows):
+                every = np.arange(len(rows))
+                at = ranks.argmin(axis=1)
+                best = ranks[every, at]
+                go = best < len(self.made)
+                if not go.all():
+                    done = ~go
+                    for row, ids, n in zip(rows[done].tolist(), self.numbers[symbols[done]].tolist(), lengths[done].tolist()):
+                        found[group[row]] = tuple(ids[:n])
+                    rows, at, best, lengths, symbols, ranks = rows[go], at[go], best[go], lengths[go], symbols[go], ranks[go]
+                    every = np.arange(len(rows))
+                    if not len(rows):
+                        break
+                symbols[every, at] = self.made[best]
+                # What stands behind the merged two moves one place to the left.
+                source = np.arange(symbols.shape[1] - 1)
+                source = source + (source > at[:, None])
+                symbols = np.take_along_axis(symbols, source, 1)
+                ranks = np.take_along_axis(ranks, source, 1)
+                lengths = lengths - 1
+                before, behind = np.flatnonzero(at > 0), np.flatnonzero(at < lengths - 1)
+                ranks[every, at] = len(self.made)
+                ranks[before, at[before] - 1] = self.ranks_of(symbols[before, at[before] - 1], symbols[before, at[before]])
+                ranks[behind, at[behind]] = self.ranks_of(symbols[behind, at[behind]], symbols[behind, at[behind] + 1])
+        return found
+
     def word_ids(self, word: str) -> tuple[int, ...]:
         """Ids of a word that is at hand as a whole."""
         return tuple(self.stream_word([word]))
@@ -177,6 +242,24 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return self.word_pattern.findall(text.lower())
 
+    def words_of_each(self, parts: list[str]) -> Iterator[list[str]]:
+        """``words`` of each of several texts without white space, normalized together."""
+        text = BREAK.join(parts)
+        if not text.isascii():
+            points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+            if _unknown_points()[points].any():
+                yield from map(self.words, parts)
+                return
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        held: list[str] = []
+        for word in self.broken_pattern.findall(text.lower()):
+            if word == BREAK:
+                yield held
+                held = []
+            else:
+                held.append(word)
+        yield held
+
     def library_words(self, text: str) -> list[str]:
         """The same by the library's own tables, for code points that Python does not know."""
         if self.library is None:
@@ -242,11 +325,44 @@ class Encoder:
         ids += self.piece_ids(piece[start:])
         return tuple(ids)
 
+    def learn(self, texts: Iterable[str | None]) -> None:
+        """Remember the pieces of some texts that are not known yet: their new words, as they
+        are in the buffer as a whole, are merged together. Not needed for any result."""
+        fresh = set().union(*map(pieces, filter(None, texts)))
+        if len(self.of_piece) + len(fresh) > self.of_piece.size:
+            fresh = fresh.difference(self.of_piece)
+            if len(self.of_piece) + len(fresh) > self.of_piece.size:
+                self.of_piece.clear()
+        fresh = [p for p in fresh if p not in self.of_piece and len(p) <= self.of_piece.longest]
+        if len(fresh) > self.of_piece.size:
+            return
+        fresh = [p for p in fresh if not any(s in p for s in self.bpe.specials)]
+        if not fresh:
+            return
+        words = list(self.bpe.words_of_each(fresh))
+        of_word = self.of_word
+        new = [w for w in set(chain.from_iterable(words)) if w not in of_word and len(w) <= of_word.longest]
+        if len(of_word) + len(new) > of_word.size:
+            of_word.clear()
+            new = [w for w in set(chain.from_iterable(words)) if len(w) <= of_word.longest]
+        if len(new) <= of_word.size:
+            of_word.update(zip(new, self.bpe.merge_together([w.encode("utf-8", "surrogatepass") for w in new])))
+        for piece, its in zip(fresh, words):
+            # A piece of one word shares its ids.
+            self.of_piece[piece] = of_word[its[0]] if len(its) == 1 else tuple(chain.from_iterable(map(of_word.__getitem__, its)))
+
+    def forget(self) -> None:
+        """Drop what was remembered. A worker serves tasks of other stages too."""
+        self.of_piece.clear()
+        self.of_word.clear()
+
     def stream(self, text: str | None) -> Iterator[list[int]]:
         """Ids of a text in lists of a bounded size; none for null. Strings of special
         tokens are those tokens."""
         for part in chunks(text or ""):
             if len(part) <= CHUNK:
+                if len(part) > CHUNK // 4:
+                    self.learn([part])
                 yield list(chain.from_iterable(map(self.of_piece.__getitem__, pieces(part))))
                 continue
             for piece in pieces(part):
@@ -266,13 +382,18 @@ class Encoder:
         return list(chain.from_iterable(self.stream(text)))
 
 
+@lru_cache(maxsize=1)
+def _unknown_points() -> np.ndarray:
+    """By code point, whether Python's tables do not have it."""
+    return np.fromiter((unicodedata.category(chr(i)) == "Cn" for i in range(0x110000)), bool, 0x110000)
+
+
 @lru_cache(maxsize=1)
 def _unknown() -> regex.Pattern:
     """The code points that Python's tables do not have."""
-    unknown = [unicodedata.category(chr(i)) == "Cn" for i in range(0x110000)]
-    starts = [i for i in range(0x110000) if unknown[i] and not (i and unknown[i - 1])]
-    ends = [i for i in range(0x110000) if unknown[i] and not (i + 1 < 0x110000 and unknown[i + 1])]
-    return regex.compile("[" + "".join(f"{regex.escape(chr(a))}-{regex.escape(chr(b))}" for a, b in zip(starts, ends)) + "]")
+    edges = np.flatnonzero(np.diff(_unknown_points(), prepend=False, append=False))
+    ranges = zip(edges[::2].tolist(), (edges[1::2] - 1).tolist())
+    return regex.compile("[" + "".join(f"{regex.escape(chr(a))}-{regex.escape(chr(b))}" for a, b in ranges) + "]")
 
 
 def chunks(text: str) -> Iterator[str]:
@@ -317,15 +438,16 @@ class Decoder:
 
     def stream(self, ids: Iterable[int], batch: int = 8192) -> Iterator[str]:
         """Text of the ids as it becomes certain."""
+        return self.stream_lists(batched(ids, batch))
+
+    def stream_lists(self, lists: Iterable[Sequence[int]]) -> Iterator[str]:
+        """The same of ids that come in lists."""
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        separator, first, held = (b" " if self.joined else b""), True, []
-        for i in ids:
-            held.append(self.bytes_of[i])
-            if len(held) == batch:
-                yield machine.decode((b"" if first else separator) + separator.join(held))
-                first, held = False, []
-        if held:
-            yield machine.decode((b"" if first else separator) + separator.join(held))
+        separator, bytes_of, first = (b" " if self.joined else b""), self.bytes_of.__getitem__, True
+        for ids in lists:
+            if ids:
+                yield machine.decode((b"" if first else separator) + separator.join(map(bytes_of, ids)))
+                first = False
         yield machine.decode(b"", True)
 
     def text(self, ids: Iterable[int]) -> str:
@@ -353,6 +475,22 @@ def sufficient_lookahead(pairs: list[tuple[int, int]], results: list[int], symbo
     return max(length[t] + max(need.get(t, 0), reach.get(t, 0)) for t in length)
 
 
+def learned(encoder: Encoder, column: pa.Array) -> Iterator[str | None]:
+    """The texts of a column, a few at a time, after the encoder has met their words. Long
+    ones are met part by part when they are encoded."""
+    held: list[str | None] = []
+    size = 0
+    for value in column:
+        held.append(value.as_py())
+        size += len(held[-1] or "")
+        if size >= BATCH:
+            encoder.learn(t for t in held if t and len(t) <= CHUNK)
+            yield from held
+            held, size = [], 0
+    encoder.learn(t for t in held if t and len(t) <= CHUNK)
+    yield from held
+
+
 @lru_cache(maxsize=2)
 def _tools(path: str) -> tuple[Encoder, Decoder]:
     """One encoder and decoder for each vocabulary in a worker."""
@@ -376,8 +514,9 @@ def encode(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, _ = _tools(vocabulary)
         for batch in batches:
-            ids = [encoder.ids(t) for t in batch.column("text").to_pylist()]
+            ids = [encoder.ids(t) for t in learned(encoder, batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+        encoder.forget()
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return map_batches(texts, run, f"doc_id {kind}, ids array<int>")
@@ -408,25 +547,26 @@ def round_trip(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text
         decimal = _decimals(encoder.bpe.width).__getitem__
         for batch in batches:
             counts, ids_digests, text_digests = [], [], []
-            for value in batch.column("text"):
+            for text in learned(encoder, batch.column("text")):
                 count, digest, text_digest = 0, hashlib.sha256(), hashlib.sha256()
 
-                def emitted(text: str | None) -> Iterator[int]:
+                def emitted(text: str | None) -> Iterator[Sequence[int]]:
                     """The ids, counted and digested on their way to the decoder."""
                     nonlocal count
                     for ids in encoder.stream(text):
                         if ids:
                             digest.update((" " * (count > 0) + " ".join(map(decimal, ids))).encode())
                             count += len(ids)
-                            yield from ids
+                            yield ids
 
-                for decoded in decoder.stream(emitted(value.as_py())):
+                for decoded in decoder.stream_lists(emitted(text)):
                     text_digest.update(decoded.encode())
                 counts.append(count)
                 ids_digests.append(digest.hexdigest())
                 text_digests.append(text_digest.hexdigest())
             columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_digests), pa.array(text_digests)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        encoder.forget()
 
     kind = texts.schema["doc_id"].dataType.simpleString()
     return map_batches(texts, run, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

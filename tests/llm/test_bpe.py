@@ -5,6 +5,7 @@ import random
 import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 import pytest
 import regex
 from tokenizers import Tokenizer
@@ -137,3 +138,29 @@ def test_memory_does_not_grow_with_the_text():
 
     (small, some), (large, more) = peak(8_000), peak(40_000)
     assert more > 4.9 * some and large < 1.5 * small + 2_000_000
+
+
+@pytest.mark.parametrize("alphabet", ALPHABETS, ids=range(4))
+def test_words_merged_together_are_those_merged_alone(alphabet):
+    rng = random.Random(7)
+    words = ["".join(rng.choices(alphabet, k=rng.randint(1, 60))).encode() for _ in range(300)]
+    alone = [tuple(BPE.merge([*[BPE.inner[b] for b in w[:-1]], BPE.final[w[-1]]])) for w in words]
+    assert BPE.merge_together(words) == alone
+
+
+@pytest.mark.parametrize("cached", [40, 100_000])
+def test_learned_texts_have_the_ids_of_the_library(cached):
+    rng, encoder = random.Random(8), bpe.Encoder(BPE, cached_words=cached)
+    found = ["".join(rng.choices(a, k=rng.randint(0, 80))) for a in ALPHABETS for _ in range(60)] + [None, "", "\u0378a \u1c89b"]
+    ids = [encoder.ids(t) for t in bpe.learned(encoder, pa.array(found, pa.string()))]
+    assert ids == [ids_of(t) for t in found]
+    encoder.forget()
+    assert not encoder.of_piece and not encoder.of_word
+
+
+def test_learned_words_are_not_merged_one_by_one(monkeypatch):
+    """Short words of a few texts are merged in arrays, at once."""
+    encoder = bpe.Encoder(BPE)
+    monkeypatch.setattr(bpe.WordBpe, "merge", lambda self, held: pytest.fail("merged alone"))
+    found = [f"word{k} some other{k}, 'quoted'" for k in range(50)]
+    assert [encoder.ids(t) for t in bpe.learned(encoder, pa.array(found))] == [ids_of(t) for t in found]
