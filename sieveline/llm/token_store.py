@@ -35,6 +35,8 @@ MIN_COUNT = 16
 #: Part of the count of the most frequent pair that others of a pass have.
 PASS_SHARE = 8
 SLOT_BITS = 20
+#: Places whose slots are made at once.
+BLOCK = 1 << 15
 CACHED_PIECES = 500_000
 # Punctuation that no pattern of the vocabulary joins to a word, and the end of
 # the letters that are the same in every normal form.
@@ -98,17 +100,21 @@ def compress(ids: np.ndarray, last: np.ndarray, width: int, min_count: int = MIN
     # Places whose pair may be frequent: a pair that is not becomes no more frequent later.
     live = np.flatnonzero(~last[:-1]) if len(symbols) else np.empty(0, np.int64)
     while len(live):
-        slots = _slots(symbols[live], symbols[live + 1])
-        counts = np.bincount(slots, minlength=1 << SLOT_BITS)[slots]
+        slots = np.empty(len(live), np.intp)
+        for k in range(0, len(live), BLOCK):
+            part = live[k : k + BLOCK]
+            slots[k : k + BLOCK] = _slots(symbols[part], symbols[part + 1])
+        counts = np.bincount(slots, minlength=1 << SLOT_BITS)
         # No slot holds more of one pair than of all its pairs: whatever is frequent is in a frequent slot.
-        often = counts >= min_count
-        live, counts = live[often], counts[often]
-        if not len(live):
-            break
         bound = int(counts.max())
+        if bound < min_count:
+            break
         top = min(bound, top or bound)
         least = max(min_count, top // PASS_SHARE)
-        at = live[counts >= least]
+        # By slot, 0 if it is rare, 1 if it may be frequent, 2 if a pair of this pass may be in it.
+        grade = ((counts >= min_count).astype(np.uint8) + (counts >= least))[slots]
+        at = live[grade == 2]
+        live = live[grade > 0]
         keys = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
         pairs, slot, times = np.unique(keys, return_inverse=True, return_counts=True)
         chosen = _apart(pairs, times, least)
@@ -133,26 +139,28 @@ def compress(ids: np.ndarray, last: np.ndarray, width: int, min_count: int = MIN
         symbols[taken] = (width + rules + rule).astype(np.uint32)
         last[taken] = last[taken + 1]
         rules += len(chosen)
-        left = np.ones(len(symbols), bool)
-        left[taken + 1] = False
         # The new symbols and what stands before them make new pairs.
         mark = np.zeros(len(symbols), bool)
         mark[live] = mark[taken] = True
-        mark = mark[left]
+        left = np.ones(len(symbols), bool)
+        left[taken + 1] = False
+        left = np.flatnonzero(left)
+        symbols, last, mark = symbols[left], last[left], mark[left]
         made = taken - np.arange(len(taken))
         mark[made[made > 0] - 1] = True
-        symbols, last = symbols[left], last[left]
-        live = np.flatnonzero(mark[:-1] & ~last[:-1])
+        live = np.flatnonzero(mark[:-1] > last[:-1])
     join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
     return Grammar(width, join(lefts), join(rights)), symbols.astype(np.int64), last
 
 
 def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """A slot for each pair."""
-    mixed = left * np.uint32(0x9E3779B1) + right
+    mixed = left * np.uint32(0x9E3779B1)
+    mixed += right
     mixed ^= mixed >> np.uint32(15)
     mixed *= np.uint32(0x85EBCA77)
-    return (mixed >> np.uint32(32 - SLOT_BITS)).astype(np.intp)
+    mixed >>= np.uint32(32 - SLOT_BITS)
+    return mixed
 
 
 def _apart(pairs: np.ndarray, times: np.ndarray, least: int) -> np.ndarray:

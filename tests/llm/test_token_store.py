@@ -149,3 +149,16 @@ def test_round_trip_of_a_corpus(spark, shard_tokens):
 
 def test_empty_table(spark):
     assert ts.store(spark, frame(spark, texts()).where("false"), VOCABULARY, 2).count() == 0
+
+
+def test_slots_made_block_by_block_give_the_same_grammar(monkeypatch):
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 12, 6000).astype("<u4")
+    last = rng.random(6000) < 0.02
+    last[-1] = True
+    whole = ts.compress(ids, last, 50)
+    monkeypatch.setattr(ts, "BLOCK", 7)
+    parts = ts.compress(ids, last, 50)
+    assert len(whole[0].left) > 10 and np.array_equal(whole[0].left, parts[0].left) and np.array_equal(whole[0].right, parts[0].right)
+    assert np.array_equal(whole[1], parts[1]) and np.array_equal(whole[2], parts[2])
+    assert np.array_equal(parts[0].expand(parts[1], parts[0].table()), ids)
