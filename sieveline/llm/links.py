@@ -23,6 +23,8 @@ BROADCAST_ROWS = 1_000_000
 #: Bytes of the members of a key that meet each other at once, and block pairs of a batch.
 BLOCK_BYTES = 1 << 16
 BLOCK_PAIRS = 64
+#: Members that are compared with others at once, as pairs.
+MEETINGS = 1 << 18
 #: Bytes of a set's bitmap: half a byte for each of its elements, and up to twice that, between
 #: these two. A bitmap travels with every key of its node, so that of a long set is narrow,
 #: and rules out less.
@@ -181,10 +183,14 @@ def _apart_pairs(
         F.collect_list(member).alias("members"), F.min("component").alias("lo"), F.max("component").alias("hi")
     )
     blocks = written(blocks, "blocks")
-    # Each pair of blocks meets by itself, so that no task gets all blocks of a key.
-    left = blocks.select("key", F.col("block").alias("x_block"), F.explode(F.sequence("block", F.col("parts") - 1)).alias("y_block"), F.col("members").alias("left"), "lo", "hi")
-    right = blocks.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("x_block"), F.col("block").alias("y_block"), F.col("members").alias("right"), F.col("lo").alias("y_lo"), F.col("hi").alias("y_hi"))
+    # A block meets itself where it lies; each pair of blocks meets by itself, so that no task
+    # gets all blocks of a key. Most keys have one block, and none of it travels again.
+    itself = blocks.where("lo < hi").select("key", F.col("block").alias("x_block"), F.col("block").alias("y_block"), F.col("members").alias("left"), F.slice("members", 1, 0).alias("right"))
+    several = blocks.where("parts > 1")
+    left = several.where("block < parts - 1").select("key", F.col("block").alias("x_block"), F.explode(F.sequence(F.col("block") + 1, F.col("parts") - 1)).alias("y_block"), F.col("members").alias("left"), "lo", "hi")
+    right = several.where("block > 0").select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("block") - 1)).alias("x_block"), F.col("block").alias("y_block"), F.col("members").alias("right"), F.col("lo").alias("y_lo"), F.col("hi").alias("y_hi"))
     met = left.join(right, ["key", "x_block", "y_block"]).where("least(lo, y_lo) < greatest(hi, y_hi)")
+    met = itself.unionByName(met.select(itself.columns))
     return _few_at_once(components.sparkSession, lambda: written(survivors(met, percent, nearest).distinct(), "pairs"))
 
 
@@ -236,77 +242,106 @@ def folded(bits: np.ndarray, width: int) -> np.ndarray:
 
 
 class Members:
-    """The members of a block as arrays."""
+    """The members of a batch's blocks behind each other, as arrays; block ``r`` begins at
+    ``begin[r]`` and has ``count[r]`` of them."""
 
-    def __init__(self, values: pa.StructArray):
+    def __init__(self, blocks: pa.ListArray):
+        values = blocks.flatten()
+        self.count = blocks.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.begin = np.cumsum(self.count) - self.count
         self.node, self.component, self.size, self.place = (
             values.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("node", "component", "size", "place")
         )
-        self.bits = values.field("bitmap").to_pylist()
-        self.width = np.array([len(b) for b in self.bits], np.int64)
+        bits = values.field("bitmap").cast(pa.large_binary())
+        _, ends, raw = bits.buffers()
+        ends = np.frombuffer(ends, np.int64, len(bits) + 1, 8 * bits.offset) if len(bits) else np.zeros(1, np.int64)
+        self.at, self.width = ends[:-1], np.diff(ends)
+        self.raw = np.frombuffer(raw, np.uint8) if raw else np.empty(0, np.uint8)
         self.made: dict[int, np.ndarray] = {}
 
-    def at(self, width: int) -> np.ndarray:
+    def bits(self, width: int) -> np.ndarray:
         """The bitmaps in a width, as words; zeros for those that are narrower."""
         if width not in self.made:
-            rows = np.zeros((len(self.bits), width), np.uint8)
+            rows = np.zeros((len(self.width), width), np.uint8)
             for own in np.unique(self.width[self.width >= width]).tolist():
                 some = np.flatnonzero(self.width == own)
-                raw = np.frombuffer(b"".join(self.bits[i] for i in some), np.uint8).reshape(len(some), own)
-                rows[some] = folded(raw, width)
+                rows[some] = folded(self.raw[self.at[some][:, None] + np.arange(own)], width)
             self.made[width] = rows.view(np.uint64)
         return self.made[width]
 
 
-def possible_pairs(x: Members, y: Members, same_block: bool, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Which members can be linked: of different components, by their sizes, by what is
-    left of their sets behind the key, and by the bits in which their bitmaps differ; with
-    the share of bits that differ."""
-    total = x.size[:, None] + y.size[None]
-    left = np.minimum((x.size - x.place)[:, None], (y.size - y.place)[None])
-    lengths = 100 * np.minimum(x.size[:, None], y.size[None]) >= percent * np.maximum(x.size[:, None], y.size[None])
-    mask = (x.component[:, None] != y.component[None]) & lengths & ((100 + percent) * left >= percent * total)
-    mask &= x.node[:, None] < y.node[None] if same_block else x.node[:, None] != y.node[None]
-    i, j = np.nonzero(mask)
-    widths = np.minimum(x.width[i], y.width[j])
-    kept = np.zeros(len(i), bool)
-    far = np.zeros(len(i))
-    for width in np.unique(widths).tolist():
-        some = np.flatnonzero(widths == width)
-        a, b = x.at(width), y.at(width)
-        for at in range(0, len(some), 1 + (1 << 22) // width):
-            part = some[at : at + 1 + (1 << 22) // width]
-            differ = np.bitwise_count(a[i[part]] ^ b[j[part]]).sum(axis=1, dtype=np.int64)
-            both = total[i[part], j[part]]
-            kept[part] = (100 + percent) * differ <= (100 - percent) * both
-            far[part] = differ / both
-    return i[kept], j[kept], far[kept]
-
-
-def nearest_pairs(x: Members, y: Members, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One of the pairs for each two components, the one that differs least."""
+def meetings(x: Members, y: Members, rows: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """``(row, i, j)``: every two members of the blocks of each of some rows, those of a
+    block with itself once, and few at a time."""
+    block = np.repeat(rows, x.count[rows])
+    i = np.arange(len(block)) + np.repeat(x.begin[rows] - (np.cumsum(x.count[rows]) - x.count[rows]), x.count[rows])
+    first = i + 1 if same else y.begin[block]
+    many = y.begin[block] + y.count[block] - first
+    ends = np.cumsum(many)
+    at = 0
+    while at < len(i):
+        until = max(at + 1, int(np.searchsorted(ends, ends[at] - many[at] + MEETINGS, "right")))
+        some = slice(at, until)
+        shift = first[some] - (ends[some] - many[some] - (ends[at] - many[at]))
+        j = np.repeat(shift, many[some])
+        j += np.arange(len(j))
+        yield np.repeat(block[some], many[some]), np.repeat(i[some], many[some]), j
+        at = until
+
+
+def possible_pairs(x: Members, y: Members, rows: np.ndarray, same: bool, percent: int) -> tuple[np.ndarray, ...]:
+    """``(row, i, j, far)``: which members can be linked: of different components, by their
+    sizes, by what is left of their sets behind the key, and by the bits in which their
+    bitmaps differ; with the share of bits that differ."""
+    found: list[tuple[np.ndarray, ...]] = []
+    for row, i, j in meetings(x, y, rows, same):
+        apart = x.component[i] != y.component[j]
+        row, i, j = row[apart], i[apart], j[apart]
+        a, b = x.size[i], y.size[j]
+        both = a + b
+        left = np.minimum(a - x.place[i], b - y.place[j])
+        mask = (100 * np.minimum(a, b) >= percent * np.maximum(a, b)) & ((100 + percent) * left >= percent * both)
+        row, i, j, both = row[mask], i[mask], j[mask], both[mask]
+        widths = np.minimum(x.width[i], y.width[j])
+        differ = np.zeros(len(i), np.int64)
+        for width in np.unique(widths).tolist():
+            some = np.flatnonzero(widths == width)
+            for at in range(0, len(some), 1 + (1 << 22) // width):
+                part = some[at : at + 1 + (1 << 22) // width]
+                differ[part] = np.bitwise_count(x.bits(width)[i[part]] ^ y.bits(width)[j[part]]).sum(axis=1, dtype=np.int64)
+        near = (100 + percent) * differ <= (100 - percent) * both
+        found.append((row[near], i[near], j[near], differ[near] / both[near]))
+    if not found:
+        return *(np.empty(0, np.int64) for _ in range(3)), np.empty(0)
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def nearest_pairs(x: Members, y: Members, row: np.ndarray, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One of the pairs for each two components that meet in a row, the one that differs least."""
     a, b = x.component[i], y.component[j]
     lo, hi = np.minimum(a, b), np.maximum(a, b)
-    order = np.lexsort((j, i, far, hi, lo))
-    first = np.concatenate(([True], (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0)))[: len(order)]
+    order = np.lexsort((j, i, far, hi, lo, row))
+    changed = [np.diff(c[order]) != 0 for c in (row, lo, hi)]
+    first = np.concatenate(([True], changed[0] | changed[1] | changed[2]))[: len(order)]
     return i[order[first]], j[order[first]]
 
 
 def survivors(met: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """``(a, b)``, a below b: the pairs of members of two blocks that can be links."""
+    """``(a, b)``, a below b: the pairs of members of two blocks that can be links. Where a
+    block meets itself, ``left`` has it. The blocks of a batch are compared at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = batch.column("same").to_pylist()
+            same = batch.column("same").to_numpy(zero_copy_only=False).astype(bool)
+            x, y = (Members(batch.column(c)) for c in ("left", "right"))
             pairs = []
-            for row in range(batch.num_rows):
-                x, y = (Members(batch.column(c)[row].values) for c in ("left", "right"))
-                i, j, far = possible_pairs(x, y, same[row], percent)
+            for other, rows in ((x, np.flatnonzero(same)), (y, np.flatnonzero(~same))):
+                row, i, j, far = possible_pairs(x, other, rows, other is x, percent)
                 if nearest:
-                    i, j = nearest_pairs(x, y, i, j, far)
-                a, b = x.node[i], y.node[j]
+                    i, j = nearest_pairs(x, other, row, i, j, far)
+                a, b = x.node[i], other.node[j]
                 pairs.append(np.stack((np.minimum(a, b), np.maximum(a, b))))
-            found = np.unique(np.concatenate(pairs, axis=1), axis=1) if pairs else np.empty((2, 0), np.int64)
+            found = np.unique(np.concatenate(pairs, axis=1), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
 
     return map_batches(met.select((F.col("x_block") == F.col("y_block")).alias("same"), "left", "right"), run, "a bigint, b bigint")

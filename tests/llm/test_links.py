@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +145,40 @@ def test_settled_hot_key_makes_no_block_at_any_size(spark, monkeypatch):
     assert got == {n: 0 for n in range(300)} | {401: 401, 402: 401}
     for blocks in stored["blocks"]:
         assert {r.key for r in blocks.collect()} == {2} and blocks.where("block IS NULL").isEmpty()
+
+
+def test_blocks_of_a_batch_are_compared_at_once(monkeypatch):
+    """The pairs of every row are those that its two blocks have by themselves."""
+    monkeypatch.setattr(links, "MEETINGS", 50)
+    rng, sets = random.Random(11), families(11, 90)
+    kind = pa.list_(pa.struct([("node", pa.int64()), ("component", pa.int64()), ("size", pa.int32()), ("place", pa.int32()), ("bitmap", pa.binary())]))
+    block = lambda some: [{"node": n, "component": n % 5, "size": len(sets[n]), "place": n % 3, "bitmap": links.bitmap(hashed(sets[n]))} for n in some]
+    nodes = [rng.sample(sorted(sets), rng.choice([0, 1, 2, 30, 60])) for _ in range(24)]
+    left, right = nodes[::2], nodes[1::2]
+    x, y = (links.Members(pa.array([block([0]), *map(block, some)], kind)[1:]) for some in (left, right))
+    for other, partners, same in ((x, left, True), (y, right, False)):
+        rows = np.array([0, 1, 2, 4, 5, 7, 8, 9, 11])
+        row, i, j, far = links.possible_pairs(x, other, rows, same, 50)
+        got = sorted(zip(row.tolist(), x.node[i].tolist(), other.node[j].tolist()))
+        want = []
+        for r in rows.tolist():
+            for p, a in enumerate(left[r]):
+                for b in partners[r][p + 1 :] if same else partners[r]:
+                    differ = int(np.bitwise_count(np.frombuffer(links.bitmap(hashed(sets[a])), np.uint8) ^ np.frombuffer(links.bitmap(hashed(sets[b])), np.uint8)).sum())
+                    sizes, rest = sorted((len(sets[a]), len(sets[b]))), min(len(sets[a]) - a % 3, len(sets[b]) - b % 3)
+                    if a % 5 != b % 5 and 100 * sizes[0] >= 50 * sizes[1] and 150 * rest >= 50 * sum(sizes) and 150 * differ <= 50 * sum(sizes):
+                        want.append((r, a, b))
+        assert got == sorted(want) and len(got) > 20
+        i, j = links.nearest_pairs(x, other, row, i, j, far)
+        of_row = lambda k: np.searchsorted(x.begin + x.count, k, "right")
+        met = [(r, *sorted((a % 5, b % 5))) for r, a, b in zip(of_row(i).tolist(), x.node[i].tolist(), other.node[j].tolist())]
+        assert sorted(met) == sorted({(r, *sorted((a % 5, b % 5))) for r, a, b in want})
+
+
+def test_blocks_that_meet_only_themselves_stay_where_they_are(spark, monkeypatch):
+    seen, real = [], links.survivors
+    monkeypatch.setattr(links, "survivors", lambda met, *rest: seen.append(met) or real(met, *rest))
+    sets = families()
+    postings, bitmaps = tables(spark, sets, {n: {n % 4, 100 + n % 8} for n in sets})
+    links.linked(postings, postings.where("key >= 100").drop("place"), bitmaps, verifier(sets, []), 80)
+    assert seen and all(met.where("x_block = y_block AND size(right) > 0").isEmpty() for met in seen)
