@@ -25,6 +25,8 @@ BLOCK_BYTES = 1 << 16
 BLOCK_PAIRS = 64
 #: Members that are compared with others at once, as pairs.
 MEETINGS = 1 << 18
+#: Pairs that a task holds before it gives any of them out.
+HELD_PAIRS = 1 << 17
 #: Bytes of a set's bitmap: half a byte for each of its elements, and up to twice that, between
 #: these two. A bitmap travels with every key of its node, so that of a long set is narrow,
 #: and rules out less.
@@ -141,7 +143,7 @@ def linked(
     their postings, only nodes of one key that are still apart are compared, all of them,
     in blocks: lengths, places and bitmaps rule out whatever cannot be a link before it
     becomes a row, so no link that would join two components is missed. Two components that
-    are linked in many places are joined by their nearest pairs first. ``verify`` takes
+    are linked in many places, or many that are one, are joined by their nearest pairs first. ``verify`` takes
     distinct pairs ``(a, b)`` and keeps the links.
     """
     alike = lambda a, b: 100 * F.least(a, b) >= percent * F.greatest(a, b)
@@ -151,7 +153,7 @@ def linked(
 
     several = few if sketches is None else postings
     links = first
-    # First only the nearest pair of two components per pair of blocks, which joins most of
+    # First only the nearest pairs that join what meets in a task, which joins most of
     # those that are one; then, with what is still apart, all pairs.
     for nearest in (True, False):
         pairs = _apart_pairs(several, components, bitmaps, percent, nearest)
@@ -166,7 +168,7 @@ def _apart_pairs(
     postings: DataFrame, components: DataFrame, bitmaps: Callable[[DataFrame], DataFrame], percent: int, nearest: bool
 ) -> DataFrame:
     """The pairs ``(a, b)`` of nodes that share a key, are in different components and
-    can be links; with ``nearest`` one for each two components that meet in a pair of blocks."""
+    can be links; with ``nearest`` the nearest ones that join the components that meet in a task."""
     joined = checked_broadcast(components, components.count())
     members = postings.join(joined, "node", "left").select("key", "node", "size", "place", F.coalesce("component", "node").alias("component"))
     bytes_of = F.lit(32) + bitmap_bytes(F.col("size"))
@@ -316,32 +318,74 @@ def possible_pairs(x: Members, y: Members, rows: np.ndarray, same: bool, percent
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def nearest_pairs(x: Members, y: Members, row: np.ndarray, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One of the pairs for each two components that meet in a row, the one that differs least."""
+def nearest_pairs(x: Members, y: Members, row: np.ndarray, i: np.ndarray, j: np.ndarray, far: np.ndarray) -> np.ndarray:
+    """Which pairs differ least of those of two components that meet in a row, one for each."""
     a, b = x.component[i], y.component[j]
     lo, hi = np.minimum(a, b), np.maximum(a, b)
     order = np.lexsort((j, i, far, hi, lo, row))
     changed = [np.diff(c[order]) != 0 for c in (row, lo, hi)]
-    first = np.concatenate(([True], changed[0] | changed[1] | changed[2]))[: len(order)]
-    return i[order[first]], j[order[first]]
+    return order[np.concatenate(([True], changed[0] | changed[1] | changed[2]))[: len(order)]]
+
+
+def nearest_forest(pairs: list[np.ndarray]) -> list[np.ndarray]:
+    """Of pairs ``[a, b, component of a, component of b, far]`` those that differ least and
+    join all components that they can join: one fewer than there are, whatever the pairs."""
+    a, b, of_a, of_b, far = pairs
+    order = np.lexsort((b, a, far))
+    above: dict[int, int] = {}
+    kept = []
+
+    def top(x: int) -> int:
+        while (up := above.get(x, x)) != x:
+            above[x] = x = above.get(up, up)
+        return x
+
+    for k, x, y in zip(order.tolist(), of_a[order].tolist(), of_b[order].tolist()):
+        x, y = top(x), top(y)
+        if x != y:
+            above[y] = x
+            kept.append(k)
+    return [c[kept] for c in pairs]
+
+
+def distinct_pairs(pairs: list[np.ndarray]) -> list[np.ndarray]:
+    order = np.lexsort(pairs[1::-1])
+    a, b = pairs[0][order], pairs[1][order]
+    first = order[np.concatenate(([True], (np.diff(a) != 0) | (np.diff(b) != 0)))[: len(order)]]
+    return [c[first] for c in pairs]
 
 
 def survivors(met: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """``(a, b)``, a below b: the pairs of members of two blocks that can be links. Where a
+    """``(a, b)``, a below b: the pairs of members of two blocks that can be links; with
+    ``nearest`` only as many of a task's pairs as join its components. Where a
     block meets itself, ``left`` has it. The blocks of a batch are compared at once."""
+    fewer = nearest_forest if nearest else distinct_pairs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+
+        def condense() -> None:
+            held[:] = [fewer([np.concatenate(c) for c in zip(*held)])] if held else []
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in held.pop()[:2]], ["a", "b"])
+
         for batch in batches:
             same = batch.column("same").to_numpy(zero_copy_only=False).astype(bool)
             x, y = (Members(batch.column(c)) for c in ("left", "right"))
-            pairs = []
             for other, rows in ((x, np.flatnonzero(same)), (y, np.flatnonzero(~same))):
                 row, i, j, far = possible_pairs(x, other, rows, other is x, percent)
                 if nearest:
-                    i, j = nearest_pairs(x, other, row, i, j, far)
+                    some = nearest_pairs(x, other, row, i, j, far)
+                    i, j, far = i[some], j[some], far[some]
                 a, b = x.node[i], other.node[j]
-                pairs.append(np.stack((np.minimum(a, b), np.maximum(a, b))))
-            found = np.unique(np.concatenate(pairs, axis=1), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+                held.append([np.minimum(a, b), np.maximum(a, b), x.component[i], other.component[j], far])
+            if sum(len(h[0]) for h in held) >= HELD_PAIRS:
+                condense()
+                if len(held[0][0]) > HELD_PAIRS // 2:
+                    yield made()
+        condense()
+        if held:
+            yield made()
 
     return map_batches(met.select((F.col("x_block") == F.col("y_block")).alias("same"), "left", "right"), run, "a bigint, b bigint")

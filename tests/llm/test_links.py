@@ -169,7 +169,8 @@ def test_blocks_of_a_batch_are_compared_at_once(monkeypatch):
                     if a % 5 != b % 5 and 100 * sizes[0] >= 50 * sizes[1] and 150 * rest >= 50 * sum(sizes) and 150 * differ <= 50 * sum(sizes):
                         want.append((r, a, b))
         assert got == sorted(want) and len(got) > 20
-        i, j = links.nearest_pairs(x, other, row, i, j, far)
+        some = links.nearest_pairs(x, other, row, i, j, far)
+        i, j = i[some], j[some]
         of_row = lambda k: np.searchsorted(x.begin + x.count, k, "right")
         met = [(r, *sorted((a % 5, b % 5))) for r, a, b in zip(of_row(i).tolist(), x.node[i].tolist(), other.node[j].tolist())]
         assert sorted(met) == sorted({(r, *sorted((a % 5, b % 5))) for r, a, b in want})
@@ -182,3 +183,29 @@ def test_blocks_that_meet_only_themselves_stay_where_they_are(spark, monkeypatch
     postings, bitmaps = tables(spark, sets, {n: {n % 4, 100 + n % 8} for n in sets})
     links.linked(postings, postings.where("key >= 100").drop("place"), bitmaps, verifier(sets, []), 80)
     assert seen and all(met.where("x_block = y_block AND size(right) > 0").isEmpty() for met in seen)
+
+
+def test_nearest_pairs_join_what_all_pairs_join():
+    """300 nodes that are all near each other: 299 pairs instead of 44,850."""
+    a, b = np.triu_indices(300, 1)
+    far = np.random.default_rng(2).random(len(a))
+    pairs = [a, b, a, b, far]
+    kept = links.nearest_forest(pairs)
+    assert len(kept[0]) == 299 and set(components(zip(kept[0].tolist(), kept[1].tolist())).values()) == {0}
+    nearest = [far[(a == n) | (b == n)].min() for n in range(300)]
+    assert set(nearest) <= set(kept[4].tolist())
+    again = links.nearest_forest([np.concatenate((x, y)) for x, y in zip(links.nearest_forest([c[::2] for c in pairs]), [c[1::2] for c in pairs])])
+    assert sorted(again[4].tolist()) == sorted(kept[4].tolist())
+    twice = links.distinct_pairs([np.concatenate((c, c)) for c in pairs])
+    assert sorted(zip(twice[0].tolist(), twice[1].tolist())) == list(zip(a.tolist(), b.tolist()))
+
+
+def test_few_pairs_of_a_group_that_is_one(spark, monkeypatch):
+    """60 near sets under three keys: they are joined by about as many pairs as there are sets."""
+    monkeypatch.setattr(links, "BLOCK_BYTES", 1 << 16)
+    rng, seen = random.Random(4), []
+    sets = {n: frozenset(set(range(60)) - set(rng.sample(range(60), rng.randint(0, 3)))) for n in range(60)}
+    postings, bitmaps = tables(spark, sets, {n: {1, 2, 3} for n in sets})
+    few = postings.where("key = 1 and node < 2").drop("place")
+    got = {r.node: r.component for r in links.linked(postings, few, bitmaps, verifier(sets, seen), 80).collect()}
+    assert got == {n: 0 for n in sets} and len(seen[1]) <= 3 * 59 and not seen[2]
