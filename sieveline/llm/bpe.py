@@ -29,7 +29,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from sieveline.llm.common import keyed_texts, map_batches
+from sieveline.llm.common import kept, keyed_texts, map_batches
 
 #: Words a worker remembers; at this number it forgets them all.
 CACHED_WORDS = 300_000
@@ -491,6 +491,7 @@ def learned(encoder: Encoder, column: pa.Array) -> Iterator[str | None]:
     yield from held
 
 
+@kept
 @lru_cache(maxsize=2)
 def _tools(path: str) -> tuple[Encoder, Decoder]:
     """One encoder and decoder for each vocabulary in a worker."""
@@ -498,6 +499,7 @@ def _tools(path: str) -> tuple[Encoder, Decoder]:
     return Encoder(bpe), Decoder(bpe)
 
 
+@kept
 @lru_cache(maxsize=2)
 def _decimals(n: int) -> list[str]:
     return [str(i) for i in range(n)]

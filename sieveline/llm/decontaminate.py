@@ -31,7 +31,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from sieveline.functions.predicates import quoted
-from sieveline.llm.common import map_batches
+from sieveline.llm.common import kept, map_batches
 from sieveline.shared import written
 
 #: Edits an occurrence may have, as a share of the item's characters.
@@ -55,8 +55,8 @@ BESIDE, MOVED, FOUND = 48, 6, 0.27
 BOUNDED = 45
 #: Letters of a word behind which every character starts a window.
 LONG_WORD = 24
-#: Characters of normalized text that are searched at once.
-CHUNK = 1 << 21
+#: Characters of normalized text that are searched at once; places around tries that are looked at together.
+CHUNK, AROUND = 1 << 18, 1 << 19
 #: Bytes of items that are searched for in one pass; more items take more passes.
 ITEM_BYTES = 1 << 22
 #: Windows whose walks go on together.
@@ -171,11 +171,12 @@ def points_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+@kept
 @cache
 def _kinds() -> np.ndarray:
     """For each code point 0 if it is between words, 1 if it is part of one, 2 if its script
     has no spaces."""
-    return np.array([(2 if unspaced(c) else 1) if (c := chr(i)).isalnum() else 0 for i in range(0x110000)], np.uint8)
+    return np.fromiter(((2 if unspaced(c) else 1) if (c := chr(i)).isalnum() else 0 for i in range(0x110000)), np.uint8, 0x110000)
 
 
 def window_starts(points: np.ndarray) -> np.ndarray:
@@ -237,6 +238,7 @@ class Walk:
                 yield n * STEPS, (keys * np.uint32(0x9E3779B1)).copy(), places
 
 
+@kept
 @cache
 def walks() -> list[Walk]:
     return [Walk(n) for n in range(WALKS)]
@@ -376,8 +378,8 @@ class Index:
         own[mine] = True
         span, width = size + most, size + 4 * most + 2
         kept = []
-        for at in range(0, len(begins), max(1, CHUNK // (4 * width))):
-            some = begins[at : at + max(1, CHUNK // (4 * width))]
+        for at in range(0, len(begins), max(1, AROUND // width)):
+            some = begins[at : at + max(1, AROUND // width)]
             window = np.clip(some[:, None] + np.arange(-most - 1, width - most), 0, len(grams) - 1)
             sums = np.cumsum(own[grams[window]], axis=1, dtype=np.int32)
             most_of = (sums[:, span:] - sums[:, :-span]).max(axis=1)
@@ -406,6 +408,7 @@ class Index:
             hits[number] = match
 
 
+@kept
 @lru_cache(1)
 def _index(items: tuple[tuple[object, str], ...], edits: float) -> Index:
     """The index of a part of the items, made once in each worker."""
@@ -452,25 +455,23 @@ def _scan_once(
 ) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = _index(tuple(items), edits)
+        ids = [i for i, _ in index.items]
+        kind = pa.list_(pa.struct([("item_id", item_kind), ("distance", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())]))
         for whole in batches:
-            place = whole.schema.get_field_index(text_column)
-            texts = [normalize(v.as_py()) for v in whole.column(place)]
-            at, hits = 0, []
-            while at < len(texts):
-                stop, size = at, 0
-                while stop < len(texts) and (stop == at or size < CHUNK):
-                    size += len(texts[stop])
-                    stop += 1
-                hits += index.search(texts[at:stop])
-                at = stop
-            ids = [i for i, _ in index.items]
-            rows = [[{"item_id": ids[n], "distance": d, "start": a, "stop": b} for n, d, a, b in found] for found in hits]
-            if more:
-                earlier = whole.column(whole.num_columns - 1).to_pylist()
-                rows = [a + b for a, b in zip(earlier, rows)]
-                whole = whole.select(whole.schema.names[:-1])
-            kind = pa.list_(pa.struct([("item_id", item_kind), ("distance", pa.int32()), ("start", pa.int32()), ("stop", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([*whole.columns, pa.array(rows, kind)], [*whole.schema.names, "hits"])
+            place, at = whole.schema.get_field_index(text_column), 0
+            # Only the texts of a chunk are held as Python strings, and go on when it is searched.
+            while at < whole.num_rows:
+                texts, size = [], 0
+                while at + len(texts) < whole.num_rows and size < CHUNK:
+                    texts.append(normalize(whole.column(place)[at + len(texts)].as_py()))
+                    size += max(1, len(texts[-1]))
+                part, at = whole.slice(at, len(texts)), at + len(texts)
+                rows = [[{"item_id": ids[n], "distance": d, "start": a, "stop": b} for n, d, a, b in found] for found in index.search(texts)]
+                if more:
+                    earlier = part.column(part.num_columns - 1).to_pylist()
+                    rows = [a + b for a, b in zip(earlier, rows)]
+                    part = part.select(part.schema.names[:-1])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, kind)], [*part.schema.names, "hits"])
 
     out = StructType.fromDDL(f"hits array<struct<item_id:{id_kind},distance:int,start:int,stop:int>>")
     item_kind = to_arrow_type(out["hits"].dataType.elementType["item_id"].dataType)

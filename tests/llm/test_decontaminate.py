@@ -186,3 +186,35 @@ def test_windows_start_in_any_script_and_long_words():
     text = "ab, c\u00e9d " + chinese + " " + "x" * 40
     starts = dc.window_starts(dc.points_of(text)).tolist()
     assert starts[:2] == [0, 4] and starts[2:32] == list(range(8, 38)) and starts[32] == 39 and starts[33:] == list(range(39 + dc.LONG_WORD, 79))
+
+
+def test_a_batch_is_searched_in_parts_that_go_on_at_once(spark, monkeypatch):
+    """A task holds the texts of a chunk, not of its batch, and finds the same."""
+    rng = random.Random(12)
+    bench = items(rng, 5)
+    rows = [(k, f"{prose(rng, 60)} {bench[k % 5][1]} {prose(rng, 60)}", "en") for k in range(40)] + [(40, "", "en"), (41, None, "en")]
+    docs = frame(spark, rows).drop("hits").coalesce(1)
+    made = []
+    monkeypatch.setattr(dc, "map_batches", lambda docs, run, schema: made.append(run))
+    dc._scan_once(docs, [(i, dc.normalize(t)) for i, t in bench], dc.EDITS, "text", "bigint", docs.schema, False)
+    sizes = []
+    search = dc.Index.search
+    monkeypatch.setattr(dc.Index, "search", lambda index, texts: sizes.append(sum(map(len, texts))) or search(index, texts))
+    whole = docs.toArrow().combine_chunks().to_batches()
+    monkeypatch.setattr(dc, "CHUNK", 4000)
+    parts = list(made[0](iter(whole)))
+    longest = max(len(dc.normalize(t)) for _, t, _ in rows)
+    assert len(parts) == len(sizes) > 5 and max(sizes) < 4000 + longest
+    assert [i for p in parts for i in p.column("doc_id").to_pylist()] == [i for b in whole for i in b.column("doc_id").to_pylist()]
+    found = {i: [h["item_id"] for h in hits] for p in parts for i, hits in zip(p.column("doc_id").to_pylist(), p.column("hits").to_pylist())}
+    assert len(found) == 42 and all(k % 5 in found[k] for k in range(40)) and found[40] == found[41] == []
+
+
+def test_a_worker_drops_what_other_operators_left():
+    from sieveline.llm import common
+
+    dc._index(((1, "some words of an item that is long enough for walks to meet it"),), dc.EDITS)
+    common.forget_others(dc.__name__)
+    assert dc._index.cache_info().currsize == 1 and dc.walks.cache_info().currsize == 1
+    common.forget_others("sieveline.llm.bpe")
+    assert dc._index.cache_info().currsize == dc.walks.cache_info().currsize == dc._kinds.cache_info().currsize == 0
