@@ -38,6 +38,8 @@ SLOT_BITS = 20
 #: Places whose slots are made at once.
 BLOCK = 1 << 15
 CACHED_PIECES = 500_000
+#: Ids of a shard that are decoded at once.
+TOGETHER = 1 << 16
 # Punctuation that no pattern of the vocabulary joins to a word, and the end of
 # the letters that are the same in every normal form.
 PUNCTUATION = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
@@ -115,18 +117,17 @@ def compress(ids: np.ndarray, last: np.ndarray, width: int, min_count: int = MIN
         grade = ((counts >= min_count).astype(np.uint8) + (counts >= least))[slots]
         at = live[grade == 2]
         live = live[grade > 0]
+        slots = slots[grade == 2]
         keys = symbols[at].astype(np.uint64) << np.uint64(32) | symbols[at + 1]
-        pairs, slot, times = np.unique(keys, return_inverse=True, return_counts=True)
+        pairs, times = _counted(keys)
         chosen = _apart(pairs, times, least)
         if not len(chosen):
             if least == min_count:
                 break
             top = least - 1
             continue
-        number = np.full(len(pairs), -1, np.int64)
-        number[chosen] = np.arange(len(chosen))
-        slot = number[slot]
-        taken, rule = at[slot >= 0], slot[slot >= 0]
+        place, rule = _places(keys, slots, pairs[chosen])
+        taken = at[place]
         # Only a pair of two equal symbols overlaps itself; of a run every other one is replaced.
         if (symbols[taken] == symbols[taken + 1]).any():
             begins = np.concatenate(([True], np.diff(taken) != 1))
@@ -163,6 +164,33 @@ def _slots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mixed
 
 
+def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs in ascending order and how often each is there."""
+    ordered = np.sort(keys)
+    begins = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+    return ordered[begins], np.diff(begins, append=len(ordered))
+
+
+def _places(keys: np.ndarray, slots: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where one of the chosen pairs is, ascending, and which. They are met by their
+    slots; of those that share one, each is looked for by itself."""
+    own = _slots((chosen >> np.uint64(32)).astype(np.uint32), chosen.astype(np.uint32))
+    owner = np.full(1 << SLOT_BITS, -1, np.int32)
+    owner[own] = np.arange(len(chosen))
+    which = owner[slots]
+    near = np.flatnonzero(which >= 0)
+    which = which[near]
+    same = chosen[which] == keys[near]
+    lost = np.flatnonzero(owner[own] != np.arange(len(chosen)))
+    if len(lost):
+        rest = np.flatnonzero(~same)
+        order = lost[np.argsort(chosen[lost])]
+        found = order[np.minimum(np.searchsorted(chosen[order], keys[near[rest]]), len(order) - 1)]
+        met = chosen[found] == keys[near[rest]]
+        which[rest[met]], same[rest[met]] = found[met], True
+    return near[same], which[same].astype(np.int64)
+
+
 def _apart(pairs: np.ndarray, times: np.ndarray, least: int) -> np.ndarray:
     """The pairs of a pass, most frequent first, equally frequent ones by their symbols:
     none whose left symbol is another's right one."""
@@ -232,6 +260,16 @@ class Shard:
         self.table = self.table or self.grammar.table()
         return self.grammar.expand(self.of(k), self.table)
 
+    def each(self) -> Iterator[np.ndarray]:
+        """The ids of every document in turn; those of small ones are decoded together."""
+        self.table = self.table or self.grammar.table()
+        stops, k = np.cumsum(self.lengths), 0
+        while k < len(stops):
+            stop = max(k + 1, int(np.searchsorted(stops, stops[k] - self.lengths[k] + TOGETHER, "right")))
+            flat = self.grammar.expand(self.symbols[self.ends[k - 1] if k else 0 : self.ends[stop - 1]], self.table)
+            yield from np.split(flat, np.cumsum(self.lengths[k : stop - 1]))
+            k = stop
+
     def token(self, k: int, at: int) -> int:
         return self.grammar.token(self.of(k), at)
 
@@ -267,7 +305,7 @@ class LibraryEncoder:
 
     def piece(self, text: str) -> bytes:
         word = text.rstrip(PUNCTUATION)
-        if word.isalpha() and max(word) < PLAIN and (low := word.lower()).isalpha():
+        if word.isalpha() and (word.isascii() or max(word) < PLAIN) and (low := word.lower()).isalpha():
             ids = self.of_part[low]
             return ids + self.of_part[text[len(word) :]] if len(word) < len(text) else ids
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -358,7 +396,7 @@ def read_shards(manifest: DataFrame) -> DataFrame:
                 with store.open_input_stream(path, compression=None) as file:
                     shard = Shard(file.read())
                 starts = start + np.concatenate(([0], np.cumsum(shard.lengths)))[:-1]
-                checks = [zlib.crc32(shard.ids(k).astype("<u4")) for k in range(len(shard.lengths))]
+                checks = [zlib.crc32(ids.astype("<u4")) for ids in shard.each()]
                 ids = pa.array(shard.doc_ids, pa.int64(), mask=shard.known == 0)
                 columns = [ids, pa.array(starts, pa.int64()), pa.array(shard.lengths, pa.int64()), pa.array(checks, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])

@@ -162,3 +162,30 @@ def test_slots_made_block_by_block_give_the_same_grammar(monkeypatch):
     assert len(whole[0].left) > 10 and np.array_equal(whole[0].left, parts[0].left) and np.array_equal(whole[0].right, parts[0].right)
     assert np.array_equal(whole[1], parts[1]) and np.array_equal(whole[2], parts[2])
     assert np.array_equal(parts[0].expand(parts[1], parts[0].table()), ids)
+
+
+def test_pairs_are_counted_and_met_like_by_a_table():
+    """Also where chosen pairs share a slot."""
+    rng = np.random.default_rng(5)
+    keys = rng.integers(0, 3000, 60_000).astype(np.uint64) << np.uint64(32) | rng.integers(0, 400, 60_000).astype(np.uint64)
+    pairs, times = ts._counted(keys)
+    plain = Counter(keys.tolist())
+    assert dict(zip(pairs.tolist(), times.tolist())) == plain and pairs.tolist() == sorted(plain)
+    slots = ts._slots((keys >> np.uint64(32)).astype(np.uint32), keys.astype(np.uint32))
+    of_pairs = ts._slots((pairs >> np.uint64(32)).astype(np.uint32), pairs.astype(np.uint32))
+    crowded = np.flatnonzero(np.isin(of_pairs, [s for s, n in Counter(of_pairs.tolist()).items() if n > 1]))
+    assert len(crowded) > 100
+    chosen = pairs[rng.permutation(np.unique(np.concatenate((crowded, np.arange(0, len(pairs), 9)))))]
+    place, which = ts._places(keys, slots, chosen)
+    number = {p: k for k, p in enumerate(chosen.tolist())}
+    assert list(zip(place.tolist(), which.tolist())) == [(i, number[k]) for i, k in enumerate(keys.tolist()) if k in number]
+
+
+def test_documents_of_a_shard_are_decoded_together(monkeypatch):
+    rng = np.random.default_rng(6)
+    lengths = np.array([0, 5, 0, 300, 1, 0, 2, 40, 40, 0])
+    ids = np.tile(rng.integers(0, 9, 97), 4).astype(np.uint32)
+    shard = ts.Shard(ts.pack_shard(list(range(len(lengths))), lengths, ids, 10))
+    for together in (1, 41, 1 << 16):
+        monkeypatch.setattr(ts, "TOGETHER", together)
+        assert [x.tolist() for x in shard.each()] == [shard.ids(k).tolist() for k in range(len(lengths))]
